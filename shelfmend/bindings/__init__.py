@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "missing", "cut")
+MODULES = ("reports", "missing", "cut", "moves")
 
 
 def load() -> None:

@@ -186,8 +186,9 @@ select 'insert' as change, 't_holds' as target, concat_ws(';', 'item_number=' ||
   'employee_id=PRB0043605') as detail
 from q_missing_holds
 union all
-select 'audit', 't_tran_log_holding', 'tran_type=999;start_tran_date=2001-12-01 00:00:00;start_tran_time=2001-12-01 00:00:00;hu_id=' ||
-  hu_id || ';location_id=' || location_id || ';item_number=' || item_number || ';tran_qty=' || actual_qty
+select 'audit', 't_tran_log_holding', concat_ws(';', 'tran_type=999', 'start_tran_date=2001-12-01 00:00:00',
+  'start_tran_time=2001-12-01 00:00:00', 'hu_id=' || hu_id, 'location_id=' || location_id, 'item_number=' || item_number,
+  'tran_qty=' || actual_qty)
 from q_missing_holds""",
 )
 def missing_holds_changes(s):

@@ -12,7 +12,8 @@ select {PID} pick_id, l_orderkey order_number, l_linenumber line_number, l_partk
 from lineitem""",
     "v_stock": f"""
 select {PID} as sequence, l_partkey item_number, l_suppkey % 5 wh_id, 'L' || l_suppkey location_id,
-  'HU' || l_orderkey hu_id, l_quantity actual_qty, case when l_returnflag = 'R' then l_quantity else 0 end unavailable_qty,
+  case when l_linenumber < 7 then 'HU' || l_orderkey end hu_id, l_quantity actual_qty,
+  case when l_returnflag = 'R' then l_quantity else 0 end unavailable_qty,
   case when l_linenumber % 2 = 0 then 'LOT' || l_linenumber end lot_number,
   case when l_returnflag = 'R' then 'STORAGE' when l_returnflag = 'N' and l_linenumber < 4 then 'STORAGE'
     when l_linenumber = 3 then 'X' || {PID} else cast({PID} as varchar) end as type,
@@ -99,6 +100,12 @@ from orders where o_orderstatus = 'O' and o_orderpriority = '1-URGENT'""",
 select {PID} shipment_detail_id, l_orderkey shipment_id, l_orderkey order_number, l_orderkey % 5 wh_id,
   l_partkey item_number, l_linenumber line_number, l_quantity quantity_shipped, 'HU' || l_orderkey hu_id,
   l_partkey % 4 client_code, 'G' || l_orderkey host_group_id, l_shipdate record_create_date
+from lineitem""",
+    "v_transfer": f"""
+select {PID} shipment_detail_id, l_orderkey shipment_id,
+  case when l_returnflag = 'R' then '900' || l_orderkey else cast(l_orderkey as varchar) end order_number,
+  l_orderkey % 5 wh_id, l_partkey item_number, l_linenumber line_number, l_quantity quantity_shipped,
+  'HU' || l_orderkey hu_id, 'G' || l_orderkey host_group_id
 from lineitem""",
     "v_adj": """
 select event_id adjustment_id, 'G' || (event_id - event_id % 4) host_group_id, '192' transaction_code,

@@ -386,8 +386,7 @@ def split_multi_orders(
     ``new_hu`` is the new unit's id, or an expression over the rows when many units are split.
     """
     rows = stock.select("item_number", "location_id", "hu_id", F.col("type").alias("reserved_pick"))
-    if hu_ids is not None:
-        rows = rows.filter(F.col("hu_id").isin(*hu_ids))
+    rows = rows.filter(F.col("hu_id").isNotNull() if hu_ids is None else F.col("hu_id").isin(*hu_ids))
     reserved = picks.select(
         F.col("pick_id").cast("string").alias("pick_id"), "order_number", "wh_id", "wave_id"
     )

@@ -44,7 +44,7 @@ class Samples:
             "l_partkey AS item_number",
             "l_suppkey % 5 AS wh_id",
             "concat('L', l_suppkey) AS location_id",
-            "concat('HU', l_orderkey) AS hu_id",
+            "CASE WHEN l_linenumber < 7 THEN concat('HU', l_orderkey) END AS hu_id",
             "l_quantity AS actual_qty",
             "CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0D END AS unavailable_qty",
             "CASE WHEN l_linenumber % 2 = 0 THEN concat('LOT', l_linenumber) END AS lot_number",
@@ -599,3 +599,11 @@ class Samples:
 
     def transfer_comments(self) -> DataFrame:
         return self.comments().withColumn("order_number", F.expr("concat('900', order_number)"))
+
+    def renumbered_messages(self) -> DataFrame:
+        """Order-status messages whose type-A orders carry a number starting with 9."""
+        number = "CASE WHEN container_type = 'A' THEN concat('9', so_number) ELSE cast(so_number AS string) END"
+        return self.ship_messages().withColumn("so_number", F.expr(number))
+
+    def renumbered_comments(self) -> DataFrame:
+        return self.comments().withColumn("order_number", F.expr("concat('9', order_number)"))
