@@ -165,18 +165,21 @@ def order_status_remaining(s):
     """
 with gate as (
   select order_number, wh_id from v_picks group by 1, 2
-  having count(*) filter (status = 'PICKED' and picked_quantity > 0) = 0 and count(*) filter (status = 'RELEASED') = 0)
+  having count(*) filter (status = 'PICKED' and picked_quantity > 0) = 0 and count(*) filter (status = 'RELEASED') = 0),
+held as materialized (
+  select p.order_number, p.wh_id, p.load_id, sum(p.planned_quantity * k.n) as planned, sum(p.picked_quantity * k.n) as picked
+  from v_picks p join (select type, wh_id, count(*) as n from v_stock where type <> 'STORAGE' group by 1, 2) k
+    on cast(p.pick_id as varchar) = k.type and p.wh_id = k.wh_id
+  where (p.load_id, p.wh_id) in (select order_number, wh_id from gate)
+  group by 1, 2, 3)
 select md5('936|' || p.order_number || '|' || p.wh_id) as shipment_id,
   md5('936|' || p.order_number || '|' || p.wh_id) as host_group_id, '936' as transaction_code, p.order_number as load_id,
-  case when sum(p.planned_quantity) = sum(p.picked_quantity) then 'COMPLETE' else 'PARTIAL' end as status,
+  case when p.planned = p.picked then 'COMPLETE' else 'PARTIAL' end as status,
   'HJS_CORTE' as user_id, 'il11405' as printer_id, p.order_number, p.wh_id, o.display_order_number, o.client_code,
   o.bill_to_code, o.split_status, t.type as order_type, v.vqm_profile as delivery_sap
-from v_picks p join gate g on g.order_number = p.load_id and g.wh_id = p.wh_id
-join v_stock k on cast(p.pick_id as varchar) = k.type and p.wh_id = k.wh_id and k.type <> 'STORAGE'
-join v_orders o on p.order_number = o.order_number and p.wh_id = o.wh_id
+from held p join v_orders o on p.order_number = o.order_number and p.wh_id = o.wh_id
 join v_types t on o.type_id = t.type_id
-left join v_vendor v on o.bill_to_code = v.vendor_code
-group by p.wh_id, p.order_number, o.display_order_number, o.client_code, o.bill_to_code, o.split_status, t.type, v.vqm_profile""",
+left join v_vendor v on o.bill_to_code = v.vendor_code""",
 )
 def invoice_headers(s):
     return cut.invoice_headers(s.picks(), s.stock(), s.orders(), s.vendors(), s.order_types())
@@ -185,6 +188,10 @@ def invoice_headers(s):
 @query(
     "invoice_details",
     """
+with held as materialized (
+  select p.pick_id, k.wh_id, k.item_number, k.hu_id, k.stored_attribute_id, k.actual_qty
+  from v_stock k join (select distinct pick_id, wh_id from v_picks) p on cast(p.pick_id as varchar) = k.type and p.wh_id = k.wh_id
+  where k.type <> 'STORAGE')
 select h.shipment_id, h.host_group_id, p.line_number, p.item_number, i.display_item_number,
   coalesce(sum(k.actual_qty), 0) as quantity_shipped, k.hu_id, 'HJS_CORTE' as user_id, p.wh_id, o.client_code, u.uom,
   c.tracking_number, p.order_number, o.display_order_number, o.customer_id as delivery_sap, a.p_brand as gen_attribute_value1,
@@ -192,14 +199,13 @@ select h.shipment_id, h.host_group_id, p.line_number, p.item_number, i.display_i
   """
     + ", ".join(f"cast(null as varchar) as gen_attribute_value{i}" for i in range(4, 12))
     + """
-from v_stock k join v_picks p on cast(p.pick_id as varchar) = k.type and p.wh_id = k.wh_id
+from held k join v_picks p on p.pick_id = k.pick_id and p.wh_id = k.wh_id
 left join v_cont c on p.container_id = c.container_id and p.wh_id = c.wh_id
-join q_invoice_headers h on h.load_id = p.load_id and h.order_number = p.order_number and h.wh_id = p.wh_id
 join v_items i on i.item_number = k.item_number and i.wh_id = k.wh_id
+join q_invoice_headers h on h.load_id = p.load_id and h.order_number = p.order_number and h.wh_id = p.wh_id
 join v_orders o on p.order_number = o.order_number and p.wh_id = o.wh_id
 left join v_uom u on u.item_number = p.item_number and u.wh_id = p.wh_id
 left join part a on a.p_partkey = k.stored_attribute_id
-where k.type <> 'STORAGE'
 group by h.shipment_id, h.host_group_id, p.line_number, p.item_number, i.display_item_number, k.hu_id, p.wh_id, o.client_code,
   u.uom, c.tracking_number, p.order_number, o.display_order_number, o.customer_id, k.stored_attribute_id, a.p_brand,
   a.p_type, a.p_size""",
@@ -270,8 +276,8 @@ _CODED = f"""(
     f"""
 select c.host_group_id as shipment_id, c.host_group_id, o.order_number, o.wh_id, d.item_number, d.line_number,
   d.bo_qty as quantity_shipped, o.client_code, o.display_order_number, i.display_item_number, u.uom, 'HJS_C' as user_id
-from {_CODED} c join v_orders o on o.wh_id = c.wh_id and o.order_number = c.order_number
-join v_od d on d.wh_id = o.wh_id and d.order_number = o.order_number
+from {_CODED} c join v_orders o on o.order_number = c.order_number
+join v_od d on d.order_number = o.order_number
 join v_items i on i.wh_id = d.wh_id and i.item_number = d.item_number
 left join v_uom u on u.wh_id = d.wh_id and u.item_number = d.item_number
 where d.bo_qty > 0""",
@@ -390,8 +396,8 @@ _SHIPINFO_HEAD = """(
   select md5('shipinfo|' || p.order_number || '|' || p.wh_id) as g, p.order_number, p.wh_id, p.load_id,
     case when sum(p.planned_quantity) = sum(p.picked_quantity) then 'COMPLETE' else 'PARTIAL' end as status,
     o.client_code, o.customer_id, o.display_order_number, t.type as order_type, v.vqm_profile
-  from v_picks p join q_missing_followup f on f.order_number = p.load_id and f.wh_id = p.wh_id
-  join v_orders o on p.order_number = o.order_number and p.wh_id = o.wh_id join v_types t on o.type_id = t.type_id
+  from v_picks p join q_missing_followup f on f.order_number = p.load_id
+  join v_orders o on p.order_number = o.order_number join v_types t on o.type_id = t.type_id
   left join v_vendor v on o.bill_to_code = v.vendor_code
   group by p.order_number, p.wh_id, p.load_id, o.client_code, o.customer_id, o.display_order_number, t.type, v.vqm_profile)"""
 
@@ -409,7 +415,7 @@ def _shipinfo(s):
 select h.g as shipment_id, h.g as host_group_id, p.wh_id, p.line_number, p.item_number, h.client_code, c.tracking_number,
   p.order_number, h.display_order_number, h.customer_id as delivery_sap, p.item_number as display_item_number,
   p.order_number || '1' as hu_id, 'HJS' as user_id, 'EA' as uom, coalesce(sum(p.picked_quantity), 0) as quantity_shipped
-from v_picks p join {_SHIPINFO_HEAD} h on h.load_id = p.load_id and h.order_number = p.order_number and h.wh_id = p.wh_id
+from v_picks p join {_SHIPINFO_HEAD} h on h.order_number = p.order_number
 left join v_cont c on p.container_id = c.container_id and p.wh_id = c.wh_id
 where p.status = 'SHIPPED'
 group by h.g, p.wh_id, p.line_number, p.item_number, h.client_code, c.tracking_number, p.order_number, h.display_order_number,

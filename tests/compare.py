@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from decimal import Decimal
@@ -18,6 +19,9 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='run-', dir='/tmp')}'")
+    con.execute("SET memory_limit = '8GB'")
+    con.execute("SET max_temp_directory_size = '2GB'")  # a runaway plan ends instead of filling the disk
     for t in TABLES.split():
         if Path(f"{folder}/{t}.parquet").exists():
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
