@@ -26,11 +26,14 @@ def month_clock(as_of: datetime) -> datetime:
 
 
 def joined_timestamp(date: Column | str, time: Column | str) -> Column:
-    """Day of one column and time of day of another, as one timestamp."""
+    """Day of one column and time of day (to the second) of another; no time means midnight."""
     d, t = col(date), col(time)
-    return F.to_timestamp_ntz(
-        F.concat_ws(" ", F.date_format(d, "yyyy-MM-dd"), F.date_format(t, "HH:mm:ss")),
-        F.lit("yyyy-MM-dd HH:mm:ss"),
+
+    def part(unit) -> Column:
+        return F.coalesce(unit(t), F.lit(0))
+
+    return F.make_timestamp_ntz(
+        F.year(d), F.month(d), F.dayofmonth(d), part(F.hour), part(F.minute), part(F.second)
     )
 
 

@@ -74,7 +74,7 @@ def outbox_rows(rows: DataFrame, service: str | Column, group: str = "host_group
 def verify_batch(table: DataFrame, expected: DataFrame, group: str = "host_group_id") -> DataFrame:
     """Rows written per expected message group; a group without rows must not be sent."""
     written = table.groupBy(group).agg(F.count(F.lit(1)).alias("written"))
-    checked = attach(expected.select(group).distinct(), written, [group])
+    checked = attach(expected.select(group).distinct(), written, [group], one_row_per_key=True)
     rows = F.coalesce("written", F.lit(0))
     return checked.select(
         group, rows.alias("rows_written"), F.when(rows > 0, "SEND").otherwise("FAILED").alias("decision")

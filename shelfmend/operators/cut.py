@@ -13,6 +13,7 @@ from ..functions.clock import ts
 from ..functions.text import guid, text
 from ..plans.changeset import ChangeSet, Update, apply_change_set
 from ..plans.joins import attach, matching, missing
+from ..plans.numbering import pinned
 from .audit import AuditProfile, audit_rows, outbox_rows
 
 # Message codes and services of the shipment interface.
@@ -130,7 +131,7 @@ def _typed(rows: DataFrame, order_detail: DataFrame, name: str = "tipo") -> Data
     per_order = uncut.groupBy("order_number", "wh_id").agg(F.count(F.lit(1)).alias("uncut_items"))
     own = uncut.withColumn("own_uncut", F.lit(1))
     order = [("control_number", "order_number"), "wh_id"]
-    counted = attach(attach(rows, per_order, order), own, [*order, "item_number"])
+    counted = attach(attach(rows, per_order, order), own, [*order, "item_number"], one_row_per_key=True)
     others = F.coalesce("uncut_items", F.lit(0)) - F.coalesce("own_uncut", F.lit(0))
     return counted.withColumn(name, F.when(others > 0, "PARTIAL").otherwise("COMPLETE")).drop(
         "uncut_items", "own_uncut"
@@ -182,9 +183,8 @@ def one_type_per_order(classified: DataFrame) -> DataFrame:
 def apply_cut(classified: DataFrame, log: DataFrame) -> ChangeSet:
     """Cut the order lines and picks and mark the log rows; orders already pending are left alone."""
     cut_log = log.filter(F.col("tran_type") == CUT)
-    decided = missing(
-        one_type_per_order(classified), cut_log.filter(F.col("suggested_value") == "PEND"), ["control_number"]
-    )
+    pending = cut_log.filter(F.col("suggested_value") == "PEND")
+    decided = missing(one_type_per_order(classified), pending, ["control_number"], one_row_per_key=True)
     lines = (
         matching(cut_log, decided, ["control_number", "wh_id"])
         .groupBy(F.col("control_number").alias("order_number"), "wh_id", "item_number")
@@ -253,7 +253,7 @@ def invoice_headers(
     """
     gate = last_item_gate(picks)
     if cut_orders is not None:
-        gate = matching(gate, cut_orders, ["order_number", "wh_id"])
+        gate = matching(gate, cut_orders, ["order_number", "wh_id"], one_row_per_key=True)
     reserved = (
         stock.filter(F.col("type") != storage_type)
         .groupBy("type", "wh_id")
@@ -268,7 +268,7 @@ def invoice_headers(
         F.sum(F.col("picked_quantity") * F.col("stock_rows")).alias("picked"),
     )
     named = orders.select("order_number", "wh_id", "type_id", *_order_part(orders))
-    joined = attach(sums, named, ["order_number", "wh_id"], "inner")
+    joined = attach(sums, named, ["order_number", "wh_id"], "inner", one_row_per_key=True)
     joined = attach(joined, types.select("type_id", F.col("type").alias("order_type")), ["type_id"], "inner")
     profiles = vendors.select("vendor_code", F.col("vqm_profile").alias("delivery_sap"))
     joined = attach(joined, profiles, [("bill_to_code", "vendor_code")])
@@ -419,7 +419,7 @@ def cancel_interface(
     """Cancel messages: a header per order, a line per cut item, sent by the service of its type."""
     coded = _coded(classified)
     parts = orders.select("order_number", "wh_id", *_order_part(orders))
-    known = attach(coded, parts, ["order_number", "wh_id"], "inner")
+    known = attach(coded, parts, ["order_number", "wh_id"], "inner", one_row_per_key=True)
     headers = known.select(
         F.col("host_group_id").alias("shipment_id"),
         "host_group_id",
@@ -464,7 +464,7 @@ def cancel_trace(
 ) -> DataFrame:
     """Cut lines with their wave that have no cancel log row yet; one row per pick of the line."""
     coded = _coded(classified).select("order_number", "wh_id", "transaction_code")
-    known = matching(coded, orders, ["order_number", "wh_id"])
+    known = matching(coded, orders, ["order_number", "wh_id"], one_row_per_key=True)
     cut_lines = order_detail.filter(F.col("bo_qty") > 0).select("order_number", "wh_id", "item_number", "qty")
     lines = attach(cut_lines, known, ["order_number", "wh_id"], "inner")
     lines = matching(lines, items, ["item_number", "wh_id"])
@@ -541,7 +541,7 @@ def apply_cancel(
     affected = cut.select("order_number", "wh_id").distinct()
     grouped = affected.withColumn("host_group_id", guid(code, "order_number", "wh_id", F.lit(user)))
     parts = orders.select("order_number", "wh_id", *_order_part(orders))
-    known = attach(grouped, parts, ["order_number", "wh_id"], "inner")
+    known = attach(grouped, parts, ["order_number", "wh_id"], "inner", one_row_per_key=True)
     new_orders = missing(
         known, ship_header.filter(F.col("transaction_code") == CANCEL_PARTIAL), ["order_number", "wh_id"]
     )
@@ -599,7 +599,7 @@ def shipinfo_headers(
         F.sum("planned_quantity").alias("planned"), F.sum("picked_quantity").alias("picked")
     )
     parts = orders.select("order_number", "wh_id", "type_id", *_order_part(orders))
-    joined = attach(sums, parts, ["order_number", "wh_id"], "inner")
+    joined = attach(sums, parts, ["order_number", "wh_id"], "inner", one_row_per_key=True)
     joined = attach(joined, types.select("type_id", F.col("type").alias("order_type")), ["type_id"], "inner")
     profiles = vendors.select("vendor_code", F.col("vqm_profile").alias("delivery_sap"))
     joined = attach(joined, profiles, [("bill_to_code", "vendor_code")])
@@ -702,7 +702,8 @@ class CutResult:
 def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = None) -> CutResult:
     """The cut from detection to cancel messages. Each phase reads the tables the last one left.
 
-    All phases stay lazy; nothing is visible until the caller publishes the tables.
+    What a phase decides is checkpointed once, because several of its changes and the later phases
+    read it. Nothing is visible until the caller publishes the tables.
     """
     now = dict(tables)
     phases: dict[str, ChangeSet] = {}
@@ -720,17 +721,19 @@ def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = N
         now["t_pick_area"],
         now["t_exception_log"],
     )
-    run("detect", log_cut(lines, as_of))
+    run("detect", log_cut(pinned(lines), as_of))
     log, detail = now["t_exception_log"], now["t_order_detail"]
-    classified = classify_cut(
-        log, detail, now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"], cap=cap
+    classified = pinned(
+        classify_cut(log, detail, now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"], cap=cap)
     )
     run("cut", apply_cut(classified, log))
     orders_cut = one_type_per_order(classified).select(F.col("control_number").alias("order_number"), "wh_id")
     status = matching(order_status_after_cut(now["t_order_detail"]), orders_cut, ["order_number"])
     run("status", ChangeSet(updates={"t_order": Update(status, ("order_number",))}))
-    headers = invoice_headers(
-        now["t_pick_detail"], now["t_stored_item"], now["t_order"], now["t_vendor"], now["v_type"], orders_cut
+    headers = pinned(
+        invoice_headers(
+            now["t_pick_detail"], now["t_stored_item"], now["t_order"], now["t_vendor"], now["v_type"], orders_cut
+        )
     )
     details = invoice_details(
         now["t_stored_item"],
@@ -754,7 +757,7 @@ def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = N
         now["t_al_host_shipment_master"],
         now["t_al_host_shipment_detail"],
     )
-    run("tasks", close_cut_tasks(tasks, as_of))
+    run("tasks", close_cut_tasks(pinned(tasks), as_of))
     run(
         "cancel",
         cancel_interface(classified, now["t_order"], now["t_order_detail"], now["t_item_master"], now["t_item_uom"]),

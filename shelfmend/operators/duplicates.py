@@ -25,7 +25,7 @@ def _surplus_picks(picks: DataFrame, suspects: DataFrame, keys: Sequence[str], s
     ).filter(F.col("copies") > 1)
     if strict:
         highest = picks.groupBy(*keys).agg(F.max("pick_id").alias("pick_id"))
-        return attach(highest, duplicated.drop("kept_id"), list(keys), "inner")
+        return attach(highest, duplicated.drop("kept_id"), list(keys), "inner", one_row_per_key=True)
     rows = attach(suspects.select(*keys, "pick_id"), duplicated, list(keys), "inner")
     return rows.filter(F.col("pick_id") != F.col("kept_id")).drop("kept_id").distinct()
 

@@ -88,7 +88,8 @@ def missing_followup(
     if days is not None:
         started = started.filter(F.col("record_create_date") >= ts(day(as_of, days)))
     followed = ship.filter(F.col("transaction_code") == second)
-    return missing(started.select("order_number", "wh_id").distinct(), followed, ["order_number", "wh_id"])
+    keys = ["order_number", "wh_id"]
+    return missing(started.select(*keys).distinct(), followed, keys, one_row_per_key=True)
 
 
 def unposted_preship(
@@ -236,7 +237,7 @@ def unread_containers(
 ) -> DataFrame:
     """Containers without a type that were never read."""
     units = _untyped_units(hu, po, containing, equal, excluded, wh_id)
-    unread = missing(units, readings, ["hu_id", "wh_id"])
+    unread = missing(units, readings, ["hu_id", "wh_id"], one_row_per_key=True)
     return unread.withColumn("error_program", F.lit("SEM IN DATA"))
 
 
@@ -264,7 +265,7 @@ def read_after_divert(
         )
     )
     late = F.col("last_read") > F.col("first_divert")
-    return attach(units, moments, ["hu_id", "wh_id"]).withColumn(
+    return attach(units, moments, ["hu_id", "wh_id"], one_row_per_key=True).withColumn(
         "error_program", F.when(late, "ERRO").otherwise("OK")
     )
 
@@ -568,7 +569,8 @@ def gtin_backfill(units: DataFrame, barcodes: DataFrame, wh_id: str | None = Non
         F.countDistinct("upc").alias("count_upc"), F.max("upc").alias("upc")
     )
     single = codes.filter(F.col("count_upc") == 1).drop("count_upc")
-    found = attach(empty.select("item_number", "wh_id").distinct(), single, ["item_number", "wh_id"], "inner")
+    keys = ["item_number", "wh_id"]
+    found = attach(empty.select(*keys).distinct(), single, keys, "inner", one_row_per_key=True)
     return found if cap is None else found.orderBy("item_number", "wh_id").limit(cap)
 
 

@@ -42,7 +42,7 @@ def upsert_plan(stock: DataFrame, deltas: DataFrame) -> DataFrame:
     """Summed quantity per item, warehouse and location, and whether stock is there to add it to."""
     wanted = deltas.groupBy(*SPOT).agg(F.sum("qty").alias("qty"))
     present = stock.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("rows_present"))
-    joined = attach(wanted, present, list(SPOT))
+    joined = attach(wanted, present, list(SPOT), one_row_per_key=True)
     return joined.withColumn("action", F.when(F.col("rows_present").isNull(), "INSERT").otherwise("UPDATE"))
 
 
@@ -343,7 +343,7 @@ def apply_consolidation(groups: DataFrame, stock: DataFrame, as_of: datetime) ->
     loose = stock.filter(F.col("hu_id").isNull() & (F.col("type") == "STORAGE"))
     # one loose row per place takes the quantity
     first = loose.groupBy(*SPOT).agg(F.min(F.struct("sequence", "actual_qty")).alias("first"))
-    raised = attach(sums.filter("has_loose"), first, list(SPOT), "inner").select(
+    raised = attach(sums.filter("has_loose"), first, list(SPOT), "inner", one_row_per_key=True).select(
         F.col("first.sequence").alias("sequence"), (F.col("first.actual_qty") + F.col("qty")).alias("actual_qty")
     )
     created = _new_stock(sums.filter(~F.col("has_loose")), as_of, "STORAGE")
@@ -352,7 +352,7 @@ def apply_consolidation(groups: DataFrame, stock: DataFrame, as_of: datetime) ->
     left_over = missing(
         stock.filter(F.col("hu_id").isNotNull()).select("hu_id", *SPOT), groups, ["hu_id", *SPOT]
     )
-    gone = missing(groups.select("hu_id", "wh_id").distinct(), left_over, ["hu_id", "wh_id"])
+    gone = missing(groups.select("hu_id", "wh_id").distinct(), left_over, ["hu_id", "wh_id"], one_row_per_key=True)
     profile = AuditProfile(
         "999",
         "Agrupamento de estoque",
@@ -412,7 +412,7 @@ def apply_split(rows: DataFrame, hu: DataFrame, as_of: datetime) -> ChangeSet:
     wanted = rows.groupBy(F.col("new_hu_id").alias("hu_id"), "wh_id").agg(
         F.min("location_id").alias("location_id"), F.min("order_number").alias("load_id")
     )
-    created = missing(wanted, hu, ["hu_id", "wh_id"]).select(
+    created = missing(wanted, hu, ["hu_id", "wh_id"], one_row_per_key=True).select(
         "hu_id",
         F.lit("SO").alias("type"),
         "location_id",
@@ -497,7 +497,7 @@ def restore_wave(wave_lines: DataFrame, picks: DataFrame, waves: DataFrame | Seq
     picked = picks.groupBy(*keys).agg(F.sum("planned_quantity").alias("qty_pkd"))
     grouped = lines.groupBy(*keys, "wave_id", "wave_detail_line_id").agg(F.sum("planned_qty").alias("qty_afo"))
     pkd = F.coalesce("qty_pkd", F.lit(0))
-    return attach(grouped, picked, keys).filter(pkd == 0).select(
+    return attach(grouped, picked, keys, one_row_per_key=True).filter(pkd == 0).select(
         *keys, "wave_id", "wave_detail_line_id", "qty_afo", pkd.alias("qty_pkd"), (F.col("qty_afo") - pkd).alias("dif")
     )
 
@@ -556,7 +556,9 @@ def seed_stock(
 def seed_missing(worklist: DataFrame, stock: DataFrame, location: str, as_of: datetime, qty: float = 200.0) -> DataFrame:
     """Test stock for listed items that have none at the location."""
     here = stock.filter(F.col("location_id") == location)
-    return _seeded(missing(worklist.select("item_number", "wh_id").distinct(), here, ["item_number", "wh_id"]), location, as_of, qty)
+    keys = ["item_number", "wh_id"]
+    absent = missing(worklist.select(*keys).distinct(), here, keys, one_row_per_key=True)
+    return _seeded(absent, location, as_of, qty)
 
 
 def _seeded(keys: DataFrame, location: str, as_of: datetime, qty: float) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import ts
 from ..functions.text import guid
 from ..plans.changeset import ChangeSet
-from ..plans.joins import attach
+from ..plans.joins import attach, matching
 from .audit import AuditProfile, audit_rows, outbox_rows
 from .moves import upsert_increment
 
@@ -37,8 +37,7 @@ def _stock_totals(stock: DataFrame, *extra: Column) -> DataFrame:
 def _listed(erp: DataFrame, worklist: DataFrame, offset: int) -> DataFrame:
     """ERP rows of the listed items; an item listed twice counts once."""
     keyed = _erp_by_warehouse(erp, offset)
-    keys = worklist.select("item_number", "wh_id").distinct()
-    return attach(keyed, keys.withColumn("listed", F.lit(True)), [("item", "item_number"), ("erp_wh_id", "wh_id")], "inner")
+    return matching(keyed, worklist, [("item", "item_number"), ("erp_wh_id", "wh_id")], one_row_per_key=True)
 
 
 def reconcile_blocked(
@@ -54,7 +53,7 @@ def reconcile_blocked(
     else:
         keys = worklist.select("item_number", "wh_id").distinct()
         base = attach(erp.filter(F.col("loc") == loc), keys, [("item", "item_number")], "inner")
-    joined = attach(base, _stock_totals(stock), [("item", "item_number"), "wh_id"])
+    joined = attach(base, _stock_totals(stock), [("item", "item_number"), "wh_id"], one_row_per_key=loc is None)
     diff = F.col("non_sellable_qty") - F.coalesce("wms_blocked", F.lit(0))
     compared = joined.select(
         "item",
@@ -88,7 +87,7 @@ def reconcile_totals(
     """Total, available and blocked gaps of the items for which the ERP has more than the warehouse."""
     base = _listed(erp, worklist, loc_offset).withColumnRenamed("erp_wh_id", "wh_id")
     at_dest = F.count(F.when(F.col("location_id") == dest_loc, 1)).alias("dest_rows")
-    joined = attach(base, _stock_totals(stock, at_dest), [("item", "item_number"), "wh_id"])
+    joined = attach(base, _stock_totals(stock, at_dest), [("item", "item_number"), "wh_id"], one_row_per_key=True)
     erp_total, erp_blocked = F.col("stock_on_hand"), F.col("non_sellable_qty")
     wms_total = F.coalesce("wms_total", F.lit(0))
     wms_blocked = F.coalesce("wms_blocked", F.lit(0))
@@ -120,7 +119,7 @@ def _phantom(erp: DataFrame, stock: DataFrame, locs: Sequence | None, offset: in
     idle = rows.filter((F.col("stock_on_hand") == 0) & (F.col("in_transit_qty") == 0))
     held = stock.groupBy("item_number", "wh_id").agg(F.sum("actual_qty").alias("sto_qty"))
     keyed = _erp_by_warehouse(idle, offset)
-    joined = attach(keyed, held, [("item", "item_number"), ("erp_wh_id", "wh_id")])
+    joined = attach(keyed, held, [("item", "item_number"), ("erp_wh_id", "wh_id")], one_row_per_key=True)
     return joined.filter(F.col("sto_qty").isNull())
 
 
@@ -177,7 +176,9 @@ def double_sent(
     blocked = _erp_by_warehouse(erp.filter(F.col("non_sellable_qty") < 0), loc_offset).select(
         "item", "erp_wh_id", "non_sellable_qty"
     )
-    joined = attach(per_item, blocked, [("item_number", "item"), ("wh_id", "erp_wh_id")], "inner")
+    joined = attach(
+        per_item, blocked, [("item_number", "item"), ("wh_id", "erp_wh_id")], "inner", one_row_per_key=True
+    )
     half = F.col("qty_sent") / 2
     out = joined.select(
         "wh_id",
@@ -217,9 +218,12 @@ def releasable_qty(
     )
     listed = worklist.groupBy("item_number", "wh_id").agg(F.count(F.lit(1)).alias("list_rows"))
     balances = _erp_by_warehouse(erp, loc_offset).select("item", "erp_wh_id", "stock_on_hand", "non_sellable_qty")
-    joined = attach(listed, balances, [("item_number", "item"), ("wh_id", "erp_wh_id")], "inner")
-    joined = attach(joined, wms, ["item_number", "wh_id"], "inner")
-    joined = attach(joined, ordered, ["item_number", "wh_id"])
+    key = ["item_number", "wh_id"]
+    joined = attach(
+        listed, balances, [("item_number", "item"), ("wh_id", "erp_wh_id")], "inner", one_row_per_key=True
+    )
+    joined = attach(joined, wms, key, "inner", one_row_per_key=True)
+    joined = attach(joined, ordered, key, one_row_per_key=True)
     if strict:
         joined = joined.withColumn("wms", F.col("wms") * F.col("list_rows") * F.coalesce("po_rows", F.lit(1)))
         joined = joined.withColumn("po", F.col("po") * F.col("list_rows") * F.col("stock_rows"))

@@ -88,16 +88,13 @@ def invoice_latency(
     code: str = "936",
     print_service: str = "EXP_PRINT_NF",
     number_length: int = 11,
-    number_lengths: Sequence[int] | None = None,
 ) -> DataFrame:
     """First send and first invoice print of each shipment message, with the elapsed times.
 
     A print belongs to a message if its request text contains the first ``number_length``
     characters of the order number. The containment test is an equi-join: every substring of the
-    request with the length of an order number is a candidate key. ``number_lengths`` lists the
-    lengths that occur (default: all up to ``number_length``).
+    request that is as long as some order number is a candidate key.
     """
-    lengths = tuple(number_lengths or range(1, number_length + 1))
     sent = ship.filter((F.col("transaction_code") == code) & (F.col("record_create_date") >= ts(shipped_since)))
     sent = sent.withColumn("number_key", F.substring(F.col("order_number").cast("string"), 1, number_length))
 
@@ -106,13 +103,12 @@ def invoice_latency(
     prints = service_log.filter(
         (F.col("webservice_id") == print_service) & (F.col("process_date") >= ts(printed_since))
     ).select("soap_request", "process_date")
-    starts = prints.filter(F.length("soap_request") > 0).select(
-        "soap_request", "process_date", F.explode(F.sequence(F.lit(1), F.length("soap_request"))).alias("at")
-    )
-    pieces = starts.select(
-        "process_date",
-        F.explode(F.array(*[F.substring(F.col("soap_request"), F.col("at"), F.lit(n)) for n in lengths])).alias("piece"),
-    )
+    # the few lengths that occur, at most number_length of them
+    lengths = sent.select(F.collect_set(F.length("number_key"))).scalar()
+    sized = prints.select("*", F.explode(lengths).alias("n")).filter(F.length("soap_request") >= F.col("n"))
+    last = F.length("soap_request") - F.col("n") + 1
+    starts = sized.select("soap_request", "process_date", "n", F.explode(F.sequence(F.lit(1), last)).alias("at"))
+    pieces = starts.select("process_date", F.substring(F.col("soap_request"), F.col("at"), F.col("n")).alias("piece"))
     wanted = sent.select(F.col("number_key").alias("piece"))
     first_print = matching(pieces, wanted, ["piece"]).groupBy("piece").agg(F.min("process_date").alias("nf_print"))
 

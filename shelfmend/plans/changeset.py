@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col
@@ -115,6 +115,16 @@ def publish(tables: Mapping[str, DataFrame], root: str, snapshot: str) -> str:
     return path
 
 
+def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Tables of the newest published snapshot; snapshot names sort by age."""
+    root = root.rstrip("/")
+    published = spark.read.schema("snapshot string, tables array<string>").json(f"{root}/_published")
+    newest = published.agg(F.max("snapshot").alias("snapshot"), F.max_by("tables", "snapshot").alias("tables")).first()
+    if newest is None or newest.snapshot is None:
+        raise ValueError(f"nothing is published in {root}")
+    return {t: spark.read.parquet(f"{root}/{newest.snapshot}/{t}") for t in newest.tables}
+
+
 def ledger(changes: ChangeSet, show: Mapping[tuple[str, str], tuple[str, ...]]) -> DataFrame:
     """Chosen columns of chosen frames as one listing: change, target, and ``name=value`` details."""
     frames = changes.frames()

@@ -10,6 +10,9 @@ Two things go wrong with hot keys in plain joins:
   all join keys in the partitioning, gives the reduced side its own (small) shuffle, and adaptive
   skew handling applies again.
 
+A driving side that was itself aggregated on the join keys has no hot key. Callers say so with
+``one_row_per_key`` and keep the shuffle that aggregate made: the join then needs no other.
+
 Nothing is broadcast by hint: Spark broadcasts a side only below its size threshold, and falls
 back to the sort-merge join above it.
 """
@@ -17,6 +20,7 @@ back to the sort-merge join above it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,40 +44,50 @@ def _common_type(left: str, right: str, name: str) -> str:
 
 def _aligned(
     left: DataFrame, right: DataFrame, on: Sequence[Key], keep: Sequence[str]
-) -> tuple[DataFrame, DataFrame, Column, list[str]]:
+) -> tuple[DataFrame, list[Column], list[str]]:
+    """Right side with its keys renamed, the left keys cast to match, and the renamed keys."""
     pairs = key_pairs(on)
     types_l, types_r = dict(left.dtypes), dict(right.dtypes)
-    kinds = [_common_type(types_l[l], types_r[r], l) for l, r in pairs]
+    kinds = [_common_type(types_l[lk], types_r[rk], lk) for lk, rk in pairs]
     names = [f"_k{i}" for i in range(len(pairs))]
+
+    def typed(name: str, have: str, want: str) -> Column:
+        return F.col(name) if have == want else F.col(name).cast(want)
+
     right = right.select(
-        *[F.col(r).cast(t).alias(n) for (_, r), t, n in zip(pairs, kinds, names, strict=True)],
+        *[typed(rk, types_r[rk], t).alias(n) for (_, rk), t, n in zip(pairs, kinds, names, strict=True)],
         *[F.col(c) for c in keep],
     )
-    left = left.withColumn("_spread_l", F.xxhash64(*[F.col(l).cast(t) for (l, _), t in zip(pairs, kinds, strict=True)]))
-    right_keys = [F.col(n) for n in names]
-    cond = F.col("_spread_l") == F.col("_spread_r")
-    for (l, _), t, n in zip(pairs, kinds, names, strict=True):
-        cond = cond & (F.col(l).cast(t) == F.col(n))
-    return left, right, cond, names
+    left_keys = [typed(lk, types_l[lk], t) for (lk, _), t in zip(pairs, kinds, strict=True)]
+    return right, left_keys, names
 
 
-def _spread(right: DataFrame, names: Sequence[str]) -> DataFrame:
-    return right.withColumn("_spread_r", F.xxhash64(*[F.col(n) for n in names]))
+def _joined(
+    left: DataFrame, right: DataFrame, left_keys: list[Column], names: list[str], how: str, one_row_per_key: bool
+) -> DataFrame:
+    cond = reduce(Column.__and__, [k == F.col(n) for k, n in zip(left_keys, names, strict=True)])
+    if one_row_per_key:
+        return left.join(right, cond, how)
+    left = left.withColumn("_spread_l", F.xxhash64(*left_keys))
+    right = right.withColumn("_spread_r", F.xxhash64(*[F.col(n) for n in names]))
+    return left.join(right, (F.col("_spread_l") == F.col("_spread_r")) & cond, how).drop("_spread_l", "_spread_r")
 
 
-def matching(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
+def matching(left: DataFrame, right: DataFrame, on: Sequence[Key], one_row_per_key: bool = False) -> DataFrame:
     """Rows of ``left`` that have a partner in ``right`` (EXISTS / IN)."""
-    lhs, rhs, cond, names = _aligned(left, right, on, [])
-    return lhs.join(_spread(rhs.distinct(), names), cond, "left_semi").drop("_spread_l")
+    right, left_keys, names = _aligned(left, right, on, [])
+    return _joined(left, right.distinct(), left_keys, names, "left_semi", one_row_per_key)
 
 
-def missing(left: DataFrame, right: DataFrame, on: Sequence[Key]) -> DataFrame:
+def missing(left: DataFrame, right: DataFrame, on: Sequence[Key], one_row_per_key: bool = False) -> DataFrame:
     """Rows of ``left`` without a partner in ``right`` (NOT EXISTS); a NULL key has no partner."""
-    lhs, rhs, cond, names = _aligned(left, right, on, [])
-    return lhs.join(_spread(rhs.distinct(), names), cond, "left_anti").drop("_spread_l")
+    right, left_keys, names = _aligned(left, right, on, [])
+    return _joined(left, right.distinct(), left_keys, names, "left_anti", one_row_per_key)
 
 
-def attach(left: DataFrame, right: DataFrame, on: Sequence[Key], how: str = "left") -> DataFrame:
+def attach(
+    left: DataFrame, right: DataFrame, on: Sequence[Key], how: str = "left", one_row_per_key: bool = False
+) -> DataFrame:
     """Add the non-key columns of ``right``; row multiplicity is that of the plain join.
 
     Callers that need one row per driving row pass a ``right`` that is unique on its keys
@@ -84,8 +98,8 @@ def attach(left: DataFrame, right: DataFrame, on: Sequence[Key], how: str = "lef
     clash = set(extra) & set(left.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    lhs, rhs, cond, names = _aligned(left, right, on, extra)
-    return lhs.join(_spread(rhs, names), cond, how).drop("_spread_l", "_spread_r", *names)
+    right, left_keys, names = _aligned(left, right, on, extra)
+    return _joined(left, right, left_keys, names, how, one_row_per_key).drop(*names)
 
 
 def null_safe(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -200,8 +200,8 @@ def land(raw: DataFrame, table: str, root: str) -> None:
     path = f"{root.rstrip('/')}/{table}"
     if table in DAY_COLUMN:
         dated = rows.withColumn("day", F.to_date(DAY_COLUMN[table]))
-        # one busy day is spread over several files; a day is never forced into one task
-        dated.write.mode("overwrite").partitionBy("day").parquet(path)
+        # few files per day, but a busy day is split over as many tasks as its size asks for
+        dated.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
     else:
         rows.write.mode("overwrite").parquet(path)
 
