@@ -47,6 +47,12 @@ def min_uom(units: DataFrame) -> DataFrame:
     )
 
 
+def _named_items(items: DataFrame, units: DataFrame) -> DataFrame:
+    """Display name and smallest unit per item, joined once before the lines use them."""
+    names = items.select("item_number", "wh_id", "display_item_number")
+    return attach(names, min_uom(units), ["item_number", "wh_id"], one_row_per_key=True)
+
+
 def zero_stock_lines(
     picks: DataFrame,
     stock: DataFrame,
@@ -301,6 +307,13 @@ def attribute_columns(attribute_values: DataFrame, attribute_map: DataFrame) ->
     )
 
 
+def _with_buyer(headers: DataFrame, orders: DataFrame) -> DataFrame:
+    """Header keys with the order's client, so that the lines need one join for both."""
+    heads = headers.select("shipment_id", "host_group_id", "load_id", "order_number", "wh_id")
+    buyers = orders.select("order_number", "wh_id", "client_code", "display_order_number", "customer_id")
+    return attach(heads, buyers, ["order_number", "wh_id"], "inner", one_row_per_key=True)
+
+
 def invoice_details(
     stock: DataFrame,
     picks: DataFrame,
@@ -324,13 +337,11 @@ def invoice_details(
         F.col("pick_id").cast("string").alias("pick_key"), "wh_id", "order_number", "load_id", "line_number",
         "item_number", "container_id",
     )
-    heads = headers.select("shipment_id", "load_id", "order_number", "wh_id", "host_group_id")
+    heads = _with_buyer(headers, orders)
     invoiced = attach(reserved, heads, ["load_id", "order_number", "wh_id"], "inner")
     joined = attach(invoiced, held, [("pick_key", "type"), "wh_id"], "inner")
     named = items.select("item_number", "wh_id", "display_item_number")
     joined = attach(joined, named, [("stock_item", "item_number"), "wh_id"], "inner")
-    buyers = orders.select("order_number", "wh_id", "client_code", "display_order_number", "customer_id")
-    joined = attach(joined, buyers, ["order_number", "wh_id"], "inner")
     joined = attach(joined, containers.select("container_id", "wh_id", "tracking_number"), ["container_id", "wh_id"])
     joined = attach(joined, min_uom(units), ["item_number", "wh_id"])
     joined = attach(joined, attribute_columns(attribute_values, attribute_map), ["stored_attribute_id"])
@@ -436,8 +447,7 @@ def cancel_interface(
         "order_number", "wh_id", "host_group_id", "client_code", "display_order_number", "transaction_code"
     )
     lines = attach(cut_lines, groups, ["order_number", "wh_id"], "inner")
-    lines = attach(lines, items.select("item_number", "wh_id", "display_item_number"), ["item_number", "wh_id"], "inner")
-    lines = attach(lines, min_uom(units), ["item_number", "wh_id"])
+    lines = attach(lines, _named_items(items, units), ["item_number", "wh_id"], "inner")
     details = lines.withColumn("shipment_id", F.col("host_group_id")).withColumn("user_id", F.lit("HJS_C"))
     done = coded.select(F.col("order_number").alias("control_number")).distinct().select(
         "control_number", F.lit(CUT).alias("tran_type"), F.lit("OK").alias("suggested_value")
@@ -556,8 +566,7 @@ def apply_cancel(
     )
     groups = known.select("order_number", "wh_id", "host_group_id", "client_code", "display_order_number")
     lines = attach(own_lines.filter(F.col("bo_qty") > 0), groups, ["order_number", "wh_id"], "inner")
-    lines = attach(lines, items.select("item_number", "wh_id", "display_item_number"), ["item_number", "wh_id"], "inner")
-    details = attach(lines, min_uom(units), ["item_number", "wh_id"]).select(
+    details = attach(lines, _named_items(items, units), ["item_number", "wh_id"], "inner").select(
         F.col("host_group_id").alias("shipment_id"),
         "host_group_id",
         "line_number",
@@ -621,10 +630,7 @@ def shipinfo_details(headers: DataFrame, orders: DataFrame, picks: DataFrame, co
     rows = picks.filter(F.col("status") == "SHIPPED").groupBy(
         "load_id", "order_number", "wh_id", "line_number", "item_number", "container_id"
     ).agg(F.sum("picked_quantity").alias("qty"))
-    heads = headers.select("shipment_id", "host_group_id", "load_id", "order_number", "wh_id")
-    joined = attach(rows, heads, ["load_id", "order_number", "wh_id"], "inner")
-    buyers = orders.select("order_number", "wh_id", "client_code", "display_order_number", "customer_id")
-    joined = attach(joined, buyers, ["order_number", "wh_id"], "inner")
+    joined = attach(rows, _with_buyer(headers, orders), ["load_id", "order_number", "wh_id"], "inner")
     joined = attach(joined, containers.select("container_id", "wh_id", "tracking_number"), ["container_id", "wh_id"])
     keys = [
         "shipment_id", "host_group_id", "wh_id", "line_number", "item_number", "client_code", "tracking_number",

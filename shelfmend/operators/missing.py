@@ -433,13 +433,15 @@ def orphan_stock(
     rows = rows.groupBy("hu_id", "wh_id", "item_number", "type").agg(F.sum("actual_qty").alias("actual_qty"))
     known = picks.select(F.col("pick_id").cast("string").alias("type"), "wh_id")
     unpicked = missing(rows, known, ["type", "wh_id"])
-    units = attach(unpicked, hu.select("hu_id", "wh_id", "reserved_for", "control_number"), ["hu_id", "wh_id"], "inner")
     allocated = (
         tran_log.filter((F.col("tran_type") == alloc_type) & F.col("control_number").isNotNull())
         .groupBy("hu_id", "wh_id")
         .agg(F.max("control_number").alias("alloc1"))
     )
-    with_order = attach(units, allocated, ["hu_id", "wh_id"], "inner")
+    # unit and allocation meet first: the stock is shuffled by unit only once
+    units = hu.select("hu_id", "wh_id", "reserved_for", "control_number")
+    given = attach(allocated, units, ["hu_id", "wh_id"], "inner", one_row_per_key=True)
+    with_order = attach(unpicked, given, ["hu_id", "wh_id"], "inner")
     lines = picks.select("order_number", "line_number", "wh_id")
     orphans = missing(with_order, lines, [("alloc1", "order_number"), ("control_number", "line_number"), "wh_id"])
     keys = ["type", "wh_id", "reserved_for", "control_number", "alloc1", "item_number"]

@@ -107,12 +107,6 @@ def claim_po_stock(
         opened = opened.filter(F.col("client_code").isin(*clients))
     typed = matching(opened, lookup.filter(F.col("lookup_type") == "TYPE"), [("type_id", "lookup_id")])
     lines = po_detail.groupBy("po_number", "wh_id", "item_number").agg(F.sum("qty").alias("qty"))
-    joined = attach(
-        lines,
-        typed.select("po_number", "wh_id", "display_po_number", "client_code", "type_id"),
-        ["po_number", "wh_id"],
-        "inner",
-    )
 
     def target(kind: str) -> Column:
         return F.max(F.when(F.col("control_type") == kind, F.col("c1")))
@@ -120,8 +114,10 @@ def claim_po_stock(
     places = client_control.groupBy("wh_id", "client_code").agg(
         target("LOC_RECEB_SI").alias("loc_si"), target("LOC_RECEB_IA").alias("loc_ia")
     )
-    placed = attach(joined, places, ["wh_id", "client_code"])
-    return placed.select(
+    heads = typed.select("po_number", "wh_id", "display_po_number", "client_code", "type_id")
+    # the order gets its place before it meets its lines, which are many more
+    heads = attach(heads, places, ["wh_id", "client_code"])
+    return attach(lines, heads, ["po_number", "wh_id"], "inner").select(
         "po_number",
         "display_po_number",
         "wh_id",
@@ -189,7 +185,8 @@ def settle_plans(moved: DataFrame, plans: DataFrame, as_of: datetime) -> ChangeS
     sums = moved.groupBy("item_number", "wh_id").agg(F.sum("qty").alias("moved"))
     open_plans = plans.filter(F.col("status").isNull())
     first = open_plans.groupBy("item_number", "wh_id").agg(F.min("exception_id").alias("first_id"))
-    joined = attach(attach(open_plans, first, ["item_number", "wh_id"]), sums, ["item_number", "wh_id"])
+    key = ["item_number", "wh_id"]
+    joined = attach(open_plans, attach(first, sums, key, one_row_per_key=True), key)
     booked = F.when(F.col("exception_id") == F.col("first_id"), F.coalesce("moved", F.lit(0))).otherwise(F.lit(0))
     rows = joined.select(
         "exception_id",
@@ -450,8 +447,8 @@ def confirm_load(
     units = hu.select("hu_id", "wh_id", "load_id", "control_number", F.col("location_id").alias("loc_hum"))
     docks = shipping.groupBy("shipping_id").agg(F.max("door_location").alias("dock"))
     ordered = picks.select("pick_id", "order_number", "item_number", "wh_id", "line_number", "planned_quantity")
-    joined = attach(rows, units, ["hu_id", "wh_id"], "inner")
-    docked = attach(joined, docks.filter(F.col("dock").isNotNull()), [("load_id", "shipping_id")], "inner")
+    docked_units = attach(units, docks.filter(F.col("dock").isNotNull()), [("load_id", "shipping_id")], "inner")
+    docked = attach(rows, docked_units, ["hu_id", "wh_id"], "inner")
     keys = [("serial_number", "order_number"), "item_number", "wh_id", ("control_number", "line_number")]
     return attach(docked, ordered, keys, "inner").select(
         "sequence",

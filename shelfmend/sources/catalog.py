@@ -7,17 +7,15 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-_QTY = "decimal(18,4)"
-_TIME = "timestamp_ntz"
+from pyspark.sql.types import DateType, DecimalType, StringType, StructType, TimestampNTZType
 
 
 def _columns(strings: str = "", quantities: str = "", times: str = "") -> StructType:
-    parts = [f"{c} string" for c in strings.split()]
-    parts += [f"{c} {_QTY}" for c in quantities.split()]
-    parts += [f"{c} {_TIME}" for c in times.split()]
-    return StructType.fromDDL(", ".join(parts))
+    schema = StructType()
+    for names, kind in ((strings, StringType()), (quantities, DecimalType(18, 4)), (times, TimestampNTZType())):
+        for name in names.split():
+            schema.add(name, kind)
+    return schema
 
 
 _ATTRIBUTES = " ".join(f"gen_attribute_value{i}" for i in range(1, 12))
@@ -186,7 +184,7 @@ def conform(raw: DataFrame, table: str) -> DataFrame:
 
     def cell(f):
         c = F.col(f.name) if f.name in present else F.lit(None)
-        if f.dataType.simpleString() == "string":
+        if isinstance(f.dataType, StringType):
             c = F.nullif(c.cast("string"), F.lit(""))
         return c.cast(f.dataType).alias(f.name)
 
@@ -212,10 +210,10 @@ def load(spark: SparkSession, root: str, table: str, since: datetime | None = No
     path = f"{root.rstrip('/')}/{table}"
     if table not in DAY_COLUMN:
         return spark.read.schema(schema).parquet(path)
-    rows = spark.read.schema(StructType(schema.fields).add("day", "date")).parquet(path)
+    rows = spark.read.schema(StructType(list(schema.fields)).add("day", DateType())).parquet(path)
     if since is not None:
         rows = rows.filter(F.col("day") >= F.lit(since.date())).filter(
-            F.col(DAY_COLUMN[table]) >= F.lit(since.isoformat(sep=" ")).cast(_TIME)
+            F.col(DAY_COLUMN[table]) >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")
         )
     return rows.drop("day")
 

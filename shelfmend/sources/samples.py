@@ -15,9 +15,13 @@ PICK_ID = "((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_line
 class Samples:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its footer is read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def picks(self) -> DataFrame:
         return self.table("lineitem").selectExpr(
