@@ -75,7 +75,7 @@ def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from shelfmend.session import local_session
 
-    folder = f"/root/testdata/{sys.argv[1]}"
+    folder = sys.argv[1] if sys.argv[1].startswith("/") else f"/root/testdata/{sys.argv[1]}"
     wanted = sys.argv[2:]
     spark, con = local_session(8), connect(folder)
     bad = 0
