@@ -148,7 +148,7 @@ def _sent_items(ship_header: DataFrame, ship_detail: DataFrame, codes: Sequence[
     headers = ship_header.filter(F.col("transaction_code").isin(*codes)).select(
         "shipment_id", F.col("order_number").alias("sent_order"), F.col("wh_id").alias("sent_wh")
     )
-    details = ship_detail.select("shipment_id", "item_number").distinct()
+    details = ship_detail.select("shipment_id", "item_number")
     return attach(details, headers, ["shipment_id"], "inner")
 
 
@@ -519,7 +519,7 @@ def cancel_eligible(
         "inner",
     ).drop("listed")
     headers = ship_header.select("shipment_id", "order_number", "wh_id", "transaction_code")
-    sent = attach(ship_detail.select("shipment_id", "item_number").distinct(), headers, ["shipment_id"], "inner")
+    sent = attach(ship_detail.select("shipment_id", "item_number"), headers, ["shipment_id"], "inner")
     # a cancel code or any other code makes the line ineligible
     known = sent.filter(F.col("transaction_code").isNotNull())
     return missing(lines, known, ["order_number", "wh_id", "item_number"]).distinct()

@@ -1,8 +1,8 @@
 """Row numbers and running totals over data of any size.
 
 A window without a partition, or over a hot partition, would put its rows into one task. Here the
-rows are range-partitioned by the full order, each range is handled on its own, and only one row
-per range (and group) goes through a window that adds up the ranges before it.
+rows are range-partitioned by the full order, each range is handled on its own, and what earlier
+ranges contribute is one row per range.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .joins import attach
-
 _POSITION_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
@@ -61,28 +59,43 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str, star
     return numbered.withColumn(name, F.col("_base") + F.col("_at") + F.lit(start)).drop("_range", "_at", "_base")
 
 
+def _carried(placed: DataFrame, group: Sequence[str], amount: Column) -> DataFrame:
+    """What the rows of a range add to because their group began in an earlier range.
+
+    Rows are sorted by group first, so only the first group of a range can have begun before it:
+    there is at most one row per range, which is what bounds the broadcast in :func:`_with_carry`.
+    """
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = placed.groupBy("_range", *group).agg(amount.alias("_amount"))
+    counted = per_range.withColumn("_carry", F.sum("_amount").over(earlier))
+    begun_before = F.col("_carry").isNotNull()
+    return counted.filter(begun_before).select(
+        "_range", F.struct(*group).alias("_carry_group"), "_carry"
+    )
+
+
+def _with_carry(rows: DataFrame, carried: DataFrame, group: Sequence[str], inside: str, name: str) -> DataFrame:
+    joined = rows.join(F.broadcast(carried), "_range", "left")
+    same = F.struct(*group).eqNullSafe(F.col("_carry_group"))
+    total = F.col(inside) + F.when(same, F.col("_carry")).otherwise(F.lit(0))
+    return joined.withColumn(name, total).drop("_range", "_at", "_carry_group", "_carry", inside)
+
+
 def number_within(df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], name: str) -> DataFrame:
     """Number the rows of each group from 1; a group may be larger than one task can hold."""
-    numbered = number_rows(df, [*group, *order_by], "_global")
-    first = numbered.groupBy(*group).agg(F.min("_global").alias("_first"))
-    joined = attach(numbered, first, list(group))
-    return joined.withColumn(name, F.col("_global") - F.col("_first") + 1).drop("_global", "_first")
+    placed = _placed(df, [*group, *order_by])
+    inside = Window.partitionBy("_range", *group).orderBy("_at")
+    rows = placed.withColumn("_inside", F.row_number().over(inside))
+    carried = _carried(placed, group, F.count(F.lit(1)))
+    return _with_carry(rows, carried, group, "_inside", name)
 
 
 def running_total(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], value: str, name: str
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the group up to and including this one."""
+    """Sum of ``value`` over the rows of the group up to and including this one; NULL adds nothing."""
     placed = _placed(df, [*group, *order_by])
+    amount = F.sum(F.coalesce(F.col(value), F.lit(0)))
     inside = Window.partitionBy("_range", *group).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per group and range
-    base = (
-        placed.groupBy("_range", *group)
-        .agg(F.sum(value).alias("_sum"))
-        .withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-        .drop("_sum")
-    )
-    within = placed.withColumn("_inside", F.sum(value).over(inside))
-    joined = attach(within, base, ["_range", *group])
-    return joined.withColumn(name, F.col("_base") + F.col("_inside")).drop("_range", "_at", "_base", "_inside")
+    rows = placed.withColumn("_inside", amount.over(inside))
+    return _with_carry(rows, _carried(placed, group, amount), group, "_inside", name)

@@ -85,15 +85,21 @@ def test_hot_key_partition_is_split(spark, settings):
 
 
 def _skewed(n=3000):
+    """Two groups that span many ranges, one of them without a key, and some small ones."""
     rng = random.Random(5)
-    return [(("hot" if rng.random() < 0.6 else f"k{rng.randrange(5)}"), rng.randrange(50), i, float(rng.randrange(9))) for i in range(n)]
+
+    def group():
+        r = rng.random()
+        return "hot" if r < 0.4 else None if r < 0.7 else f"k{rng.randrange(40)}"
+
+    return [(group(), rng.randrange(50), i, float(rng.randrange(9))) for i in range(n)]
 
 
 def test_number_rows_is_dense_and_ordered(spark):
     data = _skewed()
     df = spark.createDataFrame(data, "g string, o int, id int, v double").repartition(5)
     got = number_rows(df, ["g", "o", "id"], "n", start=100).collect()
-    want = {r[2]: 100 + i for i, r in enumerate(sorted(data, key=lambda r: r[:3]))}
+    want = {r[2]: 100 + i for i, r in enumerate(sorted(data, key=lambda r: (r[0] or "", *r[1:3])))}
     assert {r.id: r.n for r in got} == want
 
 
@@ -101,7 +107,7 @@ def test_number_within_and_running_total(spark):
     data = _skewed()
     df = spark.createDataFrame(data, "g string, o int, id int, v double").repartition(5)
     seen, sums, want = {}, {}, {}
-    for g, o, i, v in sorted(data, key=lambda r: (r[0], -r[1], r[2])):
+    for g, o, i, v in sorted(data, key=lambda r: (r[0] or "", -r[1], r[2])):
         seen[g] = seen.get(g, 0) + 1
         sums[g] = sums.get(g, 0.0) + v
         want[i] = (seen[g], sums[g])
