@@ -66,7 +66,7 @@ select 'insert' as change, 'tmp_inconsistency' as target, 'host_group_id=' || md
   ';error_code=001;wh_id=' || wh_id || ';hu_id=' || hu_id || ';work_q_id=' || work_q_id as detail
 from q_tasks_without_hu
 union all
-select 'update', 't_work_q', 'work_q_id=' || work_q_id || ';work_status=C;employee_id=INV_RENNER' from q_tasks_without_hu""",
+select 'update', 't_work_q', 'work_q_id=' || work_q_id || ';work_status=C;employee_id=HJS' from q_tasks_without_hu""",
 )
 def tasks_without_hu_changes(s):
     changes = missing.close_tasks_without_hu(tasks_without_hu(s), AS_OF)
@@ -183,7 +183,7 @@ def missing_holds(s):
     """
 select 'insert' as change, 't_holds' as target, concat_ws(';', 'item_number=' || item_number, 'wh_id=' || wh_id,
   'location_id=' || location_id, 'lot_number=' || lot_number, 'type=' || type, 'hu_id=' || hu_id, 'reason_id=04',
-  'employee_id=PRB0043605') as detail
+  'employee_id=T1') as detail
 from q_missing_holds
 union all
 select 'audit', 't_tran_log_holding', concat_ws(';', 'tran_type=999', 'start_tran_date=2001-12-01 00:00:00',
@@ -192,7 +192,7 @@ select 'audit', 't_tran_log_holding', concat_ws(';', 'tran_type=999', 'start_tra
 from q_missing_holds""",
 )
 def missing_holds_changes(s):
-    changes = missing.add_holds(missing_holds(s), AS_OF)
+    changes = missing.add_holds(missing_holds(s), AS_OF, "T1")
     return ledger(
         changes,
         {
@@ -380,7 +380,7 @@ select 'audit', 't_tran_log_holding', 'tran_type=999;control_number_2=' || new_r
 from q_fix_reservation""",
 )
 def fix_reservation_changes(s):
-    changes = missing.apply_reservation(fix_reservation(s), AS_OF)
+    changes = missing.apply_reservation(fix_reservation(s), AS_OF, "T1")
     return ledger(
         changes,
         {
@@ -485,12 +485,12 @@ def sorter_returns(s):
 select distinct 'update' as change, 't_hu_master' as target, {UNIT_KEY} || ';reserved_for=BUFFER;container_type=EN' as detail
 from q_sorter_returns
 union all
-select 'audit', 't_tran_log_holding', 'tran_type=024;control_number=INC0242567;hu_id=' || hu_id || ';location_id=' ||
+select 'audit', 't_tran_log_holding', 'tran_type=024;control_number=T1;hu_id=' || hu_id || ';location_id=' ||
   location_id_2 || ';location_id_2=' || location_id || ';item_number=' || item_number
 from q_sorter_returns""",
 )
 def sorter_returns_changes(s):
-    _, changes = missing.return_from_sorter(sorter_returns(s), EVENTS_AS_OF)
+    _, changes = missing.return_from_sorter(sorter_returns(s), EVENTS_AS_OF, "T1")
     return ledger(
         changes,
         {
@@ -521,7 +521,7 @@ def barcode_to_item(s):
     "barcode_to_item_changes",
     """
 select a.adjustment_id, coalesce(b.item_number, a.item_number) as item_number, b.item_number as display_item_number,
-  case when b.upc is not null then 'Problema PRB0043131' end as gen_attribute_value1, b.upc as gen_attribute_value2
+  case when b.upc is not null then 'Problema T1' end as gen_attribute_value1, b.upc as gen_attribute_value2
 from v_adj a left join (
   select adjustment_id, max(item_number) as item_number, max(upc) as upc from q_barcode_to_item group by 1) b
   on b.adjustment_id = a.adjustment_id""",
@@ -533,7 +533,7 @@ def barcode_to_item_changes(s):
         "adjustment_id", "item_number", blank.alias("display_item_number"), blank.alias("gen_attribute_value1"),
         blank.alias("gen_attribute_value2"),
     )
-    changes = missing.apply_barcodes(barcode_to_item(s))
+    changes = missing.apply_barcodes(barcode_to_item(s), "T1")
     return apply_update(table, changes.updates["t_al_host_inventory_adjustment"])
 
 

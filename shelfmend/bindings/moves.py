@@ -201,7 +201,7 @@ select '042' as tran_type, timestamp '2001-12-01' as start_tran_date, 'HJS' as e
 from q_move_by_client""",
 )
 def move_by_client_changes(s):
-    return moves.client_move_audit(move_by_client(s), AS_OF).select(
+    return moves.client_move_audit(move_by_client(s), AS_OF, "T1").select(
         "tran_type", "start_tran_date", "employee_id", "control_number", "wh_id", "hu_id", "location_id", "location_id_2",
         "item_number", "tran_qty",
     )
@@ -506,7 +506,7 @@ def transfer_lines_changes(s):
     "rekey_so_lines",
     """
 select distinct host_group_id, so_line_number, so_number, item_number, wh_id, '40' || so_line_number as new_so_line_number,
-  'PRB0042007' as asn_line_number,
+  'T1' as asn_line_number,
   md5(concat_ws('|', host_group_id, so_line_number, so_number, item_number, wh_id)) as new_host_group_id
 from v_shipmsg
 where status = 'EX' and lot_number = 'W' and so_number in (
@@ -516,7 +516,7 @@ where status = 'EX' and lot_number = 'W' and so_number in (
 def rekey_so_lines(s):
     """The orders of every wave that has released open picks."""
     waves = s.picks().filter("status = 'RELEASED' AND type = 'PP'").select("wave_id")
-    return interface.rekey_so_lines(s.ship_messages(), s.picks(), waves)
+    return interface.rekey_so_lines(s.ship_messages(), s.picks(), waves, "T1")
 
 
 @query(

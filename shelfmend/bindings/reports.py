@@ -351,13 +351,13 @@ def _blocked_candidates(s):
     """
 select md5('CHG1|2001-12-01T00:00:00') as host_group_id, transaction_code, cast(item as varchar) as item_number,
   dif_erp_wms as quantity_before, dif_erp_wms as quantity_after, 0.0::double as quantity_change, inventory_status_before,
-  inventory_status_after, '42' as reason_code, 'REN_BLOQUEIO' as from_location_id, 'REN_BLOQUEIO' as to_location_id,
+  inventory_status_after, '42' as reason_code, 'BLOCKED' as from_location_id, 'BLOCKED' as to_location_id,
   'CHG1' as user_id, cast(wh_id as varchar) as wh_id, timestamp '2001-12-01' as record_create_date, 'EA' as uom,
   cast(null as varchar) as reference_code, cast(item as varchar) as display_item_number, '001' as client_code
 from q_reconcile_blocked""",
 )
 def emit_adjustments(s):
-    changes = reconcile.emit_adjustments(_blocked_candidates(s), reconcile.blocked_profile("CHG1"), AS_OF)
+    changes = reconcile.emit_adjustments(_blocked_candidates(s), reconcile.blocked_profile("CHG1", "BLOCKED"), AS_OF)
     return changes.inserts["t_al_host_inventory_adjustment"]
 
 

@@ -77,8 +77,8 @@ from events""",
 select '351' tran_type, 'HU' || o_orderkey hu_id, o_orderkey % 5 wh_id, o_custkey control_number from orders""",
     "v_queue": """
 select event_id, event_type scevent_id, event_type procobject,
-  case event_id % 3 when 0 then 'NEW' when 1 then 'SUCCESS' else 'ERROR' end status, ts date_added,
-  case when event_id % 6 = 0 then ts end date_started, cast(null as timestamp) date_finished,
+  case when value < 20 then 'NEW' when value < 60 then 'SUCCESS' else 'ERROR' end status, ts date_added,
+  case when value > 10 then ts end date_started, cast(null as timestamp) date_finished,
   event_id % 4 priority, user_id % 3 retry_count, cast(null as bigint) alert_id, cast(null as varchar) claim_id
 from events""",
     "v_pay": "select event_id, json_extract_string(props, '$.k') payload from events",
@@ -109,7 +109,7 @@ select {PID} shipment_detail_id, l_orderkey shipment_id,
 from lineitem""",
     "v_adj": """
 select event_id adjustment_id, 'G' || (event_id - event_id % 4) host_group_id, '192' transaction_code,
-  case when event_id % 5 = 0 then '90000' else '' end || json_extract_string(props, '$.k') item_number,
+  case when value > 80 then '90000' else '' end || json_extract_string(props, '$.k') item_number,
   user_id % 5 wh_id, value quantity_change, event_type user_id, user_id % 10 reference_code, ts record_create_date
 from events where event_type <> 'view'""",
     "v_ws": """

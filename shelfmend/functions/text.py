@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Transfer contexts that mark goods as troubled stock.
-TROUBLE_CONTEXTS = ("DEVTRI", "ACORDO", "SINFIS", "BUFFER", "TSFCST", "TSFDOA")
+from . import fixed
 
 
 def col(c: Column | str) -> Column:
@@ -33,9 +32,9 @@ def padded_document_key(order_number: Column | str, prefix: str = "499.") -> Col
 
 def trouble_status(context: Column | str) -> Column:
     """TRBL for troubled transfer contexts, ATS for all others and for NULL."""
-    return F.when(col(context).isin(*TROUBLE_CONTEXTS), F.lit("TRBL")).otherwise(F.lit("ATS"))
+    return F.when(col(context).isin(*fixed.TROUBLE_CONTEXTS), F.lit("TRBL")).otherwise(F.lit("ATS"))
 
 
 def store_location(store_number: Column | str, suffix: str) -> Column:
     """Staging location of a store: fixed prefix, 3-character store number, suffix."""
-    return F.concat(F.lit("CTN_LJ_"), F.lpad(col(store_number).cast("string"), 3, "0"), F.lit(suffix))
+    return F.concat(F.lit(fixed.STORE_PREFIX), F.lpad(col(store_number).cast("string"), 3, "0"), F.lit(suffix))

@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import day, month_clock, ts
 from ..plans.joins import attach
 
@@ -26,7 +27,7 @@ class AuditProfile:
 
     tran_type: str
     description: str | None = None
-    employee: str = "HJS"
+    employee: str = fixed.USER
     columns: Mapping[str, str | Column] = field(default_factory=dict)
     split_clock: bool = False
 

@@ -9,19 +9,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import ts
+from ..functions.fixed import CANCEL_COMPLETE, CANCEL_PARTIAL, CUT, CUT_MARK, INVOICE
 from ..functions.text import guid, text
 from ..plans.changeset import ChangeSet, Update, apply_change_set
 from ..plans.joins import attach, matching, missing
 from ..plans.numbering import pinned
 from .audit import AuditProfile, audit_rows, outbox_rows
 
-# Message codes and services of the shipment interface.
-CANCEL_COMPLETE, CANCEL_PARTIAL, INVOICE = "360", "361", "936"
 CANCEL_CODES = (CANCEL_COMPLETE, CANCEL_PARTIAL)
-SERVICE_COMPLETE, SERVICE_PARTIAL, SERVICE_INVOICE = "EXP_CANCEL_ORDER", "EXP_CANCEL_PARTIAL_ORDER", "EXP_PRE_SHIP"
-CUT = "033"
-CUT_MARK = "PRO_E"
 
 _ORDER_COLUMNS = (
     "display_order_number", "pro_number", "carton_label", "carrier", "weight", "cubic_volume", "client_code",
@@ -114,7 +111,7 @@ def log_cut(lines: DataFrame, as_of: datetime) -> ChangeSet:
     rows = lines.select(
         guid("order_number", "wh_id", "item_number", "wave_id", "plan_qty").alias("exception_id"),
         F.col("order_number").alias("control_number"),
-        F.lit("Informação Base - Script de Corte").alias("description"),
+        F.lit(fixed.EXC_CUT).alias("description"),
         "item_number",
         "wh_id",
         F.col("plan_qty").alias("quantity"),
@@ -206,9 +203,9 @@ def apply_cut(classified: DataFrame, log: DataFrame) -> ChangeSet:
     pick_rows = lines.select(
         *key,
         F.lit("PICKED").alias("status"),
-        F.lit("HJS").alias("lot_number"),
+        F.lit(fixed.USER).alias("lot_number"),
         F.lit("C").alias("pendency"),
-        F.lit("HJS_CORTE").alias("user_assigned"),
+        F.lit(fixed.USER_CUT).alias("user_assigned"),
     )
     marks = decided.groupBy("control_number").agg(F.max("tipo").alias("status")).select(
         "control_number", F.lit(CUT).alias("tran_type"), "status", F.lit("PEND").alias("suggested_value")
@@ -251,7 +248,7 @@ def invoice_headers(
     types: DataFrame,
     cut_orders: DataFrame | None = None,
     storage_type: str = "STORAGE",
-    user: str = "HJS_CORTE",
+    user: str = fixed.USER_CUT,
 ) -> DataFrame:
     """Invoice header of the orders past the last-item gate that have reserved stock.
 
@@ -286,7 +283,7 @@ def invoice_headers(
         F.col("order_number").alias("load_id"),
         F.when(F.col("planned") == F.col("picked"), "COMPLETE").otherwise("PARTIAL").alias("status"),
         F.lit(user).alias("user_id"),
-        F.lit("il11405").alias("printer_id"),
+        F.lit(fixed.PRINTER).alias("printer_id"),
         *[c for c in joined.columns if c not in {"planned", "picked", "type_id"}],
     )
 
@@ -325,7 +322,7 @@ def invoice_details(
     attribute_values: DataFrame,
     attribute_map: DataFrame,
     storage_type: str = "STORAGE",
-    user: str = "HJS_CORTE",
+    user: str = fixed.USER_CUT,
 ) -> DataFrame:
     """Invoice lines: reserved stock per pick, unit and container, with the mapped attributes."""
     held = (
@@ -404,7 +401,7 @@ def close_cut_tasks(found: DataFrame, as_of: datetime) -> ChangeSet:
     }
     if "lot_number" in found.columns:
         columns["lot_number"] = "lot_number"
-    profile = AuditProfile("015", "Fechamento de tarefa", "HJS_C", columns)
+    profile = AuditProfile(*fixed.LOG_CLOSE_TASK, fixed.USER_CANCEL, columns)
     return ChangeSet(
         updates={"t_work_q": Update(closed, ("work_q_id", "wh_id"))}, audit=audit_rows(found, profile, as_of)
     )
@@ -419,7 +416,7 @@ def _coded(classified: DataFrame) -> DataFrame:
         "wh_id",
         "tipo",
         code.alias("transaction_code"),
-        F.when(whole, SERVICE_COMPLETE).otherwise(SERVICE_PARTIAL).alias("service"),
+        F.when(whole, fixed.SEND_CANCEL).otherwise(fixed.SEND_CANCEL_PARTIAL).alias("service"),
         guid(code, "control_number", "wh_id").alias("host_group_id"),
     )
 
@@ -436,7 +433,7 @@ def cancel_interface(
         "host_group_id",
         "transaction_code",
         F.lit("COMPLETE").alias("status"),
-        F.lit("HJS_C").alias("user_id"),
+        F.lit(fixed.USER_CANCEL).alias("user_id"),
         F.lit("CP").alias("order_type"),
         *[c for c in parts.columns],
     )
@@ -448,7 +445,7 @@ def cancel_interface(
     )
     lines = attach(cut_lines, groups, ["order_number", "wh_id"], "inner")
     lines = attach(lines, _named_items(items, units), ["item_number", "wh_id"], "inner")
-    details = lines.withColumn("shipment_id", F.col("host_group_id")).withColumn("user_id", F.lit("HJS_C"))
+    details = lines.withColumn("shipment_id", F.col("host_group_id")).withColumn("user_id", F.lit(fixed.USER_CANCEL))
     done = coded.select(F.col("order_number").alias("control_number")).distinct().select(
         "control_number", F.lit(CUT).alias("tran_type"), F.lit("OK").alias("suggested_value")
     )
@@ -495,7 +492,7 @@ def log_cancel(rows: DataFrame, code: str, as_of: datetime, descriptions: DataFr
     """Audit rows of the traced lines of one code."""
     profile = AuditProfile(
         code,
-        employee="HJS_CORTE",
+        employee=fixed.USER_CUT,
         columns={
             "control_number": "control_number", "control_number_2": "control_number_2", "item_number": "item_number",
             "tran_qty": "tran_qty", "wh_id": "wh_id",
@@ -532,7 +529,7 @@ def apply_cancel(
     items: DataFrame,
     units: DataFrame,
     ship_header: DataFrame,
-    user: str = "HJS_REP",
+    user: str = fixed.USER_CANCEL_LIST,
 ) -> ChangeSet:
     """Cut the eligible lines completely, send a partial cancel per order, close orders fully cut."""
     key = ("order_number", "wh_id", "item_number")
@@ -561,7 +558,7 @@ def apply_cancel(
         code.alias("transaction_code"),
         F.lit("COMPLETE").alias("status"),
         F.lit("CP").alias("order_type"),
-        F.lit("HJS_COMP").alias("user_id"),
+        F.lit(fixed.USER_CANCEL_SENT).alias("user_id"),
         *parts.columns,
     )
     groups = known.select("order_number", "wh_id", "host_group_id", "client_code", "display_order_number")
@@ -595,7 +592,7 @@ def apply_cancel(
             "t_order_detail": Update(updated_lines, line_key),
             "t_order": Update(closed, ("order_number", "wh_id")),
         },
-        outbox=outbox_rows(new_orders, SERVICE_PARTIAL),
+        outbox=outbox_rows(new_orders, fixed.SEND_CANCEL_PARTIAL),
     )
 
 
@@ -619,8 +616,8 @@ def shipinfo_headers(
         F.lit(INVOICE).alias("transaction_code"),
         F.col("order_number").alias("load_id"),
         F.when(F.col("planned") == F.col("picked"), "COMPLETE").otherwise("PARTIAL").alias("status"),
-        F.lit("HJS_CUR").alias("user_id"),
-        F.lit("il11405").alias("printer_id"),
+        F.lit(fixed.USER_SHIPINFO).alias("user_id"),
+        F.lit(fixed.PRINTER).alias("printer_id"),
         *[c for c in joined.columns if c not in {"planned", "picked", "type_id"}],
     )
 
@@ -642,7 +639,7 @@ def shipinfo_details(headers: DataFrame, orders: DataFrame, picks: DataFrame, co
         F.col("customer_id").alias("delivery_sap"),
         F.col("item_number").alias("display_item_number"),
         text(F.col("order_number"), F.lit("1")).alias("hu_id"),
-        F.lit("HJS").alias("user_id"),
+        F.lit(fixed.USER).alias("user_id"),
         F.lit("EA").alias("uom"),
         "quantity_shipped",
     )
@@ -660,24 +657,24 @@ def rebuild_shipinfo(
     """Header, lines, outbox and audit for orders without their shipment message."""
     headers = shipinfo_headers(pending, orders, picks, vendors, types)
     details = shipinfo_details(headers, orders, picks, containers)
-    profile = AuditProfile("088", None, columns={"control_number": "order_number"})
+    profile = AuditProfile(*fixed.LOG_SHIPINFO, columns={"control_number": "order_number"})
     audit = audit_rows(headers, profile, as_of).withColumn(
-        "description", text(F.lit("Shipinfo gerada normalmente "), F.col("control_number"))
+        "description", text(F.col("description"), F.col("control_number"))
     )
     return ChangeSet(
         inserts={"t_al_host_shipment_master": headers, "t_al_host_shipment_detail": details},
-        outbox=outbox_rows(headers, SERVICE_INVOICE),
+        outbox=outbox_rows(headers, fixed.SEND_PRESHIP),
         audit=audit,
     )
 
 
-def pending_invoices(ship: DataFrame, user: str = "HJS_CORTE") -> DataFrame:
+def pending_invoices(ship: DataFrame, user: str = fixed.USER_CUT) -> DataFrame:
     """Invoice messages written by the cut that were not sent yet."""
     waiting = (F.col("user_id") == user) & F.col("pro_number").isNull() & (F.col("transaction_code") == INVOICE)
     return ship.filter(waiting).select("host_group_id", "wh_id", "order_number").distinct()
 
 
-def flush_invoices(ship: DataFrame, as_of: datetime, user: str = "HJS_CORTE") -> ChangeSet:
+def flush_invoices(ship: DataFrame, as_of: datetime, user: str = fixed.USER_CUT) -> ChangeSet:
     """Send the pending invoices, log them, flag message and order."""
     pending = pending_invoices(ship, user)
     sent = pending.select("host_group_id").distinct().select(
@@ -685,14 +682,14 @@ def flush_invoices(ship: DataFrame, as_of: datetime, user: str = "HJS_CORTE") ->
     )
     flagged = pending.select("order_number").distinct().withColumn("created_nf", F.lit("Y"))
     profile = AuditProfile(
-        "071", "Interface PRE_SHIP (Corte)", columns={"control_number": "order_number", "wh_id": "wh_id"}
+        *fixed.LOG_INVOICE_SENT, columns={"control_number": "order_number", "wh_id": "wh_id"}
     )
     return ChangeSet(
         updates={
             "t_al_host_shipment_master": Update(sent, ("host_group_id", "transaction_code")),
             "t_order": Update(flagged, ("order_number",)),
         },
-        outbox=outbox_rows(pending, SERVICE_INVOICE),
+        outbox=outbox_rows(pending, fixed.SEND_PRESHIP),
         audit=audit_rows(pending, profile, as_of),
     )
 

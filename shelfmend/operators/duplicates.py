@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import day, joined_timestamp, ts
 from ..plans.changeset import ChangeSet, Delete, Update
 from ..plans.joins import attach, matching
@@ -72,10 +73,10 @@ def delete_picks(surplus: DataFrame, as_of: datetime | None = None) -> ChangeSet
     key = [c for c in ("wh_id", "order_number", "line_number", "item_number") if c in present]
     logged = surplus.select(*key).distinct().withColumnRenamed("order_number", "load_id")
     constants = {
-        "tran_type": F.lit("973"),
-        "description": F.lit("PKD Duplicada - PRE_RECE"),
+        "tran_type": F.lit(fixed.EXC_DUP_PICK[0]),
+        "description": F.lit(fixed.EXC_DUP_PICK[1]),
         "exception_date": ts(as_of),
-        "employee_id": F.lit("HJS"),
+        "employee_id": F.lit(fixed.USER),
         "error_message": F.lit("PKD Duplicada"),
     }
     return ChangeSet(inserts={"t_exception_log": logged.withColumns(constants)}, deletes=deletes)
@@ -84,7 +85,7 @@ def delete_picks(surplus: DataFrame, as_of: datetime | None = None) -> ChangeSet
 def dup_log(
     tran_log: DataFrame,
     as_of: datetime,
-    tran_type: str = "361",
+    tran_type: str = fixed.CANCEL_PARTIAL,
     days: int | None = 10,
     keys: Sequence[str] = ("control_number", "description", "item_number", "wh_id", "employee_id", "tran_qty"),
     strict: bool = False,
@@ -118,8 +119,8 @@ def dup_log(
 def delete_log(surplus: DataFrame, as_of: datetime) -> ChangeSet:
     columns = [c for c in ("employee_id", "control_number", "item_number") if c in surplus.columns]
     logged = surplus.select(
-        F.lit("041").alias("tran_type"),
-        F.lit("Log Duplicado").alias("description"),
+        F.lit(fixed.EXC_DUP_LOG[0]).alias("tran_type"),
+        F.lit(fixed.EXC_DUP_LOG[1]).alias("description"),
         ts(as_of).alias("exception_date"),
         *columns,
         *([F.col("tran_qty").alias("quantity")] if "tran_qty" in surplus.columns else []),

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.text import guid, text, trouble_status
 from ..plans.changeset import ChangeSet, Update
 from ..plans.joins import attach, matching, missing
 from ..plans.numbering import number_rows, number_within
 from .audit import outbox_rows
 
-RECEIPT_SERVICE = "EXP_RECEB"
 
 
 def transfer_lines(
@@ -66,10 +66,10 @@ def rekey_so_lines(
     ship_messages: DataFrame,
     picks: DataFrame,
     waves: DataFrame | Sequence,
+    ticket: str,
     status: str = "EX",
     lot: str = "W",
     line_prefix: str = "40",
-    ticket: str = "PRB0042007",
 ) -> DataFrame:
     """Messages of the waves' orders with their new line number and a new group each."""
     if isinstance(waves, DataFrame):
@@ -86,7 +86,7 @@ def rekey_so_lines(
     )
 
 
-def apply_rekey(rows: DataFrame, service: str = "EXP_SOSTATUS") -> ChangeSet:
+def apply_rekey(rows: DataFrame, service: str = fixed.SEND_ORDER_STATUS) -> ChangeSet:
     keys = ("host_group_id", "so_line_number", "so_number", "item_number", "wh_id")
     into = {"new_so_line_number": "so_line_number", "new_host_group_id": "host_group_id"}
     return ChangeSet(
@@ -132,7 +132,7 @@ def restore_so_number(
     )
 
 
-def apply_restored_number(rows: DataFrame, service: str = "EXP_SOSTATUS") -> ChangeSet:
+def apply_restored_number(rows: DataFrame, service: str = fixed.SEND_ORDER_STATUS) -> ChangeSet:
     one = rows.groupBy("host_ship_detail_id").agg(
         F.max("new_host_group_id").alias("host_group_id"),
         F.max("new_so_number").alias("so_number"),
@@ -157,9 +157,9 @@ def receipts_from_asn(notices: DataFrame, po: DataFrame, pos: Sequence | None =
         "display_po_number", "wh_id", "item_number", "qty", "hu_id", "context", _carrier_text().alias("scac_code")
     ).distinct()
     return attach(lines, heads, ["display_po_number", "wh_id"], "inner").select(
-        guid(F.lit("158"), "po_number").alias("host_group_id"),
-        F.lit("158").alias("transaction_code"),
-        F.lit("HJS").alias("user_id"),
+        guid(F.lit(fixed.RECEIPT), "po_number").alias("host_group_id"),
+        F.lit(fixed.RECEIPT).alias("transaction_code"),
+        F.lit(fixed.USER).alias("user_id"),
         "vendor_code",
         "po_number",
         "item_number",
@@ -175,7 +175,7 @@ def receipts_from_asn(notices: DataFrame, po: DataFrame, pos: Sequence | None =
     )
 
 
-def emit_receipts(receipts: DataFrame, service: str = RECEIPT_SERVICE, close_po: bool = False) -> ChangeSet:
+def emit_receipts(receipts: DataFrame, service: str = fixed.SEND_RECEIPT, close_po: bool = False) -> ChangeSet:
     """Receipt rows, one outbox message per group and, if asked, the orders closed."""
     updates = {}
     if close_po:
@@ -218,9 +218,9 @@ def close_store_po(
     else:
         joined = attach(noticed, lines, ["po_number", "wh_id"], "inner")
     rows = joined.select(
-        guid(F.lit("164"), "po_number").alias("host_group_id"),
-        F.lit("164").alias("transaction_code"),
-        F.lit("HJS").alias("user_id"),
+        guid(F.lit(fixed.STORE_RECEIPT), "po_number").alias("host_group_id"),
+        F.lit(fixed.STORE_RECEIPT).alias("transaction_code"),
+        F.lit(fixed.USER).alias("user_id"),
         "vendor_code",
         "po_number",
         "item_number",
@@ -263,9 +263,9 @@ def receipts_from_erp(
     context = notices.groupBy("hu_id").agg(F.max(trouble_status("context")).alias("status"))
     judged = attach(summed, context, [("carton", "hu_id")])
     rows = judged.select(
-        guid(F.lit("158"), "po_number", "wh_id").alias("host_group_id"),
-        F.lit("158").alias("transaction_code"),
-        F.lit("HJS_WSUP").alias("user_id"),
+        guid(F.lit(fixed.RECEIPT), "po_number", "wh_id").alias("host_group_id"),
+        F.lit(fixed.RECEIPT).alias("transaction_code"),
+        F.lit(fixed.USER_ERP_RECEIPT).alias("user_id"),
         "vendor_code",
         "po_number",
         F.col("item").cast("string").alias("item_number"),

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import day, joined_timestamp, ts
 from ..functions.text import guid, padded_document_key, store_location, text
 from ..plans.changeset import ChangeSet, Update
@@ -23,7 +24,7 @@ def unsent_adjustments(
     service_log: DataFrame,
     as_of: datetime,
     days: int = 30,
-    service: str = "EXP_INV_ADJUST",
+    service: str = fixed.SEND_ADJUSTMENT,
     wh_id: str | None = None,
 ) -> DataFrame:
     """Adjustments of the last days whose message group was never sent, with any logged error."""
@@ -36,7 +37,7 @@ def unsent_adjustments(
     return attach(unsent, errors, [("host_group_id", "location_id")])
 
 
-def resend_adjustments(unsent: DataFrame, as_of: datetime, service: str = "EXP_INV_ADJUST") -> ChangeSet:
+def resend_adjustments(unsent: DataFrame, as_of: datetime, service: str = fixed.SEND_ADJUSTMENT) -> ChangeSet:
     """Send each group once and close its exceptions."""
     groups = unsent.select(F.col("host_group_id").alias("location_id")).distinct()
     closed = groups.select(
@@ -69,10 +70,11 @@ def tasks_without_hu(
     return found if cap is None else found.orderBy("work_q_id").limit(cap)
 
 
-def close_tasks_without_hu(found: DataFrame, as_of: datetime) -> ChangeSet:
+def close_tasks_without_hu(found: DataFrame, as_of: datetime, employee: str = fixed.USER) -> ChangeSet:
+    """Log the tasks and close them in the name of ``employee``."""
     batch = guid(F.lit("tasks_without_hu"), F.lit(as_of.isoformat()))
     closed = found.select("work_q_id").distinct().select(
-        "work_q_id", F.lit("C").alias("work_status"), F.lit("INV_RENNER").alias("employee_id")
+        "work_q_id", F.lit("C").alias("work_status"), F.lit(employee).alias("employee_id")
     )
     return ChangeSet(
         inserts={"tmp_inconsistency": found.withColumn("host_group_id", batch)},
@@ -81,7 +83,7 @@ def close_tasks_without_hu(found: DataFrame, as_of: datetime) -> ChangeSet:
 
 
 def missing_followup(
-    ship: DataFrame, as_of: datetime, first: str = "340", second: str = "936", days: int | None = 20
+    ship: DataFrame, as_of: datetime, first: str = fixed.PICKED_UP, second: str = fixed.INVOICE, days: int | None = 20
 ) -> DataFrame:
     """Orders with the first message but without the second."""
     started = ship.filter(F.col("transaction_code") == first)
@@ -97,7 +99,7 @@ def unposted_preship(
     fiscal_header: DataFrame,
     fiscal_notify: DataFrame,
     since: datetime,
-    code: str = "936",
+    code: str = fixed.INVOICE,
     posted: Sequence[str] = ("E", "A", "RA", "NFE_P"),
     order_type: str | None = None,
     bill_to_code: str | None = None,
@@ -121,25 +123,20 @@ def unposted_preship(
     return missing(keyed, known, ["document_key"]).select("order_number", "host_group_id", "transaction_code")
 
 
-def resend_preship(rows: DataFrame, service: str = "EXP_PRE_SHIP") -> ChangeSet:
+def resend_preship(rows: DataFrame, service: str = fixed.SEND_PRESHIP) -> ChangeSet:
     marked = rows.select("host_group_id").distinct().withColumn("po_number", F.lit("REENVIO"))
     return ChangeSet(
         updates={"t_al_host_shipment_master": Update(marked, ("host_group_id",))}, outbox=outbox_rows(rows, service)
     )
 
 
-# Reply texts of the shipment service.
-SUCCESS_PHRASE = "SuccessStatus"
-ERROR_PHRASES = ("Cannot find dispatch method", "Familia não encontrada")
-
-
 def failed_preship(
     ship: DataFrame,
     service_log: DataFrame,
     since: datetime,
-    phrases: Sequence[str] = ERROR_PHRASES,
-    success: str = SUCCESS_PHRASE,
-    code: str = "936",
+    phrases: Sequence[str] = fixed.ERROR_PHRASES,
+    success: str = fixed.SUCCESS_PHRASE,
+    code: str = fixed.INVOICE,
 ) -> DataFrame:
     """Pre-shipments with an error reply and no success reply: one row per kind of error.
 
@@ -166,10 +163,9 @@ def failed_preship(
     return joined.select("host_group_id", "order_number", "wh_id", F.explode("errors").alias("error_type"))
 
 
-def resend_failed_preship(rows: DataFrame, as_of: datetime, service: str = "EXP_PRE_SHIP") -> ChangeSet:
+def resend_failed_preship(rows: DataFrame, as_of: datetime, service: str = fixed.SEND_PRESHIP) -> ChangeSet:
     profile = AuditProfile(
-        "086",
-        "Reenvio ShipInfo",
+        *fixed.LOG_RESEND,
         columns={"control_number": "order_number", "control_number_2": "error_type", "wh_id": "wh_id"},
     )
     return ChangeSet(outbox=outbox_rows(rows, service), audit=audit_rows(rows, profile, as_of))
@@ -187,7 +183,7 @@ def missing_holds(stock: DataFrame, locations: DataFrame, holds: DataFrame, wh_i
     return missing(keyed, known, ["item_number", "wh_id", "location_id", "lot_key"]).drop("lot_key")
 
 
-def add_holds(rows: DataFrame, as_of: datetime, ticket: str = "PRB0043605") -> ChangeSet:
+def add_holds(rows: DataFrame, as_of: datetime, ticket: str) -> ChangeSet:
     optional = {"type", "stored_attribute_id", "hu_id"} & set(rows.columns)
     created = rows.select(
         "item_number",
@@ -200,8 +196,8 @@ def add_holds(rows: DataFrame, as_of: datetime, ticket: str = "PRB0043605") -> C
         F.lit(ticket).alias("employee_id"),
     )
     profile = AuditProfile(
-        "999",
-        f"Correção - {ticket}",
+        fixed.LOG_HOLD[0],
+        fixed.LOG_HOLD[1] + ticket,
         columns={
             "control_number": F.lit(ticket), "control_number_2": F.lit("Inserção na T_HOLDS"), "wh_id": "wh_id",
             "hu_id": "hu_id", "location_id": "location_id", "location_id_2": "location_id",
@@ -230,24 +226,24 @@ def unread_containers(
     hu: DataFrame,
     po: DataFrame,
     readings: DataFrame,
-    containing: Sequence[str] = ("CTN", "DISTCX"),
-    equal: Sequence[str] = ("EST_REC_RS",),
-    excluded: str = "RECE_TRANSF",
+    containing: Sequence[str] = fixed.WATCHED_PARTS,
+    equal: Sequence[str] = fixed.WATCHED_PLACES,
+    excluded: str = fixed.NO_READING_AT,
     wh_id: str | None = None,
 ) -> DataFrame:
     """Containers without a type that were never read."""
     units = _untyped_units(hu, po, containing, equal, excluded, wh_id)
     unread = missing(units, readings, ["hu_id", "wh_id"], one_row_per_key=True)
-    return unread.withColumn("error_program", F.lit("SEM IN DATA"))
+    return unread.withColumn("error_program", F.lit(fixed.NEVER_READ))
 
 
 def read_after_divert(
     hu: DataFrame,
     po: DataFrame,
     tran_log: DataFrame,
-    containing: Sequence[str] = ("CTN", "DISTCX"),
-    equal: Sequence[str] = ("EST_REC_RS",),
-    excluded: str = "RECE_TRANSF",
+    containing: Sequence[str] = fixed.WATCHED_PARTS,
+    equal: Sequence[str] = fixed.WATCHED_PLACES,
+    excluded: str = fixed.NO_READING_AT,
     wh_id: str | None = None,
     read_type: str = "411",
     divert_type: str = "410",
@@ -273,10 +269,10 @@ def read_after_divert(
 def type_containers(rows: DataFrame, as_of: datetime, message: str) -> ChangeSet:
     """Give the containers the type CX and log an exception for each."""
     logged = rows.select(
-        F.lit("874").alias("tran_type"),
-        F.lit("CONTAINER TYPE NULL").alias("description"),
+        F.lit(fixed.EXC_CONTAINER[0]).alias("tran_type"),
+        F.lit(fixed.EXC_CONTAINER[1]).alias("description"),
         ts(as_of).alias("exception_date"),
-        F.lit("HJS").alias("employee_id"),
+        F.lit(fixed.USER).alias("employee_id"),
         "wh_id",
         "load_id",
         F.col("control_number").alias("line_number"),
@@ -301,7 +297,7 @@ def detach_orders(order_messages: DataFrame, po_messages: DataFrame, orders: Dat
     return detached.withColumn("new_guid", guid(*keys))
 
 
-def apply_detach(detached: DataFrame, po_messages: DataFrame, service: str = "IMP_PO_ALLOC") -> ChangeSet:
+def apply_detach(detached: DataFrame, po_messages: DataFrame, service: str = fixed.IMPORT_PO) -> ChangeSet:
     """Move the headers and details to their new group, then queue the order documents again."""
     header_keys = ("host_group_id", "order_number", "wh_id", "customer_po_number")
     detail_keys = ("host_group_id", "order_number", "wh_id")
@@ -333,7 +329,7 @@ def fill_fulfilment(
     return attach(typed, po.select("po_number", "wh_id", "fulfillment_id").distinct(), ["po_number", "wh_id"], "inner")
 
 
-def apply_fulfilment(rows: DataFrame, service: str = "EXP_DESFAZIMENTO") -> ChangeSet:
+def apply_fulfilment(rows: DataFrame, service: str = fixed.SEND_UNDO) -> ChangeSet:
     keys = ("host_group_id", "po_number", "wh_id")
     filled = rows.groupBy(*keys).agg(F.max("fulfillment_id").alias("fulfillment_id"))
     return ChangeSet(
@@ -347,7 +343,7 @@ def fix_reservation(
     picks: DataFrame,
     order_detail: DataFrame,
     reserved: str = "TSFCON",
-    excluded: Sequence[str] = ("RECE_TRANSF", "PRE_RECE_TRANSF"),
+    excluded: Sequence[str] = (fixed.NO_READING_AT, fixed.PRE_RECEIPT),
 ) -> DataFrame:
     """Reserved handling units without a control number: the line and reservation they should have."""
     units = hu.filter(
@@ -373,7 +369,7 @@ def fix_reservation(
     ).distinct()
 
 
-def apply_reservation(rows: DataFrame, as_of: datetime, ticket: str = "PRB0045270") -> ChangeSet:
+def apply_reservation(rows: DataFrame, as_of: datetime, ticket: str) -> ChangeSet:
     """Write line and reservation; a unit with several lines gets the highest."""
     last = F.max(F.struct("line_number", "new_reserved"))
     chosen = rows.groupBy("hu_id", "wh_id").agg(last.alias("last")).select(
@@ -383,8 +379,7 @@ def apply_reservation(rows: DataFrame, as_of: datetime, ticket: str = "PRB004527
         F.col("last.new_reserved").alias("reserved_for"),
     )
     profile = AuditProfile(
-        "999",
-        "Atualização - Reserved/Control_number",
+        *fixed.LOG_RESERVATION,
         columns={
             "line_number": "line_number", "control_number": F.lit(ticket), "control_number_2": "new_reserved",
             "wh_id": "wh_id", "hu_id": "hu_id", "location_id": "location_id", "num_items": F.lit(0),
@@ -409,8 +404,8 @@ def missing_location_rows(
     return absent.select(
         "wh_id",
         "location_id",
-        F.lit("EST_STG_SS").alias("related_location_id"),
-        F.lit("CARTON_SHIP").alias("relation_type"),
+        F.lit(fixed.STORE_STAGING).alias("related_location_id"),
+        F.lit(fixed.STORE_RELATION).alias("relation_type"),
         F.lit("ALL").alias("zone"),
         F.lit("ALL").alias("status"),
     )
@@ -421,7 +416,7 @@ def orphan_stock(
     hu: DataFrame,
     picks: DataFrame,
     tran_log: DataFrame,
-    excluded: Sequence[str] = ("PRE_RECE_TRANSF",),
+    excluded: Sequence[str] = (fixed.PRE_RECEIPT,),
     alloc_type: str = "351",
     wh_id: str | None = None,
 ) -> DataFrame:
@@ -493,7 +488,7 @@ def sorter_returns(
     hu: DataFrame,
     as_of: datetime,
     days: int | None = 5,
-    excluded: Sequence[str] = ("RAIL_BUF1", "RAIL_BUF2"),
+    excluded: Sequence[str] = fixed.RAIL_BUFFERS,
     moved_type: str = "317",
     returned_type: str = "024",
     returned_on: Sequence[str] = ("hu_id",),
@@ -512,7 +507,7 @@ def sorter_returns(
     return missing(gone, returned, list(returned_on))
 
 
-def return_from_sorter(rows: DataFrame, as_of: datetime, ticket: str = "INC0242567") -> tuple[DataFrame, ChangeSet]:
+def return_from_sorter(rows: DataFrame, as_of: datetime, ticket: str) -> tuple[DataFrame, ChangeSet]:
     """Return moves (input of ``move_stock``) and the attribute and audit changes."""
     moves = rows.select(
         "wh_id",
@@ -527,8 +522,7 @@ def return_from_sorter(rows: DataFrame, as_of: datetime, ticket: str = "INC02425
         "hu_id", "wh_id", F.lit("BUFFER").alias("reserved_for"), F.lit("EN").alias("container_type")
     )
     profile = AuditProfile(
-        "024",
-        "Retorno LPN Buffer",
+        *fixed.LOG_SORTER_RETURN,
         columns={
             "control_number": F.lit(ticket), "wh_id": "wh_id", "hu_id": "hu_id", "location_id": "location_id_2",
             "location_id_2": "location_id", "num_items": F.lit(0), "item_number": "item_number", "tran_qty": "qty",
@@ -548,7 +542,7 @@ def barcode_to_item(adjustments: DataFrame, barcodes: DataFrame, items: DataFram
     return attach(unknown, barcodes.select("upc", "wh_id", "item_number"), ["upc", "wh_id"], "inner")
 
 
-def apply_barcodes(rows: DataFrame, service: str = "EXP_INV_ADJUST", ticket: str = "PRB0043131") -> ChangeSet:
+def apply_barcodes(rows: DataFrame, ticket: str, service: str = fixed.SEND_ADJUSTMENT) -> ChangeSet:
     """Write the item, keep the barcode, send the groups again."""
     last = F.max("item_number")
     fixed = rows.groupBy("adjustment_id").agg(
@@ -579,8 +573,7 @@ def gtin_backfill(units: DataFrame, barcodes: DataFrame, wh_id: str | None = Non
 def apply_gtin(rows: DataFrame, as_of: datetime) -> ChangeSet:
     filled = rows.select("item_number", "wh_id", F.col("upc").alias("gtin"))
     profile = AuditProfile(
-        "023",
-        "Atualização GTIN",
+        *fixed.LOG_GTIN,
         columns={
             "control_number": "upc", "control_number_2": F.lit("GTIN NULL"), "wh_id": "wh_id", "num_items": F.lit(0),
             "item_number": "item_number", "tran_qty": F.lit(0),

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import ts
 from ..plans.changeset import ChangeSet, Delete, Update
 from ..plans.joins import attach, matching, missing
@@ -112,7 +113,7 @@ def claim_po_stock(
         return F.max(F.when(F.col("control_type") == kind, F.col("c1")))
 
     places = client_control.groupBy("wh_id", "client_code").agg(
-        target("LOC_RECEB_SI").alias("loc_si"), target("LOC_RECEB_IA").alias("loc_ia")
+        target(fixed.LOC_CLAIM).alias("loc_si"), target(fixed.LOC_SETTLEMENT).alias("loc_ia")
     )
     heads = typed.select("po_number", "wh_id", "display_po_number", "client_code", "type_id")
     # the order gets its place before it meets its lines, which are many more
@@ -136,7 +137,7 @@ def receive_claims(
     raised = upsert_increment(stock, placed.select(*SPOT, "qty"), as_of)
     closed = claims.select("po_number", "wh_id").distinct().withColumn("status", F.lit("C"))
     profile = AuditProfile(
-        "854",
+        *fixed.LOG_CLAIM_STOCK,
         columns={
             "control_number": "po_number", "control_number_2": "display_po_number", "wh_id": "wh_id",
             "location_id": "location_id", "location_id_2": "location_id", "num_items": F.lit(0),
@@ -195,8 +196,7 @@ def settle_plans(moved: DataFrame, plans: DataFrame, as_of: datetime) -> ChangeS
         F.lit("X").alias("status"),
     )
     profile = AuditProfile(
-        "202",
-        "Mov. Sistêmica",
+        *fixed.LOG_PLAN_MOVE,
         columns={
             "wh_id": "wh_id", "hu_id": "hu_id", "location_id": "location_id", "location_id_2": "destination",
             "item_number": "item_number", "tran_qty": "qty",
@@ -208,7 +208,7 @@ def settle_plans(moved: DataFrame, plans: DataFrame, as_of: datetime) -> ChangeS
 
 
 def move_by_client(
-    stock: DataFrame, items: DataFrame, client_control: DataFrame, control_type: str = "LOC_RECEB_IA"
+    stock: DataFrame, items: DataFrame, client_control: DataFrame, control_type: str = fixed.LOC_SETTLEMENT
 ) -> DataFrame:
     """Handling-unit stock that lies at another client's location, and its own client's location."""
     control = client_control.filter(F.col("control_type") == control_type)
@@ -243,11 +243,13 @@ def client_moves(rows: DataFrame) -> DataFrame:
     )
 
 
-def client_move_audit(rows: DataFrame, as_of: datetime, descriptions: DataFrame | None = None) -> DataFrame:
+def client_move_audit(
+    rows: DataFrame, as_of: datetime, ticket: str, descriptions: DataFrame | None = None
+) -> DataFrame:
     profile = AuditProfile(
-        "042",
+        *fixed.LOG_CLIENT_MOVE,
         columns={
-            "control_number": F.lit("Separar estoques/Clientes"), "control_number_2": F.lit("Problema: PRB0043269"),
+            "control_number": F.lit("Separar estoques/Clientes"), "control_number_2": F.lit(f"Problema: {ticket}"),
             "wh_id": "wh_id", "hu_id": "hu_id", "location_id": "location_id", "location_id_2": "cc_loc",
             "num_items": F.lit(0), "item_number": "item_number", "tran_qty": "qty",
         },
@@ -351,8 +353,7 @@ def apply_consolidation(groups: DataFrame, stock: DataFrame, as_of: datetime) ->
     )
     gone = missing(groups.select("hu_id", "wh_id").distinct(), left_over, ["hu_id", "wh_id"], one_row_per_key=True)
     profile = AuditProfile(
-        "999",
-        "Agrupamento de estoque",
+        *fixed.LOG_CONSOLIDATE,
         columns={
             "control_number": "parent_hu_id", "control_number_2": "zone", "wh_id": "wh_id", "hu_id": "hu_id",
             "location_id": "location_id", "location_id_2": "location_id", "item_number": "item_number",
@@ -423,8 +424,7 @@ def apply_split(rows: DataFrame, hu: DataFrame, as_of: datetime) -> ChangeSet:
         F.min("new_hu_id").alias("new_hu_id")
     )
     profile = AuditProfile(
-        "090",
-        "Segregar UZs, Mono e Multi",
+        *fixed.LOG_SPLIT,
         columns={
             "control_number": "order_number", "control_number_2": "wave_id", "hu_id": "hu_id", "hu_id_2": "new_hu_id",
             "location_id": "location_id", "item_number": "item_number",
@@ -512,7 +512,7 @@ def apply_restore(
     empty = missing(touched, remaining, ["wave_detail_id"])
     log = restored.select(
         F.col("wh_id").cast("string").alias("tran_type"),
-        F.lit("Lojas não Liberadas").alias("description"),
+        F.lit(fixed.EXC_WAVE).alias("description"),
         ts(as_of).alias("exception_date"),
         F.lit("Cursor").alias("employee_id"),
         "wh_id",
@@ -521,7 +521,7 @@ def apply_restore(
         F.col("wave_id").alias("control_number"),
         "line_number",
         F.lit("0").alias("error_code"),
-        F.lit("Linha inexistente na PKD").alias("error_message"),
+        F.lit(fixed.EXC_WAVE_LINE).alias("error_message"),
         F.lit("NEW").alias("status"),
         "item_number",
         F.col("order_number").alias("tracking_number"),

@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import ts
 from ..functions.text import guid
 from ..plans.changeset import ChangeSet
@@ -69,7 +70,7 @@ def reconcile_blocked(
     return compared.select(
         "item",
         "wh_id",
-        F.when(up, "750").otherwise("700").alias("transaction_code"),
+        F.when(up, fixed.RELEASE).otherwise(fixed.BLOCK).alias("transaction_code"),
         "loc",
         "sum_soh",
         "sum_wms",
@@ -158,7 +159,7 @@ def phantom_positive(
 def double_sent(
     adjustments: DataFrame,
     erp: DataFrame,
-    code: str = "192",
+    code: str = fixed.ADJUST,
     matched_only: bool = True,
     loc_offset: int = LOC_OFFSET,
 ) -> DataFrame:
@@ -254,7 +255,7 @@ def manual_feed(worklist: DataFrame, items: DataFrame, direction: str = "block")
         "item_number",
         "wh_id",
         "qty",
-        F.lit("700").alias("transaction_code"),
+        F.lit(fixed.BLOCK).alias("transaction_code"),
         F.lit("AVAILABLE").alias("inventory_status_before"),
         F.lit("HOLD").alias("inventory_status_after"),
         "client_code",
@@ -269,22 +270,21 @@ class AdjustmentProfile:
     user: str
     from_location: str
     to_location: str
-    code: str | None = "192"
+    code: str | None = fixed.ADJUST
     client: str | None = "001"
     reason: str | None = None
     reference: str | None = None
     uom: str | None = None
     as_change: bool = True
     per_row: bool = True
-    service: str = "EXP_INV_ADJUST"
+    service: str = fixed.SEND_ADJUSTMENT
     audit: AuditProfile | None = None
 
 
 def _equalising_audit(control_2: str) -> AuditProfile:
     return AuditProfile(
-        "006",
-        "Equalização RMS - Sala de Guerra",
-        "HJS_SG",
+        *fixed.LOG_EQUALISE,
+        fixed.USER_EQUALISE,
         {
             "control_number": "po", "control_number_2": F.lit(control_2), "wh_id": "wh_id", "num_items": "qty",
             "item_number": "item_number", "tran_qty": "qty", "elapsed_time": F.lit(10),
@@ -294,8 +294,7 @@ def _equalising_audit(control_2: str) -> AuditProfile:
 
 def _release_audit(user: str) -> AuditProfile:
     return AuditProfile(
-        "035",
-        "Equalização Non Sellable",
+        *fixed.LOG_RELEASE,
         user,
         {
             "control_number": F.lit("Equalização"), "control_number_2": F.lit("Disponi. Auto"), "wh_id": "wh_id",
@@ -304,40 +303,43 @@ def _release_audit(user: str) -> AuditProfile:
     )
 
 
-def blocked_profile(ticket: str) -> AdjustmentProfile:
+def blocked_profile(ticket: str, location: str) -> AdjustmentProfile:
     """Output of :func:`reconcile_blocked`, one message for the whole batch."""
     return AdjustmentProfile(
-        ticket, "REN_BLOQUEIO", "REN_BLOQUEIO", code=None, reason="42", uom="EA", as_change=False, per_row=False
+        ticket, location, location, code=None, reason="42", uom="EA", as_change=False, per_row=False
     )
 
 
-def manual_block_profile() -> AdjustmentProfile:
+def manual_block_profile(user: str, location: str) -> AdjustmentProfile:
+    """Output of :func:`manual_feed` for blocking, with each item's own client."""
     return AdjustmentProfile(
-        "YOUCOM", "REN_BLOQUEIO", "REN_BLOQUEIO", code=None, client=None, reason="42", uom="EA", as_change=False,
-        per_row=False,
-    )
+        user, location, location, code=None, client=None, reason="42", uom="EA", as_change=False, per_row=False
+    )
 
 
 def double_sent_profile() -> AdjustmentProfile:
-    return AdjustmentProfile("HJS_SG", "ATS", "TRBL", reference="500")
+    return AdjustmentProfile(fixed.USER_EQUALISE, "ATS", "TRBL", reference="500")
 
 
 def phantom_negative_profile() -> AdjustmentProfile:
     return AdjustmentProfile(
-        "HJS_SG", "ATS", "TRBL", reason="6", reference="po", audit=_equalising_audit("Equalização Saldo Indisp.")
+        fixed.USER_EQUALISE, "ATS", "TRBL", reason="6", reference="po", audit=_equalising_audit("Equalização Saldo Indisp.")
     )
 
 
 def phantom_positive_profile() -> AdjustmentProfile:
-    return AdjustmentProfile("HJS_SG", "TRBL", "ATS", reference="po", audit=_equalising_audit("Bloqueado > 0"))
+    audit = _equalising_audit("Bloqueado > 0")
+    return AdjustmentProfile(fixed.USER_EQUALISE, "TRBL", "ATS", reference="po", audit=audit)
 
 
 def releasable_profile() -> AdjustmentProfile:
-    return AdjustmentProfile("HJS_DISP", "TRBL", "ATS", reason="6", audit=_release_audit("HJS_DISP"))
+    user = fixed.USER_RELEASE
+    return AdjustmentProfile(user, "TRBL", "ATS", reason="6", audit=_release_audit(user))
 
 
 def manual_release_profile() -> AdjustmentProfile:
-    return AdjustmentProfile("HJS_CURSOR", "TRBL", "ATS", client=None, reason="6", audit=_release_audit("HJS_CURSOR"))
+    user = fixed.USER_MANUAL_RELEASE
+    return AdjustmentProfile(user, "TRBL", "ATS", client=None, reason="6", audit=_release_audit(user))
 
 
 def emit_adjustments(candidates: DataFrame, profile: AdjustmentProfile, as_of: datetime) -> ChangeSet:
@@ -400,7 +402,7 @@ def equalise_totals(gaps: DataFrame, stock: DataFrame, dest_loc: str, ticket: st
         "item_number",
         "wh_id",
         F.col("blocked_gap").alias("qty"),
-        F.when(up, "750").otherwise("700").alias("transaction_code"),
+        F.when(up, fixed.RELEASE).otherwise(fixed.BLOCK).alias("transaction_code"),
         F.when(up, "HOLD").otherwise("AVAILABLE").alias("inventory_status_before"),
         F.when(up, "AVAILABLE").otherwise("HOLD").alias("inventory_status_after"),
     )
@@ -411,8 +413,7 @@ def equalise_totals(gaps: DataFrame, stock: DataFrame, dest_loc: str, ticket: st
     audit = audit_rows(
         rows,
         AuditProfile(
-            "009",
-            "Incremento de Estoque",
+            *fixed.LOG_INCREMENT,
             columns={
                 "control_number": F.lit(ticket), "location_id_2": F.lit(dest_loc), "item_number": "item_number",
                 "tran_qty": "dif_erp_wms", "wh_id": "wh_id",

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions.clock import elapsed_seconds, hms, ts
 from ..plans.changeset import ChangeSet, Update
 from ..plans.joins import attach, matching
@@ -85,8 +86,8 @@ def invoice_latency(
     service_log: DataFrame,
     shipped_since: datetime,
     printed_since: datetime,
-    code: str = "936",
-    print_service: str = "EXP_PRINT_NF",
+    code: str = fixed.INVOICE,
+    print_service: str = fixed.PRINT_INVOICE,
     number_length: int = 11,
 ) -> DataFrame:
     """First send and first invoice print of each shipment message, with the elapsed times.

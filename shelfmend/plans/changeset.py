@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col
@@ -50,6 +50,12 @@ class ChangeSet:
     outbox: DataFrame | None = None  # service, group_id
     audit: DataFrame | None = None
 
+    def tables(self) -> set[str]:
+        """Names of the tables that applying the changes alters."""
+        names = {*self.inserts, *self.updates, *self.deletes}
+        names |= {"outbox"} if self.outbox is not None else set()
+        return names | ({"t_tran_log_holding"} if self.audit is not None else set())
+
     def frames(self) -> dict[tuple[str, str], DataFrame]:
         out = {("insert", t): f for t, f in self.inserts.items()}
         out |= {("update", t): u.rows for t, u in self.updates.items()}
@@ -103,28 +109,6 @@ def apply_change_set(tables: Mapping[str, DataFrame], changes: ChangeSet) -> dic
     return out
 
 
-def publish(tables: Mapping[str, DataFrame], root: str, snapshot: str) -> str:
-    """Write a snapshot and only then its marker. A reader takes the newest snapshot that has one,
-    so a job that dies halfway publishes nothing."""
-    path = f"{root.rstrip('/')}/{snapshot}"
-    for name, frame in tables.items():
-        frame.write.mode("overwrite").parquet(f"{path}/{name}")
-    spark = next(iter(tables.values())).sparkSession
-    marker = spark.createDataFrame([(snapshot, sorted(tables))], "snapshot string, tables array<string>")
-    marker.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/_published")
-    return path
-
-
-def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Tables of the newest published snapshot; snapshot names sort by age."""
-    root = root.rstrip("/")
-    published = spark.read.schema("snapshot string, tables array<string>").json(f"{root}/_published")
-    newest = published.agg(F.max("snapshot").alias("snapshot"), F.max_by("tables", "snapshot").alias("tables")).first()
-    if newest is None or newest.snapshot is None:
-        raise ValueError(f"nothing is published in {root}")
-    return {t: spark.read.parquet(f"{root}/{newest.snapshot}/{t}") for t in newest.tables}
-
-
 def ledger(changes: ChangeSet, show: Mapping[tuple[str, str], tuple[str, ...]]) -> DataFrame:
     """Chosen columns of chosen frames as one listing: change, target, and ``name=value`` details."""
     frames = changes.frames()

@@ -36,6 +36,7 @@ def pinned(df: DataFrame) -> DataFrame:
 
 
 def _placed(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """Rows with their range and place in it; as many ranges as the session's shuffles have parts."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
     return pinned(

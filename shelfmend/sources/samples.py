@@ -198,9 +198,9 @@ class Samples:
             "event_id",
             "event_type AS scevent_id",
             "event_type AS procobject",
-            "CASE event_id % 3 WHEN 0 THEN 'NEW' WHEN 1 THEN 'SUCCESS' ELSE 'ERROR' END AS status",
+            "CASE WHEN value < 20 THEN 'NEW' WHEN value < 60 THEN 'SUCCESS' ELSE 'ERROR' END AS status",
             "ts AS date_added",
-            "CASE WHEN event_id % 6 = 0 THEN ts END AS date_started",
+            "CASE WHEN value > 10 THEN ts END AS date_started",
             "cast(NULL AS timestamp_ntz) AS date_finished",
             "event_id % 4 AS priority",
             "user_id % 3 AS retry_count",
@@ -261,7 +261,7 @@ class Samples:
             "event_id AS adjustment_id",
             "concat('G', event_id - event_id % 4) AS host_group_id",
             "'192' AS transaction_code",
-            "concat(CASE WHEN event_id % 5 = 0 THEN '90000' ELSE '' END, get_json_object(props, '$.k')) AS item_number",
+            "concat(CASE WHEN value > 80 THEN '90000' ELSE '' END, get_json_object(props, '$.k')) AS item_number",
             "user_id % 5 AS wh_id",
             "value AS quantity_change",
             "event_type AS user_id",

@@ -194,11 +194,11 @@ def test_adjustment_groups_per_row_and_per_batch(frame):
     assert single.outbox.count() == 2 and single.audit.count() == 2
     message = single.inserts["t_al_host_inventory_adjustment"].filter("item_number = 'a'").first()
     assert (message.quantity_change, message.quantity_before, message.reference_code, message.client_code) == (2.0, 0.0, "p", "001")
-    batch = reconcile.emit_adjustments(rows, reconcile.manual_block_profile(), NOW)
+    batch = reconcile.emit_adjustments(rows, reconcile.manual_block_profile("U", "BLOCKED"), NOW)
     assert batch.outbox.count() == 1 and batch.audit is None
     message = batch.inserts["t_al_host_inventory_adjustment"].filter("item_number = 'b'").first()
     assert (message.quantity_change, message.quantity_before, message.client_code) == (0.0, 3.0, "8")
-    again = reconcile.emit_adjustments(rows, reconcile.manual_block_profile(), NOW)
+    again = reconcile.emit_adjustments(rows, reconcile.manual_block_profile("U", "BLOCKED"), NOW)
     assert batch.outbox.collect() == again.outbox.collect()
 
 
@@ -256,7 +256,7 @@ def test_missing_holds_treats_absent_lots_as_equal(frame, bag):
     holds = frame("item_number string, wh_id int, location_id string, lot_number string", ("a", 1, "A", None))
     found = missing.missing_holds(stock, loc, holds)
     assert bag(found, "sequence") == [(2,), (3,)]
-    added = missing.add_holds(found, NOW).inserts["t_holds"]
+    added = missing.add_holds(found, NOW, "T").inserts["t_holds"]
     after = holds.unionByName(added, allowMissingColumns=True)
     assert missing.missing_holds(stock, loc, after).count() == 0
 
@@ -276,7 +276,7 @@ def test_read_after_divert_null_moments_are_ok(frame, bag):
     )
     found = missing.read_after_divert(hu, po, log)
     assert bag(found, "hu_id", "error_program") == [("h1", "ERRO"), ("h2", "OK"), ("h3", "OK")]
-    repair = missing.type_containers(found.filter("error_program = 'ERRO'"), NOW, "ERRO - P1793597")
+    repair = missing.type_containers(found.filter("error_program = 'ERRO'"), NOW, "late reading")
     after = apply_update(hu, repair.updates["t_hu_master"])
     assert bag(after.filter("container_type = 'CX'"), "hu_id") == [("h1",), ("h5",)]
 
@@ -306,7 +306,7 @@ def test_fix_reservation_writes_one_line_per_unit(frame, bag):
     )
     found = missing.fix_reservation(hu, stock, picks, lines)
     assert bag(found, "line_number", "new_reserved") == [("1", "SHIP"), ("2", "TRANSF_")]
-    after = apply_update(hu, missing.apply_reservation(found, NOW).updates["t_hu_master"])
+    after = apply_update(hu, missing.apply_reservation(found, NOW, "T").updates["t_hu_master"])
     assert bag(after, "hu_id", "control_number", "reserved_for") == [
         ("g", None, "TSFCON"), ("h", "2", "TRANSF_"), ("k", "1", "TSFCON"),
     ]
@@ -350,7 +350,7 @@ def test_sorter_returns_drops_unknown_locations(frame, bag):
     )
     found = missing.sorter_returns(log, frame("hu_id string, wh_id int", ("h6", 1), ("h1", 2)), NOW)
     assert bag(found, "hu_id", "qty") == [("h1", 5.0)]
-    moves_, changes = missing.return_from_sorter(found, NOW)
+    moves_, changes = missing.return_from_sorter(found, NOW, "T")
     assert bag(moves_, "from_location", "to_location", "to_hu", "qty") == [("S", "B", "h1", 5.0)]
     assert changes.audit.first().location_id == "S"
 

@@ -13,11 +13,10 @@ from shelfmend.plans.changeset import (
     apply_change_set,
     apply_update,
     ledger,
-    publish,
-    read_snapshot,
 )
 from shelfmend.plans.joins import attach, matching, missing, null_safe
 from shelfmend.plans.numbering import number_rows, number_within, running_total
+from shelfmend.sources.snapshots import publish, publish_changes, read_snapshot
 
 
 def test_existence_with_null_keys_and_duplicates(frame, bag):
@@ -168,10 +167,22 @@ def test_change_set_order_and_publish(spark, frame, bag, tmp_path):
     back = read_snapshot(spark, root)
     assert set(back) == {"t", "outbox"}
     assert bag(back["t"]) == [(1, "z"), (3, None)]
+    again = ChangeSet(updates={"t": Update(frame("id int, v string", (3, "c")), ("id",))})
+    paths = publish_changes(spark, root, "2024-01-04", again)
+    assert paths["outbox"].endswith("2024-01-02/outbox") and paths["t"].endswith("2024-01-04/t")
+    assert bag(read_snapshot(spark, root)["t"]) == [(1, "z"), (3, "c")]
     listing = ledger(changes, {("insert", "t"): ("id",), ("send", "outbox"): ("service", "group_id")})
     assert bag(listing) == [("insert", "t", "id=3"), ("send", "outbox", "service=S;group_id=g")]
 
 
+def test_dated_tables_are_published_by_day(spark, frame, bag, tmp_path):
+    days = [datetime(2024, 1, d) for d in (1, 2)]
+    log = frame("tran_log_id string, start_tran_date timestamp_ntz", ("a", days[0]), ("b", days[1]))
+    publish({"t_tran_log": log}, str(tmp_path), "s1")
+    assert (tmp_path / "s1" / "t_tran_log" / "day=2024-01-02").exists()
+    assert bag(read_snapshot(spark, str(tmp_path))["t_tran_log"]) == bag(log)
+
+
 def test_timestamps_stay_without_zone(frame):
     from shelfmend.functions.clock import elapsed_seconds, hms, joined_timestamp, month_clock
 
