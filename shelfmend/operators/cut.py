@@ -85,10 +85,10 @@ def zero_stock_lines(
     released = picks.filter((F.col("status") == "RELEASED") & (F.col("type") == "PP"))
     if wh_id is not None:
         released = released.filter(F.col("wh_id") == wh_id)
-    lines = released.groupBy("wave_id", "wh_id", "pick_id", "order_number", "item_number").agg(
-        F.sum("planned_quantity").alias("plan_qty")
-    )
-    empty = missing(lines, free.filter(F.col("free") != 0), ["item_number", "wh_id"])
+    keys = ["wave_id", "wh_id", "pick_id", "order_number", "item_number"]
+    # all tests depend on these keys only, so they come first and what is left is added up
+    released = released.select(*keys, "planned_quantity")
+    empty = missing(released, free.filter(F.col("free") != 0), ["item_number", "wh_id"])
 
     started = tran_log.filter(F.col("tran_type") == start_type)
     invoiced = ship.filter(F.col("transaction_code") == INVOICE).select("order_number", "wh_id")
@@ -103,7 +103,8 @@ def zero_stock_lines(
     if logged is not None:
         known = logged.filter((F.col("tran_type") == CUT) & (F.col("lot_number") == CUT_MARK))
         empty = missing(empty, known, [("order_number", "control_number"), "item_number"])
-    return empty.select("order_number", "item_number", "wh_id", "plan_qty", "wave_id").distinct()
+    lines = empty.groupBy(*keys).agg(F.sum("planned_quantity").alias("plan_qty"))
+    return lines.select("order_number", "item_number", "wh_id", "plan_qty", "wave_id").distinct()
 
 
 def log_cut(lines: DataFrame, as_of: datetime) -> ChangeSet:
@@ -379,7 +380,7 @@ def closable_tasks(
     columns = [c for c in ("lot_number", "pendency") if c in picks.columns]
     rows = rows.select(
         "work_q_id", "wh_id", "order_number", "item_number", "wave_id", "status", "pick_area", *columns
-    ).distinct()
+    )
     joined = attach(rows, opened, ["work_q_id"], "inner")
     released = picks.filter(F.col("status") == "RELEASED")
     idle = missing(joined, released, ["work_q_id", ("task_wh_id", "wh_id")])

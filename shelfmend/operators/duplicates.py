@@ -57,7 +57,7 @@ def dup_picks_prereceipt(
     if parents is not None:
         units = units.filter(F.col("parent_hu_id").isin(*parents))
     units = units.select("hu_id", "wh_id", "control_number")
-    content = stock.select("hu_id", "wh_id", "serial_number", "item_number").distinct()
+    content = stock.select("hu_id", "wh_id", "serial_number", "item_number")
     reach = attach(content, units, ["hu_id", "wh_id"], "inner")
     on = [("line_number", "control_number"), ("order_number", "serial_number"), "item_number", "wh_id"]
     suspects = matching(picks.filter((F.col("type") == "PP") & (F.col("status") == "RELEASED")), reach, on)
@@ -113,7 +113,7 @@ def dup_log(
         highest = typed.groupBy(*matched_on).agg(F.max("tran_log_id").alias("tran_log_id"))
         return attach(duplicated.drop("kept_id"), highest, matched_on, "inner")
     rows = attach(recent.select(*keys, "tran_log_id"), duplicated, list(keys), "inner")
-    return rows.filter(F.col("tran_log_id") != F.col("kept_id")).drop("kept_id").distinct()
+    return rows.filter(F.col("tran_log_id") != F.col("kept_id")).drop("kept_id")
 
 
 def delete_log(surplus: DataFrame, as_of: datetime) -> ChangeSet:

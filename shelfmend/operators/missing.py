@@ -349,8 +349,7 @@ def fix_reservation(
     units = hu.filter(
         (F.col("reserved_for") == reserved) & F.col("control_number").isNull() & ~F.col("location_id").isin(*excluded)
     ).select("hu_id", "wh_id", "location_id")
-    content = stock.select("hu_id", "wh_id", "type").distinct()
-    joined = attach(content, units, ["hu_id", "wh_id"], "inner")
+    joined = attach(stock.select("hu_id", "wh_id", "type"), units, ["hu_id", "wh_id"], "inner")
     reserved_picks = picks.select(
         F.col("pick_id").cast("string").alias("pick_id"), "wh_id", "order_number", "line_number", "item_number"
     )

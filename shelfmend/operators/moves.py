@@ -217,17 +217,20 @@ def move_by_client(
     )
     homes = control.groupBy("wh_id", "client_code").agg(F.max("c1").alias("cc_loc"))
     clients = items.groupBy("item_number", "wh_id").agg(F.max("client_code").alias("client_code"))
-    held = (
-        stock.filter(F.col("hu_id").isNotNull())
-        .groupBy("wh_id", "item_number", "location_id", "hu_id")
-        .agg(F.sum("actual_qty").alias("qty"))
+    packed = stock.filter(F.col("hu_id").isNotNull()).select(
+        "wh_id", "item_number", "location_id", "hu_id", "actual_qty"
     )
-    at_owned = attach(held, owners, ["wh_id", ("location_id", "c1")], "inner")
+    # few locations belong to a client: the other stock drops out before anything is added up
+    at_owned = attach(packed, owners, ["wh_id", ("location_id", "c1")], "inner")
     typed = attach(at_owned, clients, ["item_number", "wh_id"], "inner")
     # several clients may share a location: one owner other than the item's client is enough
     foreign = (F.col("first_owner") != F.col("client_code")) | (F.col("last_owner") != F.col("client_code"))
-    placed = attach(typed.filter(foreign), homes, ["wh_id", "client_code"])
-    return placed.select("wh_id", "item_number", "hu_id", "location_id", "qty", "client_code", "cc_loc")
+    held = (
+        typed.filter(foreign)
+        .groupBy("wh_id", "item_number", "location_id", "hu_id", "client_code")
+        .agg(F.sum("actual_qty").alias("qty"))
+    )
+    return attach(held, homes, ["wh_id", "client_code"]).select("wh_id", "item_number", "hu_id", "location_id", "qty", "client_code", "cc_loc")
 
 
 def client_moves(rows: DataFrame) -> DataFrame:
