@@ -30,10 +30,10 @@ _RENAMED = {
 }
 
 
-def _order_part(orders: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
+def _order_part(orders: DataFrame) -> list[Column]:
     """The order columns a shipment header copies, as far as the order table has them."""
     present = set(orders.columns)
-    return [F.col(c).alias(_RENAMED.get(c, c)) for c in _ORDER_COLUMNS if c in present and c not in skip]
+    return [F.col(c).alias(_RENAMED.get(c, c)) for c in _ORDER_COLUMNS if c in present]
 
 
 def min_uom(units: DataFrame) -> DataFrame:
@@ -264,7 +264,11 @@ def invoice_headers(
         .agg(F.count(F.lit(1)).alias("stock_rows"))
     )
     loaded = matching(picks, gate, [("load_id", "order_number"), "wh_id"]).select(
-        F.col("pick_id").cast("string").alias("pick_key"), "wh_id", "order_number", "planned_quantity", "picked_quantity"
+        F.col("pick_id").cast("string").alias("pick_key"),
+        "wh_id",
+        "order_number",
+        "planned_quantity",
+        "picked_quantity",
     )
     held = attach(loaded, reserved, [("pick_key", "type"), "wh_id"], "inner")
     sums = held.groupBy("order_number", "wh_id").agg(
@@ -395,6 +399,7 @@ def closable_tasks(
 
 
 def close_cut_tasks(found: DataFrame, as_of: datetime) -> ChangeSet:
+    """Close the tasks and log each."""
     closed = found.select("work_q_id", "wh_id").distinct().withColumn("work_status", F.lit("C"))
     columns = {
         "wh_id": "wh_id", "control_number": "order_number", "control_number_2": "wave_id", "location_id": "work_q_id",

@@ -117,6 +117,7 @@ def dup_log(
 
 
 def delete_log(surplus: DataFrame, as_of: datetime) -> ChangeSet:
+    """Delete the surplus copies and log each with the latest moment of its key."""
     columns = [c for c in ("employee_id", "control_number", "item_number") if c in surplus.columns]
     logged = surplus.select(
         F.lit(fixed.EXC_DUP_LOG[0]).alias("tran_type"),
@@ -150,5 +151,6 @@ def surplus_tasks(
 
 
 def close_tasks(surplus: DataFrame) -> ChangeSet:
+    """Close the surplus tasks."""
     closed = surplus.select("work_q_id").distinct().withColumn("work_status", F.lit("C"))
     return ChangeSet(updates={"t_work_q": Update(closed, ("work_q_id",))})

@@ -38,8 +38,8 @@ def apply_transfer(lines: DataFrame) -> ChangeSet:
     kept = [
         c
         for c in (
-            "shipment_id", "line_number", "item_number", "quantity_shipped", "hu_id", "delivery_sap", "user_id", "wh_id",
-            "client_code", "record_create_date", "tracking_number", "host_group_id",
+            "shipment_id", "line_number", "item_number", "quantity_shipped", "hu_id", "delivery_sap", "user_id",
+            "wh_id", "client_code", "record_create_date", "tracking_number", "host_group_id",
         )
         if c in lines.columns
     ]
@@ -87,6 +87,7 @@ def rekey_so_lines(
 
 
 def apply_rekey(rows: DataFrame, service: str = fixed.SEND_ORDER_STATUS) -> ChangeSet:
+    """Write the new line numbers and groups, and send the groups."""
     keys = ("host_group_id", "so_line_number", "so_number", "item_number", "wh_id")
     into = {"new_so_line_number": "so_line_number", "new_host_group_id": "host_group_id"}
     return ChangeSet(
@@ -133,6 +134,7 @@ def restore_so_number(
 
 
 def apply_restored_number(rows: DataFrame, service: str = fixed.SEND_ORDER_STATUS) -> ChangeSet:
+    """Write the original numbers under new groups, and send them."""
     one = rows.groupBy("host_ship_detail_id").agg(
         F.max("new_host_group_id").alias("host_group_id"),
         F.max("new_so_number").alias("so_number"),
@@ -250,9 +252,8 @@ def receipts_from_erp(
     if type_id is not None:
         closed = closed.filter(F.col("type_id") == type_id)
     heads = closed.select("po_number", "wh_id", "vendor_code", "display_po_number", "client_code")
-    shipped = attach(
-        heads, shipment.select("shipment", "bol_no", "to_loc"), [("display_po_number", "bol_no"), ("wh_id", "to_loc")], "inner"
-    )
+    arrivals = shipment.select("shipment", "bol_no", "to_loc")
+    shipped = attach(heads, arrivals, [("display_po_number", "bol_no"), ("wh_id", "to_loc")], "inner")
     scac = F.concat_ws("", F.col("distro_type").cast("string"), F.lit("-"), F.col("distro_no").cast("string"))
     cartons = shipsku.groupBy("shipment", "item", "carton", scac.alias("scac_code")).agg(
         F.sum("qty_expected").alias("qty")

@@ -124,6 +124,7 @@ def unposted_preship(
 
 
 def resend_preship(rows: DataFrame, service: str = fixed.SEND_PRESHIP) -> ChangeSet:
+    """Send the messages again and mark them as sent again."""
     marked = rows.select("host_group_id").distinct().withColumn("po_number", F.lit("REENVIO"))
     return ChangeSet(
         updates={"t_al_host_shipment_master": Update(marked, ("host_group_id",))}, outbox=outbox_rows(rows, service)
@@ -164,6 +165,7 @@ def failed_preship(
 
 
 def resend_failed_preship(rows: DataFrame, as_of: datetime, service: str = fixed.SEND_PRESHIP) -> ChangeSet:
+    """Send each group again and log every failed message."""
     profile = AuditProfile(
         *fixed.LOG_RESEND,
         columns={"control_number": "order_number", "control_number_2": "error_type", "wh_id": "wh_id"},
@@ -184,6 +186,7 @@ def missing_holds(stock: DataFrame, locations: DataFrame, holds: DataFrame, wh_i
 
 
 def add_holds(rows: DataFrame, as_of: datetime, ticket: str) -> ChangeSet:
+    """Hold and audit rows for the held stock without one."""
     optional = {"type", "stored_attribute_id", "hu_id"} & set(rows.columns)
     created = rows.select(
         "item_number",
@@ -330,6 +333,7 @@ def fill_fulfilment(
 
 
 def apply_fulfilment(rows: DataFrame, service: str = fixed.SEND_UNDO) -> ChangeSet:
+    """Write the order's fulfilment id and send each group."""
     keys = ("host_group_id", "po_number", "wh_id")
     filled = rows.groupBy(*keys).agg(F.max("fulfillment_id").alias("fulfillment_id"))
     return ChangeSet(
@@ -392,7 +396,11 @@ def apply_reservation(rows: DataFrame, as_of: datetime, ticket: str) -> ChangeSe
 
 
 def missing_location_rows(
-    stores: DataFrame, existing: DataFrame, suffix: str = ".1", kind: str = "relation", store_numbers: Sequence[str] | None = None
+    stores: DataFrame,
+    existing: DataFrame,
+    suffix: str = ".1",
+    kind: str = "relation",
+    store_numbers: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows to add for stores that lack them: ``relation`` or ``zone`` rows of the store's location."""
     rows = stores if store_numbers is None else stores.filter(F.col("store_number").isin(*store_numbers))
@@ -570,6 +578,7 @@ def gtin_backfill(units: DataFrame, barcodes: DataFrame, wh_id: str | None = Non
 
 
 def apply_gtin(rows: DataFrame, as_of: datetime) -> ChangeSet:
+    """Fill the empty GTINs with the barcode and log each item."""
     filled = rows.select("item_number", "wh_id", F.col("upc").alias("gtin"))
     profile = AuditProfile(
         *fixed.LOG_GTIN,

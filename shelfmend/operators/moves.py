@@ -230,7 +230,9 @@ def move_by_client(
         .groupBy("wh_id", "item_number", "location_id", "hu_id", "client_code")
         .agg(F.sum("actual_qty").alias("qty"))
     )
-    return attach(held, homes, ["wh_id", "client_code"]).select("wh_id", "item_number", "hu_id", "location_id", "qty", "client_code", "cc_loc")
+    return attach(held, homes, ["wh_id", "client_code"]).select(
+        "wh_id", "item_number", "hu_id", "location_id", "qty", "client_code", "cc_loc"
+    )
 
 
 def client_moves(rows: DataFrame) -> DataFrame:
@@ -249,6 +251,7 @@ def client_moves(rows: DataFrame) -> DataFrame:
 def client_move_audit(
     rows: DataFrame, as_of: datetime, ticket: str, descriptions: DataFrame | None = None
 ) -> DataFrame:
+    """One audit row per place moved to its own client."""
     profile = AuditProfile(
         *fixed.LOG_CLIENT_MOVE,
         columns={
@@ -275,7 +278,8 @@ def merge_lots(stock: DataFrame, items: DataFrame, location: str | None = None,
     lot = F.col("lot_number").isNotNull()
 
     def side(cond: Column, name: str) -> list[Column]:
-        first = F.min(F.when(cond, F.struct(F.coalesce("lot_number", F.lit("")).alias("lot"), "sequence", "actual_qty")))
+        rank = F.struct(F.coalesce("lot_number", F.lit("")).alias("lot"), "sequence", "actual_qty")
+        first = F.min(F.when(cond, rank))
         return [
             F.sum(F.when(cond, F.col("actual_qty"))).alias(f"{name}_qty"),
             F.count(F.when(cond, 1)).alias(f"{name}_rows"),
@@ -553,7 +557,9 @@ def seed_stock(
     return _seeded(top.select("item_number", "wh_id").distinct(), location, as_of, qty)
 
 
-def seed_missing(worklist: DataFrame, stock: DataFrame, location: str, as_of: datetime, qty: float = 200.0) -> DataFrame:
+def seed_missing(
+    worklist: DataFrame, stock: DataFrame, location: str, as_of: datetime, qty: float = 200.0
+) -> DataFrame:
     """Test stock for listed items that have none at the location."""
     here = stock.filter(F.col("location_id") == location)
     keys = ["item_number", "wh_id"]

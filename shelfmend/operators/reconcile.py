@@ -318,26 +318,30 @@ def manual_block_profile(user: str, location: str) -> AdjustmentProfile:
 
 
 def double_sent_profile() -> AdjustmentProfile:
+    """Output of :func:`double_sent` with ``qtd_a`` as ``qty``."""
     return AdjustmentProfile(fixed.USER_EQUALISE, "ATS", "TRBL", reference="500")
 
 
 def phantom_negative_profile() -> AdjustmentProfile:
-    return AdjustmentProfile(
-        fixed.USER_EQUALISE, "ATS", "TRBL", reason="6", reference="po", audit=_equalising_audit("Equalização Saldo Indisp.")
-    )
+    """Output of :func:`phantom_negative`."""
+    audit = _equalising_audit("Equalização Saldo Indisp.")
+    return AdjustmentProfile(fixed.USER_EQUALISE, "ATS", "TRBL", reason="6", reference="po", audit=audit)
 
 
 def phantom_positive_profile() -> AdjustmentProfile:
+    """Output of :func:`phantom_positive`."""
     audit = _equalising_audit("Bloqueado > 0")
     return AdjustmentProfile(fixed.USER_EQUALISE, "TRBL", "ATS", reference="po", audit=audit)
 
 
 def releasable_profile() -> AdjustmentProfile:
+    """Output of :func:`releasable_qty`."""
     user = fixed.USER_RELEASE
     return AdjustmentProfile(user, "TRBL", "ATS", reason="6", audit=_release_audit(user))
 
 
 def manual_release_profile() -> AdjustmentProfile:
+    """Output of :func:`manual_feed` for releasing."""
     user = fixed.USER_MANUAL_RELEASE
     return AdjustmentProfile(user, "TRBL", "ATS", client=None, reason="6", audit=_release_audit(user))
 
@@ -351,9 +355,8 @@ def emit_adjustments(candidates: DataFrame, profile: AdjustmentProfile, as_of: d
         return value.cast("string").alias(name)
 
     stamp = F.lit(as_of.isoformat())
-    group = (
-        guid(F.lit(profile.user), stamp, "wh_id", "item_number") if profile.per_row else guid(F.lit(profile.user), stamp)
-    )
+    per_row = ("wh_id", "item_number") if profile.per_row else ()
+    group = guid(F.lit(profile.user), stamp, *per_row)
     zero = F.lit(0.0)
     qty = F.col("qty").cast("double")
     reference = F.col("po") if profile.reference == "po" else F.lit(profile.reference)

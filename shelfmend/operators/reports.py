@@ -190,7 +190,9 @@ def archive_status(
     ).orderBy(F.desc("ult_exce"), "start_time", "sequence", "tabela", "group_id")
 
 
-def archive_plan(groups: DataFrame, group_control: DataFrame, control: DataFrame, group: str | None = None) -> DataFrame:
+def archive_plan(
+    groups: DataFrame, group_control: DataFrame, control: DataFrame, group: str | None = None
+) -> DataFrame:
     """Tables of the active groups in the order the archive run takes them."""
     active = groups.filter(F.col("group_status") == "A")
     if group is not None:

@@ -104,7 +104,5 @@ def attach(
 
 def null_safe(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add a never-NULL stand-in for ``column``, so that NULL = NULL in an equi-join."""
-    return df.withColumn(
-        name,
-        F.struct(F.col(column).isNull().alias("absent"), F.coalesce(F.col(column).cast("string"), F.lit("")).alias("value")),
-    )
+    value = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return df.withColumn(name, F.struct(F.col(column).isNull().alias("absent"), value.alias("value")))
