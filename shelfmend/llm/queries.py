@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe_prefix, host_lines, licenses, line_spread, maxscore, mixing, token_store, trie_counts
+from . import bpe_prefix, host_lines, licenses, line_spread, maxscore, mixing, passages, set_join, token_store, trie_counts
 from .common import documents, fresh_path
 from .templates import TEMPLATES
 
@@ -64,6 +64,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", F.md5("text").alias("text_md5"), "lines_removed", "chars_removed")
 
 
+@_query("op3_passages")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, folder))
+
+
 @_query(
     "op4_host_lines",
     rf"""
@@ -192,6 +197,35 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return maxscore.top_k(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
 
 
+@_query(
+    "op7_set_join",
+    rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT x, y FROM common JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+), reach(doc_id, component_id) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT y, component_id FROM reach JOIN links ON doc_id = x
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(component_id) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""",
+)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return set_join.similar_documents(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
 @_query("op8_trie_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return trie_counts.count_tokens(documents(spark, folder))
