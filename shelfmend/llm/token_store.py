@@ -128,6 +128,7 @@ def write(
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", str(rows_per_index))
         .option("orc.stripe.size", str(stripe_bytes))
+        .option("orc.rows.between.memory.checks", str(rows_per_index))  # rows are long: close full stripes early
         .option("orc.compress", "ZSTD")
         .orc(path)
     )
