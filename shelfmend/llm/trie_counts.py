@@ -8,6 +8,7 @@ that begin alike share the work: it is done once for each trie node, and a word'
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, texts
 
-_MOST_NODES, _LONGEST_STORED = 1_000_000, 64
+_MOST_NODES, _LONGEST_STORED, _CHARACTERS = 2_000_000, 64, 0x110000
 
 
 class UnigramTrie:
@@ -27,42 +28,47 @@ class UnigramTrie:
     def __init__(self, scores: dict[str, float], word_start: str = "", byte_score: float = -20.0):
         self.scores, self.word_start, self.byte_score = scores, word_start, byte_score
         self.longest = max(map(len, scores), default=0)
-        self.nodes = 0
         self.clear()
 
     def clear(self) -> None:
-        # a node: its children, best score and fewest tokens of its prefix
-        self.root = ({}, 0.0, 0)
-        self.nodes = 0
+        # nodes are numbered, 0 is the root; for each the best score and fewest tokens of its prefix
+        self.child: dict[int, int] = {}  # node * number of characters + character -> node
+        self.best, self.tokens = array("d", [0.0]), array("i", [0])
         self.counts: dict[bytes, int] = {}
 
+    @property
+    def nodes(self) -> int:
+        return len(self.tokens) - 1
+
     def _forward(self, word: str, end: int, best: list[tuple[float, int]]) -> tuple[float, int]:
         """Best score and tokens of ``word[:end]``, given those of its last ``longest`` shorter prefixes, shortest first."""
-        found = (-math.inf, 0)
-        for back in range(1, min(self.longest, end, len(best)) + 1):
-            before, tokens = best[-back]
+        best_score, fewest = -math.inf, 0
+        for back, (before, tokens) in enumerate(reversed(best), 1):
             score = self.scores.get(word[end - back : end])
             if score is not None:
-                found = max(found, (before + score, -tokens - 1))
-        n = len(word[end - 1].encode())
+                score += before
+                if score > best_score or (score == best_score and tokens + 1 < fewest):
+                    best_score, fewest = score, tokens + 1
         if word[end - 1] not in self.scores:
-            found = max(found, (best[-1][0] + n * self.byte_score, -best[-1][1] - n))
-        return found[0], -found[1]
+            n = len(word[end - 1].encode())
+            before, tokens = best[-1]
+            if before + n * self.byte_score > best_score:
+                best_score, fewest = before + n * self.byte_score, tokens + n
+        return best_score, fewest
 
     def insert(self, word: str) -> int:
         """Walk to the word's node, add those that are missing, and return its token count."""
-        node, path = self.root, [(0.0, 0)]
+        child, node, path = self.child, 0, [0]
         for end, c in enumerate(word, 1):
-            child = node[0].get(c)
-            if child is None:
-                child = ({}, *self._forward(word, end, path))
-                node[0][c] = child
-                self.nodes += 1
-            node = child
-            path.append((node[1], node[2]))
-            if len(path) > self.longest + 1:
-                del path[0]
-        return node[2]
+            step = node * _CHARACTERS + ord(c)
+            node = child.get(step)
+            if node is None:
+                best, tokens = self._forward(word, end, [(self.best[n], self.tokens[n]) for n in path[-self.longest :]])
+                node = child[step] = len(self.tokens)
+                self.best.append(best)
+                self.tokens.append(tokens)
+            path.append(node)
+        return self.tokens[node]
 
     def count(self, word: bytes) -> int:
         """Token count of one word; what a prefix gave before is not computed again."""
@@ -73,7 +79,7 @@ class UnigramTrie:
             path = [(0.0, 0)]
             for end in range(1, len(text) + 1):
                 path.append(self._forward(text, end, path))
-                if len(path) > self.longest + 1:
+                if len(path) > self.longest:
                     del path[0]
             return path[-1][1]
         found = self.counts[word] = self.insert(text)
