@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("reports", "missing", "cut", "moves")
+MODULES = ("reports", "missing", "cut", "moves", "states")
 
 
 def load() -> None:

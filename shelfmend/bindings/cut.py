@@ -1,7 +1,7 @@
 """Order-cut queries over the test data.
 
-The cut log is every released open pick line; where a step needs lines that are logged already, it
-takes the log's rows before 1998.
+The cut log is every released open pick line; where a step needs lines that are logged already, only the
+log's rows before 1998 bear the mark of the cut.
 """
 
 from __future__ import annotations
@@ -32,6 +32,12 @@ where b.free = 0
   and not exists (select 1 from v_stock t where t.type = cast(b.pick_id as varchar)){logged}"""
 
 
+def _partly_marked(log):
+    """The whole log, with the mark of the cut on the rows before 1998 only."""
+    marked = F.col("exception_date") < F.expr("timestamp_ntz'1998-01-01 00:00:00'")
+    return log.withColumn("lot_number", F.when(marked, F.col("lot_number")).otherwise("OTHER"))
+
+
 @query(
     "zero_stock_lines",
     _zero_sql(
@@ -46,9 +52,10 @@ where b.free = 0
     ),
 )
 def zero_stock_lines(s):
-    logged = s.cut_log().filter("exception_date < timestamp_ntz'1998-01-01 00:00:00'")
+    logged = _partly_marked(s.cut_log())
     return cut.zero_stock_lines(
-        s.picks(), s.stock(), s.tran_log(), s.shipments(), s.locations(), s.pick_areas(), logged, start_type="411"
+        s.picks(), s.stock(), s.tran_log(), s.shipments(), s.locations(), s.pick_areas(), logged, start_type="411",
+        storage_type="STORAGE",
     )
 
 
@@ -63,7 +70,7 @@ def zero_stock_lines(s):
 )
 def zero_stock_lines_by_item(s):
     return cut.zero_stock_lines(
-        s.picks(), s.stock(), s.tran_log(), s.shipments(), start_type="411", item_level_start=True
+        s.picks(), s.stock(), s.tran_log(), s.shipments(), start_type="411", item_level_start=True, storage_type="STORAGE"
     )
 
 
@@ -182,7 +189,7 @@ join v_types t on o.type_id = t.type_id
 left join v_vendor v on o.bill_to_code = v.vendor_code""",
 )
 def invoice_headers(s):
-    return cut.invoice_headers(s.picks(), s.stock(), s.orders(), s.vendors(), s.order_types())
+    return cut.invoice_headers(s.picks(), s.stock(), s.orders(), s.vendors(), s.order_types(), storage_type="STORAGE")
 
 
 @query(
@@ -221,6 +228,7 @@ def invoice_details(s):
         s.units(),
         s.attribute_values(),
         s.attribute_map(),
+        storage_type="STORAGE",
     )
 
 
@@ -283,7 +291,7 @@ left join v_uom u on u.wh_id = d.wh_id and u.item_number = d.item_number
 where d.bo_qty > 0""",
 )
 def cancel_interface(s):
-    return _cancel(s).inserts["t_al_host_shipment_detail"]
+    return _cancel(s).inserts["t_al_host_shipment_detail"].drop("shipment_detail_id")
 
 
 def _cancel(s):
@@ -422,7 +430,7 @@ group by h.g, p.wh_id, p.line_number, p.item_number, h.client_code, c.tracking_n
   h.customer_id""",
 )
 def rebuild_shipinfo(s):
-    return _shipinfo(s).inserts["t_al_host_shipment_detail"]
+    return _shipinfo(s).inserts["t_al_host_shipment_detail"].drop("shipment_detail_id")
 
 
 @query(
@@ -493,9 +501,7 @@ def cut_tables(s) -> dict:
         {"shipment_id": F.col("shipment_id").cast("string"), "load_id": F.col("load_id").cast("bigint")}
     )
     lines = s.shipment_lines().withColumn("shipment_id", F.col("shipment_id").cast("string"))
-    log = s.cut_log().filter("exception_date < timestamp_ntz'1998-01-01 00:00:00'").withColumns(
-        {"exception_id": F.col("exception_id").cast("string")}
-    )
+    log = _partly_marked(s.cut_log())
     return {
         "t_pick_detail": picks,
         "t_stored_item": s.stock(),

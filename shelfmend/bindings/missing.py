@@ -23,7 +23,7 @@ where a.record_create_date >= timestamp '2024-01-01'
   and not exists (select 1 from v_ws w where w.webservice_id = 'EXP_INV_ADJUST' and w.param1 = a.host_group_id)""",
 )
 def unsent_adjustments(s):
-    return missing.unsent_adjustments(s.adjustments(), s.send_errors(), s.service_log(), EVENTS_AS_OF)
+    return missing.unsent_adjustments(s.adjustments(), s.send_errors(), s.service_log(), EVENTS_AS_OF, days=30)
 
 
 @query(

@@ -51,9 +51,8 @@ select item_number, wh_id, 'L1', '0', qty, 1 from q_upsert_increment where actio
 )
 def upsert_increment_changes(s):
     """Stock per place after the increments."""
-    stock = s.stock().withColumn("sequence", F.col("sequence").cast("string"))
     changes = moves.upsert_increment(s.stock(), _deltas(s), AS_OF, row_type="0")
-    after = apply_change_set({"t_stored_item": stock}, changes)["t_stored_item"]
+    after = apply_change_set({"t_stored_item": s.stock()}, changes)["t_stored_item"]
     return after.groupBy("item_number", "wh_id", "location_id", "type").agg(
         F.sum("actual_qty").alias("actual_qty"), F.count(F.lit(1)).alias("n")
     )
@@ -334,7 +333,7 @@ def split_multi_orders_changes(s):
     """Unit of every stock row after the split, and the units to create."""
     changes = moves.apply_split(split_multi_orders(s), s.handling_units(), AS_OF)
     after = apply_update(s.stock(), changes.updates["t_stored_item"]).select("sequence", "hu_id")
-    created = changes.inserts["t_hu_master"].select(F.lit(-1).cast("bigint").alias("sequence"), "hu_id")
+    created = changes.inserts["t_hu_master"].select(F.lit("-1").alias("sequence"), "hu_id")
     return after.unionByName(created)
 
 
@@ -383,15 +382,17 @@ def confirm_load_changes(s):
 select w.item_number, w.wh_id, w.line_number, w.order_number, w.wave_id, w.wave_detail_line_id, sum(w.planned_qty) as qty_afo,
   coalesce(sum(p.q), 0) as qty_pkd, sum(w.planned_qty) - coalesce(sum(p.q), 0) as dif
 from v_wavelines w left join (select item_number, wh_id, line_number, order_number, sum(planned_quantity) as q
-  from v_picks where status = 'PICKED' group by 1, 2, 3, 4) p
+  from (select * replace (case when status = 'PICKED' then line_number else -line_number end as line_number) from v_picks)
+  group by 1, 2, 3, 4) p
   on p.item_number = w.item_number and p.wh_id = w.wh_id and p.line_number = w.line_number and p.order_number = w.order_number
 where w.wave_id in (select wave_id from v_picks where status = 'RELEASED')
 group by 1, 2, 3, 4, 5, 6 having coalesce(sum(p.q), 0) = 0""",
 )
 def restore_wave(s):
-    """All waves that still have released picks."""
+    """All waves that still have released picks; picks that are not PICKED lie on other lines."""
     waves = s.picks().filter("status = 'RELEASED'").select("wave_id")
-    return moves.restore_wave(s.wave_lines(), s.picks().filter("status = 'PICKED'"), waves)
+    line = F.when(F.col("status") == "PICKED", F.col("line_number")).otherwise(-F.col("line_number"))
+    return moves.restore_wave(s.wave_lines(), s.picks().withColumn("line_number", line), waves)
 
 
 @query(
@@ -445,10 +446,9 @@ select distinct item_number, {_SEEDED.format(loc='RENGERAL_C')} from (
   select p.item_number, p.wh_id from v_picks p
   where p.type = 'PP' and p.status = 'RELEASED'
     and exists (select 1 from v_orders o where o.order_number = p.order_number and o.wh_id = p.wh_id)
-  order by p.create_date desc, p.pick_id limit 500)""",
+)""",
 )
 def seed_stock(s):
-    """Top-k report: the 500 newest released picks."""
     return moves.seed_stock(s.picks(), s.orders(), "RENGERAL_C", AS_OF)
 
 
@@ -583,14 +583,13 @@ from v_po p join v_pod d on p.po_number = d.po_number and p.wh_id = d.wh_id
 join v_asn a on a.display_po_number = p.display_po_number and a.wh_id = p.wh_id and upper(a.processing_code) = 'NEW'
   and a.item_number = d.item_number
 where p.status = 'O' and p.type_id = '2-HIGH' and p.po_number in (select control_number from v_exc)
-  and not exists (select 1 from v_receipts r where r.po_number = p.po_number and r.fulfillment_id <> '0')"""
+  and not exists (select 1 from v_receipts r where r.po_number = p.po_number)"""
 
 
 def _store_po(s, per_po):
     worklist = s.cut_log().select(F.col("control_number").alias("item_number"))
-    received = s.receipts().filter("fulfillment_id <> '0'")
     return interface.close_store_po(
-        s.purchase_orders(), worklist, s.purchase_lines(), s.transfer_notices(), received, "2-HIGH", per_po=per_po
+        s.purchase_orders(), worklist, s.purchase_lines(), s.transfer_notices(), s.receipts(), "2-HIGH", per_po=per_po
     )
 
 

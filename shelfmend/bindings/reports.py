@@ -90,7 +90,7 @@ from (
       min(p.process_date) as nf_web_servi, al.host_group_id
     from v_ship al
     join v_ws p on p.webservice_id = 'EXP_PRINT_NF' and p.process_date >= timestamp '2024-01-01'
-      and contains(p.soap_request, substring(cast(al.order_number as varchar), 1, 11))
+      and contains(p.soap_request, cast(al.order_number as varchar))
     left join (select param1, min(process_date) as first_send from v_ws group by 1) w on w.param1 = al.host_group_id
     where al.transaction_code = '936' and al.record_create_date >= timestamp '1995-01-01'
     group by all))""",
@@ -115,25 +115,25 @@ bcon as (
     + """,
 sch as (select r_regionkey group_id, r_regionkey + 1 schedule_id from region where r_name <> 'ASIA'),
 sche as (select r_regionkey + 1 schedule_id, 'S_' || r_name as name, r_regionkey * 10 message_id from region),
-schd as (
-  select c_nationkey % 5 + 1 schedule_id, max(timestamp '2024-01-01' + to_minutes(c_custkey)) start_time
-  from customer group by 1)
-select grp.group_id, grp.name as grupo, bcon.table_name as tabela, bcon.control_type as tipo, bgrp.group_sequence as sequence,
-  case when grp.group_status = 'A' then 'Grupo Ativo' when grp.group_status = 'I' then '** Grupo Inativo'
-    else grp.group_status end as status_do_gp,
-  bcon.last_processed_date as ult_exce, bcon.elapsed_time as time_exec, st.num_rows as registros, st.last_analyzed,
-  coalesce(sche.name, '** Sem programação') as schedule, max(schd.start_time) as start_time, bus.date_activated as prox_exec,
-  case when bcon.status = 'F' then 'FAILURE' else 'SUCCESS' end as status_exec
-from grp left join bgrp on bgrp.group_id = grp.group_id
-right join bcon on bcon.id = bgrp.backup_control_id
-left join sch on grp.group_id = sch.group_id
-left join sche on sch.schedule_id = sche.schedule_id
-left join schd on sche.schedule_id = schd.schedule_id
-left join (select s_name table_name, cast(floor(s_acctbal) as bigint) num_rows, timestamp '2024-01-02' last_analyzed
-  from supplier where s_acctbal >= 0) st on st.table_name = bcon.table_name
-left join (select r_regionkey * 10 msg_bus_id, timestamp '2024-02-01' + to_hours(r_regionkey) date_activated
-  from region where r_regionkey < 4) bus on bus.msg_bus_id = sche.message_id
-group by all""",
+latest as (select c_nationkey % 5 + 1 schedule_id, max(timestamp '2024-01-01' + to_minutes(c_custkey)) start_time from customer group by 1),
+plans as (
+  select s.group_id, e.name, e.message_id, l.start_time
+  from sch s left join sche e using (schedule_id) left join latest l using (schedule_id)),
+board as (
+  select distinct c.table_name, c.control_type, c.status, c.last_processed_date, c.elapsed_time, g.group_id, g.name, g.group_status,
+    m.group_sequence, p.name as schedule_name, p.message_id, p.start_time
+  from bcon c
+  left join bgrp m on c.id = m.backup_control_id and m.group_id in (select group_id from grp)
+  left join grp g on g.group_id = m.group_id
+  left join plans p on p.group_id = g.group_id)
+select b.table_name as tabela, b.control_type as tipo, if(b.status = 'F', 'FAILURE', 'SUCCESS') as status_exec,
+  b.last_processed_date as ult_exce, b.elapsed_time as time_exec, b.group_id, b.name as grupo, b.group_sequence as sequence,
+  coalesce(map {'A': 'Grupo Ativo', 'I': '** Grupo Inativo'}[b.group_status], b.group_status) as status_do_gp,
+  ifnull(b.schedule_name, '** Sem programação') as schedule, b.start_time,
+  (select cast(floor(s_acctbal) as bigint) from supplier where s_name = b.table_name and s_acctbal >= 0) as registros,
+  (select timestamp '2024-01-02' from supplier where s_name = b.table_name and s_acctbal >= 0) as last_analyzed,
+  (select timestamp '2024-02-01' + to_hours(r_regionkey) from region where r_regionkey < 4 and r_regionkey * 10 = b.message_id) as prox_exec
+from board b""",
 )
 def archive_status(s):
     return reports.archive_status(
@@ -163,16 +163,18 @@ def archive_plan(s):
 @query(
     "reconcile_blocked",
     """
-select item, wh_id, case when diff > 0 then '750' else '700' end as transaction_code, loc, sum_soh, sum_wms, sum_non,
-  sum_wms_una, abs(diff) as dif_erp_wms, case when diff > 0 then 'HOLD' else 'AVAILABLE' end as inventory_status_before,
-  case when diff > 0 then 'AVAILABLE' else 'HOLD' end as inventory_status_after
-from (
-  select e.item, t.wh_id, e.loc, e.stock_on_hand as sum_soh, sum(s.actual_qty) as sum_wms, e.non_sellable_qty as sum_non,
-    coalesce(sum(s.unavailable_qty), 0) as sum_wms_una, e.non_sellable_qty - coalesce(sum(s.unavailable_qty), 0) as diff
-  from v_erp e join v_worklist t on e.item = t.item_number and e.loc = t.wh_id + 500
-  left join v_stock s on t.item_number = s.item_number and t.wh_id = s.wh_id
-  group by e.item, t.wh_id, e.loc, e.stock_on_hand, e.non_sellable_qty)
-where diff <> 0""",
+with held as (select item_number, wh_id, sum(actual_qty) as total, sum(unavailable_qty) as blocked from v_stock group by 1, 2),
+gaps as (
+  select e.item, w.wh_id, e.loc, e.stock_on_hand as sum_soh, h.total as sum_wms, e.non_sellable_qty as sum_non,
+    coalesce(h.blocked, 0) as sum_wms_una, e.non_sellable_qty - coalesce(h.blocked, 0) as gap
+  from v_worklist w join v_erp e on e.item = w.item_number and e.loc - 500 = w.wh_id
+  left join held h on h.item_number = w.item_number and h.wh_id = w.wh_id),
+signed as (
+  select *, '750' as code, 'HOLD' as before, 'AVAILABLE' as after from gaps where gap > 0
+  union all select *, '700', 'AVAILABLE', 'HOLD' from gaps where gap < 0)
+select item, wh_id, code as transaction_code, loc, sum_soh, sum_wms, sum_non, sum_wms_una, abs(gap) as dif_erp_wms,
+  before as inventory_status_before, after as inventory_status_after
+from signed""",
 )
 def reconcile_blocked(s):
     return reconcile.reconcile_blocked(s.erp(), s.worklist(), s.stock())
@@ -181,22 +183,18 @@ def reconcile_blocked(s):
 @query(
     "reconcile_totals",
     """
-select item, wh_id, sto_count,
-  case when erp_total > wms_total then 'INC_HJ' when wms_total > erp_total then 'DEC_HJ' else 'EQUALIZADO' end as status,
-  abs(erp_total - wms_total) as dif_erp_wms, abs(wms_free - erp_free) as available_gap,
-  abs(wms_blocked - erp_blocked) as blocked_gap,
-  case when wms_blocked > erp_blocked then 'DEC_RMS_IND' when wms_blocked = erp_blocked then 'EQUALIZADO'
-    else 'INC_HJ_IND' end as blocked_status
-from (
-  select e.item, t.wh_id, e.stock_on_hand as erp_total, e.stock_on_hand - e.non_sellable_qty as erp_free,
-    e.non_sellable_qty as erp_blocked, coalesce(sum(s.actual_qty), 0) as wms_total,
-    coalesce(sum(s.unavailable_qty), 0) as wms_blocked,
-    coalesce(sum(s.actual_qty), 0) - coalesce(sum(s.unavailable_qty), 0) as wms_free,
-    (select count(*) from v_stock x where x.item_number = e.item and x.wh_id = t.wh_id and x.location_id = 'L1') as sto_count
-  from v_erp e join v_worklist t on e.item = t.item_number and e.loc = t.wh_id + 500
-  left join v_stock s on s.item_number = t.item_number and s.wh_id = t.wh_id
-  group by e.item, t.wh_id, e.stock_on_hand, e.non_sellable_qty)
-where erp_total > wms_total""",
+with held as (
+  select item_number, wh_id, sum(actual_qty) as total, sum(unavailable_qty) as blocked, count(*) filter (location_id = 'L1') as here
+  from v_stock group by 1, 2),
+both_sides as (
+  select w.item_number as item, w.wh_id, e.stock_on_hand as erp, e.non_sellable_qty as erp_bad, ifnull(h.total, 0) as wms,
+    ifnull(h.blocked, 0) as wms_bad, ifnull(h.here, 0) as sto_count
+  from v_worklist w join v_erp e on e.item = w.item_number and e.loc - 500 = w.wh_id
+  left join held h on h.item_number = w.item_number and h.wh_id = w.wh_id)
+select item, wh_id, sto_count, 'INC_HJ' as status, erp - wms as dif_erp_wms, abs((erp - erp_bad) - (wms - wms_bad)) as available_gap,
+  abs(erp_bad - wms_bad) as blocked_gap,
+  list_extract(['DEC_RMS_IND', 'EQUALIZADO', 'INC_HJ_IND'], 2 + cast(sign(erp_bad - wms_bad) as int)) as blocked_status
+from both_sides where wms < erp""",
 )
 def reconcile_totals(s):
     return reconcile.reconcile_totals(s.erp(), s.worklist(), s.stock(), "L1")
@@ -236,7 +234,7 @@ def reconcile_totals_changes(s):
 
 _PHANTOM = """
 select e.item as item_number, e.loc - 500 as wh_id, {qty} as qty, '01122001' as po
-from v_erp e left join (select * from v_stock where status = 'H') s on s.wh_id + 500 = e.loc and s.item_number = e.item
+from v_erp e left join v_stock s on s.wh_id + 500 = e.loc and s.item_number = e.item
 where {where} and e.stock_on_hand = 0 and e.in_transit_qty = 0
 group by e.item, e.loc, e.non_sellable_qty
 having sum(s.actual_qty) is null"""
@@ -244,7 +242,7 @@ having sum(s.actual_qty) is null"""
 
 @query("phantom_negative", _PHANTOM.format(qty="-e.non_sellable_qty", where="e.non_sellable_qty < 0"))
 def phantom_negative(s):
-    return reconcile.phantom_negative(s.erp(), s.stock().filter("status = 'H'"), AS_OF)
+    return reconcile.phantom_negative(s.erp(), s.stock(), AS_OF)
 
 
 @query(
@@ -252,7 +250,7 @@ def phantom_negative(s):
     _PHANTOM.format(qty="e.non_sellable_qty", where="e.non_sellable_qty > 0 and e.tsf_reserved_qty = 0"),
 )
 def phantom_positive(s):
-    return reconcile.phantom_positive(s.erp(), s.stock().filter("status = 'H'"), AS_OF)
+    return reconcile.phantom_positive(s.erp(), s.stock(), AS_OF)
 
 
 @query(
@@ -358,7 +356,7 @@ from q_reconcile_blocked""",
 )
 def emit_adjustments(s):
     changes = reconcile.emit_adjustments(_blocked_candidates(s), reconcile.blocked_profile("CHG1", "BLOCKED"), AS_OF)
-    return changes.inserts["t_al_host_inventory_adjustment"]
+    return changes.inserts["t_al_host_inventory_adjustment"].drop("adjustment_id")
 
 
 @query(

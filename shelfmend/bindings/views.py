@@ -1,6 +1,6 @@
 """SQL twins of the sample views, for the oracle."""
 
-PID = "(((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber)"
+PID = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
 
 VIEWS = {
     "v_picks": f"""
@@ -141,7 +141,7 @@ select l_orderkey order_number, l_orderkey % 5 wh_id, l_partkey item_number, min
 from lineitem group by l_orderkey, l_partkey""",
     "v_wavelines": """
 select wave_id, order_number, line_number, item_number, wh_id, qty planned_qty,
-  order_number * 1000000 + item_number wave_detail_line_id, order_number wave_detail_id
+  concat_ws('-', order_number, item_number) wave_detail_line_id, order_number wave_detail_id
 from v_od""",
     "v_wavedet": "select distinct order_number wave_detail_id, wave_id, order_number from v_od",
     "v_comment": """

@@ -25,9 +25,25 @@ def guid(*keys: Column | str) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("~")) for k in keys]))
 
 
+def new_id(kind: str, *keys: Column | str) -> Column:
+    """Surrogate key for a new row, made from natural keys: a :func:`guid` for a string column, a negative
+    number for an integer one (numbers in use are positive)."""
+    if kind == "string":
+        return guid(*keys)
+    parts = F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("~")) for k in keys])
+    return (-F.shiftrightunsigned(F.xxhash64(parts), 1) - 1).cast(kind)
+
+
+def _padded(value: Column, width: int, what: str) -> Column:
+    """Left-padded with zeros; a value that does not fit fails the job instead of losing its end."""
+    long = F.length(value) > width
+    message = F.concat(F.lit(f"{what} has more than {width} characters: "), value)
+    return F.when(long, F.raise_error(message).cast("string")).otherwise(F.lpad(value, width, "0"))
+
+
 def padded_document_key(order_number: Column | str, prefix: str = "499.") -> Column:
     """Fiscal document key: company prefix and the order number left-padded to 20."""
-    return F.concat(F.lit(prefix), F.lpad(col(order_number).cast("string"), 20, "0"))
+    return F.concat(F.lit(prefix), _padded(col(order_number).cast("string"), 20, "order number"))
 
 
 def trouble_status(context: Column | str) -> Column:
@@ -37,4 +53,4 @@ def trouble_status(context: Column | str) -> Column:
 
 def store_location(store_number: Column | str, suffix: str) -> Column:
     """Staging location of a store: fixed prefix, 3-character store number, suffix."""
-    return F.concat(F.lit(fixed.STORE_PREFIX), F.lpad(col(store_number).cast("string"), 3, "0"), F.lit(suffix))
+    return F.concat(F.lit(fixed.STORE_PREFIX), _padded(col(store_number).cast("string"), 3, "store number"), F.lit(suffix))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,13 @@ from ..functions import fixed
 from ..functions.clock import ts
 from ..functions.fixed import CANCEL_COMPLETE, CANCEL_PARTIAL, CUT, CUT_MARK, INVOICE
 from ..functions.text import guid, text
-from ..plans.changeset import ChangeSet, Update, apply_change_set
+from ..plans.changeset import ChangeSet, Update, apply_change_set, with_id
 from ..plans.joins import attach, matching, missing
 from ..plans.numbering import pinned
 from .audit import AuditProfile, audit_rows, outbox_rows
 
 CANCEL_CODES = (CANCEL_COMPLETE, CANCEL_PARTIAL)
+STORAGE = "0"  # the type of stock that is not reserved
 
 _ORDER_COLUMNS = (
     "display_order_number", "pro_number", "carton_label", "carrier", "weight", "cubic_volume", "client_code",
@@ -59,7 +61,7 @@ def zero_stock_lines(
     areas: DataFrame | None = None,
     logged: DataFrame | None = None,
     start_type: str = "301",
-    storage_type: str = "STORAGE",
+    storage_type: str = STORAGE,
     item_level_start: bool = False,
     wh_id: str | None = None,
 ) -> DataFrame:
@@ -142,10 +144,15 @@ def _typed(rows: DataFrame, order_detail: DataFrame, name: str = "tipo") -> Data
     )
 
 
-def _sent_items(ship_header: DataFrame, ship_detail: DataFrame, codes: Sequence[str]) -> DataFrame:
+def _sent_items(
+    ship_header: DataFrame, ship_detail: DataFrame, codes: Sequence[str], orders: DataFrame | None = None
+) -> DataFrame:
+    """Order and item of the messages with one of the codes; ``orders`` (control_number) limits the history."""
     headers = ship_header.filter(F.col("transaction_code").isin(*codes)).select(
         "shipment_id", F.col("order_number").alias("sent_order"), F.col("wh_id").alias("sent_wh")
     )
+    if orders is not None:
+        headers = matching(headers, orders, [("sent_order", "control_number")])
     details = ship_detail.select("shipment_id", "item_number")
     return attach(details, headers, ["shipment_id"], "inner")
 
@@ -170,7 +177,7 @@ def classify_cut(
         open_rows = open_rows.filter(F.col("exception_date") >= ts(since))
     rows = open_rows.select("control_number", "wh_id", "item_number").distinct()
     if ship_detail is not None:
-        sent = _sent_items(ship_header, ship_detail, codes)
+        sent = _sent_items(ship_header, ship_detail, codes, rows)
         rows = missing(rows, sent, [("control_number", "sent_order"), "item_number"])
     else:
         sent = ship_header.filter(F.col("transaction_code").isin(*codes))
@@ -179,9 +186,26 @@ def classify_cut(
     return found if cap is None else found.orderBy("control_number", "wh_id", "tipo").limit(cap)
 
 
+def pending_cancels(
+    log: DataFrame, order_detail: DataFrame, ship_header: DataFrame, ship_detail: DataFrame
+) -> DataFrame:
+    """Orders that a cut, this one or an earlier one, left to cancel, typed by what is left of them now.
+
+    An item whose cancellation was sent before does not count.
+    """
+    waiting = log.filter(
+        (F.col("tran_type") == CUT) & (F.col("suggested_value") == "PEND") & F.col("status").isin("PARTIAL", "COMPLETE")
+    )
+    rows = waiting.select("control_number", "wh_id", "item_number").distinct()
+    sent = _sent_items(ship_header, ship_detail, CANCEL_CODES, rows)
+    unsent = missing(rows, sent, [("control_number", "sent_order"), "item_number"])
+    return _typed(unsent, order_detail).select("control_number", "wh_id", "tipo").distinct()
+
+
 def one_type_per_order(classified: DataFrame) -> DataFrame:
     """PARTIAL wins if the items of an order disagree, so code and service cannot differ later."""
-    return classified.groupBy("control_number", "wh_id").agg(F.max("tipo").alias("tipo"))
+    partial = F.max(F.col("tipo") == "PARTIAL")
+    return classified.groupBy("control_number", "wh_id").agg(F.when(partial, "PARTIAL").otherwise("COMPLETE").alias("tipo"))
 
 
 def apply_cut(classified: DataFrame, log: DataFrame) -> ChangeSet:
@@ -248,16 +272,14 @@ def invoice_headers(
     vendors: DataFrame,
     types: DataFrame,
     cut_orders: DataFrame | None = None,
-    storage_type: str = "STORAGE",
+    storage_type: str = STORAGE,
     user: str = fixed.USER_CUT,
 ) -> DataFrame:
     """Invoice header of the orders past the last-item gate that have reserved stock.
 
     COMPLETE if planned and picked quantities agree; both count once per reserved stock row.
     """
-    gate = last_item_gate(picks)
-    if cut_orders is not None:
-        gate = matching(gate, cut_orders, ["order_number", "wh_id"], one_row_per_key=True)
+    gate = last_item_gate(picks if cut_orders is None else matching(picks, cut_orders, ["order_number", "wh_id"]))
     reserved = (
         stock.filter(F.col("type") != storage_type)
         .groupBy("type", "wh_id")
@@ -326,7 +348,7 @@ def invoice_details(
     units: DataFrame,
     attribute_values: DataFrame,
     attribute_map: DataFrame,
-    storage_type: str = "STORAGE",
+    storage_type: str = STORAGE,
     user: str = fixed.USER_CUT,
 ) -> DataFrame:
     """Invoice lines: reserved stock per pick, unit and container, with the mapped attributes."""
@@ -459,7 +481,7 @@ def cancel_interface(
     return ChangeSet(
         inserts={
             "t_al_host_shipment_master": headers,
-            "t_al_host_shipment_detail": details.drop("transaction_code"),
+            "t_al_host_shipment_detail": with_id(details.drop("transaction_code"), "shipment_detail_id"),
         },
         updates={"t_exception_log": Update(done, ("control_number", "tran_type"), where=pending)},
         outbox=outbox_rows(known, F.col("service")),
@@ -494,6 +516,12 @@ def cancel_trace(
     )
 
 
+def log_cancels(rows: DataFrame, as_of: datetime, descriptions: DataFrame | None = None) -> ChangeSet:
+    """Audit rows of all traced lines."""
+    parts = [log_cancel(rows, code, as_of, descriptions) for code in CANCEL_CODES]
+    return ChangeSet(audit=reduce(DataFrame.unionByName, parts))
+
+
 def log_cancel(rows: DataFrame, code: str, as_of: datetime, descriptions: DataFrame | None = None) -> DataFrame:
     """Audit rows of the traced lines of one code."""
     profile = AuditProfile(
@@ -521,7 +549,10 @@ def cancel_eligible(
         ["order_number", "wh_id"],
         "inner",
     ).drop("listed")
-    headers = ship_header.select("shipment_id", "order_number", "wh_id", "transaction_code")
+    # a message of a listed order alone can make one of its lines ineligible
+    headers = matching(
+        ship_header.select("shipment_id", "order_number", "wh_id", "transaction_code"), listed, ["order_number", "wh_id"]
+    )
     sent = attach(ship_detail.select("shipment_id", "item_number"), headers, ["shipment_id"], "inner")
     # a cancel code or any other code makes the line ineligible
     known = sent.filter(F.col("transaction_code").isNotNull())
@@ -593,7 +624,10 @@ def apply_cancel(
         "order_number", "wh_id", F.lit("C").alias("status")
     )
     return ChangeSet(
-        inserts={"t_al_host_shipment_master": headers, "t_al_host_shipment_detail": details},
+        inserts={
+            "t_al_host_shipment_master": headers,
+            "t_al_host_shipment_detail": with_id(details, "shipment_detail_id", code),
+        },
         updates={
             "t_order_detail": Update(updated_lines, line_key),
             "t_order": Update(closed, ("order_number", "wh_id")),
@@ -630,7 +664,9 @@ def shipinfo_headers(
 
 def shipinfo_details(headers: DataFrame, orders: DataFrame, picks: DataFrame, containers: DataFrame) -> DataFrame:
     """Shipped picks of the headers: picked quantity per line and tracking number."""
-    rows = picks.filter(F.col("status") == "SHIPPED").groupBy(
+    # only the picks of the given headers are added up
+    shipped = matching(picks.filter(F.col("status") == "SHIPPED"), headers, ["load_id", "order_number", "wh_id"])
+    rows = shipped.groupBy(
         "load_id", "order_number", "wh_id", "line_number", "item_number", "container_id"
     ).agg(F.sum("picked_quantity").alias("qty"))
     joined = attach(rows, _with_buyer(headers, orders), ["load_id", "order_number", "wh_id"], "inner")
@@ -668,7 +704,7 @@ def rebuild_shipinfo(
         "description", text(F.col("description"), F.col("control_number"))
     )
     return ChangeSet(
-        inserts={"t_al_host_shipment_master": headers, "t_al_host_shipment_detail": details},
+        inserts={"t_al_host_shipment_master": headers, "t_al_host_shipment_detail": with_id(details, "shipment_detail_id")},
         outbox=outbox_rows(headers, fixed.SEND_PRESHIP),
         audit=audit,
     )
@@ -708,9 +744,18 @@ class CutResult:
     tables: dict[str, DataFrame]
 
 
-def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = None) -> CutResult:
+def cut_cycle(
+    tables: dict[str, DataFrame],
+    as_of: datetime,
+    cap: int | None = None,
+    storage_type: str = STORAGE,
+    descriptions: DataFrame | None = None,
+) -> CutResult:
     """The cut from detection to cancel messages. Each phase reads the tables the last one left.
 
+    Orders are typed again after the cut, for code, service and trace alike; orders that an earlier run left
+    pending are cancelled with them.
+
     What a phase decides is checkpointed once, because several of its changes and the later phases
     read it. Nothing is visible until the caller publishes the tables.
     """
@@ -729,6 +774,7 @@ def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = N
         now["t_location"],
         now["t_pick_area"],
         now["t_exception_log"],
+        storage_type=storage_type,
     )
     run("detect", log_cut(pinned(lines), as_of))
     log, detail = now["t_exception_log"], now["t_order_detail"]
@@ -741,7 +787,8 @@ def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = N
     run("status", ChangeSet(updates={"t_order": Update(status, ("order_number",))}))
     headers = pinned(
         invoice_headers(
-            now["t_pick_detail"], now["t_stored_item"], now["t_order"], now["t_vendor"], now["v_type"], orders_cut
+            now["t_pick_detail"], now["t_stored_item"], now["t_order"], now["t_vendor"], now["v_type"], orders_cut,
+            storage_type,
         )
     )
     details = invoice_details(
@@ -754,10 +801,16 @@ def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = N
         now["t_item_uom"],
         now["t_sto_attrib_collection_detail"],
         now["t_attribute_legacy_map"],
+        storage_type,
     )
     run(
         "invoice",
-        ChangeSet(inserts={"t_al_host_shipment_master": headers, "t_al_host_shipment_detail": details}),
+        ChangeSet(
+            inserts={
+                "t_al_host_shipment_master": headers,
+                "t_al_host_shipment_detail": with_id(details, "shipment_detail_id"),
+            }
+        ),
     )
     tasks = closable_tasks(
         now["t_pick_detail"],
@@ -767,9 +820,14 @@ def cut_cycle(tables: dict[str, DataFrame], as_of: datetime, cap: int | None = N
         now["t_al_host_shipment_detail"],
     )
     run("tasks", close_cut_tasks(pinned(tasks), as_of))
-    run(
-        "cancel",
-        cancel_interface(classified, now["t_order"], now["t_order_detail"], now["t_item_master"], now["t_item_uom"]),
+    log, detail = now["t_exception_log"], now["t_order_detail"]
+    cancels = pinned(
+        pending_cancels(log, detail, now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"])
+    )
+    run("cancel", cancel_interface(cancels, now["t_order"], detail, now["t_item_master"], now["t_item_uom"]))
+    trace = cancel_trace(
+        cancels, now["t_order"], detail, now["t_item_master"], now["t_pick_detail"], now["t_tran_log"]
     )
+    run("trace", log_cancels(pinned(trace), as_of, descriptions))
     run("send", flush_invoices(now["t_al_host_shipment_master"], as_of))
     return CutResult(phases, now)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.clock import day, joined_timestamp, ts
-from ..plans.changeset import ChangeSet, Delete, Update
+from ..plans.changeset import ChangeSet, Delete, Update, with_id
 from ..plans.joins import attach, matching
 
 PICK_KEY = ("item_number", "order_number", "line_number", "wave_id", "wh_id")
@@ -79,14 +79,15 @@ def delete_picks(surplus: DataFrame, as_of: datetime | None = None) -> ChangeSet
         "employee_id": F.lit(fixed.USER),
         "error_message": F.lit("PKD Duplicada"),
     }
-    return ChangeSet(inserts={"t_exception_log": logged.withColumns(constants)}, deletes=deletes)
+    rows = with_id(logged.withColumns(constants), "exception_id")
+    return ChangeSet(inserts={"t_exception_log": rows}, deletes=deletes)
 
 
 def dup_log(
     tran_log: DataFrame,
     as_of: datetime,
+    days: int | None,
     tran_type: str = fixed.CANCEL_PARTIAL,
-    days: int | None = 10,
     keys: Sequence[str] = ("control_number", "description", "item_number", "wh_id", "employee_id", "tran_qty"),
     strict: bool = False,
 ) -> DataFrame:
@@ -128,7 +129,7 @@ def delete_log(surplus: DataFrame, as_of: datetime) -> ChangeSet:
         F.date_format("latest", "dd/MM/yyyy HH:mm:ss").alias("error_message"),
     )
     return ChangeSet(
-        inserts={"t_exception_log": logged},
+        inserts={"t_exception_log": with_id(logged, "exception_id")},
         deletes={"t_tran_log": Delete(surplus.select("tran_log_id").distinct(), ("tran_log_id",))},
     )
 

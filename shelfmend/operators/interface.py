@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.text import guid, text, trouble_status
-from ..plans.changeset import ChangeSet, Update
+from ..plans.changeset import ChangeSet, Update, with_id
 from ..plans.joins import attach, matching, missing
 from ..plans.numbering import number_rows, number_within
 from .audit import outbox_rows
@@ -57,7 +57,7 @@ def apply_transfer(lines: DataFrame) -> ChangeSet:
         F.lit("CORREÇÃO").alias("gen_attribute_value8"),
     )
     return ChangeSet(
-        inserts={"t_al_host_shipment_detail": created},
+        inserts={"t_al_host_shipment_detail": with_id(created, "shipment_detail_id")},
         updates={"t_al_host_shipment_detail": Update(zeroed, ("shipment_detail_id",))},
     )
 
@@ -96,9 +96,10 @@ def apply_rekey(rows: DataFrame, service: str = fixed.SEND_ORDER_STATUS) -> Chan
     )
 
 
-def record_replies(replies: DataFrame) -> ChangeSet:
-    """Store the first ten characters of each group's reply (host_group_id, reply)."""
-    stored = replies.groupBy("host_group_id").agg(F.max(F.substring("reply", 1, 10)).alias("asn_line_number"))
+def record_replies(replies: DataFrame, length: int | None = None) -> ChangeSet:
+    """Store each group's reply (host_group_id, reply), or its first ``length`` characters."""
+    reply = F.col("reply") if length is None else F.substring("reply", 1, length)
+    stored = replies.groupBy("host_group_id").agg(F.max(reply).alias("asn_line_number"))
     return ChangeSet(updates={"t_al_host_ship_detail": Update(stored, ("host_group_id",))})
 
 
@@ -155,7 +156,8 @@ def receipts_from_asn(notices: DataFrame, po: DataFrame, pos: Sequence | None =
     """Receipt rows of transfer notices, one message group per order."""
     chosen = po if pos is None else po.filter(F.col("po_number").isin(*pos))
     heads = chosen.select("po_number", "vendor_code", "wh_id", "display_po_number", "client_code").distinct()
-    lines = notices.select(
+    own = notices if pos is None else matching(notices, heads, ["display_po_number", "wh_id"])
+    lines = own.select(
         "display_po_number", "wh_id", "item_number", "qty", "hu_id", "context", _carrier_text().alias("scac_code")
     ).distinct()
     return attach(lines, heads, ["display_po_number", "wh_id"], "inner").select(
@@ -195,13 +197,11 @@ def close_store_po(
     notices: DataFrame,
     receipts: DataFrame,
     type_id: str = "1637",
-    match_item: bool = True,
     per_po: bool = False,
 ) -> DataFrame:
     """Numbered receipt rows for listed open store orders with new notices and no receipt yet.
 
-    Order lines pair with the notices of the same order and item. ``match_item=False`` pairs every
-    line with every notice of the order, which is only meant for orders of a single item. Rows are
+    Order lines pair with the notices of the same order and item. Rows are
     numbered over all orders, or within each with ``per_po``; both ways work range by range.
     """
     opened = po.filter((F.col("status") == "O") & (F.col("type_id") == type_id))
@@ -213,12 +213,8 @@ def close_store_po(
         _carrier_text().alias("scac_code"),
     )
     noticed = attach(new, heads, ["display_po_number", "wh_id"], "inner")
-    lines = po_detail.select("po_number", "wh_id", "item_number", "qty")
-    if match_item:
-        lines = lines.withColumn("line_item", F.col("item_number"))
-        joined = attach(noticed, lines, ["po_number", "wh_id", ("asn_item", "line_item")], "inner")
-    else:
-        joined = attach(noticed, lines, ["po_number", "wh_id"], "inner")
+    lines = po_detail.select("po_number", "wh_id", "item_number", "qty", F.col("item_number").alias("line_item"))
+    joined = attach(noticed, lines, ["po_number", "wh_id", ("asn_item", "line_item")], "inner")
     rows = joined.select(
         guid(F.lit(fixed.STORE_RECEIPT), "po_number").alias("host_group_id"),
         F.lit(fixed.STORE_RECEIPT).alias("transaction_code"),
@@ -255,13 +251,17 @@ def receipts_from_erp(
     arrivals = shipment.select("shipment", "bol_no", "to_loc")
     shipped = attach(heads, arrivals, [("display_po_number", "bol_no"), ("wh_id", "to_loc")], "inner")
     scac = F.concat_ws("", F.col("distro_type").cast("string"), F.lit("-"), F.col("distro_no").cast("string"))
-    cartons = shipsku.groupBy("shipment", "item", "carton", scac.alias("scac_code")).agg(
+    # only the cartons of closed orders, and only their notices, are added up
+    own = matching(shipsku, shipped, ["shipment"])
+    cartons = own.groupBy("shipment", "item", "carton", scac.alias("scac_code")).agg(
         F.sum("qty_expected").alias("qty")
     )
     lines = attach(cartons, shipped, ["shipment"], "inner")
     keys = ["vendor_code", "wh_id", "po_number", "item", "display_po_number", "carton", "scac_code", "client_code"]
     summed = lines.groupBy(*keys).agg(F.sum("qty").alias("qty_received"))
-    context = notices.groupBy("hu_id").agg(F.max(trouble_status("context")).alias("status"))
+    about = matching(notices.select("hu_id", "context"), lines, [("hu_id", "carton")])
+    troubled = F.max(trouble_status("context") == "TRBL")
+    context = about.groupBy("hu_id").agg(F.when(troubled, "TRBL").otherwise("ATS").alias("status"))
     judged = attach(summed, context, [("carton", "hu_id")])
     rows = judged.select(
         guid(F.lit(fixed.RECEIPT), "po_number", "wh_id").alias("host_group_id"),

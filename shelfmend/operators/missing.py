@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.clock import day, joined_timestamp, ts
 from ..functions.text import guid, padded_document_key, store_location, text
-from ..plans.changeset import ChangeSet, Update
+from ..plans.changeset import ChangeSet, Update, with_id
 from ..plans.joins import attach, matching, missing, null_safe
 from ..plans.numbering import number_rows
 from .audit import AuditProfile, audit_rows, outbox_rows
@@ -23,12 +23,14 @@ def unsent_adjustments(
     exceptions: DataFrame,
     service_log: DataFrame,
     as_of: datetime,
-    days: int = 30,
+    days: int | None,
     service: str = fixed.SEND_ADJUSTMENT,
     wh_id: str | None = None,
 ) -> DataFrame:
-    """Adjustments of the last days whose message group was never sent, with any logged error."""
-    rows = adjustments.filter(F.col("record_create_date") >= ts(day(as_of, days)))
+    """Adjustments of the last ``days`` (None: all) whose message group was never sent, with any logged error."""
+    rows = adjustments
+    if days is not None:
+        rows = rows.filter(F.col("record_create_date") >= ts(day(as_of, days)))
     if wh_id is not None:
         rows = rows.filter(F.col("wh_id") == wh_id)
     calls = service_log.filter(F.col("webservice_id") == service)
@@ -83,9 +85,9 @@ def close_tasks_without_hu(found: DataFrame, as_of: datetime, employee: str = fi
 
 
 def missing_followup(
-    ship: DataFrame, as_of: datetime, first: str = fixed.PICKED_UP, second: str = fixed.INVOICE, days: int | None = 20
+    ship: DataFrame, as_of: datetime, days: int | None, first: str = fixed.PICKED_UP, second: str = fixed.INVOICE
 ) -> DataFrame:
-    """Orders with the first message but without the second."""
+    """Orders with the first message, in the last ``days`` (None: ever), but without the second."""
     started = ship.filter(F.col("transaction_code") == first)
     if days is not None:
         started = started.filter(F.col("record_create_date") >= ts(day(as_of, days)))
@@ -255,9 +257,11 @@ def read_after_divert(
     units = _untyped_units(hu, po, containing, equal, excluded, wh_id)
     kind = F.col("tran_type")
     at = joined_timestamp("start_tran_date", "start_tran_time")
+    # the log is large and the containers are few
+    log = tran_log.filter(kind.isin(read_type, divert_type))
+    own = matching(log.select("hu_id", "wh_id", "tran_type", "start_tran_date", "start_tran_time"), units, ["hu_id", "wh_id"])
     moments = (
-        tran_log.filter(kind.isin(read_type, divert_type))
-        .groupBy("hu_id", "wh_id")
+        own.groupBy("hu_id", "wh_id")
         .agg(
             F.max(F.when(kind == read_type, at)).alias("last_read"),
             F.min(F.when(kind == divert_type, at)).alias("first_divert"),
@@ -285,7 +289,7 @@ def type_containers(rows: DataFrame, as_of: datetime, message: str) -> ChangeSet
     typed = rows.select("hu_id", "wh_id").distinct().withColumn("container_type", F.lit("CX"))
     still_untyped = F.col("container_type").isNull()
     return ChangeSet(
-        inserts={"t_exception_log": logged},
+        inserts={"t_exception_log": with_id(logged, "exception_id")},
         updates={"t_hu_master": Update(typed, ("hu_id", "wh_id"), where=still_untyped)},
     )
 
@@ -494,7 +498,7 @@ def sorter_returns(
     tran_log: DataFrame,
     hu: DataFrame,
     as_of: datetime,
-    days: int | None = 5,
+    days: int | None,
     excluded: Sequence[str] = fixed.RAIL_BUFFERS,
     moved_type: str = "317",
     returned_type: str = "024",

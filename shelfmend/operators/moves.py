@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.clock import ts
-from ..plans.changeset import ChangeSet, Delete, Update
+from ..functions.text import new_id
+from ..plans.changeset import ChangeSet, Delete, Update, with_id
 from ..plans.joins import attach, matching, missing
 from ..plans.numbering import running_total
 from .audit import AuditProfile, audit_rows
 
 PLACE = ("wh_id", "item_number", "location_id", "hu_id")
 SPOT = ("item_number", "wh_id", "location_id")
+ROW = ("sequence", *SPOT)  # a stock row: rows written by other jobs may share a sequence
 
 
 def move_stock(stock: DataFrame, moves: DataFrame) -> DataFrame:
@@ -47,9 +49,11 @@ def upsert_plan(stock: DataFrame, deltas: DataFrame) -> DataFrame:
     return joined.withColumn("action", F.when(F.col("rows_present").isNull(), "INSERT").otherwise("UPDATE"))
 
 
-def _new_stock(rows: DataFrame, as_of: datetime, row_type: str) -> DataFrame:
+def _new_stock(rows: DataFrame, stock: DataFrame, as_of: datetime, row_type: str) -> DataFrame:
+    """One new row for each place, under a key of its own."""
+    key = new_id(dict(stock.dtypes).get("sequence", "string"), *SPOT, F.lit(row_type), F.lit(as_of.isoformat()))
     return rows.select(
-        F.lit("0").alias("sequence"),
+        key.alias("sequence"),
         "item_number",
         F.col("qty").alias("actual_qty"),
         F.lit(0.0).alias("unavailable_qty"),
@@ -65,13 +69,16 @@ def upsert_increment(
     stock: DataFrame,
     deltas: DataFrame,
     as_of: datetime,
-    row_type: str = "STORAGE",
+    row_type: str,
     profile: AuditProfile | None = None,
+    refresh: bool = False,
 ) -> ChangeSet:
-    """Add quantities at a location: to every stock row there, or as a new row if there is none."""
+    """Add quantities at a location: to every stock row there, or as a new row of ``row_type`` if there is
+    none. With ``refresh`` increased rows also get the moment as their FIFO date."""
     plan = upsert_plan(stock, deltas)
-    added = plan.filter(F.col("action") == "UPDATE").select(*SPOT, F.col("qty").alias("actual_qty"))
-    created = _new_stock(plan.filter(F.col("action") == "INSERT"), as_of, row_type)
+    dated = [ts(as_of).alias("fifo_date")] if refresh and "fifo_date" in stock.columns else []
+    added = plan.filter(F.col("action") == "UPDATE").select(*SPOT, F.col("qty").alias("actual_qty"), *dated)
+    created = _new_stock(plan.filter(F.col("action") == "INSERT"), stock, as_of, row_type)
     return ChangeSet(
         inserts={"t_stored_item": created},
         updates={"t_stored_item": Update(added, SPOT, add=("actual_qty",))},
@@ -84,6 +91,8 @@ def load_quantity(ship_header: DataFrame, ship_detail: DataFrame, loads: DataFra
     headers = ship_header.select("shipment_id", "load_id", "wh_id")
     if loads is not None:
         headers = matching(headers, loads, ["load_id"])
+        # only the lines of the given loads are added up
+        ship_detail = matching(ship_detail.select("shipment_id", "item_number", "quantity_shipped"), headers, ["shipment_id"])
     # lines are added up per shipment first: a large shipment is one row per item in the join
     lines = ship_detail.groupBy("shipment_id", "item_number").agg(F.sum("quantity_shipped").alias("qty"))
     joined = attach(lines, headers, ["shipment_id"], "inner")
@@ -107,7 +116,9 @@ def claim_po_stock(
     if clients is not None:
         opened = opened.filter(F.col("client_code").isin(*clients))
     typed = matching(opened, lookup.filter(F.col("lookup_type") == "TYPE"), [("type_id", "lookup_id")])
-    lines = po_detail.groupBy("po_number", "wh_id", "item_number").agg(F.sum("qty").alias("qty"))
+    # few orders are open claims: their lines alone are added up
+    own = matching(po_detail.select("po_number", "wh_id", "item_number", "qty"), typed, ["po_number", "wh_id"])
+    lines = own.groupBy("po_number", "wh_id", "item_number").agg(F.sum("qty").alias("qty"))
 
     def target(kind: str) -> Column:
         return F.max(F.when(F.col("control_type") == kind, F.col("c1")))
@@ -134,7 +145,7 @@ def receive_claims(
 ) -> ChangeSet:
     """Put claim stock away, close its orders and log each item."""
     placed = claims.filter(F.col("location_id").isNotNull())
-    raised = upsert_increment(stock, placed.select(*SPOT, "qty"), as_of)
+    raised = upsert_increment(stock, placed.select(*SPOT, "qty"), as_of, row_type="STORAGE", refresh=True)
     closed = claims.select("po_number", "wh_id").distinct().withColumn("status", F.lit("C"))
     profile = AuditProfile(
         *fixed.LOG_CLAIM_STOCK,
@@ -173,7 +184,8 @@ def move_fitting(
     if strict:
         chosen = fitting
     else:
-        summed = running_total(fitting, ["item_number", "wh_id"], [F.desc("qty"), "sequence"], "qty", "moved")
+        order = [F.desc("qty"), "sequence", "location_id", "hu_id"]  # total, also where rows share a sequence
+        summed = running_total(fitting, ["item_number", "wh_id"], order, "qty", "moved")
         chosen = summed.filter(F.col("moved") <= F.col("planned")).drop("moved")
     return chosen.withColumn("destination", F.lit(destination))
 
@@ -317,11 +329,11 @@ def apply_lot_merge(merged: DataFrame, stock: DataFrame, strict: bool = False) -
     kept = rows.filter((F.col("keep") == "NO_LOT") == plain)
     if not strict:
         kept = kept.filter(F.col("sequence") == F.col("kept_sequence"))
-    raised = kept.select("sequence", (F.col("actual_qty") + F.col("added_qty")).alias("actual_qty"))
-    dropped = rows.filter((F.col("keep") == "NO_LOT") != plain).select("sequence")
+    raised = kept.select(*ROW, (F.col("actual_qty") + F.col("added_qty")).alias("actual_qty"))
+    dropped = rows.filter((F.col("keep") == "NO_LOT") != plain).select(*ROW)
     return ChangeSet(
-        updates={"t_stored_item": Update(raised, ("sequence",))},
-        deletes={"t_stored_item": Delete(dropped, ("sequence",))},
+        updates={"t_stored_item": Update(raised, ROW)},
+        deletes={"t_stored_item": Delete(dropped, ROW)},
     )
 
 
@@ -350,9 +362,9 @@ def apply_consolidation(groups: DataFrame, stock: DataFrame, as_of: datetime) ->
     # one loose row per place takes the quantity
     first = loose.groupBy(*SPOT).agg(F.min(F.struct("sequence", "actual_qty")).alias("first"))
     raised = attach(sums.filter("has_loose"), first, list(SPOT), "inner", one_row_per_key=True).select(
-        F.col("first.sequence").alias("sequence"), (F.col("first.actual_qty") + F.col("qty")).alias("actual_qty")
+        F.col("first.sequence").alias("sequence"), *SPOT, (F.col("first.actual_qty") + F.col("qty")).alias("actual_qty")
     )
-    created = _new_stock(sums.filter(~F.col("has_loose")), as_of, "STORAGE")
+    created = _new_stock(sums.filter(~F.col("has_loose")), stock, as_of, "STORAGE")
     emptied = matching(stock.select("sequence", "hu_id", *SPOT), groups, ["hu_id", *SPOT])
     # a unit is dropped only if no other stock is left in it
     left_over = missing(
@@ -370,9 +382,9 @@ def apply_consolidation(groups: DataFrame, stock: DataFrame, as_of: datetime) ->
     )
     return ChangeSet(
         inserts={"t_stored_item": created},
-        updates={"t_stored_item": Update(raised, ("sequence",))},
+        updates={"t_stored_item": Update(raised, ROW)},
         deletes={
-            "t_stored_item": Delete(emptied.select("sequence"), ("sequence",)),
+            "t_stored_item": Delete(emptied.select(*ROW, "hu_id"), (*ROW, "hu_id")),
             "t_hu_master": Delete(gone, ("hu_id", "wh_id")),
         },
         audit=audit_rows(groups, profile, as_of),
@@ -473,7 +485,8 @@ def confirm_load(
 
 def apply_load(rows: DataFrame) -> ChangeSet:
     """Stock and unit to the dock, picks loaded with all quantities at the planned one."""
-    stock_rows = rows.groupBy("sequence").agg(
+    held = ("sequence", "item_number", "wh_id", "hu_id")
+    stock_rows = rows.groupBy(*held).agg(
         F.max("dock").alias("location_id"), F.max(F.col("pick_id").cast("string")).alias("type")
     )
     units = rows.groupBy("hu_id", "wh_id").agg(F.max("dock").alias("location_id")).withColumn("type", F.lit("LO"))
@@ -483,7 +496,7 @@ def apply_load(rows: DataFrame) -> ChangeSet:
     )
     return ChangeSet(
         updates={
-            "t_stored_item": Update(stock_rows, ("sequence",)),
+            "t_stored_item": Update(stock_rows, held),
             "t_hu_master": Update(units, ("hu_id", "wh_id")),
             "t_pick_detail": Update(picks.withColumn("status", F.lit("LOADED")), ("pick_id",)),
         }
@@ -534,7 +547,7 @@ def apply_restore(
         F.col("order_number").alias("tracking_number"),
     )
     return ChangeSet(
-        inserts={"t_exception_log": log},
+        inserts={"t_exception_log": with_id(log, "exception_id")},
         updates={"t_order_detail": Update(given_back, line, where=F.col("afo_plan_qty") == 0)},
         deletes={
             "t_afo_wave_detail_line": Delete(dropped, line_keys),
@@ -546,14 +559,14 @@ def apply_restore(
 
 
 def seed_stock(
-    picks: DataFrame, orders: DataFrame, location: str, as_of: datetime, qty: float = 200.0, newest: int = 500
+    picks: DataFrame, orders: DataFrame, location: str, as_of: datetime, qty: float = 200.0, newest: int | None = None
 ) -> DataFrame:
-    """Test stock for the items of the newest released picks."""
+    """Test stock for the items of the released picks; ``newest`` takes only so many picks, by date and id."""
     released = picks.filter((F.col("type") == "PP") & (F.col("status") == "RELEASED"))
     known = matching(released, orders, ["order_number", "wh_id"])
-    top = known.select("item_number", "wh_id", "create_date", "pick_id").orderBy(
-        F.desc("create_date"), "pick_id"
-    ).limit(newest)
+    top = known.select("item_number", "wh_id", "create_date", "pick_id")
+    if newest is not None:
+        top = top.orderBy(F.desc("create_date"), "pick_id").limit(newest)
     return _seeded(top.select("item_number", "wh_id").distinct(), location, as_of, qty)
 
 

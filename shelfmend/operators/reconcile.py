@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.clock import ts
 from ..functions.text import guid
-from ..plans.changeset import ChangeSet
+from ..plans.changeset import ChangeSet, with_id
 from ..plans.joins import attach, matching
 from .audit import AuditProfile, audit_rows, outbox_rows
 from .moves import upsert_increment
@@ -383,7 +383,7 @@ def emit_adjustments(candidates: DataFrame, profile: AdjustmentProfile, as_of: d
     )
     audit = audit_rows(candidates, profile.audit, as_of) if profile.audit is not None else None
     return ChangeSet(
-        inserts={"t_al_host_inventory_adjustment": messages},
+        inserts={"t_al_host_inventory_adjustment": with_id(messages, "adjustment_id")},
         outbox=outbox_rows(messages, profile.service),
         audit=audit,
     )
@@ -391,11 +391,14 @@ def emit_adjustments(candidates: DataFrame, profile: AdjustmentProfile, as_of: d
 
 def equalise_totals(gaps: DataFrame, stock: DataFrame, dest_loc: str, ticket: str, as_of: datetime) -> ChangeSet:
     """Repair for :func:`reconcile_totals`: raise the warehouse stock at the destination and, where
-    the blocked quantities differ too, tell the ERP to hold (700) or release (750) the gap."""
+    the blocked quantities differ too, tell the ERP to hold (700) or release (750) the gap.
+
+    A gap whose blocked quantity is unknown raises nothing; it is only logged."""
     rows = gaps.withColumnRenamed("item", "item_number")
+    judged = rows.filter(F.col("blocked_status").isin("DEC_RMS_IND", "EQUALIZADO", "INC_HJ_IND"))
     raised = upsert_increment(
         stock,
-        rows.select("item_number", "wh_id", F.lit(dest_loc).alias("location_id"), F.col("dif_erp_wms").alias("qty")),
+        judged.select("item_number", "wh_id", F.lit(dest_loc).alias("location_id"), F.col("dif_erp_wms").alias("qty")),
         as_of,
         row_type="0",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -88,28 +88,42 @@ def invoice_latency(
     printed_since: datetime,
     code: str = fixed.INVOICE,
     print_service: str = fixed.PRINT_INVOICE,
-    number_length: int = 11,
+    number_length: int | None = None,
 ) -> DataFrame:
     """First send and first invoice print of each shipment message, with the elapsed times.
 
-    A print belongs to a message if its request text contains the first ``number_length``
-    characters of the order number. The containment test is an equi-join: every substring of the
-    request that is as long as some order number is a candidate key.
+    A print belongs to a message if its request text contains the order number, or its first
+    ``number_length`` characters. The containment test is an equi-join: numbers of digits can only stand in
+    runs of digits, so the parts of those runs that are as long as some number are the candidate keys, each
+    once a request. Only for order numbers with other characters all parts of the text are.
     """
     sent = ship.filter((F.col("transaction_code") == code) & (F.col("record_create_date") >= ts(shipped_since)))
-    sent = sent.withColumn("number_key", F.substring(F.col("order_number").cast("string"), 1, number_length))
+    number = F.col("order_number").cast("string")
+    sent = sent.withColumn("number_key", number if number_length is None else F.substring(number, 1, number_length))
 
-    first_send = service_log.groupBy("param1").agg(F.min("process_date").alias("web_s_pre_ship"))
+    # only the sends of these messages are looked at
+    own = matching(service_log.select("param1", "process_date"), sent, [("param1", "host_group_id")])
+    first_send = own.groupBy("param1").agg(F.min("process_date").alias("web_s_pre_ship"))
 
     prints = service_log.filter(
         (F.col("webservice_id") == print_service) & (F.col("process_date") >= ts(printed_since))
     ).select("soap_request", "process_date")
-    # the few lengths that occur, at most number_length of them
-    lengths = sent.select(F.collect_set(F.length("number_key"))).scalar()
-    sized = prints.select("*", F.explode(lengths).alias("n")).filter(F.length("soap_request") >= F.col("n"))
-    last = F.length("soap_request") - F.col("n") + 1
-    starts = sized.select("soap_request", "process_date", "n", F.explode(F.sequence(F.lit(1), last)).alias("at"))
-    pieces = starts.select("process_date", F.substring(F.col("soap_request"), F.col("at"), F.col("n")).alias("piece"))
+    digits = F.col("number_key").rlike("^[0-9]+$")
+
+    def lengths(kind: Column) -> Column:
+        """The few lengths that occur among the numbers of one kind."""
+        return sent.select(F.collect_set(F.when(kind, F.length("number_key")))).scalar()
+
+    def parts(runs: Column, sizes: Column) -> DataFrame:
+        run = prints.select("process_date", F.explode(runs).alias("run"))
+        sized = run.select("*", F.explode(sizes).alias("n")).filter(F.length("run") >= F.col("n"))
+        starts = F.sequence(F.lit(1), F.length("run") - F.col("n") + 1)
+        return sized.select("process_date", F.explode(starts).alias("at"), "run", "n").select(
+            "process_date", F.substring(F.col("run"), F.col("at"), F.col("n")).alias("piece")
+        )
+
+    in_digits = F.array_distinct(F.regexp_extract_all("soap_request", F.lit("[0-9]+"), F.lit(0)))
+    pieces = parts(in_digits, lengths(digits)).unionByName(parts(F.array("soap_request"), lengths(~digits)))
     wanted = sent.select(F.col("number_key").alias("piece"))
     first_print = matching(pieces, wanted, ["piece"]).groupBy("piece").agg(F.min("process_date").alias("nf_print"))
 

@@ -6,16 +6,16 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import col
+from ..functions.text import col, guid
 from .joins import attach, missing
 
 
 @dataclass(frozen=True)
 class Update:
-    """New values for the rows of one table. ``rows`` has one row per key.
+    """New values for the rows of one table. ``rows`` has one row per key; a second one fails the job.
 
     Every non-key column is a new value, or an amount to add if named in ``add``. ``into`` names the
     target column where it differs (a key column that itself changes). ``where`` is a condition on
@@ -67,21 +67,36 @@ class ChangeSet:
         return out
 
 
+def with_id(rows: DataFrame, name: str, *batch: Column | str) -> DataFrame:
+    """Add a unique key made from the batch and all columns; equal rows are told apart by a number."""
+    key = guid(F.lit(name), *batch, *rows.columns)
+    same = Window.partitionBy("_id").orderBy("_id")
+    numbered = rows.withColumn("_id", key).withColumn("_copy", F.row_number().over(same))
+    unique = F.when(F.col("_copy") == 1, F.col("_id")).otherwise(F.concat_ws("-", "_id", "_copy"))
+    return numbered.withColumn(name, unique).drop("_id", "_copy")
+
+
+def _one_per_key(update: Update) -> DataFrame:
+    """The update's rows by key, with how many there were; a NULL key changes nothing."""
+    values = F.struct(*[F.col(c).alias(t) for t, c in update.sources.items()], F.lit(True).alias("_hit"))
+    return update.rows.dropna(subset=list(update.on)).groupBy(*update.on).agg(
+        F.any_value(values).alias("_new"), F.count(F.lit(1)).alias("_rows")
+    )
+
+
 def apply_update(table: DataFrame, update: Update) -> DataFrame:
     """Table with the update applied; all new values are read from the old row at once."""
     sources = update.sources
-    fresh = update.rows.select(
-        *update.on, *[F.col(c).alias(f"_new_{t}") for t, c in sources.items()], F.lit(True).alias("_hit")
-    )
-    joined = attach(table, fresh, list(update.on))
-    hit = F.col("_hit").isNotNull()
+    joined = attach(table, _one_per_key(update), list(update.on))
+    twice = F.raise_error(F.lit(f"several updates for one key of {', '.join(update.on)}")).cast("boolean")
+    hit = F.when(F.col("_rows") > 1, twice).otherwise(F.col("_rows").isNotNull())
     if update.where is not None:
         hit = hit & F.coalesce(update.where, F.lit(False))
 
     def value(c: str) -> Column:
         if c not in sources:
             return F.col(c)
-        new = F.col(f"_new_{c}")
+        new = F.col(f"_new.{c}")
         if c in update.add:
             new = F.col(c) + new
         if c in update.keep:

@@ -7,7 +7,6 @@ ranges contribute is one row per range.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,15 +16,11 @@ _POSITION_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="shelfmend-")
-    context.setCheckpointDir(folder)
+    """The folder the session names, or one in the warehouse, which all executors share as well."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(shared or f"{warehouse}/_checkpoints")
 
 
 def pinned(df: DataFrame) -> DataFrame:

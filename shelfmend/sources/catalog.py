@@ -171,6 +171,7 @@ SCHEMAS: Mapping[str, StructType] = {
 DAY_COLUMN = {
     "t_tran_log": "start_tran_date",
     "t_exception_log": "exception_date",
+    "t_tran_log_holding": "start_tran_date",
     "t_webservice_alloc_log": "process_date",
     "t_al_host_shipment_master": "record_create_date",
     "t_al_host_inventory_adjustment": "record_create_date",

@@ -1,7 +1,9 @@
 """The supplied test tables in the shape of the warehouse tables.
 
-Every view maps whole tables; what differs between rows comes from their own columns. Keys stay
-integers where the test data has integers; the operators accept either.
+Every view maps whole tables; what differs between rows comes from their own columns. A view that
+leaves out the rows of some kind does so because the operators look for what is missing, and the rest of
+the table is there to be missed. Keys stay integers where the test data has integers, and are composed as
+text where it has several; the operators accept either.
 """
 
 from __future__ import annotations
@@ -9,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PICK_ID = "((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber"
+PICK_ID = (
+    "concat_ws('-', cast(l_orderkey AS string), cast(l_partkey AS string), cast(l_suppkey AS string),"
+    " cast(l_linenumber AS string))"
+)
 
 
 class Samples:
@@ -345,7 +350,7 @@ class Samples:
             "item_number",
             "wh_id",
             "qty AS planned_qty",
-            "order_number * 1000000 + item_number AS wave_detail_line_id",
+            "concat_ws('-', cast(order_number AS string), cast(item_number AS string)) AS wave_detail_line_id",
             "order_number AS wave_detail_id",
         )
 

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmend.bindings.cut import cut_tables
-from shelfmend.operators.cut import cut_cycle, last_item_gate
+from shelfmend.operators.cut import apply_cut, classify_cut, cut_cycle, last_item_gate, pending_cancels
+from shelfmend.plans.changeset import apply_update
 from shelfmend.sources.samples import Samples
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,8 +17,8 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test data not
 
 def test_cut_cycle(spark):
     before = cut_tables(Samples(spark, FOLDER))
-    result = cut_cycle(before, datetime(2024, 1, 31))
-    assert list(result.phases) == ["detect", "cut", "status", "invoice", "tasks", "cancel", "send"]
+    result = cut_cycle(before, datetime(2024, 1, 31), storage_type="STORAGE")
+    assert list(result.phases) == ["detect", "cut", "status", "invoice", "tasks", "cancel", "trace", "send"]
     after = result.tables
     for name, table in before.items():
         assert set(table.columns) <= set(after[name].columns), name
@@ -35,6 +36,13 @@ def test_cut_cycle(spark):
     assert by_code.get("360", 0) == by_service.get("EXP_CANCEL_ORDER", 0)
     assert by_code.get("361", 0) == by_service.get("EXP_CANCEL_PARTIAL_ORDER", 0)
 
+    # every cancelled line without a log row of its own is traced under the code of its message
+    traced = result.phases["trace"].audit.select("control_number", F.col("tran_type").alias("transaction_code")).distinct()
+    sent = result.phases["cancel"].inserts["t_al_host_shipment_master"].select(
+        F.col("order_number").cast("string").alias("control_number"), "transaction_code"
+    )
+    assert traced.count() > 0 and traced.exceptAll(sent).count() == 0
+
     # cut picks are no longer released; nothing else changed its planned quantity
     cut_picks = after["t_pick_detail"].filter("user_assigned = 'HJS_CORTE'")
     assert cut_picks.filter("status <> 'PICKED'").count() == 0 < cut_picks.count()
@@ -45,3 +53,33 @@ def test_cut_cycle(spark):
     headers = result.phases["invoice"].inserts["t_al_host_shipment_master"].select("order_number", "wh_id")
     gate = last_item_gate(after["t_pick_detail"])
     assert headers.join(gate, ["order_number", "wh_id"], "left_anti").count() == 0
+
+
+def test_second_run_sends_nothing_twice(spark):
+    before = cut_tables(Samples(spark, FOLDER))
+    first = cut_cycle(before, datetime(2024, 1, 31), storage_type="STORAGE")
+    second = cut_cycle(first.tables, datetime(2024, 2, 1), storage_type="STORAGE")
+    assert second.phases["cancel"].outbox.count() == 0 and second.phases["trace"].audit.count() == 0
+
+
+def test_items_cut_together_leave_nothing(spark, frame):
+    """Two items of one order are cut: each is the other's last, so the order is cancelled as a whole."""
+    log = frame(
+        "control_number string, wh_id int, item_number string, tran_type string, lot_number string, status string,"
+        " suggested_value string, quantity double, load_id int, exception_id string",
+        ("o", 1, "a", "033", "PRO_E", None, None, 3.0, 1, "x"), ("o", 1, "b", "033", "PRO_E", None, None, 2.0, 1, "y"),
+        ("p", 1, "a", "033", "PRO_E", "PARTIAL", "PEND", 3.0, 1, "z"),
+    )
+    lines = frame(
+        "order_number string, wh_id int, item_number string, bo_qty double, qty double, afo_plan_qty double",
+        ("o", 1, "a", 0.0, 3.0, 0.0), ("o", 1, "b", 0.0, 2.0, 0.0), ("p", 1, "a", 3.0, 3.0, 0.0),
+        ("p", 1, "c", 0.0, 1.0, 0.0),
+    )
+    ship = frame("shipment_id string, order_number string, wh_id int, transaction_code string")
+    sent = frame("shipment_id string, item_number string")
+    changes = apply_cut(classify_cut(log, lines, ship, sent), log)
+    log = apply_update(log, changes.updates["t_exception_log"])
+    lines = apply_update(lines, changes.updates["t_order_detail"])
+    found = pending_cancels(log, lines, ship, sent).collect()
+    # the order an earlier run left pending is cancelled with it
+    assert sorted((r.control_number, r.tipo) for r in found) == [("o", "COMPLETE"), ("p", "PARTIAL")]

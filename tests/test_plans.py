@@ -13,6 +13,7 @@ from shelfmend.plans.changeset import (
     apply_change_set,
     apply_update,
     ledger,
+    with_id,
 )
 from shelfmend.plans.joins import attach, matching, missing, null_safe
 from shelfmend.plans.numbering import number_rows, number_within, running_total
@@ -169,7 +170,9 @@ def test_change_set_order_and_publish(spark, frame, bag, tmp_path):
     assert bag(back["t"]) == [(1, "z"), (3, None)]
     again = ChangeSet(updates={"t": Update(frame("id int, v string", (3, "c")), ("id",))})
     paths = publish_changes(spark, root, "2024-01-04", again)
-    assert paths["outbox"].endswith("2024-01-02/outbox") and paths["t"].endswith("2024-01-04/t")
+    assert [p[len(root) + 1 :] for p in paths["outbox"]] == ["2024-01-02/outbox"]
+    assert [p[len(root) + 1 :] for p in paths["t"]] == ["2024-01-04/t"]
+    assert not (tmp_path / "2024-01-04" / "_changes").exists()
     assert bag(read_snapshot(spark, root)["t"]) == [(1, "z"), (3, "c")]
     listing = ledger(changes, {("insert", "t"): ("id",), ("send", "outbox"): ("service", "group_id")})
     assert bag(listing) == [("insert", "t", "id=3"), ("send", "outbox", "service=S;group_id=g")]
@@ -183,6 +186,48 @@ def test_dated_tables_are_published_by_day(spark, frame, bag, tmp_path):
     assert bag(read_snapshot(spark, str(tmp_path))["t_tran_log"]) == bag(log)
 
 
+def test_only_touched_days_are_written_again(spark, frame, bag, tmp_path):
+    days = [datetime(2024, 1, d, 7) for d in (1, 2, 3)]
+    schema = "tran_log_id string, tran_type string, start_tran_date timestamp_ntz"
+    log = frame(schema, *[(str(i), "x", d) for i, d in enumerate(days)], ("n", "x", None))
+    root = str(tmp_path)
+    publish({"t_tran_log": log, "t_tran_log_holding": log}, root, "s1")
+    audit = frame(schema, ("a", "y", days[1]))
+    paths = publish_changes(spark, root, "s2", ChangeSet(audit=audit))
+    assert [p[len(root) + 1 :] for p in paths["t_tran_log_holding"]] == [
+        *[f"s1/t_tran_log_holding/day={d}" for d in ("2024-01-01", "2024-01-02", "2024-01-03", "__HIVE_DEFAULT_PARTITION__")],
+        "s2/t_tran_log_holding/day=2024-01-02",
+    ]
+    assert all("/s1/" in p for p in paths["t_tran_log"])
+    assert bag(read_snapshot(spark, root)["t_tran_log_holding"]) == sorted([*bag(log), ("a", "y", days[1])], key=repr)
+    one_day = ChangeSet(
+        updates={"t_tran_log": Update(frame("tran_log_id string, tran_type string", ("1", "z"), ("9", "q")), ("tran_log_id",))},
+        deletes={"t_tran_log": Delete(frame("tran_log_id string", ("n",)), ("tran_log_id",))},
+    )
+    paths = publish_changes(spark, root, "s3", one_day)
+    assert [p[len(root) + 1 :] for p in paths["t_tran_log"]] == [
+        "s1/t_tran_log/day=2024-01-01", "s1/t_tran_log/day=2024-01-03", "s3/t_tran_log/day=2024-01-02",
+    ]
+    assert bag(read_snapshot(spark, root)["t_tran_log"], "tran_log_id", "tran_type") == [("0", "x"), ("1", "z"), ("2", "x")]
+
+
+def test_two_updates_for_one_key_fail(frame):
+    table = frame("id int, v string", (1, "a"), (2, "b"), (None, "n"))
+    rows = frame("id int, v string", (1, "x"), (1, "y"))
+    with pytest.raises(Exception, match="several updates for one key of id"):
+        apply_update(table, Update(rows, ("id",))).collect()
+    nulls = frame("id int, v string", (None, "x"), (None, "y"))
+    assert apply_update(table, Update(nulls, ("id",))).filter("v IN ('x', 'y')").count() == 0
+
+
+def test_ids_are_unique_also_for_equal_rows(frame):
+    rows = frame("a int, b string", (1, "x"), (1, "x"), (1, None), (2, "x"))
+    ids = [r.key for r in with_id(rows, "key").collect()]
+    assert len(set(ids)) == 4
+    assert sorted(ids) == sorted(r.key for r in with_id(rows.repartition(3), "key").collect())
+    assert not set(ids) & {r.key for r in with_id(rows, "key", F.lit("batch 2")).collect()}
+
+
 def test_timestamps_stay_without_zone(frame):
     from shelfmend.functions.clock import elapsed_seconds, hms, joined_timestamp, month_clock
 
