@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import attach, matching
-from .common import with_columns
+from .common import stored, with_columns
 
 _KEY = ("line_1", "line_2")
 
@@ -69,7 +69,7 @@ def remove_spread_lines(
     stays null. All rows and columns stay; with ``report``, ``lines_removed`` and ``chars_removed`` are added and take
     the place of columns of that name. Input columns whose names begin with ``_row_`` or ``_cut_`` are dropped.
     """
-    found = lines(docs, source, text, key)
+    found = stored(lines(docs, source, text, key), "lines")  # hashes only; read three times
     boilerplate = spread_lines(found, sites, margin)
     hits = attach(found, boilerplate.withColumn("_hit", F.lit(1)), _KEY, how="inner")
     cuts = hits.groupBy("_row_1", "_row_2").agg(F.collect_set("at").alias("_cut_at"))
