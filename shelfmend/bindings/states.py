@@ -71,6 +71,26 @@ def increment_then_consolidate(s):
     return _per_place(apply_change_set({"t_stored_item": stock, "t_hu_master": s.handling_units()}, changes)["t_stored_item"])
 
 
+@query(
+    "return_stock_changes",
+    """
+select 'audit' as change, 't_tran_log_holding' as target, concat_ws(';', 'tran_type=044', 'description=Incremento de estoque' ||
+  case when action = 'UPDATE' then ' - UPD' else '' end, 'control_number=T1', 'location_id=L1', 'item_number=' || item_number,
+  'tran_qty=' || qty, 'wh_id=' || wh_id) as detail
+from q_upsert_increment
+union all
+select case when action = 'UPDATE' then 'update' else 'insert' end, 't_stored_item', concat_ws(';', 'item_number=' || item_number,
+  'wh_id=' || wh_id, 'actual_qty=' || qty) from q_upsert_increment""",
+)
+def return_stock_changes(s):
+    shown = ("tran_type", "description", "control_number", "location_id", "item_number", "tran_qty", "wh_id")
+    place = ("item_number", "wh_id", "actual_qty")
+    return ledger(
+        moves.return_stock(s.stock(), _deltas(s), "T1", AS_OF),
+        {("audit", "t_tran_log_holding"): shown, ("insert", "t_stored_item"): place, ("update", "t_stored_item"): place},
+    )
+
+
 @query(
     "reconcile_blocked_by_location",
     """

@@ -60,6 +60,8 @@ LOC_SETTLEMENT = "LOC_RECEB_IA"
 LOG_EQUALISE = ("006", "Equalização RMS - Sala de Guerra")
 LOG_RELEASE = ("035", "Equalização Non Sellable")
 LOG_INCREMENT = ("009", "Incremento de Estoque")
+LOG_STOCK_BACK = ("044", "Incremento de estoque")
+LOG_STOCK_BACK_ADDED = ("044", "Incremento de estoque - UPD")
 LOG_CLOSE_TASK = ("015", "Fechamento de tarefa")
 LOG_GTIN = ("023", "Atualização GTIN")
 LOG_SORTER_RETURN = ("024", "Retorno LPN Buffer")

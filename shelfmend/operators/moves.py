@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -86,6 +87,22 @@ def upsert_increment(
     )
 
 
+def return_stock(stock: DataFrame, deltas: DataFrame, control: str, as_of: datetime) -> ChangeSet:
+    """Stock of cancelled invoices back at a location, as free stock; each item is logged, with a text of its own if
+    it was added to stock that was there."""
+    raised = upsert_increment(stock, deltas, as_of, row_type="0")
+    plan = upsert_plan(stock, deltas)
+    columns = {
+        "control_number": F.lit(control), "location_id": "location_id", "location_id_2": "location_id",
+        "item_number": "item_number", "tran_qty": "qty", "wh_id": "wh_id",
+    }
+    created, added = (
+        audit_rows(plan.filter(F.col("action") == action), AuditProfile(*log, columns=columns), as_of)
+        for action, log in (("INSERT", fixed.LOG_STOCK_BACK), ("UPDATE", fixed.LOG_STOCK_BACK_ADDED))
+    )
+    return replace(raised, audit=created.unionByName(added))
+
+
 def load_quantity(ship_header: DataFrame, ship_detail: DataFrame, loads: DataFrame | None = None) -> DataFrame:
     """Shipped quantity per item of each load. ``loads`` limits it to given load ids."""
     headers = ship_header.select("shipment_id", "load_id", "wh_id")

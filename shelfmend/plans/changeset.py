@@ -116,7 +116,7 @@ def apply_change_set(tables: Mapping[str, DataFrame], changes: ChangeSet) -> dic
         out[name] = missing(out[name], delete.rows, list(delete.on))
     additions = dict(changes.inserts)
     if changes.audit is not None:
-        additions["t_tran_log_holding"] = changes.audit
+        additions["t_tran_log_holding"] = with_id(changes.audit, "tran_log_holding_id")
     if changes.outbox is not None:
         additions["outbox"] = changes.outbox
     for name, rows in additions.items():

@@ -596,7 +596,7 @@ def test_move_stock_conserves_and_drops_zero(frame, bag):
     assert after.agg(F.sum("actual_qty")).first()[0] == 8.0
 
 
-@settings(max_examples=8, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("AB"), st.sampled_from([None, "h", "k"]), st.integers(1, 9), st.sampled_from([None, "l"])), max_size=8),
     st.lists(st.tuples(st.sampled_from("abc"), st.integers(1, 3), st.sampled_from("ABC"), st.integers(1, 9)), min_size=1, max_size=5),
