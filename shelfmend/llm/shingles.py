@@ -1,48 +1,104 @@
-"""Hashes of word windows, the same in every process."""
+"""Hashes of words and word windows, the same in every process, for many texts at a time.
+
+A word's hash is a polynomial of its bytes modulo 2^64. Sums over all bytes of a batch give it for every word at
+once: the difference of two sums, divided by the power that the word's place put in front.
+"""
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import xxhash
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_MOST_WORDS = 1_000_000
+_BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2^64
+_AT_ONCE = 2 << 20  # bytes of text, about
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _up_to(n: int) -> list[np.ndarray]:
+    """The powers of the base, and of its inverse, for so many places."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, _AT_ONCE + 1), base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers
+
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * _MIX
+    return values ^ (values >> np.uint64(29))
 
-class WordHashes(dict):
-    """Word -> 64-bit hash, computed once a word; of bounded size."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MOST_WORDS:
-            self.clear()
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = found
-        return found
+def chunks(text: bytes) -> Iterator[bytes]:
+    """Parts of a long text, cut at white space."""
+    while len(text) > _AT_ONCE:
+        cut = next((i for i in range(_AT_ONCE, len(text)) if _SPACE[text[i]]), len(text))
+        yield text[:cut]
+        text = text[cut:]
+    yield text
 
 
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts in lower case (A-Z) as one row of bytes; where words begin and end; their hashes; and the number of
+    the first word of each text."""
+    blob = _LOWER[np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)]
+    space = _SPACE[blob]
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    powers, inverse = _up_to(len(blob) + 1)
+    sums = np.zeros(len(blob) + 1, np.uint64)
+    np.cumsum((blob.astype(np.uint64) + np.uint64(1)) * powers[: len(blob)], out=sums[1:])
+    words = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    bounds = 1 + np.cumsum([0, *[len(t) + 1 for t in texts]])
+    return blob, starts, ends, words, np.searchsorted(starts, bounds)
 
 
-def hashed(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(word_hashes().__getitem__, words), np.uint64, len(words))
+def _hashes(texts: list[bytes]) -> list[np.ndarray]:
+    *_, words, at = words_of(texts)
+    return [words[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def word_hashes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """For each text the hashes of its words in lower case (A-Z)."""
+    held: list[bytes] = []
+    size = 0
+    for t in texts:
+        if len(t) > _AT_ONCE:
+            yield from _hashes(held) if held else ()
+            held, size = [], 0
+            yield np.concatenate([_hashes([c])[0] for c in chunks(t)])
+            continue
+        held.append(t)
+        size += len(t)
+        if size > _AT_ONCE:
+            yield from _hashes(held)
+            held, size = [], 0
+    yield from _hashes(held) if held else ()
 
 
 def windows(words: np.ndarray, k: int) -> np.ndarray:
     """The hash of each run of ``k`` words, given the words' hashes."""
     n = len(words) - k + 1
-    out = np.full(max(n, 0), np.uint64(k))
-    for i in range(k if n > 0 else 0):
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out = words[:n] + np.uint64(k)
+    for i in range(1, k):
         out = (out ^ (out >> np.uint64(29))) * _MIX + words[i : i + n]
-    out = (out ^ (out >> np.uint64(32))) * _MIX
-    return out ^ (out >> np.uint64(29))
+    return mixed(out)
+
+
+def shingle_sets(texts: Iterable[bytes], k: int) -> Iterator[np.ndarray]:
+    """For each text the hashes of its distinct ``k``-word shingles, sorted; of fewer words, that of all."""
+    for words in word_hashes(texts):
+        yield np.unique(windows(words, min(k, len(words)))) if len(words) else words
 
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
-    """Hashes of the distinct ``k``-word shingles of a text in lower case (A-Z), sorted; of fewer words, that of all."""
-    words = hashed(text.lower().split())
-    return np.unique(windows(words, min(k, len(words)))) if len(words) else np.empty(0, np.uint64)
+    return next(shingle_sets([text], k))

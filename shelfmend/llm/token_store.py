@@ -20,15 +20,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, texts
+from .shingles import chunks, words_of
 
-_CACHED_WORDS, _CACHED_IDS, _WORDS_A_CALL = 1_500_000, 20_000_000, 100
+_SLOTS, _CACHED_WORDS, _CACHED_IDS = 1 << 22, 2_000_000, 30_000_000
+_WORDS_A_CALL, _BYTES_AT_ONCE = 100, 2 << 20
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 SCHEMA = "part int, doc_id long, start_in_part long, ids array<int>"
 
 
 class WordCache:
     """The tokenizer's ids of whole texts, with its work on each distinct word kept.
 
-    Sound for tokenizers that drop white space and never look across it; ``word_bpe_49k.json`` is one.
+    Sound for tokenizers that drop white space, never look across it, and lower case; ``word_bpe_49k.json`` is
+    one, and others are refused. Words are looked up many at a time in a table of their 64-bit hashes; length and first eight
+    bytes are compared too, so shorter words are told apart for sure. Texts that may hold a special token, and texts of
+    which two words share a hash, go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -36,48 +42,101 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if self._plain(b"Ab\n CD ") != self._plain(b"ab") + self._plain(b"cd"):
+            raise ValueError("the tokenizer does not take words one by one in lower case")
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}  # word -> its place in starts and lengths
-        self.starts, self.lengths, self.ids = (np.empty(0, t) for t in (np.int64, np.int64, np.int32))
-
-    def _learn(self, words: list[bytes]) -> None:
+        self.keys, self.slots = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.int32)  # open addressing; key 0 is free
+        self.starts, self.lengths, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.looks = np.empty((2, 0), np.uint64)  # of each word its first bytes and its length
+
+    def _plain(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The words' places, -1 if unknown."""
+        slot, out = (hashes % np.uint64(_SLOTS)).astype(np.int64), np.full(len(hashes), -1, np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            keys = self.keys[slot[left]]
+            hit = keys == hashes[left]
+            out[left[hit]] = self.slots[slot[left[hit]]]
+            left = left[~hit & (keys != 0)]
+            slot[left] = (slot[left] + 1) % _SLOTS
+        return out
+
+    def _learn(self, words: list[str], hashes: np.ndarray, looks: np.ndarray) -> None:
         """Encode new words, many to a call; a token belongs to the word it begins in."""
         counts, ids = [], []
-        texts_ = [w.decode() for w in words]
-        lines = [texts_[i : i + _WORDS_A_CALL] for i in range(0, len(words), _WORDS_A_CALL)]
+        lines = [words[i : i + _WORDS_A_CALL] for i in range(0, len(words), _WORDS_A_CALL)]
         for line, e in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
             ends = np.cumsum(np.fromiter(map(len, line), np.int64, len(line)) + 1)
             begins = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
             counts.append(np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(line)))
             ids.append(np.array(e.ids, np.int32))
-        lengths = np.concatenate(counts)
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        lengths, places = np.concatenate(counts), len(self.starts) + np.arange(len(words))
         self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
         self.lengths = np.concatenate((self.lengths, lengths))
         self.ids = np.concatenate((self.ids, *ids))
-
-    def _places(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.known.get, words))
-        if None in found:
-            new = list(dict.fromkeys(w for w, i in zip(words, found, strict=True) if i is None))
-            self._learn(new)
-            found = [self.known[w] if i is None else i for w, i in zip(words, found, strict=True)]
-        return np.array(found, np.int64)
-
-    def encode(self, documents: list[list[bytes]], end_id: int) -> pa.ListArray:
-        """The ids of each document's words and the end id."""
-        if len(self.known) > _CACHED_WORDS or len(self.ids) > _CACHED_IDS:
+        self.looks = np.concatenate((self.looks, looks), axis=1)
+        slot, left = (hashes % np.uint64(_SLOTS)).astype(np.int64), np.arange(len(hashes))
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]  # one word for each free slot; the others go on
+            self.keys[slot[put]], self.slots[slot[put]] = hashes[put], places[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            slot[left] = (slot[left] + 1) % _SLOTS
+
+    def _group(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts, and how many each has."""
+        if len(self.starts) > _CACHED_WORDS or len(self.ids) > _CACHED_IDS:
             self.clear()
-        words = self._places(list(chain.from_iterable(documents)))
-        lengths, bounds = self.lengths[words], np.zeros(len(documents) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, documents), np.int64, len(documents)), out=bounds[1:])
-        ends = np.concatenate(([0], np.cumsum(lengths)))
+        blob, starts, ends, hashes, at = words_of(pieces)
+        sizes = ends - starts
+        first = np.ndarray((len(blob),), "<u8", np.concatenate((blob, np.zeros(8, np.uint8))), strides=(1,))[starts]
+        looks = np.stack((first & _MASKS[np.minimum(sizes, 8)], sizes.astype(np.uint64)))
+        hashes = np.maximum(hashes, np.uint64(1))
+        places = self._find(hashes)
+        if (places < 0).any():
+            new = np.flatnonzero(places < 0)
+            new = new[np.unique(hashes[new], return_index=True)[1]]
+            words = [blob[a:b].tobytes().decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+            self._learn(words, hashes[new], looks[:, new])
+            places = self._find(hashes)
+        if (self.looks[:, places] != looks).any() or b"<|" in blob.tobytes():
+            found = [self._plain(p) for p in pieces]
+            return np.array(list(chain.from_iterable(found)), np.int32), np.array([len(f) for f in found], np.int64)
+        lengths = self.lengths[places]
+        after = np.concatenate(([0], np.cumsum(lengths)))
         # where each id stands in the cache: the word's start, plus the place in the word
-        ids = self.ids[np.repeat(self.starts[words] - ends[:-1], lengths) + np.arange(ends[-1])]
-        stops = ends[bounds]
-        ids = np.insert(ids, stops[1:], end_id)
+        ids = self.ids[np.repeat(self.starts[places] - after[:-1], lengths) + np.arange(after[-1])]
+        return ids, np.diff(after[at])
+
+    def encode(self, documents: list[bytes], end_id: int) -> pa.ListArray:
+        """The ids of each text and the end id."""
+        counts, out = np.zeros(len(documents), np.int64), [np.empty(0, np.int32)]
+        held: list[tuple[int, bytes]] = []
+
+        def flush() -> None:
+            if held:
+                ids, sizes = self._group([p for _, p in held])
+                out.append(ids)
+                np.add.at(counts, [d for d, _ in held], sizes)
+                held.clear()
+
+        size = 0
+        for d, text in enumerate(documents):
+            for piece in chunks(text):
+                held.append((d, piece))
+                size += len(piece)
+                if size > _BYTES_AT_ONCE:
+                    flush()
+                    size = 0
+        flush()
+        stops = np.concatenate(([0], np.cumsum(counts)))
+        ids = np.insert(np.concatenate(out), stops[1:], end_id)
         return pa.ListArray.from_arrays(pa.array((stops + np.arange(len(stops))).astype(np.int32)), pa.array(ids))
 
 
@@ -110,7 +169,7 @@ def write(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, cache = TaskContext.get().partitionId(), 0, word_cache(tokenizer)
         for batch in batches:
-            ids = cache.encode([t.split() for t in texts(batch)], end_id)
+            ids = cache.encode(texts(batch), end_id)
             ends = before + np.asarray(ids.offsets)[1:].astype(np.int64)
             starts = np.concatenate(([before], ends[:-1])) if len(ends) else ends
             before = int(ends[-1]) if len(ends) else before

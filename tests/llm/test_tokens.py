@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from shelfmend.llm import bpe_prefix, token_store, trie_counts
 
-ODD = (None, "", "   \n\t ", "Hello, World's\x0bend", "ﬁ İ Σσς é é 한국어 각 ᲀ a​b", "x" * 5000, "don't  stop\r\n<|endoftext|> now", "1²٣ #$%", "a b c 　d")
+ODD = (None, "", "   \n\t ", "Hello, World's\x0bend", "ﬁ İ Σσς é é 한국어 각 ᲀ a​b", "x" * 5000, "don't  stop\r\n<|endoftext|> now", "<|ENDOFTEXT|> A. b, C.D. E.. ., Ab.é.", "1²٣ #$%", "a b c 　d")
 
 
 @lru_cache
@@ -171,4 +171,4 @@ def test_empty_store(spark, documents, tmp_path):
 def test_word_cache(text):
     cache = token_store.word_cache(public_tokenizers.path("word_bpe_49k.json"))
     ids = cache.tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
-    assert cache.encode([(text or "").encode().split()], 2).to_pylist() == [ids]
+    assert cache.encode([(text or "").encode()], 2).to_pylist() == [ids]
