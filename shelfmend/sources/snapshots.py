@@ -36,6 +36,8 @@ def _write(table: DataFrame, name: str, path: str) -> list[str]:
     rows.write.mode("overwrite").partitionBy("day").parquet(path)
     system, target = _hadoop(table.sparkSession, path)
     days = sorted(f.getPath().getName() for f in system.listStatus(target) if f.getPath().getName().startswith("day="))
+    if not days:  # a file without rows still tells the columns
+        table.limit(0).coalesce(1).write.mode("overwrite").parquet(path)
     return [f"{path}/{d}" for d in days] or [path]
 
 

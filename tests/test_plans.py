@@ -213,6 +213,14 @@ def test_only_touched_days_are_written_again(spark, frame, bag, tmp_path):
     assert bag(read_snapshot(spark, root)["t_tran_log"], "tran_log_id", "tran_type") == [("0", "x"), ("1", "z"), ("2", "x")]
 
 
+def test_empty_dated_table_is_published(spark, frame, bag, tmp_path):
+    log = frame("tran_log_id string, start_tran_date timestamp_ntz", ("a", datetime(2024, 1, 1)))
+    publish({"t_tran_log_holding": log.limit(0)}, str(tmp_path), "s1")
+    assert read_snapshot(spark, str(tmp_path))["t_tran_log_holding"].count() == 0
+    publish_changes(spark, str(tmp_path), "s2", ChangeSet(audit=log))
+    assert bag(read_snapshot(spark, str(tmp_path))["t_tran_log_holding"], *log.columns) == bag(log)
+
+
 def test_two_updates_for_one_key_fail(frame):
     table = frame("id int, v string", (1, "a"), (2, "b"), (None, "n"))
     rows = frame("id int, v string", (1, "x"), (1, "y"))
