@@ -13,7 +13,6 @@ all members of different components; so a group of n near copies costs about n c
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +22,14 @@ from pyspark.sql import functions as F
 
 from ..plans.joins import attach
 from .common import arrow_batches, groups_of, small_enough, stored, texts
-from .shingles import shingle_set
+from .shingles import shingle_set, shingle_sets
 
 _BUCKETS = 1 << 18  # of the table of approximate counts: 2 MB, whatever the corpus
 _LIST_PART = 50_000  # longer lists are split into parts of about this size
-_FALSE_PARTNER_COST = 8  # comparing a wrong partner, in postings
+_FALSE_PARTNER_COST = 2  # counting what a wrong partner shares, in postings
+_MOST_SHARED = 8  # entries that two large sets must share, at most
 _BROADCAST_ROWS = 1_000_000  # of (number, number, number): about 50 MB
-_POSTING = "key long, part int, parts int, node long, size int, place int"
+_POSTING = "key long, part int, parts int, node long, size int"
 
 
 def _ceil_div(a, b):
@@ -46,6 +46,24 @@ def needed(size_a, size_b, percent: int):
     return _ceil_div(percent * (size_a + size_b), 100 + percent)
 
 
+def shared_entries(size, percent: int, light_to: int):
+    """Entries of their lists that two sets must share to reach the threshold, as far as this set demands: 1 for light
+    ones, more for large ones, whose prefixes are longer by that. For two sets the smaller demand holds."""
+    return np.where(size > light_to, np.clip(_ceil_div(percent * size, 100) // 10, 1, _MOST_SHARED), 1)
+
+
+def least_shared(size_a, size_b, percent: int, light_to: int):
+    """Entries that two sets must share to reach the threshold.
+
+    Of the two prefixes one ends first in the common order. What its set shares with the other lies behind the
+    prefix or is a common entry, so the intersection is at most the set without its prefix, plus the common entries.
+    """
+    demand_a, demand_b = (shared_entries(s, percent, light_to) for s in (size_a, size_b))
+    behind = np.maximum(_ceil_div(percent * size_a, 100) - demand_a, _ceil_div(percent * size_b, 100) - demand_b)
+    least = np.maximum(np.minimum(demand_a, demand_b), needed(size_a, size_b, percent) - behind)
+    return np.where((size_a > light_to) | (size_b > light_to), least, 1).astype(np.int32)
+
+
 class Boundary:
     """Which sets list pairs (light) and which single shingles (heavy, and light ones that heavy ones can match)."""
 
@@ -84,7 +102,7 @@ def _sets(docs: DataFrame, shingle: int, text: str, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(_BUCKETS, np.int64)
         for batch in batches:
-            found = [shingle_set(t, shingle) for t in texts(batch)]
+            found = list(shingle_sets(texts(batch), shingle))
             if found:
                 counts += np.bincount((np.concatenate(found) % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
             nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in found]
@@ -126,38 +144,37 @@ def _postings(docs: DataFrame, counts: np.ndarray, bound: Boundary, shingle: int
     table = docs.sparkSession.sparkContext.broadcast(counts)  # of fixed size
     percent = bound.percent
 
-    def entries(s: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(key, how many parts its list has, place in the order) of one set."""
+    def entries(s: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(key, how many parts its list has) of one set."""
         size, common = len(s), counts[(s % np.uint64(_BUCKETS)).astype(np.int64)]
-        p = prefix_length(size, percent, 2 if bound.light(size) else 1)
+        demanded = int(shared_entries(size, percent, bound.light_to))
+        p = prefix_length(size, percent, max(2 if bound.light(size) else 1, demanded))
         order = np.lexsort((s, common))[: min(p, size)]
         s, common = s[order], common[order]
         out = []
         if bound.light(size):
             i, j = np.triu_indices(len(s), 1)
             mixed = (s[i] ^ (s[j] * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0x9E3779B97F4A7C15)
-            out.append((mixed ^ (mixed >> np.uint64(32)), np.minimum(common[i], common[j]), i))
+            out.append((mixed ^ (mixed >> np.uint64(32)), np.minimum(common[i], common[j])))
         if bound.single(size):
-            n = prefix_length(size, percent)
-            out.append((s[:n], common[:n], np.arange(min(n, size))))
-        return [(k, c // _LIST_PART + 1, at) for k, c, at in out]
+            n = prefix_length(size, percent, demanded)
+            out.append((s[:n], common[:n]))
+        return [(k, c // _LIST_PART + 1) for k, c in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = table.value, set()
         for batch in batches:
-            keys, parts, places, nodes, sizes, lengths = [], [], [], [], [], []
-            for t in texts(batch):
-                s = shingle_set(t, shingle)
+            keys, parts, nodes, sizes, lengths = [], [], [], [], []
+            for s in shingle_sets(texts(batch), shingle):
                 node = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
                 if not len(s) or node in seen:
                     continue
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(node)
-                for k, n, at in entries(s, counts):
+                for k, n in entries(s, counts):
                     keys.append(k)
                     parts.append(n)
-                    places.append(at)
                     nodes.append(node)
                     sizes.append(len(s))
                     lengths.append(len(k))
@@ -166,8 +183,8 @@ def _postings(docs: DataFrame, counts: np.ndarray, bound: Boundary, shingle: int
                 of = np.concatenate(parts).astype(np.int32)
                 part = (node.view(np.uint64) % of.astype(np.uint64)).astype(np.int32)
                 size = np.repeat(np.array(sizes, np.int32), lengths)
-                columns = [np.concatenate(keys).view(np.int64), part, of, node, size, np.concatenate(places).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "part", "parts", "node", "size", "place"])
+                columns = [np.concatenate(keys).view(np.int64), part, of, node, size]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "part", "parts", "node", "size"])
 
     return _rows(docs, text, key).mapInArrow(run, _POSTING)
 
@@ -227,15 +244,27 @@ def _shared_lists(postings: DataFrame) -> DataFrame:
     return _by_list(postings, ["key", "part"], handle, _POSTING)
 
 
-def _possible(size_a, place_a, size_b, place_b, percent: int):
-    """Whether two entries of a list can be of sets that reach the threshold, by sizes and by what stands behind."""
-    rest = np.minimum(size_a - place_a, size_b - place_b)
-    enough = needed(size_a, size_b, percent)
-    return (percent * np.maximum(size_a, size_b) <= 100 * np.minimum(size_a, size_b)) & (rest >= enough)
+def _looked_up(left: DataFrame, right: DataFrame, on: str, key: str, how: str = "inner") -> DataFrame:
+    """Join a stored table of one row a key: sent to all tasks if its size is proven small, else shuffled with skew
+    protection."""
+    if small_enough(right, _BROADCAST_ROWS):
+        renamed = right.withColumnRenamed(key, "_found")
+        return left.join(F.broadcast(renamed), F.col(on) == F.col("_found"), how).drop("_found")
+    return attach(left, right, [(on, key)], how)
 
 
-def _representatives(lists: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: each set with the representative that it shares most entries with.
+def _counted(lists: DataFrame, percent: int, light_to: int) -> DataFrame:
+    """The lists with ``shared``: in how many lists a set is. Sets in too few to reach the threshold with any other
+    are left out; most of what edited copies share stands behind their prefixes, which hold their edits."""
+    shared = stored(lists.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("shared")), "shared")
+    demand = F.greatest(F.lit(1), F.least(F.lit(_MOST_SHARED), F.floor(F.ceil(F.col("size") * percent / 100) / 10)))
+    enough = F.col("shared") >= F.when(F.col("size") > light_to, demand).otherwise(F.lit(1))
+    return _looked_up(lists, shared, "node", "node").filter(enough)
+
+
+def _representatives(lists: DataFrame, percent: int, light_to: int) -> DataFrame:
+    """``a, b``: each set with the representative that it shares most entries with. Large sets with a single common entry
+    wait for the later rounds, which count all entries.
 
     In a list sorted by size the first set represents those that are large enough but not too large for it; the next one
     begins a new stretch, and is itself compared with the one before it.
@@ -255,16 +284,21 @@ def _representatives(lists: DataFrame, percent: int) -> DataFrame:
                 at = to
         if len(hubs):
             a, b = rows["node"][hubs], rows["node"]
-            keep = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
-
-    pairs = _by_list(lists, ["key", "part"], handle, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+            least = least_shared(sizes, sizes[hubs], percent, light_to)
+            keep = (a != b) & (np.minimum(rows["shared"], rows["shared"][hubs]) >= least)
+            least = np.minimum(2, least[keep])  # two sets meet here in some of their lists only
+            columns = [pa.array(a[keep]), pa.array(b[keep]), pa.array(least)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "least"])
+
+    met = _by_list(lists, ["key", "part"], handle, "a long, b long, least int")
+    pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least")).filter("n >= least")
     best = F.max(F.struct("n", "a")).alias("best")
     return pairs.groupBy("b").agg(best).select(F.col("best.a").alias("a"), "b")
 
 
-def _between_components(lists: DataFrame, percent: int, neighbours: bool) -> DataFrame:
-    """``a, b``: pairs of a list in different components (``comp``) that can reach the threshold.
+def _between_components(lists: DataFrame, percent: int, light_to: int, neighbours: bool) -> DataFrame:
+    """``a, b``: pairs of a list in different components (``comp``) that can reach the threshold: by their sizes, and by
+    how many entries they share over all lists.
 
     With ``neighbours`` only the first of each component, with the component before it in the list. A list in parts
     is met part by part, each pair of parts in a place of its own.
@@ -293,12 +327,13 @@ def _between_components(lists: DataFrame, percent: int, neighbours: bool) -> Dat
 
         def batch() -> pa.RecordBatch:
             i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-            ok = rows["node"][i] != rows["node"][j]
+            least = least_shared(rows["size"][i].astype(np.int64), rows["size"][j].astype(np.int64), percent, light_to)
+            ok = (rows["node"][i] != rows["node"][j]) & (np.minimum(rows["shared"][i], rows["shared"][j]) >= least)
             ok &= (rows["low"][i] == rows["high"][i]) | (rows["part"][i] != rows["part"][j])
-            ok &= _possible(*(rows[c][x].astype(np.int64) for x in (i, j) for c in ("size", "place")), percent)
             a, b = rows["node"][i][ok], rows["node"][j][ok]
             a, b = np.minimum(a, b), np.maximum(a, b)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            least = np.minimum(least[ok], 2) if neighbours else least[ok]  # neighbours meet in some lists only
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(least)], names=["a", "b", "least"])
 
         for start, end in groups_of(lists):
             if end - start > 1:
@@ -313,15 +348,18 @@ def _between_components(lists: DataFrame, percent: int, neighbours: bool) -> Dat
 
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other")
     met = lists.select("*", others).withColumn("low", F.least("part", "_other")).withColumn("high", F.greatest("part", "_other")).drop("_other")
-    return _by_list(met, ["key", "low", "high"], handle, "a long, b long").distinct()
+    pairs = _by_list(met, ["key", "low", "high"], handle, "a long, b long, least int")
+    shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least"))
+    return shared.filter("n >= least").select("a", "b")
 
 
-def _matches(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, shingle: int, text: str, key: str) -> DataFrame:
-    """The pairs that reach the threshold, from the whole texts of a document of either set."""
+def _matches(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, shingle: int, text: str, key: str) -> DataFrame | None:
+    """The pairs that reach the threshold, from the whole texts of a document of either set; None if there are no pairs."""
     pairs = stored(pairs, "pairs")
-    wanted = stored(
-        nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "doc_id", "text_hash"), "wanted"
-    )
+    if not pairs.count():
+        return None
+    paired = stored(pairs.select(F.explode(F.array("a", "b")).alias("paired")).distinct(), "paired")
+    wanted = stored(_looked_up(nodes, paired, "node", "paired").select("node", "doc_id", "text_hash"), "wanted")
     # few sets are in a pair; beyond the bound their keys are shuffled like the documents
     keys = F.broadcast(wanted) if small_enough(wanted, _BROADCAST_ROWS) else wanted
     rows = _rows(docs, text, key)
@@ -350,21 +388,31 @@ def components(links: DataFrame) -> DataFrame:
     until none changes."""
     both = links.select("a", "b").union(links.select("b", "a")).distinct()
     edges = stored(both, "edges")
-    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")).select("node", F.least("node", "comp").alias("comp")), "labels")
+    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
     while True:
-        near = attach(edges, labels, [("b", "node")]).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("_near"))
-        moved = attach(labels, near, ["node"], one_row_per_key=True).withColumn("_to", F.least("comp", "_near"))
-        beyond = labels.select(F.col("node").alias("_to"), F.col("comp").alias("_beyond"))
-        moved = attach(moved, beyond, ["_to"])
-        after = stored(moved.select("node", F.least("_to", "_beyond").alias("comp"), (F.least("_to", "_beyond") != F.col("comp")).alias("_moved")), "labels")
+        near = _looked_up(edges, labels, "b", "node").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("_near"))
+        moved = _looked_up(near, labels, "node", "node").withColumn("_to", F.least("comp", "_near"))
+        beyond = labels.select(F.col("node").alias("_to_node"), F.col("comp").alias("_beyond"))
+        moved = _looked_up(moved, beyond, "_to", "_to_node")
+        to = F.least("_to", "_beyond")
+        after = stored(moved.select("node", to.alias("comp"), (to != F.col("comp")).alias("_moved")), "labels")
         labels = after.drop("_moved")
         if not after.filter("_moved").head(1):
             return labels
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: many links between two components are one link of their labels."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).select("node", F.col("node").alias("comp"))
+    known = stored(labels.unionByName(ends).groupBy("node").agg(F.min("comp").alias("comp")), "labels")
+    left = _looked_up(links, known, "a", "node").select(F.col("comp").alias("x"), "b")
+    both = _looked_up(left, known, "b", "node").select(F.col("x").alias("a"), F.col("comp").alias("b"))
+    moved = components(stored(both.filter("a <> b").distinct(), "links")).withColumnsRenamed({"node": "_old", "comp": "_new"})
+    return stored(_looked_up(known, moved, "comp", "_old", "left").select("node", F.coalesce("_new", "comp").alias("comp")), "labels")
+
+
 def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    joined = attach(lists, labels, ["node"])
-    return joined.withColumn("comp", F.coalesce("comp", "node"))
+    return _looked_up(lists, labels, "node", "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def similar_documents(docs: DataFrame, percent: int = 75, shingle: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -385,18 +433,20 @@ def similar_documents(docs: DataFrame, percent: int = 75, shingle: int = 5, text
     first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")).alias("first")
     nodes = stored(rows.filter("node IS NOT NULL").groupBy("node").agg(first).select("node", "first", "first.doc_id", "first.text_hash"), "nodes")
 
-    lists = stored(_shared_lists(_postings(docs, counts, bound, shingle, text, key)), "lists")
-    links = [_matches(docs, nodes, _representatives(lists, percent), percent, shingle, text, key)]
+    lists = stored(_shared_lists(_postings(docs, counts, bound, shingle, text, key)), "entries")
+    lists = stored(_counted(lists, percent, bound.light_to), "lists")
+    found = _matches(docs, nodes, _representatives(lists, percent, bound.light_to), percent, shingle, text, key)
+    labels = components(docs.sparkSession.createDataFrame([], "a long, b long") if found is None else found)
     for neighbours in (True, False):
-        labels = components(reduce(DataFrame.union, links))
-        open_ = _between_components(_labelled(lists, labels), percent, neighbours)
-        links.append(_matches(docs, nodes, open_, percent, shingle, text, key))
-    labels = components(reduce(DataFrame.union, links))
-
-    known = attach(nodes.select("node", "first"), labels, ["node"], one_row_per_key=True).withColumn("comp", F.coalesce("comp", "node"))
-    heads = known.groupBy("comp").agg(F.min("first").alias("head"))
-    known = attach(known.select("node", "comp"), heads, ["comp"]).select("node", "head")
-    joined = attach(rows, known, ["node"])
+        open_ = _between_components(_labelled(lists, labels), percent, bound.light_to, neighbours)
+        found = _matches(docs, nodes, open_, percent, shingle, text, key)
+        if found is not None:
+            labels = _merged(labels, found)
+
+    known = stored(_labelled(nodes.select("node", "first"), labels), "known")
+    heads = stored(known.groupBy("comp").agg(F.min("first").alias("head")), "heads")
+    known = stored(_looked_up(known.select("node", "comp"), heads, "comp", "comp").select("node", "head"), "known")
+    joined = _looked_up(rows, known, "node", "node", "left")
     own = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")
     return joined.select(
         "doc_id", "text_hash", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
