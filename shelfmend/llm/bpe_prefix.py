@@ -30,7 +30,7 @@ _RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -     　
 #: The pattern's matches never run from other characters into white space, so a text may be cut there.
 _UNIT = re.compile("[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 
-_CACHED_UNITS, _CACHED_PREFIXES, _CACHED_LENGTH = 600_000, 1_000_000, 64
+_CACHED_UNITS, _CACHED_PREFIXES, _CACHED_LENGTH = 700_000, 1_500_000, 64
 
 
 class PrefixEncoder:
@@ -43,6 +43,7 @@ class PrefixEncoder:
         self.split = regex.compile(pattern).findall
         self._follows: dict[tuple[int, int], bool] = {}
         self._units: dict[str, tuple[int, ...]] = {}
+        self._pieces: dict[str, tuple[int, ...]] = {}
         self._last: dict[bytes, int] = {}  # last tokens of prefixes, which many pieces share
 
     def merged(self, text: bytes) -> list[int]:
@@ -83,17 +84,24 @@ class PrefixEncoder:
         """Continue the table of last tokens (``last[0]`` is -1) to the end of ``text``."""
         longest = len(self.lengths) - 1
         for end in range(len(last), len(text) + 1):
-            if end > _CACHED_LENGTH:  # only what the longest token can reach
-                window = text[max(0, end - longest) : end]
-                last.append(self.last_token(last[end - len(window) :], window))
-                continue
-            prefix = text[:end]
-            token = self._last.get(prefix)
-            if token is None:
+            window = text[max(0, end - longest) : end]  # as far as the longest token can reach
+            last.append(self.last_token(last[end - len(window) :], window))
+
+    def last_of(self, text: bytes) -> int:
+        """The token that ends the encoding of a short text. Prefixes are looked at as they are needed, and
+        kept: other pieces begin alike."""
+        token = self._last.get(text)
+        if token is not None:
+            return token
+        end = len(text)
+        for n in self.lengths[min(end, len(self.lengths) - 1)]:
+            token = self.ranks.get(text[end - n :])
+            if token is not None and self.may_follow(self.last_of(text[: end - n]) if n < end else -1, token):
                 if len(self._last) >= _CACHED_PREFIXES:
                     self._last.clear()
-                token = self._last[prefix] = self.last_token(last, prefix)
-            last.append(token)
+                self._last[text] = token
+                return token
+        raise ValueError("the vocabulary lacks a single byte")
 
     def read(self, last: list[int]) -> list[int]:
         """The ids that a table of last tokens stands for."""
@@ -108,12 +116,29 @@ class PrefixEncoder:
         whole = self.ranks.get(text)
         if whole is not None:
             return [whole]
-        last = [-1]
-        self.extend(last, text)
-        return self.read(last)
+        if len(text) > _CACHED_LENGTH:
+            last = [-1]
+            self.extend(last, text)
+            return self.read(last)
+        out = []
+        while text:
+            out.append(self.last_of(text))
+            text = text[: -len(self.tokens[out[-1]])]
+        return out[::-1]
+
+    def _match(self, match: str) -> tuple[int, ...]:
+        ids = self._pieces.get(match)
+        if ids is None:
+            ids = tuple(self.piece(match.encode()))
+            if len(match) <= _CACHED_LENGTH:
+                if len(self._pieces) >= _CACHED_UNITS:
+                    self._pieces.clear()
+                self._pieces[match] = ids
+        return ids
 
     def _unit(self, unit: str) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(self.piece(p.encode()) for p in self.split(unit)))
+        matches = self.split(unit)
+        ids = self._match(matches[0]) if len(matches) == 1 else tuple(chain.from_iterable(map(self._match, matches)))
         if len(unit) <= _CACHED_LENGTH:
             if len(self._units) >= _CACHED_UNITS:
                 self._units.clear()
@@ -123,7 +148,7 @@ class PrefixEncoder:
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, equal to encoding every match of the pattern on its own."""
         if _RARE_SPACE.search(text):
-            return list(chain.from_iterable(self.piece(p.encode()) for p in self.split(text)))
+            return list(chain.from_iterable(map(self._match, self.split(text))))
         units = _UNIT.findall(text)
         found = list(map(self._units.get, units))
         if None in found:
