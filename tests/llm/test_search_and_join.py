@@ -229,6 +229,36 @@ def test_task_combining_loses_no_passage(documents, prose, monkeypatch):
         assert {r.doc_id for r in found} | {r.other_doc_id for r in found} == set(range(40))
 
 
+def excerpts(prose, n, words):
+    """Documents that quote random excerpts of one long text, and which of them share 50 words in a row with another."""
+    rng = random.Random(n)
+    whole = prose(3, 1000).split()
+    rows = []
+    for i in range(n):
+        at = rng.randint(0, len(whole) - words)
+        rows.append((i, " ".join([prose(1000 + i, rng.randint(10, 60)), *whole[at : at + words], prose(5000 + i, 30)])))
+    holders = defaultdict(set)
+    for i, t in rows:
+        w = t.split()
+        for at in range(len(w) - 49):
+            holders[tuple(w[at : at + 50])].add(i)
+    return rows, holders
+
+
+def test_every_exact_run_is_in_a_row(documents, prose):
+    rows, holders = excerpts(prose, 300, 60)
+    found = passages.repeated_passages(documents(*[(i, t, "s") for i, t in rows]).repartition(5)).collect()
+    covered = defaultdict(set)  # places of each document in some row
+    for r in found:
+        covered[r.doc_id].update(range(r.first_word, r.after_word))
+        covered[r.other_doc_id].update(range(r.other_first, r.other_after))
+    texts = {i: t.split() for i, t in rows}
+    for i, w in texts.items():
+        for at in range(len(w) - 49):
+            if len(holders[tuple(w[at : at + 50])]) > 1:
+                assert covered[i] >= set(range(at, at + 50))
+
+
 def brute_licenses(rows):
     out = {}
     for n, (d, t) in enumerate(rows):
