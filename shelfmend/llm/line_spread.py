@@ -64,8 +64,9 @@ def remove_spread_lines(
 ) -> DataFrame:
     """Cut lines that stand on ``sites`` or more distinct sites from every text, with their line break.
 
-    A document that would lose more than ``most_lost`` of its characters to this is a copy of documents elsewhere, not
-    a carrier of boilerplate; it stays whole, for the operators on near-duplicates. Blank lines stay. A null text
+    A document that would lose more than ``most_lost`` of its characters to this stays whole, for the operators on
+    near-duplicates. Whether it is a copy of others is not checked: a short page made mostly of boilerplate stays whole
+    too. ``most_lost=1.0`` cuts always. Blank lines stay. A null text
     stays null. All rows and columns stay; with ``report``, ``lines_removed`` and ``chars_removed`` are added and take
     the place of columns of that name. Input columns whose names begin with ``_row_`` or ``_cut_`` are dropped.
     """

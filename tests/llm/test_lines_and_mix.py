@@ -37,6 +37,12 @@ def test_spread_lines_are_cut(documents, prose):
     assert line_spread.remove_spread_lines(docs.limit(0)).count() == 0
 
 
+def test_spread_lines_can_always_be_cut(documents, prose):
+    rows = [(i, f"{prose(i, 3)}\nshared boiler plate line that is long", f"site{i}") for i in range(12)]
+    cut = line_spread.remove_spread_lines(documents(*rows), most_lost=1.0, report=True).collect()
+    assert {r.doc_id: r.text for r in cut} == {i: prose(i, 3) for i in range(12)} and all(r.lines_removed == 1 for r in cut)
+
+
 @pytest.mark.parametrize("sites", [2, 9, 10, 11, 25, 60])
 def test_threshold_is_exact(spark, sites):
     rows = [(i, f"line {n}", f"s{i % n}") for n in (1, 2, 8, 9, 10, 11, 12, 24, 25, 26, 60) for i in range(2 * n)]
