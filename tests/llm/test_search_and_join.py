@@ -259,6 +259,18 @@ def test_every_exact_run_is_in_a_row(documents, prose):
                 assert covered[i] >= set(range(at, at + 50))
 
 
+@pytest.mark.parametrize("words", [60, 100])
+@pytest.mark.parametrize("every", [4, 5, 6, 8])
+def test_changed_words_down_to_the_identity(documents, prose, words, every):
+    rows = []
+    for i in range(30):  # pairs; one word in ``every`` is replaced
+        p = prose(i, words).split()
+        q = [f"new{i}x{n}" if n % every == i % every else w for n, w in enumerate(p)]
+        rows += [(2 * i, f"{prose(300 + i, 40)} {' '.join(p)} {prose(600 + i, 30)}"), (2 * i + 1, f"{prose(900 + i, 25)} {' '.join(q)} {prose(1200 + i, 60)}")]
+    found = passages.repeated_passages(documents(*[(i, t, "s") for i, t in rows])).collect()
+    assert {frozenset((r.doc_id, r.other_doc_id)) for r in found} == {frozenset((2 * i, 2 * i + 1)) for i in range(30)}
+
+
 def brute_licenses(rows):
     out = {}
     for n, (d, t) in enumerate(rows):
