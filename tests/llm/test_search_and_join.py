@@ -271,6 +271,22 @@ def test_changed_words_down_to_the_identity(documents, prose, words, every):
     assert {frozenset((r.doc_id, r.other_doc_id)) for r in found} == {frozenset((2 * i, 2 * i + 1)) for i in range(30)}
 
 
+def test_every_place_of_a_passage_is_in_a_row(documents, prose):
+    p = prose(1, 60)
+    stray = " ".join(" ".join([*p.split()[i : i + 5], f"x{i}"]) for i in range(0, 60, 5))  # its words in other company before it
+    rows = [(0, f"{prose(2, 30)} {p} {prose(3, 90)} {p}"), (1, f"{prose(4, 20)} {p}"), (2, f"{stray} {prose(5, 80)} {p} {prose(6, 80)} {p} end")]
+    found = passages.repeated_passages(documents(*[(i, t, "s") for i, t in rows])).collect()
+    covered = defaultdict(set)
+    for r in found:
+        covered[r.doc_id].update(range(r.first_word, r.after_word))
+        covered[r.other_doc_id].update(range(r.other_first, r.other_after))
+    for i, t in rows:
+        w = t.split()
+        for at in range(len(w) - 59):
+            if w[at : at + 60] == p.split():
+                assert covered[i] >= set(range(at, at + 60))
+
+
 def brute_licenses(rows):
     out = {}
     for n, (d, t) in enumerate(rows):
