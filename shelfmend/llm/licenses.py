@@ -14,7 +14,9 @@ All in DataFrame operations. Templates are data of a bounded size (``most_shingl
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,18 +37,16 @@ def template_shingles(words: list[str]) -> list[str]:
 
 
 def anchors(words: list[str], containment: float) -> list[str]:
-    """Words of which every text with ``containment`` of the shingles has one: long ones first, as few as it takes."""
+    """Words of which every text with ``containment`` of the shingles has one: long ones in many shingles first."""
     shingles = [set(s.split(" ")) for s in template_shingles(words)]
     spare = len(shingles) - containment * len(shingles)  # so many shingles a match may lack
     chosen: list[str] = []
     uncovered = shingles
-    for word in sorted(set(words), key=lambda w: (-len(w), w)):
-        if len(shingles) - len(uncovered) > spare:
-            break
-        left = [s for s in uncovered if word not in s]
-        if len(left) < len(uncovered):
-            chosen.append(word)
-            uncovered = left
+    while len(shingles) - len(uncovered) <= spare:
+        counts = Counter(w for s in uncovered for w in s)
+        word = max(counts, key=lambda w: (max(counts[w] * (len(w) - 4), 0), len(w), -words.index(w)))
+        chosen.append(word)
+        uncovered = [s for s in uncovered if word not in s]
     return chosen
 
 
@@ -89,7 +89,12 @@ def find_licenses(
     result = f"{key} long, license string, containment double, first_word long"
     if not rows:
         return spark.createDataFrame([], result)
-    wanted = sorted({a for w in known.values() for a in anchors(w, containment)})
+    # of each kind: the anchors, and the fewest shingles that a match has
+    kinds: dict[tuple[int, int], tuple[set[str], int]] = {}
+    for name, k, c, n, _ in rows:
+        words, fewest = kinds.get((k, c), (set(), n))
+        kinds[k, c] = words | set(anchors(known[name], containment)), min(fewest, ceil(containment * n - 1e-9))
+    wanted = sorted(set().union(*[words for words, _ in kinds.values()]))
     table = spark.createDataFrame(rows, "license string, k int, c int, n int, _texts array<string>")
     table = table.withColumn("_shingles", F.transform("_texts", lambda s: F.xxhash64(s))).drop("_texts")
     keys = table.select("license", "k", "c", F.posexplode(_signature(F.col("_shingles"), bands)).alias("band", "least"))
@@ -97,18 +102,26 @@ def find_licenses(
     lowered = F.lower(F.col(text).cast("string"))
     some = F.lit(False)
     for word in wanted:
-        some = some | lowered.contains(word)
+        if len(word) > 3:
+            some = some | lowered.contains(word)
+    short = "|".join(word for word in wanted if len(word) <= 3)  # these lie in many other words
+    if short:
+        some = some | lowered.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{short})(?![\p{{L}}\p{{N}}])")
     texts = docs.filter(some).select(
         F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias(key),
         F.split(F.trim(F.regexp_replace(lowered, r"[^\p{L}\p{N}]+", " ")), " ").alias("words"),
     )
-    kinds = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(c).alias("c")) for k, c in sorted({(r[1], r[2]) for r in rows})])
-    cut = texts.withColumn("_kind", F.explode(kinds)).select("_row", key, "words", "_kind.k", "_kind.c")
+    kind = F.array(*[
+        F.struct(F.lit(k).alias("k"), F.lit(c).alias("c"), F.lit(fewest).alias("fewest"), F.array(*[F.lit(w) for w in sorted(words)]).alias("anchors"))
+        for (k, c), (words, fewest) in sorted(kinds.items())
+    ])
+    cut = texts.withColumn("_kind", F.explode(kind)).select("_row", key, "words", "_kind.*")
+    cut = cut.filter((F.size("words") - F.col("k") + 1 >= F.col("fewest")) & F.arrays_overlap("words", "anchors"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - F.col("k"), F.lit(0)), F.col("c"))
     windows = cut.withColumn("start", F.explode(starts)).select(
-        "_row", key, "k", "c", "start", F.slice("words", F.col("start") + 1, 2 * F.col("c") + F.col("k") - 1).alias("words")
+        "_row", key, "k", "c", "fewest", "anchors", "start", F.slice("words", F.col("start") + 1, 2 * F.col("c") + F.col("k") - 1).alias("words")
     )
-    windows = windows.filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in wanted])))
+    windows = windows.filter((F.size("words") - F.col("k") + 1 >= F.col("fewest")) & F.arrays_overlap("words", "anchors"))
     at = F.sequence(F.lit(1), F.size("words") - F.col("k") + 1)
     windows = windows.filter(F.size("words") >= F.col("k")).withColumn(
         "_window", F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice("words", i, F.col("k")), " ")))

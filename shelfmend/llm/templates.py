@@ -1,4 +1,6 @@
-"""License texts and notices to search for. The public wording of the notices."""
+"""License texts and notices to search for. The public wording; whole texts are in ``license_texts``."""
+
+from pathlib import Path
 
 TEMPLATES = {
     "MIT notice": "Released under the MIT License.",
@@ -31,3 +33,74 @@ TEMPLATES = {
         "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
     ),
 }
+
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+TEMPLATES |= {
+    "BSD-2-Clause": _BSD + _BSD_END,
+    "BSD-3-Clause": _BSD + _BSD_NAMES + _BSD_END,
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "EPL-2.0 header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+}
+_GNU = (
+    "{0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} General Public License as "
+    "published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+)
+for _name, _what, _kind, _version in (
+    ("GPL-2.0 header", "This program", "", "2"), ("LGPL-2.1 header", "This library", "Lesser", "2.1"),
+    ("LGPL-3.0 header", "This library", "Lesser", "3"), ("AGPL-3.0 header", "This program", "Affero", "3"),
+):
+    TEMPLATES[_name] = _GNU.format(_what, _kind, _version)
+
+#: What stands behind "under the" in notices of one line.
+for _name, _title in {
+    "MIT": "MIT License", "ISC": "ISC License", "Apache-2.0": "Apache License 2.0", "BSD": "BSD License", "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License", "MPL-2.0": "Mozilla Public License 2.0", "EPL-2.0": "Eclipse Public License 2.0",
+    "GPL-2.0": "GNU General Public License v2.0", "GPL-3.0": "GNU General Public License v3.0",
+    "LGPL-2.1": "GNU Lesser General Public License v2.1", "LGPL-3.0": "GNU Lesser General Public License v3.0",
+    "AGPL-3.0": "GNU Affero General Public License v3.0", "Unlicense": "Unlicense",
+}.items():
+    TEMPLATES[f"{_name} title"] = f"under the {_title}"
+
+for _kind, _words in {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}.items():
+    for _version, _end in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES[f"CC-{_kind}-{_version}"] = f"CC {_kind} {_version}"
+        TEMPLATES[f"CC-{_kind}-{_version} title"] = f"Creative Commons {_words} {_version} {_end}"
+TEMPLATES["CC0-1.0"] = "CC0 1.0"
+
+for _tag in (
+    "MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-1.0", "EPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+):
+    TEMPLATES[f"SPDX {_tag}"] = f"SPDX-License-Identifier: {_tag}"
+
+for _path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+    TEMPLATES[f"{_path.stem} text"] = _path.read_text(encoding="utf-8")

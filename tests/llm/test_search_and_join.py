@@ -321,6 +321,19 @@ def test_licenses(documents, prose):
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "Cartesian"))
 
 
+def test_common_licenses_are_known(documents, prose):
+    notices = {
+        "BSD-3-Clause title": "Licensed under the BSD 3-Clause License", "MIT title": "Licensed under the MIT License",
+        "CC-BY-NC-SA-4.0": "(CC BY-NC-SA 4.0)", "CC-BY-SA-4.0": "CC BY-SA 4.0", "CC0-1.0": "CC0 1.0", "SPDX MPL-2.0": "// SPDX-License-Identifier: MPL-2.0",
+        "LGPL-2.1 header": TEMPLATES["LGPL-2.1 header"], "AGPL-3.0 header": TEMPLATES["AGPL-3.0 header"], "EPL-2.0 header": TEMPLATES["EPL-2.0 header"],
+        "Unlicense text": TEMPLATES["Unlicense text"], "BSD-2-Clause": TEMPLATES["BSD-2-Clause"],
+        "Apache-2.0 text": TEMPLATES["Apache-2.0 text"].split("APPENDIX")[0], "GPL-3.0 text": TEMPLATES["GPL-3.0 text"].split("How to Apply")[0],
+    }
+    rows = [(i, f"{prose(i, 40)} {t} {prose(i + 50, 20)}", "s") for i, t in enumerate(notices.values())]
+    found = licenses.find_licenses(documents(*rows)).collect()
+    assert {(i, name) for i, name in enumerate(notices)} <= {(r.doc_id, r.license) for r in found}
+
+
 @pytest.mark.parametrize("name", list(TEMPLATES))
 def test_anchors_cover(name):
     words = licenses.template_words(TEMPLATES[name])
