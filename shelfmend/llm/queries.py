@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe_prefix, host_lines, licenses, line_spread, maxscore, mixing, passages, set_join, token_store, trie_counts
+from . import bpe_prefix, host_lines, licenses, line_spread, maxscore, mixing, passages, pieces, set_join, spelling
+from . import token_store, trie_counts, whitening
 from .common import documents, fresh_path
 from .templates import TEMPLATES
 
@@ -268,3 +269,59 @@ GROUP BY doc_id, license
 )
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(documents(spark, folder))
+
+
+@_query(
+    "op11_spelling",
+    """
+WITH RECURSIVE t AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+), r AS (
+    SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS r FROM documents) GROUP BY ALL
+), b AS (
+    SELECT r, n, flatten([CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END
+        FOR x IN string_split(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || r, '')]) AS bytes
+    FROM r WHERE length(r) >= 7
+), h AS (
+    SELECT r, n, xor(list_reduce([CAST(4294967295 AS BIGINT)] || bytes, lambda c, x: xor(c // 256, steps[xor(c % 256, x) + 1])), 4294967295) AS h
+    FROM b, t
+), w AS (
+    SELECT CASE WHEN h % 31 = 0 THEN left(r, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, n FROM h
+), v AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+    SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), one AS (
+    SELECT a.word, b.word AS near FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+    UNION
+    SELECT word, rest FROM cut SEMI JOIN v ON rest = v.word
+    UNION
+    SELECT rest, word FROM cut SEMI JOIN v ON rest = v.word
+), best AS (
+    SELECT one.word, count(*) AS n_near, first(near ORDER BY v.n DESC, near) AS near, max(v.n) AS near_n FROM one JOIN v ON v.word = near
+    GROUP BY one.word
+), f AS (
+    SELECT word, CASE WHEN near_n >= 10 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+    FROM v LEFT JOIN best USING (word)
+), up(word, root) AS (
+    SELECT word, word FROM f
+    UNION ALL
+    SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up USING (word) JOIN f AS e ON e.word = up.root WHERE e.form IS NULL
+""",
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(documents(spark, folder))
+
+
+@_query("op12_pieces")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digest_documents(documents(spark, folder))
+
+
+@_query("op13_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
