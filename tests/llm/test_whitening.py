@@ -95,7 +95,8 @@ def test_numbers_beyond_64_bits(table):
     found = whitening.whiten(table([(1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [0.0, 2.0])])).collect()
     # the third row's numbers are small: S is what the nearest 64-bit numbers of the other two differ by
     assert {(r.vec_id, r.deviation) for r in found} == {(1, None), (2, None), (3, (1024**2) + (3 * 512 - 768) ** 2)}
-    assert all(np.isfinite(r.whitened) for r in found)
+    # beside them the second component is rounding
+    assert all(np.isfinite(r.whitened) if r.component == 1 else r.whitened is None for r in found)
 
 
 def test_result_does_not_depend_on_the_layout(table):
