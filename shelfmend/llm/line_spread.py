@@ -64,9 +64,9 @@ def remove_spread_lines(
 ) -> DataFrame:
     """Cut lines that stand on ``sites`` or more distinct sites from every text, with their line break.
 
-    A document that would lose more than ``most_lost`` of its characters to this stays whole, for the operators on
-    near-duplicates. Whether it is a copy of others is not checked: a short page made mostly of boilerplate stays whole
-    too. ``most_lost=1.0`` cuts always. Blank lines stay. A null text
+    A document is cut whatever share of it goes: one that is all boilerplate becomes empty. Only a text that a document
+    with another key has as well stays whole where more than ``most_lost`` of its characters would go, since it is a copy
+    on many sites and left to the operators on duplicates; ``most_lost=1.0`` cuts these too. Blank lines stay. A null text
     stays null. All rows and columns stay; with ``report``, ``lines_removed`` and ``chars_removed`` are added and take
     the place of columns of that name. Input columns whose names begin with ``_row_`` or ``_cut_`` are dropped.
     """
@@ -74,13 +74,17 @@ def remove_spread_lines(
     boilerplate = spread_lines(found, sites, margin)
     hits = attach(found, boilerplate.withColumn("_hit", F.lit(1)), _KEY, how="inner")
     cuts = hits.groupBy("_row_1", "_row_2").agg(F.collect_set("at").alias("_cut_at"))
+    holders = found.groupBy("_row_2").agg(F.min("_row_1").alias("_a"), F.max("_row_1").alias("_b"))
+    copies = holders.filter("_a <> _b").select("_row_2", F.lit(True).alias("_cut_copy"))
+    cuts = attach(cuts, copies, ["_row_2"])
     row_1, row_2 = _own_key(docs, text, key)
     columns = [c for c in docs.columns if not c.startswith(("_row_", "_cut_"))]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns], row_1.alias("_row_1"), row_2.alias("_row_2"))
     joined = rows.join(cuts, ["_row_1", "_row_2"], "left")
     parts = F.split(F.col(text).cast("string"), "\n")
     gone = F.aggregate(F.col("_cut_at"), F.lit(0), lambda n, i: n + F.length(F.get(parts, i)))
-    real = F.col("_cut_at").isNotNull() & (gone <= F.lit(most_lost) * F.length(text))
+    spared = F.coalesce("_cut_copy", F.lit(False)) & (gone > F.lit(most_lost) * F.length(text))
+    real = F.col("_cut_at").isNotNull() & ~spared
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_cut_at"))
     left = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
     # under names of their own first: an alias equal to an input column would be taken for it inside a lambda

@@ -53,11 +53,13 @@ WITH l AS (
         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit), '') AS rest
     FROM m GROUP BY doc_id
 )
-SELECT d.doc_id,
-    md5(CASE WHEN gone <= 0.5 * length(text) THEN rest ELSE text END) AS text_md5,
-    CASE WHEN gone <= 0.5 * length(text) THEN n ELSE 0 END AS lines_removed,
-    CAST(CASE WHEN gone <= 0.5 * length(text) THEN gone ELSE 0 END AS BIGINT) AS chars_removed
-FROM documents d LEFT JOIN g USING (doc_id)
+SELECT d.doc_id, md5(CASE WHEN cut THEN rest ELSE text END) AS text_md5, CASE WHEN cut THEN n ELSE 0 END AS lines_removed,
+    CAST(CASE WHEN cut THEN gone ELSE 0 END AS BIGINT) AS chars_removed
+FROM (
+    SELECT d.doc_id, text, n, rest, gone, n > 0 AND NOT (copied AND gone > 0.5 * length(text)) AS cut
+    FROM (SELECT *, min(doc_id) OVER same <> max(doc_id) OVER same AS copied FROM documents WINDOW same AS (PARTITION BY text)) d
+    LEFT JOIN g USING (doc_id)
+) d
 """,
 )
 def op2(spark: SparkSession, folder: str) -> DataFrame:

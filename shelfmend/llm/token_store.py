@@ -24,6 +24,7 @@ from .shingles import chunks, words_of
 
 _SLOTS, _CACHED_WORDS, _CACHED_IDS = 1 << 22, 2_000_000, 30_000_000
 _WORDS_A_CALL, _BYTES_AT_ONCE = 100, 2 << 20
+_ROWS_BETWEEN_CHECKS = 10
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 SCHEMA = "part int, doc_id long, start_in_part long, ids array<int>"
 
@@ -187,7 +188,9 @@ def write(
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", str(rows_per_index))
         .option("orc.stripe.size", str(stripe_bytes))
-        .option("orc.rows.between.memory.checks", str(rows_per_index))  # rows are long: close full stripes early
+        # rows are long: a full stripe is closed after few of them, whatever stands between two index entries
+        .option("orc.rows.between.memory.checks", str(_ROWS_BETWEEN_CHECKS))
+        .option("orc.row.batch.size", str(_ROWS_BETWEEN_CHECKS))
         .option("orc.compress", "ZSTD")
         .orc(path)
     )

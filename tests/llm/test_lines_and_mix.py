@@ -29,20 +29,32 @@ def test_spread_lines_are_cut(documents, prose):
         by_id[r.doc_id].append(r)
     assert all("boiler plate" not in by_id[i][0].text and by_id[i][0].lines_removed == 1 for i in range(60))
     assert by_id[5][0].text == f"{prose(5, 30)}\n{prose(505, 10)}"
-    assert all(r.lines_removed == 0 for i in range(100, 130) for r in by_id[i])  # copies stay whole
+    assert all(r.lines_removed == 0 and r.text for i in range(100, 130) for r in by_id[i])  # copies stay whole
     assert by_id[200][0].text is None and by_id[201][0].text == "" and by_id[202][0].text == " \n\n\t"
-    assert by_id[203][0].text == "shared  boiler plate line"
+    assert (by_id[203][0].text, by_id[203][0].lines_removed) == ("", 1)  # a text of nothing else
     assert [r.text for r in by_id[206]] == [f"{prose(902, 30)}\nEnd"] * 3
     assert by_id[5][0].size == "b" and by_id[None][0].text == prose(901, 30)
     assert line_spread.remove_spread_lines(docs.limit(0)).count() == 0
 
 
-def test_spread_lines_can_always_be_cut(documents, prose):
+def test_pages_that_are_mostly_boilerplate_are_cut(documents, prose):
     rows = [(i, f"{prose(i, 3)}\nshared boiler plate line that is long", f"site{i}") for i in range(12)]
-    cut = line_spread.remove_spread_lines(documents(*rows), most_lost=1.0, report=True).collect()
+    cut = line_spread.remove_spread_lines(documents(*rows), report=True).collect()
     assert {r.doc_id: r.text for r in cut} == {i: prose(i, 3) for i in range(12)} and all(r.lines_removed == 1 for r in cut)
 
 
+def test_only_copies_are_spared(documents, prose):
+    line = "shared boiler plate line that is long"
+    rows = [(i, f"{prose(i, 3)}\n{line}", f"site{i}") for i in range(12)]
+    rows += [(50, f"{prose(50, 3)}\n{line}", "site1"), (51, f"{prose(50, 3)}\n{line}", "site2")]  # two copies of a page
+    rows += [(60, f"{prose(60, 90)}\n{line}", "site1"), (61, f"{prose(60, 90)}\n{line}", "site2")]  # that lose little
+    rows += [(70, f"{prose(70, 3)}\n{line}", "site1")] * 2  # one row twice is no copy
+    found = line_spread.remove_spread_lines(documents(*rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == sorted((i, t if i in (50, 51) else t.split("\n")[0]) for i, t, _ in rows)
+    always = line_spread.remove_spread_lines(documents(*rows), most_lost=1.0).collect()
+    assert all(line not in r.text for r in always)
+
+
 @pytest.mark.parametrize("sites", [2, 9, 10, 11, 25, 60])
 def test_threshold_is_exact(spark, sites):
     rows = [(i, f"line {n}", f"s{i % n}") for n in (1, 2, 8, 9, 10, 11, 12, 24, 25, 26, 60) for i in range(2 * n)]

@@ -149,18 +149,37 @@ def test_store_equals_the_library(spark, documents, tmp_path):
     assert not any(expected.values())
 
 
-def test_store_stripes_and_pruning(spark, prose, tmp_path):
+@pytest.mark.parametrize("files", [1, 3, 8])
+def test_store_stripes_and_pruning(spark, prose, tmp_path, settings, files):
+    """However many files the rows go to, a stripe closes soon after it is full."""
+    settings(spark__sql__shuffle__partitions=files, spark__sql__adaptive__enabled="false")
     docs = spark.createDataFrame([(i, prose(i, 300)) for i in range(3000)], "doc_id long, text string")
     path = str(tmp_path / "store")
     token_store.write(docs, path, stripe_bytes=64 << 10)
-    files = [pyarrow.orc.ORCFile(f) for f in (tmp_path / "store").glob("*.orc")]
-    assert sum(f.nrows for f in files) == 3000 and max(f.nstripes for f in files) > 1
+    stores = [pyarrow.orc.ORCFile(f) for f in (tmp_path / "store").glob("*.orc")]
+    assert len(stores) == files and sum(f.nrows for f in stores) == 3000
+    for f in stores:
+        assert f.nstripes > 1
+        # what the writer holds is larger than what it writes; a stripe is never larger than a limit and the rows between two checks
+        rows = [f.read_stripe(i).num_rows for i in range(f.nstripes)]
+        assert f.content_length / f.nstripes < 2 * (64 << 10) and max(rows) < 400
     found = token_store.read(spark, path, keys=[17, 2900])
     assert "PushedFilters: [In(doc_id" in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.doc_id for r in found.collect()) == [17, 2900]
     assert token_store.read(spark, path, between=(10, 19)).count() == 10
 
 
+def test_stripes_of_long_texts(spark, prose, tmp_path, settings):
+    """Few long rows fill a stripe long before an index entry is due."""
+    settings(spark__sql__shuffle__partitions=2, spark__sql__adaptive__enabled="false")
+    docs = spark.createDataFrame([(i, prose(i, 20_000)) for i in range(40)], "doc_id long, text string")
+    path = str(tmp_path / "store")
+    token_store.write(docs, path, stripe_bytes=256 << 10, rows_per_index=1000)
+    stores = [pyarrow.orc.ORCFile(f) for f in (tmp_path / "store").glob("*.orc")]
+    assert max(f.read_stripe(i).num_rows for f in stores for i in range(f.nstripes)) <= 20
+    assert all(f.nstripes >= 2 for f in stores)
+
+
 def test_empty_store(spark, documents, tmp_path):
     path = str(tmp_path / "store")
     token_store.write(documents(*[(1, "a", "b")]).limit(0), path)
