@@ -30,10 +30,10 @@ def _deltas(s):
 @query(
     "upsert_increment",
     """
-select d.item_number, d.wh_id, 'L1' as location_id, d.qty, t.n as rows_present,
+select d.item_number, d.wh_id, 'L1' as location_id, d.qty, t.n as rows_present, t.kept as kept_sequence,
   case when t.n is null then 'INSERT' else 'UPDATE' end as action
 from (select item_number, wh_id, sum(qty) as qty from q_load_quantity group by 1, 2) d
-left join (select item_number, wh_id, count(*) as n from v_stock where location_id = 'L1' group by 1, 2) t
+left join (select item_number, wh_id, count(*) as n, min(sequence) as kept from v_stock where location_id = 'L1' group by 1, 2) t
   on t.item_number = d.item_number and t.wh_id = d.wh_id""",
 )
 def upsert_increment(s):
@@ -44,14 +44,33 @@ def upsert_increment(s):
     "upsert_increment_changes",
     """
 select t.item_number, t.wh_id, t.location_id, t.type, sum(t.actual_qty + coalesce(d.qty, 0)) as actual_qty, count(*) as n
-from v_stock t left join q_upsert_increment d on d.item_number = t.item_number and d.wh_id = t.wh_id and t.location_id = 'L1'
+from v_stock t left join q_upsert_increment d on d.item_number = t.item_number and d.wh_id = t.wh_id
+  and t.location_id = 'L1' and t.sequence = d.kept_sequence
 group by all
 union all
 select item_number, wh_id, 'L1', '0', qty, 1 from q_upsert_increment where action = 'INSERT'""",
 )
 def upsert_increment_changes(s):
     """Stock per place after the increments."""
-    changes = moves.upsert_increment(s.stock(), _deltas(s), AS_OF, row_type="0")
+    return _increased_by_type(s, strict=False)
+
+
+@query(
+    "upsert_increment_strict_changes",
+    """
+select t.item_number, t.wh_id, t.location_id, t.type, sum(t.actual_qty + coalesce(d.qty, 0)) as actual_qty, count(*) as n
+from v_stock t left join q_upsert_increment d on d.item_number = t.item_number and d.wh_id = t.wh_id and t.location_id = 'L1'
+group by all
+union all
+select item_number, wh_id, 'L1', '0', qty, 1 from q_upsert_increment where action = 'INSERT'""",
+)
+def upsert_increment_strict_changes(s):
+    """Stock per place after the literal increments, which raise every row of a place."""
+    return _increased_by_type(s, strict=True)
+
+
+def _increased_by_type(s, strict):
+    changes = moves.upsert_increment(s.stock(), _deltas(s), AS_OF, row_type="0", strict=strict)
     after = apply_change_set({"t_stored_item": s.stock()}, changes)["t_stored_item"]
     return after.groupBy("item_number", "wh_id", "location_id", "type").agg(
         F.sum("actual_qty").alias("actual_qty"), F.count(F.lit(1)).alias("n")
@@ -121,10 +140,19 @@ where t.location_id <> 'L1' and t.actual_qty <= p.planned and t.actual_qty > 0""
 @query(
     "move_fitting",
     f"""
-select * exclude (moved) from (
-  select *, sum(qty) over (partition by item_number, wh_id order by qty desc, sequence rows unbounded preceding) as moved
-  from ({_FITTING}))
-where moved <= planned""",
+with recursive f as ({_FITTING}),
+z as (
+  select item_number, wh_id, planned, qty, count(*) as n, row_number() over (partition by item_number, wh_id order by qty desc) as k
+  from f group by item_number, wh_id, planned, qty),
+g(item_number, wh_id, k, qty, take, rest) as (
+  select item_number, wh_id, k, qty, least(n, floor(planned / qty)), planned - least(n, floor(planned / qty)) * qty from z where k = 1
+  union all
+  select z.item_number, z.wh_id, z.k, z.qty, least(z.n, floor(g.rest / z.qty)), g.rest - least(z.n, floor(g.rest / z.qty)) * z.qty
+  from g join z on z.item_number = g.item_number and z.wh_id = g.wh_id and z.k = g.k + 1)
+select f.* exclude (r) from (
+  select *, row_number() over (partition by item_number, wh_id, qty order by sequence, location_id, hu_id) as r from f) f
+join g on g.item_number = f.item_number and g.wh_id = f.wh_id and g.qty = f.qty
+where f.r <= g.take""",
 )
 def move_fitting(s):
     return moves.move_fitting(s.cut_log(), s.stock(), None, "L1")
@@ -191,6 +219,65 @@ def move_stock(s):
     return moves.move_stock(s.stock(), moves.client_moves(move_by_client(s)))
 
 
+_STAGED = """
+select pick_id, item_number, container_id % 5 as wh_id, planned_quantity as qty,
+  case status when 'SHIPPED' then 'STAGE' else 'L' || container_id end as from_location, cast(null as varchar) as from_hu,
+  case status when 'RELEASED' then 'STAGE' when 'PICKED' then 'L1' else 'L' || container_id end as to_location,
+  cast(null as varchar) as to_hu
+from v_picks"""
+
+_STAGED_STEPS = f"""
+with recursive m as (select *, row_number() over (partition by item_number, wh_id order by pick_id) as k from ({_STAGED})),
+start as (
+  select item_number, wh_id, location_id, sum(qty) as qty from (
+    select item_number, wh_id, location_id, actual_qty as qty from v_stock
+    union all select item_number, wh_id, from_location, 0 from m
+    union all select item_number, wh_id, to_location, 0 from m)
+  group by 1, 2, 3),
+places as (select item_number, wh_id, list({{'p': location_id, 'q': qty}} order by location_id) as held from start group by 1, 2),
+s(item_number, wh_id, k, pick_id, moved, refused, held) as (
+  select item_number, wh_id, cast(0 as bigint), cast(null as varchar), cast(0 as double), cast(0 as double), held from places
+  union all
+  select s.item_number, s.wh_id, m.k, m.pick_id, t.t, m.qty - t.t,
+    [{{'p': x.p, 'q': x.q - case when x.p = m.from_location then t.t else 0 end + case when x.p = m.to_location then t.t else 0 end}} for x in s.held]
+  from s join m on m.item_number = s.item_number and m.wh_id = s.wh_id and m.k = s.k + 1,
+    lateral (select least(m.qty, [x.q for x in s.held if x.p = m.from_location][1]) as t) t)"""
+
+
+def _staged(s):
+    """Released picks bring stock to a stage, shipped ones take it from there, picked ones go from the shelf to L1."""
+    picks, place = s.picks(), F.concat(F.lit("L"), F.col("container_id").cast("string"))
+    planned = picks.select(
+        "pick_id", "item_number", (F.col("container_id") % 5).alias("wh_id"), F.col("planned_quantity").alias("qty"),
+        F.when(F.col("status") == "SHIPPED", F.lit("STAGE")).otherwise(place).alias("from_location"),
+        F.lit(None).cast("string").alias("from_hu"),
+        F.when(F.col("status") == "RELEASED", F.lit("STAGE")).when(F.col("status") == "PICKED", F.lit("L1")).otherwise(place).alias("to_location"),
+        F.lit(None).cast("string").alias("to_hu"),
+    )
+    loose = s.stock().withColumn("hu_id", F.lit(None).cast("string"))
+    return moves.move_within_stock(loose, planned, ["pick_id"])
+
+
+@query(
+    "move_within_stock",
+    f"{_STAGED_STEPS}\nselect pick_id, item_number, wh_id, moved as moved_qty, refused as refused_qty from s where k > 0",
+)
+def move_within_stock(s):
+    """All picks as moves against what is held: many bring what later ones take on, many are refused."""
+    return _staged(s).moves.select("pick_id", "item_number", "wh_id", "moved_qty", "refused_qty")
+
+
+@query(
+    "move_within_stock_changes",
+    f"""{_STAGED_STEPS}
+select wh_id, item_number, x.p as location_id, x.q as actual_qty
+from (select item_number, wh_id, unnest(arg_max(held, k)) as x from s group by 1, 2) where x.q <> 0""",
+)
+def move_within_stock_changes(s):
+    """Balances per place after these moves."""
+    return _staged(s).balances.drop("hu_id")
+
+
 @query(
     "move_by_client_changes",
     """
@@ -435,7 +522,7 @@ def restore_wave_changes(s):
     return a.unionByName(b).unionByName(c)
 
 
-_SEEDED = """200.0::double as actual_qty, 0.0::double as unavailable_qty, 'A' as status, wh_id, '{loc}' as location_id,
+_SEEDED = """md5(concat_ws('|', item_number, wh_id, '{loc}', 'seed', '2001-12-01T00:00:00')) as sequence, 200.0::double as actual_qty, 0.0::double as unavailable_qty, 'A' as status, wh_id, '{loc}' as location_id,
   timestamp '2001-12-01' as fifo_date, timestamp '1900-01-01' as expiration_date, '0' as type"""
 
 

@@ -17,6 +17,7 @@ from .reports import AS_OF, EVENTS_AS_OF, double_sent, manual_feed, manual_feed_
 _INCREASED = """
   select t.item_number, t.wh_id, t.location_id, t.hu_id, t.type, t.lot_number, t.actual_qty + coalesce(d.qty, 0) as qty
   from v_stock t left join q_upsert_increment d on d.item_number = t.item_number and d.wh_id = t.wh_id and t.location_id = 'L1'
+    and t.sequence = d.kept_sequence
   union all
   select item_number, wh_id, 'L1', null, 'STORAGE', null, qty from q_upsert_increment where action = 'INSERT'"""
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +14,7 @@ from ..functions.clock import ts
 from ..functions.text import new_id
 from ..plans.changeset import ChangeSet, Delete, Update, with_id
 from ..plans.joins import attach, matching, missing
-from ..plans.numbering import running_total
+from ..plans.numbering import number_rows, number_within, pinned, running_low
 from .audit import AuditProfile, audit_rows
 
 PLACE = ("wh_id", "item_number", "location_id", "hu_id")
@@ -42,12 +42,86 @@ def move_stock(stock: DataFrame, moves: DataFrame) -> DataFrame:
     return signed.groupBy(*PLACE).agg(F.sum("qty").alias("actual_qty")).filter(F.col("actual_qty") != 0)
 
 
+@dataclass(frozen=True)
+class Moved:
+    """``balances`` after the moves, and the ``moves`` with what was moved (``moved_qty``) and what was not (``refused_qty``)."""
+
+    balances: DataFrame
+    moves: DataFrame
+
+    @property
+    def refused(self) -> DataFrame:
+        """Moves that the source could not give in full."""
+        return self.moves.filter(F.col("refused_qty") > 0)
+
+
+def _place(columns: Sequence[str | Column]) -> Column:
+    """One key for a place; a NULL in it is a value of its own."""
+    named = [(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(columns, PLACE, strict=True)]
+    return F.to_json(F.struct(*named))
+
+
+def move_within_stock(stock: DataFrame, moves: DataFrame, order_by: Sequence[str | Column]) -> Moved:
+    """The moves one after the other, each as far as its source holds the quantity at that moment.
+
+    ``moves`` is as for :func:`move_stock`; rows that ``order_by`` leaves equal come in order of their other columns. A move can
+    give on what earlier ones brought. What its source lacks is refused; a NULL or negative quantity counts as none. No
+    place falls below zero by a move (one that was below gives only what arrives), and the total never changes.
+
+    All sources are handled at once. A source's departures and arrivals in order make a running total; what has been
+    refused so far is how far the total would have fallen below zero at its lowest. What arrives depends on what was refused
+    elsewhere, so this is repeated until nothing changes: once for each link of the longest chain of moves that
+    pass on a shortage, and once in all where no source is a destination.
+    """
+    columns = moves.columns
+    asked = moves.withColumn("_asked", F.greatest(F.coalesce("qty", F.lit(0)), F.lit(0)).cast(dict(moves.dtypes)["qty"]))
+    numbered = number_rows(asked, [*order_by, *columns], "_move")
+    source = _place(["wh_id", "item_number", "from_location", "from_hu"])
+    target = _place(["wh_id", "item_number", "to_location", "to_hu"])
+    todo = pinned(numbered.withColumns({"_source": source, "_target": target}))
+    sources = todo.select(F.col("_source").alias("_place")).distinct()
+    arrivals = pinned(matching(todo.select(F.col("_target").alias("_place"), "_move"), sources, ["_place"]))
+    held = stock.groupBy(*PLACE).agg(F.sum("actual_qty").alias("_held")).filter(F.col("_held") > 0)
+    opening = matching(held.select(_place(PLACE).alias("_place"), "_held"), sources, ["_place"])
+    kind = todo.schema["_asked"].dataType
+    none = F.lit(0).cast(kind)
+    fixed_events = pinned(
+        opening.select("_place", F.lit(0).cast("long").alias("_move"), F.lit(0).alias("_step"), F.col("_held").cast(kind).alias("_value"))
+        .unionByName(todo.select(F.col("_source").alias("_place"), "_move", F.lit(1).alias("_step"), (-F.col("_asked")).cast(kind).alias("_value")))
+    )
+    given = todo.select("_move", F.col("_asked").alias("_given"))
+    chained = bool(arrivals.head(1))
+    while True:
+        into = attach(arrivals, given, ["_move"], "inner").select("_place", "_move", F.lit(2).alias("_step"), F.col("_given").cast(kind).alias("_value"))
+        events = fixed_events.unionByName(into) if chained else fixed_events
+        totals = running_low(events, ["_place"], ["_move", "_step"], "_value", "_total", "_low")
+        lacked = F.greatest(none, -F.col("_total")) - F.greatest(none, -F.col("_low"))
+        refused = F.greatest(none, lacked)
+        after = totals.filter(F.col("_step") == 1).select("_move", (-F.col("_value") - refused).cast(kind).alias("_given"))
+        after = pinned(after) if chained else after
+        moved = chained and attach(after, given.withColumnRenamed("_given", "_before"), ["_move"]).filter("_given <> _before").head(1)
+        given = after
+        if not moved:
+            break
+    done = attach(todo, given, ["_move"], one_row_per_key=True)
+    result = pinned(done.select(*columns, F.col("_given").alias("moved_qty"), (F.col("_asked") - F.col("_given")).cast(kind).alias("refused_qty")))
+    real = result.filter(F.col("moved_qty") > 0).withColumn("qty", F.col("moved_qty"))
+    return Moved(move_stock(stock, real), result)
+
+
 def upsert_plan(stock: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Summed quantity per item, warehouse and location, and whether stock is there to add it to."""
+    """Summed quantity per item, warehouse and location, and the stock row there that takes it.
+
+    That is the row with the lowest key of its own at the place (``kept_sequence``); without one the quantity becomes a new row.
+    """
     wanted = deltas.groupBy(*SPOT).agg(F.sum("qty").alias("qty"))
-    present = stock.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("rows_present"))
+    # few places get a quantity: the other stock drops out before anything is counted
+    here = matching(stock.select(*ROW), wanted, list(SPOT))
+    keys = here.groupBy(*SPOT, "sequence").agg(F.count(F.lit(1)).alias("_n"))
+    own = F.when(F.col("_n") == 1, F.col("sequence"))
+    present = keys.groupBy(*SPOT).agg(F.sum("_n").alias("rows_present"), F.min(own).alias("kept_sequence"))
     joined = attach(wanted, present, list(SPOT), one_row_per_key=True)
-    return joined.withColumn("action", F.when(F.col("rows_present").isNull(), "INSERT").otherwise("UPDATE"))
+    return joined.withColumn("action", F.when(F.col("kept_sequence").isNull(), "INSERT").otherwise("UPDATE"))
 
 
 def _new_stock(rows: DataFrame, stock: DataFrame, as_of: datetime, row_type: str) -> DataFrame:
@@ -73,16 +147,20 @@ def upsert_increment(
     row_type: str,
     profile: AuditProfile | None = None,
     refresh: bool = False,
+    strict: bool = False,
 ) -> ChangeSet:
-    """Add quantities at a location: to every stock row there, or as a new row of ``row_type`` if there is
-    none. With ``refresh`` increased rows also get the moment as their FIFO date."""
+    """Add quantities at a location: to one stock row there, or as a new row of ``row_type`` if there is none, so that the
+    total rises by just these quantities. ``strict`` adds them to every stock row of the place. With ``refresh``
+    increased rows also get the moment as their FIFO date."""
     plan = upsert_plan(stock, deltas)
+    present = F.col("rows_present").isNotNull() if strict else F.col("action") == "UPDATE"
     dated = [ts(as_of).alias("fifo_date")] if refresh and "fifo_date" in stock.columns else []
-    added = plan.filter(F.col("action") == "UPDATE").select(*SPOT, F.col("qty").alias("actual_qty"), *dated)
-    created = _new_stock(plan.filter(F.col("action") == "INSERT"), stock, as_of, row_type)
+    key = [] if strict else [F.col("kept_sequence").alias("sequence")]
+    added = plan.filter(present).select(*key, *SPOT, F.col("qty").alias("actual_qty"), *dated)
+    created = _new_stock(plan.filter(~present), stock, as_of, row_type)
     return ChangeSet(
         inserts={"t_stored_item": created},
-        updates={"t_stored_item": Update(added, SPOT, add=("actual_qty",))},
+        updates={"t_stored_item": Update(added, SPOT if strict else ROW, add=("actual_qty",))},
         audit=audit_rows(plan, profile, as_of) if profile is not None else None,
     )
 
@@ -180,15 +258,38 @@ def receive_claims(
     )
 
 
+def _whole_units(sizes: DataFrame) -> DataFrame:
+    """``item_number, wh_id, size, take``: how many units of each size fit into the plan, taken from the largest size down.
+
+    ``sizes`` has one row per item, warehouse, ``planned`` quantity and size (``qty``), with the number ``n`` of units. An item's
+    sizes are one array: as many entries as sizes, not units.
+    """
+    kinds = dict(sizes.dtypes)
+    falling = F.sort_array(F.collect_list(F.struct("qty", "n")), asc=False).alias("_sizes")
+    lists = sizes.groupBy("item_number", "wh_id").agg(F.max("planned").alias("planned"), falling)
+    none = F.array().cast(f"array<struct<size:{kinds['qty']},take:bigint>>")
+
+    def step(so_far: Column, size: Column) -> Column:
+        rest, taken = so_far["rest"], so_far["taken"]
+        fit = F.least(size["n"], F.floor(rest / size["qty"]).cast("bigint"))
+        more = F.array_append(taken, F.struct(size["qty"].alias("size"), fit.alias("take")))
+        return F.struct(
+            (rest - fit * size["qty"]).cast(kinds["planned"]).alias("rest"), F.when(fit > 0, more).otherwise(taken).alias("taken")
+        )
+
+    start = F.struct(F.col("planned").alias("rest"), none.alias("taken"))
+    folded = lists.withColumn("_taken", F.aggregate("_sizes", start, step, lambda end: end["taken"]))
+    return folded.select("item_number", "wh_id", F.inline("_taken"))
+
+
 def move_fitting(
     plans: DataFrame, stock: DataFrame, source: str | None, destination: str, strict: bool = False
 ) -> DataFrame:
-    """Stock rows to move to the settlement location, largest first, within the planned quantity.
+    """Stock rows to move to the settlement location, within the planned quantity.
 
-    ``plans`` is the exception log of planned moves (item_number, wh_id, quantity). Only rows no
-    larger than the plan fit. By default their running sum must stay within the plan; with
-    ``strict`` every fitting row moves, even past the plan. ``source`` None takes every location
-    but the destination.
+    ``plans`` is the exception log of planned moves (item_number, wh_id, quantity). By default the largest row that fits into
+    what is left of the plan is taken, again and again; of equal rows the lowest sequence. With ``strict`` every row no
+    larger than the whole plan moves, even past the plan. ``source`` None takes every location but the destination.
     """
     planned = plans.filter(F.col("status").isNull()).groupBy("item_number", "wh_id").agg(
         F.sum("quantity").alias("planned")
@@ -199,11 +300,13 @@ def move_fitting(
         (F.col("qty") <= F.col("planned")) & (F.col("qty") > 0)
     )
     if strict:
-        chosen = fitting
-    else:
-        order = [F.desc("qty"), "sequence", "location_id", "hu_id"]  # total, also where rows share a sequence
-        summed = running_total(fitting, ["item_number", "wh_id"], order, "qty", "moved")
-        chosen = summed.filter(F.col("moved") <= F.col("planned")).drop("moved")
+        return fitting.withColumn("destination", F.lit(destination))
+    fitting = pinned(fitting)  # counted by size, then met again
+    taken = _whole_units(fitting.groupBy("item_number", "wh_id", "planned", "qty").agg(F.count(F.lit(1)).alias("n")))
+    several = attach(fitting, taken, ["item_number", "wh_id", ("qty", "size")], "inner")
+    order = ["sequence", "location_id", "hu_id"]  # total, also where rows share a sequence
+    counted = number_within(several, ["item_number", "wh_id", "qty"], order, "_at")
+    chosen = counted.filter(F.col("_at") <= F.col("take")).drop("_at", "take")
     return chosen.withColumn("destination", F.lit(destination))
 
 
@@ -576,15 +679,24 @@ def apply_restore(
 
 
 def seed_stock(
-    picks: DataFrame, orders: DataFrame, location: str, as_of: datetime, qty: float = 200.0, newest: int | None = None
+    picks: DataFrame,
+    orders: DataFrame,
+    location: str,
+    as_of: datetime,
+    qty: float = 200.0,
+    newest: int | None = None,
+    key_type: str = "string",
 ) -> DataFrame:
-    """Test stock for the items of the released picks; ``newest`` takes only so many picks, by date and id."""
+    """Test stock for the items of the released picks; ``newest`` takes only so many picks, by date and id.
+
+    Rows get keys of their own, of the type that the stock's ``sequence`` has.
+    """
     released = picks.filter((F.col("type") == "PP") & (F.col("status") == "RELEASED"))
     known = matching(released, orders, ["order_number", "wh_id"])
     top = known.select("item_number", "wh_id", "create_date", "pick_id")
     if newest is not None:
         top = top.orderBy(F.desc("create_date"), "pick_id").limit(newest)
-    return _seeded(top.select("item_number", "wh_id").distinct(), location, as_of, qty)
+    return _seeded(top.select("item_number", "wh_id").distinct(), location, as_of, qty, key_type)
 
 
 def seed_missing(
@@ -594,11 +706,13 @@ def seed_missing(
     here = stock.filter(F.col("location_id") == location)
     keys = ["item_number", "wh_id"]
     absent = missing(worklist.select(*keys).distinct(), here, keys, one_row_per_key=True)
-    return _seeded(absent, location, as_of, qty)
+    return _seeded(absent, location, as_of, qty, dict(stock.dtypes).get("sequence", "string"))
 
 
-def _seeded(keys: DataFrame, location: str, as_of: datetime, qty: float) -> DataFrame:
+def _seeded(keys: DataFrame, location: str, as_of: datetime, qty: float, key_type: str) -> DataFrame:
+    place = [F.col("item_number"), F.col("wh_id"), F.lit(location), F.lit("seed"), F.lit(as_of.isoformat())]
     return keys.select(
+        new_id(key_type, *place).alias("sequence"),
         "item_number",
         F.lit(qty).alias("actual_qty"),
         F.lit(0.0).alias("unavailable_qty"),

@@ -95,3 +95,28 @@ def running_total(
     inside = Window.partitionBy("_range", *group).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     rows = placed.withColumn("_inside", amount.over(inside))
     return _with_carry(rows, _carried(placed, group, amount), group, "_inside", name)
+
+
+def running_low(
+    df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], value: str, total: str, low_before: str
+) -> DataFrame:
+    """Running total of ``value`` in each group, and the lowest total of the group's earlier rows (NULL on the first)."""
+    placed = _placed(df, [*group, *order_by])
+    inside = Window.partitionBy("_range", *group).orderBy("_at")
+    summed = placed.withColumn("_sum_here", F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = summed.withColumn("_low_here", F.min("_sum_here").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = rows.groupBy("_range", *group).agg(F.sum(value).alias("_sum"), F.min("_sum_here").alias("_least"))
+    counted = per_range.withColumn("_carry", F.sum("_sum").over(earlier)).withColumn(
+        "_carry_low", F.min(F.coalesce("_carry", F.lit(0)) + F.col("_least")).over(earlier)
+    )
+    # as in _carried: at most one row per range
+    carried = counted.filter(F.col("_carry").isNotNull()).select(
+        "_range", F.struct(*group).alias("_carry_group"), "_carry", "_carry_low"
+    )
+    joined = rows.join(F.broadcast(carried), "_range", "left")
+    same = F.struct(*group).eqNullSafe(F.col("_carry_group"))
+    carry = F.when(same, F.col("_carry")).otherwise(F.lit(0))
+    low = F.least(F.col("_low_here") + carry, F.when(same, F.col("_carry_low")))
+    found = joined.withColumns({total: F.col("_sum_here") + carry, low_before: low})
+    return found.drop("_range", "_at", "_sum_here", "_low_here", "_carry_group", "_carry", "_carry_low")

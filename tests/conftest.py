@@ -40,6 +40,12 @@ def settings(spark):
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+@pytest.fixture
+def settings_of(settings):
+    """The same under a name that does not clash with that of a test's property settings."""
+    return settings
+
+
 @pytest.fixture
 def bag():
     def collect(df, *columns):

@@ -606,7 +606,8 @@ def test_increments_then_merges_conserve_stock(frame, rows, deltas):
     stock = frame(STOCK, *[stock_row(i, item, loc=loc, hu=hu, qty=float(q), lot=lot) for i, (item, loc, hu, q, lot) in enumerate(rows)])
     add = frame("item_number string, wh_id int, location_id string, qty double", *[(i, w, p, float(q)) for i, w, p, q in deltas])
     after = apply_change_set({"t_stored_item": stock}, moves.upsert_increment(stock, add, NOW, row_type="STORAGE"))["t_stored_item"]
-    total = after.agg(F.sum("actual_qty")).first()[0]
+    total = float(sum(r[3] for r in rows) + sum(d[3] for d in deltas))  # of what was there before, and what was added
+    assert after.agg(F.sum("actual_qty")).first()[0] == total
     assert after.select("sequence").distinct().count() == after.count()
     hu = frame("hu_id string, wh_id int, parent_hu_id string, zone string", ("h", 1, "p", "z"), ("k", 1, "p", "z"))
     groups = moves.consolidate_hu(after, hu)
@@ -624,6 +625,138 @@ def test_upsert_adds_up_deltas_first(frame, bag):
     assert bag(after["t_stored_item"], "item_number", "actual_qty") == [("a", 10.0), ("b", 5.0)]
 
 
+def test_increment_goes_to_one_row_of_the_place(frame, bag):
+    deltas = frame("item_number string, wh_id int, location_id string, qty double", ("a", 1, "A", 5.0), ("b", 1, "A", 2.0), ("c", 1, "A", 3.0))
+    stock = frame(
+        STOCK,
+        stock_row(1, "a", hu="h", qty=1.0), stock_row(2, "a", hu="k", qty=2.0), stock_row(3, "a", lot="l", qty=4.0),
+        # two rows under one key, and one without a key, cannot take it: it becomes a new row
+        stock_row(7, "b", hu="h", qty=1.0), stock_row(7, "b", hu="k", qty=1.0), stock_row(None, "c", qty=9.0),
+    )
+    after = apply_change_set({"t_stored_item": stock}, moves.upsert_increment(stock, deltas, NOW, row_type="0"))["t_stored_item"]
+    assert bag(after.filter("item_number = 'a'"), "sequence", "actual_qty") == [(1, 6.0), (2, 2.0), (3, 4.0)]
+    assert bag(after.filter("item_number <> 'a'"), "item_number", "hu_id", "actual_qty", "type") == [
+        ("b", "h", 1.0, "STORAGE"), ("b", "k", 1.0, "STORAGE"), ("b", None, 2.0, "0"), ("c", None, 3.0, "0"), ("c", None, 9.0, "STORAGE"),
+    ]
+    literal = moves.upsert_increment(stock, deltas.filter("item_number = 'a'"), NOW, row_type="0", strict=True)
+    after = apply_change_set({"t_stored_item": stock}, literal)["t_stored_item"]
+    assert bag(after.filter("item_number = 'a'"), "sequence", "actual_qty") == [(1, 6.0), (2, 7.0), (3, 9.0)]
+
+
+def test_seeded_stock_can_be_repaired(frame, bag):
+    """Seeded rows have keys, so a later repair finds them."""
+    stock = frame(STOCK, stock_row(1, "a"))
+    worklist = frame("item_number string, wh_id int", ("a", 1), ("b", 1), ("c", 1))
+    seeded = stock.unionByName(moves.seed_missing(worklist, stock, "A", NOW).drop("fifo_date", "expiration_date"), allowMissingColumns=True)
+    assert seeded.filter("sequence IS NULL").count() == 0 and seeded.select("sequence").distinct().count() == 3
+    deltas = frame("item_number string, wh_id int, location_id string, qty double", ("b", 1, "A", 5.0))
+    after = apply_change_set({"t_stored_item": seeded}, moves.upsert_increment(seeded, deltas, NOW, row_type="0"))["t_stored_item"]
+    assert bag(after, "item_number", "actual_qty") == [("a", 1.0), ("b", 205.0), ("c", 200.0)]
+
+
+MOVE = "move_id int, wh_id int, item_number string, qty double, from_location string, from_hu string, to_location string, to_hu string"
+
+
+def one_by_one(stock, todo):
+    """The moves in order, in plain Python."""
+    held, out = {}, {}
+    for _, item, wh, loc, hu, qty, *_ in stock:
+        held[wh, item, loc, hu] = held.get((wh, item, loc, hu), 0) + qty
+    below = {p: min(q, 0) for p, q in held.items()}
+    for n, wh, item, qty, a, a_hu, b, b_hu in todo:
+        source, target = (wh, item, a, a_hu), (wh, item, b, b_hu)
+        asked = max(qty or 0, 0)
+        given = max(min(asked, held.get(source, 0) - below.get(source, 0)), 0)
+        held[source] = held.get(source, 0) - given
+        held[target] = held.get(target, 0) + given
+        out[n] = (given, asked - given)
+    return {p: q for p, q in held.items() if q}, out
+
+
+@settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("ABC"), st.sampled_from([None, "h"]), st.integers(-2, 9)), max_size=6),
+    st.lists(
+        st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(-1, 9)), st.sampled_from("ABC"), st.sampled_from([None, "h"]), st.sampled_from("ABC"), st.sampled_from([None, "h"])),
+        min_size=1, max_size=14,
+    ),
+)
+def test_moves_within_stock_are_those_of_a_loop(frame, rows, planned):
+    stock = [stock_row(i, item, loc=loc, hu=hu, qty=float(q)) for i, (item, loc, hu, q) in enumerate(rows)]
+    todo = [(n, 1, item, None if q is None else float(q), a, a_hu, b, b_hu) for n, (item, q, a, a_hu, b, b_hu) in enumerate(planned)]
+    found = moves.move_within_stock(frame(STOCK, *stock), frame(MOVE, *todo), ["move_id"])
+    balances, given = one_by_one(stock, todo)
+    assert {r.move_id: (r.moved_qty, r.refused_qty) for r in found.moves.collect()} == given
+    after = {(r.wh_id, r.item_number, r.location_id, r.hu_id): r.actual_qty for r in found.balances.collect()}
+    assert after == balances and sum(after.values()) == sum(r[5] for r in stock)
+    assert {r.move_id for r in found.refused.collect()} == {n for n, (_, refused) in given.items() if refused}
+
+
+def test_a_shortage_passes_down_a_chain(frame, bag):
+    """Ten places in a row, of which the first holds less than is asked: every later move lacks the same."""
+    places = "ABCDEFGHIJ"
+    todo = [(n, 1, "a", 7.0, a, None, b, None) for n, (a, b) in enumerate(zip(places, places[1:], strict=False))]
+    found = moves.move_within_stock(frame(STOCK, stock_row(1, "a", qty=4.0)), frame(MOVE, *todo), ["move_id"])
+    assert bag(found.moves, "moved_qty", "refused_qty") == [(4.0, 3.0)] * 9
+    assert bag(found.balances, "location_id", "actual_qty") == [("J", 4.0)]
+
+
+def test_moves_of_one_hot_place(spark):
+    """A third of all moves from one place: ranges of its moves lie in different tasks, and the allocation goes on across them."""
+    n = 30_000
+    todo = spark.range(n).selectExpr(
+        "cast(id as int) as move_id", "1 as wh_id", "'a' as item_number", "cast(id % 5 as double) as qty", "if(id % 3 = 0, 'HOT', concat('P', id)) as from_location",
+        "cast(null as string) as from_hu", "'Z' as to_location", "cast(null as string) as to_hu",
+    )
+    stock = spark.createDataFrame([(1, "a", "HOT", None, 11_111.0)], "wh_id int, item_number string, location_id string, hu_id string, actual_qty double")
+    found = moves.move_within_stock(stock, todo, ["move_id"])
+    left, expected = 11_111, 0
+    for i in range(0, n, 3):
+        given = min(i % 5, left)
+        left, expected = left - given, expected + (given < i % 5)
+    assert found.refused.filter("from_location = 'HOT'").count() == expected > 0
+    assert found.balances.agg(F.sum("actual_qty")).first()[0] == 11_111.0 == found.moves.agg(F.sum("moved_qty")).first()[0]
+
+
+@settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from("abc"), st.integers(1, 2), st.integers(1, 60)), min_size=1, max_size=4),
+    st.lists(st.tuples(st.sampled_from("abc"), st.integers(1, 2), st.integers(0, 12)), max_size=40),
+)
+def test_move_fitting_takes_what_fits_into_the_rest(frame, planned, units):
+    plans = frame("exception_id int, item_number string, wh_id int, quantity double, status string", *[(i, a, w, float(q), None) for i, (a, w, q) in enumerate(planned)])
+    stock = frame(STOCK, *[stock_row(i, a, wh=w, qty=float(q)) for i, (a, w, q) in enumerate(units)])
+    expected = set()
+    for key in {p[:2] for p in planned}:
+        rest = sum(q for a, w, q in planned if (a, w) == key)
+        for size, sequence in sorted(((-q, i) for i, (a, w, q) in enumerate(units) if (a, w) == key and q)):
+            if -size <= rest:
+                rest += size
+                expected.add(sequence)
+    assert {r.sequence for r in moves.move_fitting(plans, stock, None, "Z").collect()} == expected
+
+
+def test_move_fitting_fills_the_plan_past_units_that_do_not_fit(frame, bag):
+    plans = frame("exception_id int, item_number string, wh_id int, quantity double, status string", (1, "a", 1, 10.0, None))
+    stock = frame(STOCK, *[stock_row(i, "a", qty=q) for i, q in enumerate((6.0, 5.0, 4.0))])
+    assert bag(moves.move_fitting(plans, stock, None, "Z"), "qty") == [(4.0,), (6.0,)]
+
+
+def test_move_fitting_of_an_item_with_many_units(spark, settings_of):
+    """Units of few sizes: an item is one row of sizes, and its units are numbered across many tasks."""
+    settings_of(spark__sql__shuffle__partitions=32, spark__sql__adaptive__coalescePartitions__enabled="false")
+    n = 1_000_000
+    stock = spark.range(n).selectExpr(
+        "id as sequence", "'a' as item_number", "1 as wh_id", "'A' as location_id", "cast(null as string) as hu_id", "cast(id % 3 + 2 as decimal(18,4)) as actual_qty"
+    )
+    plans = spark.createDataFrame([(1, "a", 1, None)], "exception_id int, item_number string, wh_id int, status string").selectExpr("*", "cast(1500001 as decimal(18,4)) as quantity")
+    chosen = moves.move_fitting(plans, stock, None, "Z")
+    sizes = {int(r.qty): r["count"] for r in chosen.groupBy("qty").count().collect()}
+    assert sizes == {4: 333_333, 3: 55_556} and 4 * 333_333 + 3 * 55_556 == 1_500_000  # 1 is left, and no unit is so small
+    tasks = [r["count"] for r in chosen.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 8 and max(tasks) < 0.3 * sum(tasks)
+
+
 def test_move_fitting_prefix_and_strict(frame, bag):
     plans = frame("exception_id int, item_number string, wh_id int, quantity double, entered_value double, status string", (1, "a", 1, 10.0, None, None), (2, "b", 1, 2.0, None, None), (3, "a", 1, 99.0, None, "X"))
     stock = frame(
