@@ -73,9 +73,7 @@ def trace_events_changes(s):
     )
 
 
-@query(
-    "invoice_latency",
-    """
+_LATENCY = """
 select pedido, ship_al_host, ship_web_ser, nf_web_servi,
   strftime(make_timestamp(a * 1000000), '%H:%M:%S') as procs, a // 86400 as procs_days,
   strftime(make_timestamp(b * 1000000), '%H:%M:%S') as procs_al, b // 86400 as procs_al_days,
@@ -86,19 +84,34 @@ from (
     abs(epoch_us(nf_web_servi) - epoch_us(ship_al_host)) // 1000000 as b,
     abs(epoch_us(ship_web_ser) - epoch_us(ship_al_host)) // 1000000 as c
   from (
-    select al.order_number as pedido, al.record_create_date as ship_al_host, w.first_send as ship_web_ser,
+    select {shown} as pedido, al.record_create_date as ship_al_host, w.first_send as ship_web_ser,
       min(p.process_date) as nf_web_servi, al.host_group_id
     from v_ship al
     join v_ws p on p.webservice_id = 'EXP_PRINT_NF' and p.process_date >= timestamp '2024-01-01'
-      and contains(p.soap_request, cast(al.order_number as varchar))
+      and contains(p.soap_request, {number})
     left join (select param1, min(process_date) as first_send from v_ws group by 1) w on w.param1 = al.host_group_id
     where al.transaction_code = '936' and al.record_create_date >= timestamp '1995-01-01'
-    group by all))""",
-)
+    group by all))"""
+
+
+@query("invoice_latency", _LATENCY.replace("{shown}", "al.order_number").format(number="cast(al.order_number as varchar)"))
 def invoice_latency(s):
     return reports.invoice_latency(s.shipments(), s.service_log(), ORDERS_FROM, EVENTS_FROM)
 
 
+_LETTERED = "(case al.order_number % 3 when 0 then '' when 1 then 'r ' else ' ' end || al.order_number || ';')"
+
+
+@query("invoice_latency_lettered", _LATENCY.replace("{shown}", _LETTERED).format(number=_LETTERED))
+def invoice_latency_lettered(s):
+    """Numbers with other characters than digits, anywhere in the request."""
+    key = F.col("order_number") % 3
+    front = F.when(key == 0, F.lit("")).when(key == 1, F.lit("r ")).otherwise(F.lit(" "))
+    number = F.concat(front, F.col("order_number").cast("string"), F.lit(";"))
+    ship = s.shipments().withColumn("order_number", number)
+    return reports.invoice_latency(ship, s.service_log(), ORDERS_FROM, EVENTS_FROM)
+
+
 _ARCHIVE = """
 with grp as (select r_regionkey group_id, r_name as name, case when r_regionkey % 2 = 0 then 'A' else 'I' end group_status from region),
 bgrp as (select n_regionkey group_id, n_nationkey + 2 backup_control_id, n_nationkey % 7 group_sequence from nation),

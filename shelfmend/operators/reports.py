@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.clock import elapsed_seconds, hms, ts
 from ..plans.changeset import ChangeSet, Update
+from ..plans.containment import holding
 from ..plans.joins import attach, matching
 
 
@@ -93,9 +94,9 @@ def invoice_latency(
     """First send and first invoice print of each shipment message, with the elapsed times.
 
     A print belongs to a message if its request text contains the order number, or its first
-    ``number_length`` characters. The containment test is an equi-join: numbers of digits can only stand in
-    runs of digits, so the parts of those runs that are as long as some number are the candidate keys, each
-    once a request. Only for order numbers with other characters all parts of the text are.
+    ``number_length`` characters. Numbers of digits can only stand in runs of digits, so the parts of those runs
+    that are as long as some number are the keys of an equi-join, each once a request. Numbers with other characters are
+    found by :func:`~shelfmend.plans.containment.holding`, without a row for each part of a text.
     """
     sent = ship.filter((F.col("transaction_code") == code) & (F.col("record_create_date") >= ts(shipped_since)))
     number = F.col("order_number").cast("string")
@@ -110,22 +111,19 @@ def invoice_latency(
     ).select("soap_request", "process_date")
     digits = F.col("number_key").rlike("^[0-9]+$")
 
-    def lengths(kind: Column) -> Column:
-        """The few lengths that occur among the numbers of one kind."""
-        return sent.select(F.collect_set(F.when(kind, F.length("number_key")))).scalar()
-
-    def parts(runs: Column, sizes: Column) -> DataFrame:
-        run = prints.select("process_date", F.explode(runs).alias("run"))
-        sized = run.select("*", F.explode(sizes).alias("n")).filter(F.length("run") >= F.col("n"))
-        starts = F.sequence(F.lit(1), F.length("run") - F.col("n") + 1)
-        return sized.select("process_date", F.explode(starts).alias("at"), "run", "n").select(
-            "process_date", F.substring(F.col("run"), F.col("at"), F.col("n")).alias("piece")
-        )
-
     in_digits = F.array_distinct(F.regexp_extract_all("soap_request", F.lit("[0-9]+"), F.lit(0)))
-    pieces = parts(in_digits, lengths(digits)).unionByName(parts(F.array("soap_request"), lengths(~digits)))
-    wanted = sent.select(F.col("number_key").alias("piece"))
-    first_print = matching(pieces, wanted, ["piece"]).groupBy("piece").agg(F.min("process_date").alias("nf_print"))
+    run = prints.select("process_date", F.explode(in_digits).alias("run"))
+    sizes = sent.select(F.collect_set(F.when(digits, F.length("number_key")))).scalar()  # the few lengths that occur
+    sized = run.select("*", F.explode(sizes).alias("n")).filter(F.length("run") >= F.col("n"))
+    starts = F.sequence(F.lit(1), F.length("run") - F.col("n") + 1)
+    pieces = sized.select("process_date", F.explode(starts).alias("at"), "run", "n").select(
+        "process_date", F.substring(F.col("run"), F.col("at"), F.col("n")).alias("piece")
+    )
+    found = matching(pieces, sent.select(F.col("number_key").alias("piece")), ["piece"])
+    lettered = sent.filter(~digits & (F.length("number_key") > 0)).select(F.col("number_key").alias("piece"))
+    if lettered.head(1):
+        found = found.unionByName(holding(prints, "soap_request", lettered, "piece"))
+    first_print = found.groupBy("piece").agg(F.min("process_date").alias("nf_print"))
 
     with_print = attach(sent, first_print, [("number_key", "piece")], "inner")
     timed = attach(with_print, first_send, [("host_group_id", "param1")])

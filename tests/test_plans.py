@@ -1,9 +1,12 @@
 """Joins, numbering and change sets, on data with NULLs, duplicates and hot keys."""
 
 import random
+import re
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmend.plans.changeset import (
@@ -15,8 +18,9 @@ from shelfmend.plans.changeset import (
     ledger,
     with_id,
 )
+from shelfmend.plans.containment import holding
 from shelfmend.plans.joins import attach, matching, missing, null_safe
-from shelfmend.plans.numbering import number_rows, number_within, running_total
+from shelfmend.plans.numbering import number_rows, number_within, running_low, running_total
 from shelfmend.sources.snapshots import publish, publish_changes, read_snapshot
 
 
@@ -61,9 +65,9 @@ def test_self_join(frame, bag):
     assert bag(missing(rows.filter("code = 'a'"), rows.filter("code = 'b'"), ["id"])) == [(2, "a")]
 
 
-def test_hot_key_partition_is_split(spark, settings):
+def test_hot_key_partition_is_split(spark, settings_of):
     """A third of the rows on one key, an aggregated other side: the hot partition is split."""
-    settings(
+    settings_of(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
@@ -251,3 +255,57 @@ def test_timestamps_stay_without_zone(frame):
     assert (rows[0].h, rows[0].r, rows[0].j) == ("01:02:03", "01:02:03", datetime(2024, 1, 1, 1, 2, 3))
     assert rows[1].h is None and rows[1].j == datetime(2024, 1, 1)
     assert month_clock(datetime(2024, 5, 17, 8, 9, 10)) == datetime(2024, 5, 1, 8, 9, 10)
+
+
+# --- containment -----------------------------------------------------------------------------
+
+
+def held(frame, bodies, keys):
+    found = holding(frame("n int, body string", *enumerate(bodies)), "body", frame("key string", *[(k,) for k in keys]), "key")
+    rows = [(r.n, r.key) for r in found.collect()]
+    assert len(rows) == len(set(rows)) and found.columns == ["n", "key"]
+    return set(rows)
+
+
+def inside(bodies, keys):
+    return {(n, k) for n, b in enumerate(bodies) for k in keys if b and k and k in b}
+
+
+@given(
+    st.lists(st.one_of(st.none(), st.text("ab1-é漢", max_size=40)), max_size=6),
+    st.lists(st.one_of(st.none(), st.text("ab1-é漢", max_size=5)), max_size=6),
+)
+@settings(max_examples=6, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_containment_is_that_of_all_pairs(frame, bodies, keys):
+    assert held(frame, bodies, keys) == inside(bodies, keys)
+
+
+def test_containment_in_long_texts(frame):
+    """10 KB and 3 MB texts, keys at their ends and across the places where texts are put together."""
+    rng = random.Random(4)
+    keys = ["".join(rng.choice("ABC-/9") for _ in range(rng.choice((5, 9, 14)))) for _ in range(300)] + ["a", "", None]
+    bodies = ["".join(rng.choice("ABC-/9 ") for _ in range(10_000)) for _ in range(20)]
+    bodies += [keys[0] + bodies[0] + keys[1], keys[2][:3], keys[2][3:], None, "", "x" * 3_000_000 + keys[3], *[keys[4]] * 3]
+    assert held(frame, bodies, keys) == inside(bodies, keys)
+
+
+def test_containment_has_no_row_for_each_part(frame):
+    rows = holding(frame("n int, body string", (1, "x" * 9000 + "key-1")), "body", frame("key string", ("key-1",)), "key")
+    plan = rows._jdf.queryExecution().toString()
+    assert not re.search("Generate|NestedLoop|Cartesian|explode", plan) and rows.collect() == [(1, "key-1")]
+    with pytest.raises(ValueError):
+        holding(frame("key string, body string", ("a", "b")), "body", frame("key string", ("a",)), "key")
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_running_low(spark, frame, settings_of, parts):
+    settings_of(spark__sql__shuffle__partitions=parts)
+    rng = random.Random(parts)
+    rows = [(rng.choice(["a", "a", "a", None, "b"]), i, rng.randint(-5, 5)) for i in range(300)]
+    found = running_low(frame("g string, i int, v int", *rows), ["g"], ["i"], "v", "total", "low").collect()
+    expected, state = set(), {}
+    for g, i, v in rows:
+        total, low = state.get(g, (0, None))
+        expected.add((g, i, total + v, low))
+        state[g] = total + v, total + v if low is None else min(low, total + v)
+    assert {(r.g, r.i, r.total, r.low) for r in found} == expected and len(found) == 300
