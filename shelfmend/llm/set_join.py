@@ -5,9 +5,11 @@ shingle among the first few of both. Large sets look partners up in the inverted
 Small sets list all pairs (subsets of two) of a slightly longer prefix instead, which meet far fewer wrong partners. The
 boundary is the size up to which listing pairs costs less than scanning lists, from the corpus's own counts.
 
-Every pair that could reach the threshold and is not yet connected is compared exactly. Equal sets count once.
-Within the list of a shingle, members first meet one representative, then the components' neighbours, and at last
-all members of different components; so a group of n near copies costs about n comparisons, and no link is lost.
+Every pair that could reach the threshold and is not yet connected is compared exactly. Equal sets count once. Within
+the list of a shingle, members first meet one representative. Sets whose lists still hold several components are then
+brought whole to a few of their longest lists, their anchors; there all of them are compared at once, in blocks,
+and what comes out is one link for each two components that meet, not one for each pair. At last the pairs of
+different components that share lists but no anchor are compared one by one; so no link is lost.
 """
 
 from __future__ import annotations
@@ -29,6 +31,9 @@ _LIST_PART = 50_000  # longer lists are split into parts of about this size
 _FALSE_PARTNER_COST = 2  # counting what a wrong partner shares, in postings
 _MOST_SHARED = 8  # entries that two large sets must share, at most
 _BROADCAST_ROWS = 1_000_000  # of (number, number, number): about 50 MB
+_ANCHORS, _ANCHOR_SETS = 3, 4096  # lists that a set is brought to; longer ones are no anchors
+_BLOCK_SETS, _BLOCK_SHINGLES = 256, 200_000  # of one block of an anchor's sets, about
+_COLUMNS_AT_ONCE = 1 << 15  # of the matrix of a cell
 _POSTING = "key long, part int, parts int, node long, size int"
 
 
@@ -296,28 +301,122 @@ def _representatives(lists: DataFrame, percent: int, light_to: int) -> DataFrame
     return pairs.groupBy("b").agg(best).select(F.col("best.a").alias("a"), "b")
 
 
-def _between_components(lists: DataFrame, percent: int, light_to: int, neighbours: bool) -> DataFrame:
-    """``a, b``: pairs of a list in different components (``comp``) that can reach the threshold: by their sizes, and by
-    how many entries they share over all lists.
+def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several components, with the component (``comp``) and the number of entries (``held``)."""
+    labelled = stored(_labelled(lists, labels), "labelled")
+    several = labelled.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count(F.lit(1)).alias("held"))
+    return stored(attach(labelled, several.filter("_a <> _b").select("key", "held"), ["key"], "inner"), "open")
 
-    With ``neighbours`` only the first of each component, with the component before it in the list. A list in parts
-    is met part by part, each pair of parts in a place of its own.
+
+def _anchors(open_: DataFrame) -> DataFrame:
+    """``node, comp, size, anchors``: the longest of each set's lists that are not too long, the same ones for most of a group."""
+    fit = F.when(F.col("held") <= _ANCHOR_SETS, F.struct("held", "key"))
+    longest = F.slice(F.sort_array(F.collect_list(fit), asc=False), 1, _ANCHORS)
+    found = open_.groupBy("node").agg(F.first("comp").alias("comp"), F.first("size").alias("size"), longest.alias("_longest"))
+    return stored(found.select("node", "comp", "size", F.col("_longest.key").alias("anchors")), "anchors")
+
+
+def _cell_links(sets: list[np.ndarray], comps: list[int], blocks: list[int], percent: int) -> Iterator[tuple[int, int]]:
+    """Of a cell's sets, pairs that reach the threshold, until they connect all components that such pairs connect.
+
+    With sets of two blocks only pairs across them are looked at; each block has a cell of its own.
     """
+    sizes = np.array([len(x) for x in sets])
+    shingles, which = np.unique(np.concatenate(sets), return_inverse=True)
+    rows = np.repeat(np.arange(len(sets)), sizes)
+    several = np.bincount(which, minlength=len(shingles)) > 1  # others are in no intersection
+    column = np.cumsum(several) - 1
+    rows, which = rows[several[which]], column[which[several[which]]]
+    common = np.zeros((len(sets), len(sets)), np.float32)  # exact up to 2^24 shingles
+    order = np.argsort(which, kind="stable")
+    rows, which = rows[order], which[order]
+    for start in range(0, int(several.sum()), _COLUMNS_AT_ONCE):
+        low, high = np.searchsorted(which, (start, start + _COLUMNS_AT_ONCE))
+        held = np.zeros((len(sets), _COLUMNS_AT_ONCE), np.float32)
+        held[rows[low:high], which[low:high] - start] = 1
+        common += held @ held.T
+    both = common.astype(np.int64)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    if blocks[0] != blocks[-1]:
+        linked &= np.array(blocks)[:, None] != np.array(blocks)[None, :]
+    parent = {c: c for c in comps}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    comp = np.array(comps)
+    for i, j in zip(*np.nonzero(np.triu(linked & (comp[:, None] != comp[None, :]), 1)), strict=True):
+        x, y = root(comps[i]), root(comps[j])
+        if x != y:
+            parent[y] = x
+            yield int(i), int(j)
+
+
+def _anchored_links(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, percent: int, shingle: int, text: str, key: str) -> DataFrame:
+    """``a, b``: links between components among the sets that share an anchor, at most one less than its components for each
+    cell. A cell is two blocks of an anchor's sets, or one with itself; no task holds more."""
+    at = anchors.select("node", "comp", "size", F.explode("anchors").alias("key"))
+    kept = at.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count(F.lit(1)).alias("_n"), F.sum(F.col("size").cast("long")).alias("_all"))
+    blocks = F.greatest(F.ceil(F.col("_n") / _BLOCK_SETS), F.ceil(F.col("_all") / _BLOCK_SHINGLES)).cast("int")
+    kept = kept.filter("_a <> _b").select("key", F.least(blocks, F.col("_n").cast("int")).alias("blocks"))
+    at = stored(attach(at, kept, ["key"], "inner"), "placed")
+    wanted = at.select("node").distinct().withColumnRenamed("node", "paired")
+    held = _wanted_sets(docs, nodes, wanted, shingle, text, key)
+    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks").cast("long")).cast("int")
+    cells = at.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("node", "comp", "key", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        rows: list[tuple] = []
+
+        def cell() -> None:
+            if len({r[1] for r in rows}) > 1:
+                sets = [np.frombuffer(r[6], np.uint64) for r in rows]
+                found = _cell_links(sets, [r[1] for r in rows], [r[3] for r in rows], percent)
+                out.extend((rows[i][0], rows[j][0]) for i, j in found)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and (row[2], *row[4:6]) != (rows[-1][2], *rows[-1][4:6]):
+                    cell()
+                    rows = []
+                rows.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+                out.clear()
+        if rows:
+            cell()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+    met = attach(cells, held.withColumnRenamed("node", "_of"), [("node", "_of")], "inner")
+    ordered = met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "block", "node")
+    columns = ("node", "comp", "key", "block", "low", "high", "set")
+    return stored(ordered.select(*columns).mapInArrow(run, "a long, b long"), "links")
+
+
+def _other_pairs(open_: DataFrame, anchors: DataFrame, percent: int, light_to: int) -> DataFrame:
+    """``a, b``: pairs of a list in different components and without a common anchor that can reach the threshold: by their
+    sizes, and by how many entries they share over all lists. A list in parts is met part by part, each pair of
+    parts in a place of its own."""
 
     def pairs(rows: dict[str, np.ndarray], start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         comp = rows["comp"][start:end]
         if (comp == comp[0]).all():
             return
-        if neighbours:
-            _, first = np.unique(comp, return_index=True)
-            first = np.sort(first) + start
-            yield first[:-1], first[1:]
-            return
         size = rows["size"][start:end].astype(np.int64)
+        anchored = np.stack([rows[f"anchor_{i}"][start:end] for i in range(_ANCHORS)])
         for i in range(end - start - 1):
             to = int(np.searchsorted(size, 100 * size[i] // percent, "right"))
             j = np.arange(i + 1, to)
-            j = j[comp[j] != comp[i]] + start
+            j = j[comp[j] != comp[i]]
+            if len(j):
+                mine = anchored[:, i]
+                met = (anchored[:, j][None] == mine[:, None, None]) & (mine != 0)[:, None, None]
+                j = j[~met.any(axis=(0, 1))] + start
             if len(j):
                 yield np.full(len(j), start + i), j
 
@@ -332,8 +431,7 @@ def _between_components(lists: DataFrame, percent: int, light_to: int, neighbour
             ok &= (rows["low"][i] == rows["high"][i]) | (rows["part"][i] != rows["part"][j])
             a, b = rows["node"][i][ok], rows["node"][j][ok]
             a, b = np.minimum(a, b), np.maximum(a, b)
-            least = np.minimum(least[ok], 2) if neighbours else least[ok]  # neighbours meet in some lists only
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(least)], names=["a", "b", "least"])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(least[ok])], names=["a", "b", "least"])
 
         for start, end in groups_of(lists):
             if end - start > 1:
@@ -346,25 +444,44 @@ def _between_components(lists: DataFrame, percent: int, light_to: int, neighbour
         if found:
             yield batch()
 
+    zero = F.lit(0).cast("long")  # no anchor: keys are hashes
+    named = [F.coalesce(F.get("anchors", F.lit(i)), zero).alias(f"anchor_{i}") for i in range(_ANCHORS)]
+    known = attach(open_, anchors.select(F.col("node").alias("_of"), *named), [("node", "_of")], "inner").drop("held")
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other")
-    met = lists.select("*", others).withColumn("low", F.least("part", "_other")).withColumn("high", F.greatest("part", "_other")).drop("_other")
-    pairs = _by_list(met, ["key", "low", "high"], handle, "a long, b long, least int")
-    shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least"))
+    met = known.select("*", others).withColumn("low", F.least("part", "_other")).withColumn("high", F.greatest("part", "_other")).drop("_other")
+    found = _by_list(met, ["key", "low", "high"], handle, "a long, b long, least int")
+    shared = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least"))
     return shared.filter("n >= least").select("a", "b")
 
 
+def _wanted_texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, key: str) -> DataFrame:
+    """``node, text``: the whole text of one document of each set in ``wanted`` (column ``paired``)."""
+    found = stored(_looked_up(nodes, stored(wanted, "paired"), "node", "paired").select("node", "doc_id", "text_hash"), "wanted")
+    # few sets are open; beyond the bound their keys are shuffled like the documents
+    keys = F.broadcast(found) if small_enough(found, _BROADCAST_ROWS) else found
+    rows = _rows(docs, text, key)
+    same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_hash"] == keys["text_hash"])
+    return rows.join(keys, same).select("node", "text").dropDuplicates(["node"])
+
+
+def _wanted_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int, text: str, key: str) -> DataFrame:
+    """``node, set``: the hashes of the sets in ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [s.tobytes() for s in shingle_sets(texts(batch), shingle)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
+
+    return stored(_wanted_texts(docs, nodes, wanted, text, key).mapInArrow(run, "node long, set binary"), "sets")
+
+
 def _matches(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, shingle: int, text: str, key: str) -> DataFrame | None:
     """The pairs that reach the threshold, from the whole texts of a document of either set; None if there are no pairs."""
     pairs = stored(pairs, "pairs")
     if not pairs.count():
         return None
-    paired = stored(pairs.select(F.explode(F.array("a", "b")).alias("paired")).distinct(), "paired")
-    wanted = stored(_looked_up(nodes, paired, "node", "paired").select("node", "doc_id", "text_hash"), "wanted")
-    # few sets are in a pair; beyond the bound their keys are shuffled like the documents
-    keys = F.broadcast(wanted) if small_enough(wanted, _BROADCAST_ROWS) else wanted
-    rows = _rows(docs, text, key)
-    same = rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_hash"] == keys["text_hash"])
-    held = stored(rows.join(keys, same).select("node", "text").dropDuplicates(["node"]), "texts")
+    ends = pairs.select(F.col("a").alias("paired")).union(pairs.select("b")).distinct()
+    held = stored(_wanted_texts(docs, nodes, ends, text, key), "texts")
     with_b = pairs.join(held.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
     with_both = with_b.join(held.withColumnsRenamed({"node": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b")
 
@@ -403,7 +520,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels after more links: many links between two components are one link of their labels."""
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).select("node", F.col("node").alias("comp"))
+    ends = links.select(F.col("a").alias("node"), F.col("a").alias("comp")).union(links.select("b", "b"))
     known = stored(labels.unionByName(ends).groupBy("node").agg(F.min("comp").alias("comp")), "labels")
     left = _looked_up(links, known, "a", "node").select(F.col("comp").alias("x"), "b")
     both = _looked_up(left, known, "b", "node").select(F.col("x").alias("a"), F.col("comp").alias("b"))
@@ -437,11 +554,13 @@ def similar_documents(docs: DataFrame, percent: int = 75, shingle: int = 5, text
     lists = stored(_counted(lists, percent, bound.light_to), "lists")
     found = _matches(docs, nodes, _representatives(lists, percent, bound.light_to), percent, shingle, text, key)
     labels = components(docs.sparkSession.createDataFrame([], "a long, b long") if found is None else found)
-    for neighbours in (True, False):
-        open_ = _between_components(_labelled(lists, labels), percent, bound.light_to, neighbours)
-        found = _matches(docs, nodes, open_, percent, shingle, text, key)
-        if found is not None:
-            labels = _merged(labels, found)
+    anchors = _anchors(_open_lists(lists, labels))
+    found = _anchored_links(docs, nodes, anchors, percent, shingle, text, key)
+    if found.head(1):
+        labels = _merged(labels, found)
+    found = _matches(docs, nodes, _other_pairs(_open_lists(lists, labels), anchors, percent, bound.light_to), percent, shingle, text, key)
+    if found is not None:
+        labels = _merged(labels, found)
 
     known = stored(_labelled(nodes.select("node", "first"), labels), "known")
     heads = stored(known.groupBy("comp").agg(F.min("first").alias("head")), "heads")

@@ -340,3 +340,37 @@ def test_anchors_cover(name):
     chosen = licenses.anchors(words, 0.75)
     runs = [set(s.split(" ")) for s in licenses.template_shingles(words)]
     assert sum(not (r & set(chosen)) for r in runs) < 0.75 * len(runs)
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_set_join_of_a_group_around_the_threshold(documents, prose, monkeypatch, block):
+    """Copies with as many edits as just stay linked or just do not, in blocks of any size: the components of brute force."""
+    monkeypatch.setattr(set_join, "_BLOCK_SETS", block)
+    rng = random.Random(11)
+    base = prose(77, 150).split()
+    rows = []
+    for i in range(70):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice((1, 2, 3, 4, 5, 6))):
+            words[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(words), "s"))
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for _, t, _ in rows]
+    comp = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * len(sets[i] | sets[j]) and comp[i] != comp[j]:
+                low, high = sorted((comp[i], comp[j]))
+                comp = [low if c == high else c for c in comp]
+    found = set_join.similar_documents(documents(*rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(comp)) and 1 < len(set(comp)) < len(rows)
+
+
+def test_sets_without_a_common_anchor_are_compared(documents, prose, monkeypatch):
+    """With lists too long for anchors, all pairs come the other way."""
+    monkeypatch.setattr(set_join, "_ANCHOR_SETS", 1)
+    rows = [(i, prose(1, 60) + " " + prose(100 + i, 3 + i % 9), "s") for i in range(30)] + [(99, prose(2, 60), "s")]
+    found = {r.doc_id: r.component_id for r in set_join.similar_documents(documents(*rows)).collect()}
+    monkeypatch.undo()
+    assert found == {r.doc_id: r.component_id for r in set_join.similar_documents(documents(*rows)).collect()}
+    assert found[29] == found[0] == 0 and found[99] == 99
