@@ -9,7 +9,8 @@ Every pair that could reach the threshold and is not yet connected is compared e
 the list of a shingle, members first meet one representative. Sets whose lists still hold several components are then
 brought whole to a few of their longest lists, their anchors; there all of them are compared at once, in blocks,
 and what comes out is one link for each two components that meet, not one for each pair. At last the pairs of
-different components that share lists but no anchor are compared one by one; so no link is lost.
+different components that share lists but no anchor, such as those of very large sets, are compared one by one; so no
+link is lost.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ _LIST_PART = 50_000  # longer lists are split into parts of about this size
 _FALSE_PARTNER_COST = 2  # counting what a wrong partner shares, in postings
 _MOST_SHARED = 8  # entries that two large sets must share, at most
 _BROADCAST_ROWS = 1_000_000  # of (number, number, number): about 50 MB
-_ANCHORS, _ANCHOR_SETS = 3, 4096  # lists that a set is brought to; longer ones are no anchors
+_ANCHORS, _ANCHOR_SETS = 2, 4096  # lists that a set is brought to; longer ones are no anchors
+_ANCHORED_SHINGLES = 2000  # larger sets are not brought anywhere; their pairs are compared one by one
 _BLOCK_SETS, _BLOCK_SHINGLES = 256, 200_000  # of one block of an anchor's sets, about
 _COLUMNS_AT_ONCE = 1 << 15  # of the matrix of a cell
 _POSTING = "key long, part int, parts int, node long, size int"
@@ -310,7 +312,7 @@ def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _anchors(open_: DataFrame) -> DataFrame:
     """``node, comp, size, anchors``: the longest of each set's lists that are not too long, the same ones for most of a group."""
-    fit = F.when(F.col("held") <= _ANCHOR_SETS, F.struct("held", "key"))
+    fit = F.when((F.col("held") <= _ANCHOR_SETS) & (F.col("size") <= _ANCHORED_SHINGLES), F.struct("held", "key"))
     longest = F.slice(F.sort_array(F.collect_list(fit), asc=False), 1, _ANCHORS)
     found = open_.groupBy("node").agg(F.first("comp").alias("comp"), F.first("size").alias("size"), longest.alias("_longest"))
     return stored(found.select("node", "comp", "size", F.col("_longest.key").alias("anchors")), "anchors")
