@@ -1,8 +1,7 @@
 """Order-cut queries over the test data.
 
-The cut log is every released open pick line; where a step needs lines that are logged already, only the
-log's rows before 1998 bear the mark of the cut.
-"""
+The cut log is every released open pick line; where a step needs lines that are logged already, it is that of the urgent
+orders.
 
 from __future__ import annotations
 
@@ -32,12 +31,6 @@ where b.free = 0
   and not exists (select 1 from v_stock t where t.type = cast(b.pick_id as varchar)){logged}"""
 
 
-def _partly_marked(log):
-    """The whole log, with the mark of the cut on the rows before 1998 only."""
-    marked = F.col("exception_date") < F.expr("timestamp_ntz'1998-01-01 00:00:00'")
-    return log.withColumn("lot_number", F.when(marked, F.col("lot_number")).otherwise("OTHER"))
-
-
 @query(
     "zero_stock_lines",
     _zero_sql(
@@ -47,16 +40,15 @@ def _partly_marked(log):
     where s.type = 'STORAGE' and s.status = 'A' and l.status <> 'I' group by 1, 2""",
         "",
         """
-  and not exists (select 1 from v_exc e where e.control_number = b.order_number and e.item_number = b.item_number
-    and e.tran_type = '033' and e.lot_number = 'PRO_E' and e.exception_date < timestamp '1998-01-01')""",
+  and not exists (select 1 from v_urgent_exc e where e.control_number = b.order_number and e.item_number = b.item_number
+    and e.tran_type = '033' and e.lot_number = 'PRO_E')""",
     ),
 )
 def zero_stock_lines(s):
-    logged = _partly_marked(s.cut_log())
     return cut.zero_stock_lines(
-        s.picks(), s.stock(), s.tran_log(), s.shipments(), s.locations(), s.pick_areas(), logged, start_type="411",
-        storage_type="STORAGE",
-    )
+        s.picks(), s.stock(), s.tran_log(), s.shipments(), s.locations(), s.pick_areas(), s.urgent_cut_log(),
+        start_type="411", storage_type="STORAGE",
+    )
 
 
 @query(
@@ -501,7 +493,6 @@ def cut_tables(s) -> dict:
         {"shipment_id": F.col("shipment_id").cast("string"), "load_id": F.col("load_id").cast("bigint")}
     )
     lines = s.shipment_lines().withColumn("shipment_id", F.col("shipment_id").cast("string"))
-    log = _partly_marked(s.cut_log())
     return {
         "t_pick_detail": picks,
         "t_stored_item": s.stock(),
@@ -510,7 +501,7 @@ def cut_tables(s) -> dict:
         "t_al_host_shipment_detail": lines,
         "t_location": s.locations(),
         "t_pick_area": s.pick_areas(),
-        "t_exception_log": log,
+        "t_exception_log": s.urgent_cut_log(),
         "t_order": s.orders().withColumn("created_nf", blank),
         "t_order_detail": s.order_lines(),
         "t_item_master": s.items(),

@@ -468,25 +468,23 @@ def confirm_load_changes(s):
     """
 select w.item_number, w.wh_id, w.line_number, w.order_number, w.wave_id, w.wave_detail_line_id, sum(w.planned_qty) as qty_afo,
   coalesce(sum(p.q), 0) as qty_pkd, sum(w.planned_qty) - coalesce(sum(p.q), 0) as dif
-from v_wavelines w left join (select item_number, wh_id, line_number, order_number, sum(planned_quantity) as q
-  from (select * replace (case when status = 'PICKED' then line_number else -line_number end as line_number) from v_picks)
-  group by 1, 2, 3, 4) p
+from v_waveplan w left join (select item_number, wh_id, line_number, order_number, sum(planned_quantity) as q
+  from v_picks group by 1, 2, 3, 4) p
   on p.item_number = w.item_number and p.wh_id = w.wh_id and p.line_number = w.line_number and p.order_number = w.order_number
 where w.wave_id in (select wave_id from v_picks where status = 'RELEASED')
 group by 1, 2, 3, 4, 5, 6 having coalesce(sum(p.q), 0) = 0""",
 )
 def restore_wave(s):
-    """All waves that still have released picks; picks that are not PICKED lie on other lines."""
+    """All waves that still have released picks."""
     waves = s.picks().filter("status = 'RELEASED'").select("wave_id")
-    line = F.when(F.col("status") == "PICKED", F.col("line_number")).otherwise(-F.col("line_number"))
-    return moves.restore_wave(s.wave_lines(), s.picks().withColumn("line_number", line), waves)
+    return moves.restore_wave(s.replanned_wave_lines(), s.picks(), waves)
 
 
 @query(
     "restore_wave_changes",
     """
 with back as (select order_number, wh_id, line_number, max(qty_afo) as q from q_restore_wave group by 1, 2, 3),
-left_lines as (select l.* from v_wavelines l where not exists (select 1 from q_restore_wave r
+left_lines as (select l.* from v_waveplan l where not exists (select 1 from q_restore_wave r
   where r.wave_detail_line_id = l.wave_detail_line_id and r.item_number = l.item_number and r.line_number = l.line_number))
 select 'order line' as kind, o.order_number, o.line_number, o.item_number,
   case when o.afo_plan_qty = 0 and b.q is not null then b.q else o.afo_plan_qty end as qty
@@ -500,11 +498,11 @@ where not (exists (select 1 from q_restore_wave r where r.order_number = d.order
 )
 def restore_wave_changes(s):
     """Order lines, wave lines and wave details after the restore."""
-    changes = moves.apply_restore(restore_wave(s), s.wave_lines(), s.wave_details(), AS_OF)
+    changes = moves.apply_restore(restore_wave(s), s.replanned_wave_lines(), s.wave_details(), AS_OF)
     after = apply_change_set(
         {
             "t_order_detail": s.order_lines(),
-            "t_afo_wave_detail_line": s.wave_lines(),
+            "t_afo_wave_detail_line": s.replanned_wave_lines(),
             "t_afo_wave_detail": s.wave_details(),
         },
         changes,

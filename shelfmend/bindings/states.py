@@ -389,12 +389,12 @@ detected as (
     and not exists (select 1 from v_tran l where l.tran_type = '301' and l.control_number = p.order_number and l.wh_id = p.wh_id)
     and not exists (select 1 from v_ship m where m.transaction_code = '936' and m.order_number = p.order_number and m.wh_id = p.wh_id)
     and not exists (select 1 from stock t where t.type = cast(p.pick_id as varchar))
-    and not exists (select 1 from v_exc e where e.exception_date < timestamp '1998-01-01' and e.control_number = p.order_number
+    and not exists (select 1 from v_urgent_exc e where e.control_number = p.order_number
       and e.item_number = p.item_number)),
 log as (
   select distinct order_number, item_number, wh_id from (
     select * from detected union all
-    select control_number, item_number, wh_id from v_exc where exception_date < timestamp '1998-01-01')),
+    select control_number, item_number, wh_id from v_urgent_exc)),
 told as (
   select m.order_number, d.item_number, m.transaction_code from v_ship m join v_shipdet d on d.shipment_id = m.shipment_id
   where m.transaction_code in ('360', '361')),

@@ -143,6 +143,13 @@ from lineitem group by l_orderkey, l_partkey""",
 select wave_id, order_number, line_number, item_number, wh_id, qty planned_qty,
   concat_ws('-', order_number, item_number) wave_detail_line_id, order_number wave_detail_id
 from v_od""",
+    "v_waveplan": """
+select * from v_wavelines
+union all
+select wave_id, order_number, line_number + 1, item_number, wh_id, planned_qty, wave_detail_line_id || '-N', wave_detail_id
+from v_wavelines""",
+    "v_urgent_exc": """
+select * from v_exc where control_number in (select o_orderkey from orders where o_orderpriority in ('1-URGENT', '2-HIGH'))""",
     "v_wavedet": "select distinct order_number wave_detail_id, wave_id, order_number from v_od",
     "v_comment": """
 select order_number, wh_id, item_number, line_number, 'ORIG' || order_number br_order_number_orig,

@@ -164,6 +164,12 @@ class Samples:
             "create_date AS exception_date",
         )
 
+    def urgent_cut_log(self) -> DataFrame:
+        """The cut log of the urgent orders, which are cut first."""
+        urgent = self.table("orders").filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").select("o_orderkey")
+        log = self.cut_log()
+        return log.join(urgent, log["control_number"] == urgent["o_orderkey"], "left_semi")
+
     def send_errors(self) -> DataFrame:
         return self.table("events").filter("event_type = 'error'").selectExpr(
             "event_id AS exception_id",
@@ -354,6 +360,13 @@ class Samples:
             "order_number AS wave_detail_id",
         )
 
+    def replanned_wave_lines(self) -> DataFrame:
+        """Every wave line, and the same item planned once more on the order's next line, which mostly has no pick."""
+        again = self.wave_lines().withColumns({
+            "line_number": F.col("line_number") + 1, "wave_detail_line_id": F.concat("wave_detail_line_id", F.lit("-N")),
+        })
+        return self.wave_lines().unionByName(again)
+
     def wave_details(self) -> DataFrame:
         return self.order_lines().selectExpr("order_number AS wave_detail_id", "wave_id", "order_number").distinct()
 
