@@ -2,6 +2,7 @@
 
 The cut log is every released open pick line; where a step needs lines that are logged already, it is that of the urgent
 orders.
+"""
 
 from __future__ import annotations
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -736,6 +736,10 @@ def flush_invoices(ship: DataFrame, as_of: datetime, user: str = fixed.USER_CUT)
     )
 
 
+Tables = Mapping[str, DataFrame]
+Phase = Callable[[Tables], ChangeSet]
+
+
 @dataclass(frozen=True)
 class CutResult:
     """What each phase of the cut changed, and the tables after all of them."""
@@ -744,90 +748,127 @@ class CutResult:
     tables: dict[str, DataFrame]
 
 
-def cut_cycle(
-    tables: dict[str, DataFrame],
+#: Tables in which the phases of a run leave what later phases of the same run go by.
+RUN_ORDERS, RUN_CANCELS = "cut_run_orders", "cut_run_cancels"
+
+
+def cut_phases(
     as_of: datetime,
     cap: int | None = None,
     storage_type: str = STORAGE,
     descriptions: DataFrame | None = None,
-) -> CutResult:
-    """The cut from detection to cancel messages. Each phase reads the tables the last one left.
+    run: str | None = None,
+) -> dict[str, Phase]:
+    """The cut from detection to cancel messages, phase by phase. Each reads the tables the last one left, and nothing else,
+    so that a run can stop after any of them and go on later (see :mod:`shelfmend.sources.phases`).
 
     Orders are typed again after the cut, for code, service and trace alike; orders that an earlier run left
-    pending are cancelled with them.
-
-    What a phase decides is checkpointed once, because several of its changes and the later phases
-    read it. Nothing is visible until the caller publishes the tables.
+    pending are cancelled with them. ``run`` (the moment, if not given) names the run in the tables that carry decisions
+    between its phases.
     """
-    now = dict(tables)
-    phases: dict[str, ChangeSet] = {}
-
-    def run(name: str, changes: ChangeSet) -> None:
-        phases[name] = changes
-        now.update(apply_change_set(now, changes))
-
-    lines = zero_stock_lines(
-        now["t_pick_detail"],
-        now["t_stored_item"],
-        now["t_tran_log"],
-        now["t_al_host_shipment_master"],
-        now["t_location"],
-        now["t_pick_area"],
-        now["t_exception_log"],
-        storage_type=storage_type,
-    )
-    run("detect", log_cut(pinned(lines), as_of))
-    log, detail = now["t_exception_log"], now["t_order_detail"]
-    classified = pinned(
-        classify_cut(log, detail, now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"], cap=cap)
-    )
-    run("cut", apply_cut(classified, log))
-    orders_cut = one_type_per_order(classified).select(F.col("control_number").alias("order_number"), "wh_id")
-    status = matching(order_status_after_cut(now["t_order_detail"]), orders_cut, ["order_number"])
-    run("status", ChangeSet(updates={"t_order": Update(status, ("order_number",))}))
-    headers = pinned(
-        invoice_headers(
-            now["t_pick_detail"], now["t_stored_item"], now["t_order"], now["t_vendor"], now["v_type"], orders_cut,
+    run = as_of.isoformat() if run is None else run
+    name = F.lit(run).alias("run")
+
+    def of_run(tables: Tables, table: str) -> DataFrame:
+        return tables[table].filter(F.col("run") == run).drop("run")
+
+    def detect(now: Tables) -> ChangeSet:
+        lines = zero_stock_lines(
+            now["t_pick_detail"],
+            now["t_stored_item"],
+            now["t_tran_log"],
+            now["t_al_host_shipment_master"],
+            now["t_location"],
+            now["t_pick_area"],
+            now["t_exception_log"],
+            storage_type=storage_type,
+        )
+        return log_cut(pinned(lines), as_of)
+
+    def cut(now: Tables) -> ChangeSet:
+        log = now["t_exception_log"]
+        sent = now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"]
+        classified = pinned(classify_cut(log, now["t_order_detail"], *sent, cap=cap))
+        orders = one_type_per_order(classified).select(F.col("control_number").alias("order_number"), "wh_id", name)
+        changes = apply_cut(classified, log)
+        return replace(changes, inserts={**changes.inserts, RUN_ORDERS: orders})
+
+    def status(now: Tables) -> ChangeSet:
+        after = order_status_after_cut(now["t_order_detail"])
+        return ChangeSet(updates={"t_order": Update(matching(after, of_run(now, RUN_ORDERS), ["order_number"]), ("order_number",))})
+
+    def invoice(now: Tables) -> ChangeSet:
+        headers = pinned(
+            invoice_headers(
+                now["t_pick_detail"], now["t_stored_item"], now["t_order"], now["t_vendor"], now["v_type"],
+                of_run(now, RUN_ORDERS), storage_type,
+            )
+        )
+        details = invoice_details(
+            now["t_stored_item"],
+            now["t_pick_detail"],
+            headers,
+            now["t_item_master"],
+            now["t_order"],
+            now["t_pick_container"],
+            now["t_item_uom"],
+            now["t_sto_attrib_collection_detail"],
+            now["t_attribute_legacy_map"],
             storage_type,
         )
-    )
-    details = invoice_details(
-        now["t_stored_item"],
-        now["t_pick_detail"],
-        headers,
-        now["t_item_master"],
-        now["t_order"],
-        now["t_pick_container"],
-        now["t_item_uom"],
-        now["t_sto_attrib_collection_detail"],
-        now["t_attribute_legacy_map"],
-        storage_type,
-    )
-    run(
-        "invoice",
-        ChangeSet(
+        return ChangeSet(
             inserts={
                 "t_al_host_shipment_master": headers,
                 "t_al_host_shipment_detail": with_id(details, "shipment_detail_id"),
             }
-        ),
-    )
-    tasks = closable_tasks(
-        now["t_pick_detail"],
-        now["t_work_q"],
-        now["t_work_q_assignment"],
-        now["t_al_host_shipment_master"],
-        now["t_al_host_shipment_detail"],
-    )
-    run("tasks", close_cut_tasks(pinned(tasks), as_of))
-    log, detail = now["t_exception_log"], now["t_order_detail"]
-    cancels = pinned(
-        pending_cancels(log, detail, now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"])
-    )
-    run("cancel", cancel_interface(cancels, now["t_order"], detail, now["t_item_master"], now["t_item_uom"]))
-    trace = cancel_trace(
-        cancels, now["t_order"], detail, now["t_item_master"], now["t_pick_detail"], now["t_tran_log"]
-    )
-    run("trace", log_cancels(pinned(trace), as_of, descriptions))
-    run("send", flush_invoices(now["t_al_host_shipment_master"], as_of))
+        )
+
+    def tasks(now: Tables) -> ChangeSet:
+        found = closable_tasks(
+            now["t_pick_detail"],
+            now["t_work_q"],
+            now["t_work_q_assignment"],
+            now["t_al_host_shipment_master"],
+            now["t_al_host_shipment_detail"],
+        )
+        return close_cut_tasks(pinned(found), as_of)
+
+    def cancel(now: Tables) -> ChangeSet:
+        detail = now["t_order_detail"]
+        sent = now["t_al_host_shipment_master"], now["t_al_host_shipment_detail"]
+        cancels = pinned(pending_cancels(now["t_exception_log"], detail, *sent))
+        changes = cancel_interface(cancels, now["t_order"], detail, now["t_item_master"], now["t_item_uom"])
+        return replace(changes, inserts={**changes.inserts, RUN_CANCELS: cancels.select("*", name)})
+
+    def trace(now: Tables) -> ChangeSet:
+        found = cancel_trace(
+            of_run(now, RUN_CANCELS), now["t_order"], now["t_order_detail"], now["t_item_master"], now["t_pick_detail"],
+            now["t_tran_log"],
+        )
+        return log_cancels(pinned(found), as_of, descriptions)
+
+    def send(now: Tables) -> ChangeSet:
+        return flush_invoices(now["t_al_host_shipment_master"], as_of)
+
+    steps = (detect, cut, status, invoice, tasks, cancel, trace, send)
+    return {step.__name__: step for step in steps}
+
+
+def cut_cycle(
+    tables: dict[str, DataFrame],
+    as_of: datetime,
+    cap: int | None = None,
+    storage_type: str = STORAGE,
+    descriptions: DataFrame | None = None,
+) -> CutResult:
+    """All phases of :func:`cut_phases` on tables in memory.
+
+    What a phase decides is checkpointed once, because several of its changes and the later phases
+    read it. Nothing is visible until the caller publishes the tables.
+    """
+    now = dict(tables)
+    phases: dict[str, ChangeSet] = {}
+    for name, phase in cut_phases(as_of, cap, storage_type, descriptions).items():
+        phases[name] = phase(now)
+        now.update(apply_change_set(now, phases[name]))
     return CutResult(phases, now)

@@ -54,6 +54,12 @@ def _newest(spark: SparkSession, root: str) -> dict[str, list[str]]:
     return found
 
 
+def published_names(spark: SparkSession, root: str) -> set[str]:
+    """Names of all published snapshots."""
+    rows = spark.read.schema(_MARKER).json(f"{root.rstrip('/')}/_published")
+    return {r.snapshot for r in rows.select("snapshot").distinct().collect()}  # one a publishing job
+
+
 def _publish(spark: SparkSession, root: str, snapshot: str, parts: Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
     """Write the marker: last and in one file, so a job that dies before it publishes nothing."""
     rows = [(snapshot, t, p) for t, paths in sorted(parts.items()) for p in paths]

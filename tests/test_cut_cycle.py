@@ -7,9 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmend.bindings.cut import cut_tables
-from shelfmend.operators.cut import apply_cut, classify_cut, cut_cycle, last_item_gate, pending_cancels
+from shelfmend.operators.cut import apply_cut, classify_cut, cut_cycle, cut_phases, last_item_gate, pending_cancels
 from shelfmend.plans.changeset import apply_update
+from shelfmend.plans.changeset import ChangeSet
+from shelfmend.sources.phases import finished, run_phases
 from shelfmend.sources.samples import Samples
+from shelfmend.sources.snapshots import publish, published_names, read_snapshot
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test data not present")
@@ -83,3 +86,85 @@ def test_items_cut_together_leave_nothing(spark, frame):
     found = pending_cancels(log, lines, ship, sent).collect()
     # the order an earlier run left pending is cancelled with it
     assert sorted((r.control_number, r.tipo) for r in found) == [("o", "COMPLETE"), ("p", "PARTIAL")]
+
+
+class Killed(Exception):
+    pass
+
+
+def state_of(tables):
+    """What a run leaves: messages, cancels and statuses."""
+    return {
+        name: sorted(map(str, tables[name].select(*columns).collect()))
+        for name, columns in {
+            "outbox": ["service", "group_id"], "t_order": ["order_number", "status"],
+            "t_exception_log": ["control_number", "item_number", "status", "suggested_value"],
+            "t_al_host_shipment_master": ["order_number", "transaction_code", "host_group_id"],
+        }.items()
+    }
+
+
+def small_cut(spark):
+    """A third of the orders with all that belongs to them."""
+    tables = cut_tables(Samples(spark, FOLDER))
+    keys = {"t_pick_detail": "order_number", "t_order": "order_number", "t_order_detail": "order_number", "t_al_host_shipment_master": "order_number", "t_exception_log": "control_number"}
+    return {n: t.filter(F.col(keys[n]) % 3 == 0) if n in keys else t for n, t in tables.items()}
+
+
+def test_killed_run_goes_on_to_the_same_state(spark, tmp_path):
+    """Killed after every third phase, and once between a phase's decision and its marker."""
+    tables, as_of = small_cut(spark), datetime(2024, 1, 31)
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    for root in (whole, broken):
+        publish(tables, root, "2024-01-30")
+    run = "2024-01-31T0800"
+    phases = cut_phases(as_of, storage_type="STORAGE", run=run)
+    assert run_phases(spark, whole, run, phases) == list(phases) == finished(spark, whole, run, phases)
+    expected = state_of(read_snapshot(spark, whole))
+    assert len(expected["outbox"]) == len(set(expected["outbox"])) > 0
+
+    starts = []
+    while len(finished(spark, broken, run, phases)) < len(phases):
+        begun = []
+
+        def watched(name, phase, begun=begun):
+            def step(now):
+                if len(begun) == 3:
+                    raise Killed
+                begun.append(name)
+                changes = phase(now)
+                if name == "cancel" and "cancel" not in [s for one in starts for s in one]:
+                    starts.append(list(begun))
+                    raise Killed  # decided, but not published
+                return changes
+
+            return step
+
+        try:
+            run_phases(spark, broken, run, {n: watched(n, p) for n, p in phases.items()})
+        except Killed:
+            pass
+        starts.append(begun)
+    assert sum("cancel" in s for s in starts) >= 2 and len(starts) >= 3
+    assert state_of(read_snapshot(spark, broken)) == expected
+    assert run_phases(spark, broken, run, phases) == []  # a finished run sends nothing again
+    assert state_of(read_snapshot(spark, broken)) == expected
+
+
+def test_run_is_not_continued_past_other_snapshots(spark, frame, tmp_path):
+    root, t = str(tmp_path / "s"), frame("a int", (1,))
+    publish({"t": t}, root, "2024-01-01")
+    phases = {"one": lambda now: ChangeSet(inserts={"t": t}), "two": lambda now: ChangeSet(inserts={"t": t})}
+
+    def dies(now):
+        raise Killed
+
+    with pytest.raises(Killed):
+        run_phases(spark, root, "2024-01-02", {**phases, "two": dies})
+    assert published_names(spark, root) == {"2024-01-01", "2024-01-02.000-one"} and read_snapshot(spark, root)["t"].count() == 2
+    with pytest.raises(ValueError):
+        run_phases(spark, root, "2024-01-02", {"other": phases["one"], "one": phases["two"], "two": phases["two"]})
+    publish({"t": t}, root, "2024-01-03")
+    with pytest.raises(ValueError):
+        run_phases(spark, root, "2024-01-02", phases)
+    assert run_phases(spark, root, "2024-01-04", phases) == ["one", "two"] and read_snapshot(spark, root)["t"].count() == 3
