@@ -188,9 +188,8 @@ def write(
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", str(rows_per_index))
         .option("orc.stripe.size", str(stripe_bytes))
-        # rows are long: a full stripe is closed after few of them, whatever stands between two index entries
+        # rows are long: a full stripe is closed after few batches (of 32768 ids), whatever stands between two index entries
         .option("orc.rows.between.memory.checks", str(_ROWS_BETWEEN_CHECKS))
-        .option("orc.row.batch.size", str(_ROWS_BETWEEN_CHECKS))
         .option("orc.compress", "ZSTD")
         .orc(path)
     )
