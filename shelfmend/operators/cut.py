@@ -540,23 +540,15 @@ def cancel_eligible(
 ) -> DataFrame:
     """Listed order lines that were neither cancelled nor shipped; the worklist's item column holds
     the order number."""
-    listed = matching(
-        orders.select("order_number", "wh_id"), worklist, [("order_number", "item_number"), "wh_id"]
-    )
-    lines = attach(
-        order_detail.select("order_number", "wh_id", "item_number", "line_number", "qty", "bo_qty"),
-        listed.distinct().withColumn("listed", F.lit(True)),
-        ["order_number", "wh_id"],
-        "inner",
-    ).drop("listed")
-    # a message of a listed order alone can make one of its lines ineligible
-    headers = matching(
-        ship_header.select("shipment_id", "order_number", "wh_id", "transaction_code"), listed, ["order_number", "wh_id"]
-    )
+    on_list = [("order_number", "item_number"), "wh_id"]
+    listed = matching(orders.select("order_number", "wh_id"), worklist, on_list)
+    columns = ["order_number", "wh_id", "item_number", "line_number", "qty", "bo_qty"]
+    lines = matching(order_detail.select(*columns), listed, ["order_number", "wh_id"])
+    # a cancel code or any other code makes the line ineligible; the list alone says whose messages count
+    coded = ship_header.filter(F.col("transaction_code").isNotNull()).select("shipment_id", "order_number", "wh_id")
+    headers = matching(coded, worklist, on_list)
     sent = attach(ship_detail.select("shipment_id", "item_number"), headers, ["shipment_id"], "inner")
-    # a cancel code or any other code makes the line ineligible
-    known = sent.filter(F.col("transaction_code").isNotNull())
-    return missing(lines, known, ["order_number", "wh_id", "item_number"]).distinct()
+    return missing(lines, sent, ["order_number", "wh_id", "item_number"]).distinct()
 
 
 def apply_cancel(

@@ -257,9 +257,10 @@ def read_after_divert(
     units = _untyped_units(hu, po, containing, equal, excluded, wh_id)
     kind = F.col("tran_type")
     at = joined_timestamp("start_tran_date", "start_tran_time")
-    # the log is large and the containers are few
+    # the log is large and the containers without a type are few; their orders need not be looked up for it
     log = tran_log.filter(kind.isin(read_type, divert_type))
-    own = matching(log.select("hu_id", "wh_id", "tran_type", "start_tran_date", "start_tran_time"), units, ["hu_id", "wh_id"])
+    untyped = hu.filter(F.col("container_type").isNull())
+    own = matching(log.select("hu_id", "wh_id", "tran_type", "start_tran_date", "start_tran_time"), untyped, ["hu_id", "wh_id"])
     moments = (
         own.groupBy("hu_id", "wh_id")
         .agg(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import col, guid
 from .joins import attach, missing
 
+_COPIES = 4096  # numbers of equal rows that are made at once
 
 @dataclass(frozen=True)
 class Update:
@@ -68,20 +69,26 @@ class ChangeSet:
 
 
 def with_id(rows: DataFrame, name: str, *batch: Column | str) -> DataFrame:
-    """Add a unique key made from the batch and all columns; equal rows are told apart by a number."""
-    key = guid(F.lit(name), *batch, *rows.columns)
-    same = Window.partitionBy("_id").orderBy("_id")
-    numbered = rows.withColumn("_id", key).withColumn("_copy", F.row_number().over(same))
+    """Add a unique key made from the batch and all columns; equal rows are told apart by a number.
+
+    Equal rows are counted, before the shuffle where they can be, and written out again with their numbers in blocks.
+    """
+    columns = rows.columns
+    keyed = rows.withColumn("_id", guid(F.lit(name), *batch, *columns))
+    counted = keyed.groupBy("_id", *columns).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = counted.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"), F.lit(_COPIES).cast("long"))))
+    last = F.least(F.col("_n"), F.col("_from") + F.lit(_COPIES - 1))
+    numbered = blocks.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))
     unique = F.when(F.col("_copy") == 1, F.col("_id")).otherwise(F.concat_ws("-", "_id", "_copy"))
-    return numbered.withColumn(name, unique).drop("_id", "_copy")
+    return numbered.select(*columns, unique.alias(name))
 
 
 def _one_per_key(update: Update) -> DataFrame:
-    """The update's rows by key, with how many there were; a NULL key changes nothing."""
-    values = F.struct(*[F.col(c).alias(t) for t, c in update.sources.items()], F.lit(True).alias("_hit"))
-    return update.rows.dropna(subset=list(update.on)).groupBy(*update.on).agg(
-        F.any_value(values).alias("_new"), F.count(F.lit(1)).alias("_rows")
-    )
+    """The update's rows, each with how many have its key; a NULL key changes nothing."""
+    known = update.rows.dropna(subset=list(update.on))
+    same = F.count(F.lit(1)).over(Window.partitionBy(*update.on))
+    values = [F.col(c).alias(f"_new_{t}") for t, c in update.sources.items()]
+    return known.select(*update.on, *values, same.alias("_rows"))
 
 
 def apply_update(table: DataFrame, update: Update) -> DataFrame:
@@ -96,7 +103,7 @@ def apply_update(table: DataFrame, update: Update) -> DataFrame:
     def value(c: str) -> Column:
         if c not in sources:
             return F.col(c)
-        new = F.col(f"_new.{c}")
+        new = F.col(f"_new_{c}")
         if c in update.add:
             new = F.col(c) + new
         if c in update.keep:
