@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clock import ts
 from ..operators import interface, moves, queue
 from ..plans.changeset import apply_change_set, apply_update, ledger
 from .registry import query
@@ -787,6 +790,70 @@ def complete_batch(s):
     return after.select("event_id", "status", "date_started", "date_finished", "alert_id")
 
 
+LEASE = timedelta(minutes=30)
+LATER = EVENTS_AS_OF + timedelta(hours=1)
+
+
+@query(
+    "lease_batch",
+    """
+select event_id, 'TEMP_STATUS' as status, timestamp '2024-01-31 01:00:00' as date_started,
+  md5('click|2024-01-31T01:00:00|' || part) as claim_id
+from (select *, row_number() over (partition by part order by date_added, event_id) as place from (
+  select *, cast('0x' || substring(md5(cast(event_id as varchar)), 1, 8) as bigint) % 2 as part
+  from v_queue where procobject = 'click' and status = 'NEW' and date_started is null))
+where place <= 30""",
+)
+def lease_batch(s):
+    """Two workers take events at once after a claim whose worker died; the claim's events are free again."""
+    claimed = _claimed_queue(s)
+    a, b = (queue.lease_batch(claimed, "click", CLAIM_SIZE, LATER, LEASE, i, 2) for i in range(2))
+    return a.updates["ea_t_async_work_queue"].rows.unionByName(b.updates["ea_t_async_work_queue"].rows)
+
+
+@query(
+    "release_expired",
+    """
+select q.event_id, q.status, case when c.event_id is null then q.date_started end as date_started, q.claim_id,
+  q.retry_count + case when c.event_id is null then 0 else 1 end as retry_count
+from v_queue q left join q_claim_batch c on c.event_id = q.event_id""",
+)
+def release_expired(s):
+    """The whole queue after the events of a dead claim went back."""
+    claimed = _claimed_queue(s)
+    back = queue.release_expired(claimed, LATER, LEASE).updates["ea_t_async_work_queue"]
+    return apply_update(claimed, back).select("event_id", "status", "date_started", "claim_id", "retry_count")
+
+
+@query(
+    "order_extract",
+    """
+with chosen as (select order_number, wh_id from v_orders where order_date >= timestamp '2000-06-01'),
+d as (select d.* from v_od d join chosen using (order_number, wh_id)),
+p as (select p.* from v_picks p join chosen using (order_number, wh_id)),
+i as (select distinct item_number, wh_id from (select item_number, wh_id from d union all select item_number, wh_id from p)
+  join v_items using (item_number, wh_id))
+select 't_order' as target, wh_id, order_number::varchar as key from chosen
+union all select 't_order_detail', wh_id, concat_ws('-', order_number, item_number) from d
+union all select 't_pick_detail', wh_id, pick_id::varchar from p
+union all select 't_item_master', wh_id, item_number::varchar from i
+union all select 't_item_uom', u.wh_id, concat_ws('-', u.item_number, u.uom) from v_uom u join i using (item_number, wh_id)""",
+)
+def order_extract(s):
+    """All orders from a day on with their lines, picks, items and units."""
+    tables = {
+        "t_order": s.orders(), "t_order_detail": s.order_lines(), "t_pick_detail": s.picks(), "t_item_master": s.items(),
+        "t_item_uom": s.units(),
+    }
+    found = queue.order_extract(tables, s.orders().filter(F.col("order_date") >= ts(EXTRACT_FROM)))
+    names = {
+        "t_order": ("order_number",), "t_order_detail": ("order_number", "item_number"), "t_pick_detail": ("pick_id",),
+        "t_item_master": ("item_number",), "t_item_uom": ("item_number", "uom"),
+    }
+    parts = [found[t].select(F.lit(t).alias("target"), "wh_id", F.concat_ws("-", *c).alias("key")) for t, c in names.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "outbox_groups",
     "select distinct 'EXP_INV_ADJUST' as service, host_group_id as group_id from v_adj where quantity_change > 50",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Mapping
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import ts
 from ..functions.text import guid
 from ..plans.changeset import ChangeSet, Update
+from ..plans.closure import ForeignKey, closed_extract
 from ..plans.joins import attach, matching
 from .audit import outbox_rows
 
@@ -32,6 +35,59 @@ def claim_batch(queue: DataFrame, processor: str, limit: int, as_of: datetime) -
     return ChangeSet(updates={"ea_t_async_work_queue": Update(rows, ("event_id",))})
 
 
+def _expired(as_of: datetime, lease: timedelta) -> Column:
+    """Claimed so long ago that whoever claimed it is taken to be dead."""
+    return (F.col("status") == CLAIMED) & (F.col("date_started") <= ts(as_of - lease))
+
+
+def lease_batch(
+    queue: DataFrame, processor: str, limit: int, as_of: datetime, lease: timedelta, worker: int = 0, workers: int = 1
+) -> ChangeSet:
+    """Take the oldest events of a processor that are new or whose claim has expired.
+
+    Workers that claim at once each take events of their own part of the ids, so no two share an event, in whatever
+    order their claims are applied. The claim id also bears the worker's number.
+    """
+    if not 0 <= worker < workers:
+        raise ValueError(f"worker {worker} of {workers}")
+    new = (F.col("status") == "NEW") & F.col("date_started").isNull()
+    part = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("long") % workers
+    free = queue.filter((F.col("procobject") == processor) & (new | _expired(as_of, lease)) & (part == worker))
+    taken = free.select("event_id", "date_added").orderBy("date_added", "event_id").limit(limit)
+    rows = taken.select(
+        "event_id",
+        F.lit(CLAIMED).alias("status"),
+        ts(as_of).alias("date_started"),
+        lease_id(processor, as_of, worker).alias("claim_id"),
+    )
+    return ChangeSet(updates={"ea_t_async_work_queue": Update(rows, ("event_id",), where=new | _expired(as_of, lease))})
+
+
+def lease_id(processor: str, as_of: datetime, worker: int = 0) -> Column:
+    """Claim id of a worker's lease."""
+    return guid(F.lit(processor), F.lit(as_of.isoformat()), F.lit(worker))
+
+
+def complete_lease(queue: DataFrame, as_of: datetime, alert: int, claim_id: Column) -> ChangeSet:
+    """Mark the events of one lease as done; those that another worker has claimed since stay with that one."""
+    own = (F.col("status") == CLAIMED) & (F.col("claim_id") == claim_id)
+    update = complete_batch(queue, as_of, alert, claim_id).updates["ea_t_async_work_queue"]
+    return ChangeSet(updates={"ea_t_async_work_queue": replace(update, where=own)})
+
+
+def release_expired(queue: DataFrame, as_of: datetime, lease: timedelta) -> ChangeSet:
+    """Give back the events of expired claims: new, without a start or claim, and one more retry counted."""
+    expired = _expired(as_of, lease)
+    rows = queue.filter(expired).select(
+        "event_id",
+        F.lit("NEW").alias("status"),
+        F.lit(None).cast("timestamp_ntz").alias("date_started"),
+        F.lit(None).cast("string").alias("claim_id"),
+        (F.coalesce("retry_count", F.lit(0)) + 1).alias("retry_count"),
+    )
+    return ChangeSet(updates={"ea_t_async_work_queue": Update(rows, ("event_id",), where=expired)})
+
+
 def claimed_payloads(
     queue: DataFrame, event_def: DataFrame, payloads: DataFrame, processor: str, since: datetime | None = None
 ) -> DataFrame:
@@ -69,6 +125,28 @@ def outbox_groups(table: DataFrame, condition: Column, service: str, group: str
     return outbox_rows(table.filter(condition), service, group)
 
 
+#: What an order extract brings along: an order its lines and picks, a line its item, an item its units.
+ORDER_KEYS = {
+    "t_order": ("order_number", "wh_id"),
+    "t_order_detail": ("order_number", "wh_id", "item_number", "line_number"),
+    "t_pick_detail": ("pick_id", "wh_id"),
+    "t_item_master": ("item_number", "wh_id"),
+    "t_item_uom": ("item_number", "wh_id", "uom"),
+}
+ORDER_LINKS = (
+    ForeignKey("t_order_detail", ("order_number", "wh_id"), "t_order", ("order_number", "wh_id"), owned=True),
+    ForeignKey("t_pick_detail", ("order_number", "wh_id"), "t_order", ("order_number", "wh_id"), owned=True),
+    ForeignKey("t_order_detail", ("item_number", "wh_id"), "t_item_master", ("item_number", "wh_id")),
+    ForeignKey("t_pick_detail", ("item_number", "wh_id"), "t_item_master", ("item_number", "wh_id")),
+    ForeignKey("t_item_uom", ("item_number", "wh_id"), "t_item_master", ("item_number", "wh_id"), owned=True),
+)
+
+
+def order_extract(tables: Mapping[str, DataFrame], orders: DataFrame) -> dict[str, DataFrame]:
+    """The given orders with all rows of the other tables that belong to them, directly or over other rows."""
+    return closed_extract(tables, {"t_order": orders}, ORDER_KEYS, ORDER_LINKS)
+
+
 def consistent_extract(
     orders: DataFrame,
     order_detail: DataFrame,
