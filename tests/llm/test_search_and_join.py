@@ -287,6 +287,24 @@ def test_every_place_of_a_passage_is_in_a_row(documents, prose):
                 assert covered[i] >= set(range(at, at + 60))
 
 
+def test_passages_do_not_depend_on_the_layout(documents, prose, monkeypatch):
+    rows, _ = excerpts(prose, 200, 60)
+    rng = random.Random(8)
+    rows = [(i, " ".join(w if rng.random() > 0.1 else f"new{i}x{n}" for n, w in enumerate(t.split()))) for i, t in rows]
+    docs, found = documents(*[(i, t, "s") for i, t in [*rows, *[(1000 + i, t) for i, t in rows[:40]]]]), set()
+    for parts, held, bucket, slices in ((1, 10**6, 10**6, 10**6), (8, 3000, 700, 50), (32, 100, 10**5, 7)):
+        for name, value in (("_HELD_SEEDS", held), ("_BUCKET_SEEDS", bucket), ("_SLICE_TEXTS", slices)):
+            monkeypatch.setattr(passages, name, value)
+        found.add(frozenset(passages.repeated_passages(docs.repartition(parts)).collect()))
+    assert len(found) == 1 and next(iter(found))
+
+
+@pytest.mark.parametrize("values", [[0], [1], [2**64 - 1, 0, 5], [300, 2, 70000], list(range(1000))])
+def test_packed_numbers_come_back(values):
+    numbers = np.array(values, np.uint64)
+    assert (passages._unpacked(passages._packed(numbers), len(numbers)) == numbers).all()
+
+
 def brute_licenses(rows):
     out = {}
     for n, (d, t) in enumerate(rows):
