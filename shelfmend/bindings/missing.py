@@ -405,7 +405,7 @@ where not exists (select 1 from supplier x where x.s_acctbal >= 3000 and x.s_sup
   and 'CTN_LJ_' || lpad(cast(x.s_suppkey as varchar), 3, '0') || '.1' = s.loc)""",
 )
 def missing_location_rows(s):
-    return missing.missing_location_rows(s.stores(), s.store_locations())
+    return missing.missing_location_rows(s.stores(), s.store_locations(), strict=True)
 
 
 @query(
@@ -416,7 +416,7 @@ from {_STORES} || '.3' as loc from supplier) s
 where not exists (select 1 from v_loc l where l.location_id = s.loc and l.wh_id = s.wh_id)""",
 )
 def missing_zone_rows(s):
-    return missing.missing_location_rows(s.stores(), s.locations(), ".3", "zone")
+    return missing.missing_location_rows(s.stores(), s.locations(), ".3", "zone", strict=True)
 
 
 @query(

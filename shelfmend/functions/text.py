@@ -51,6 +51,9 @@ def trouble_status(context: Column | str) -> Column:
     return F.when(col(context).isin(*fixed.TROUBLE_CONTEXTS), F.lit("TRBL")).otherwise(F.lit("ATS"))
 
 
-def store_location(store_number: Column | str, suffix: str) -> Column:
-    """Staging location of a store: fixed prefix, 3-character store number, suffix."""
-    return F.concat(F.lit(fixed.STORE_PREFIX), _padded(col(store_number).cast("string"), 3, "store number"), F.lit(suffix))
+def store_location(store_number: Column | str, suffix: str, strict: bool = False) -> Column:
+    """Staging location of a store: fixed prefix, 3-character store number, suffix. A longer number fails the job;
+    ``strict`` takes its first 3 characters, as the source's LPAD does."""
+    number = col(store_number).cast("string")
+    padded = F.lpad(number, 3, "0") if strict else _padded(number, 3, "store number")
+    return F.concat(F.lit(fixed.STORE_PREFIX), padded, F.lit(suffix))

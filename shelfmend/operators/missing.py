@@ -406,10 +406,12 @@ def missing_location_rows(
     suffix: str = ".1",
     kind: str = "relation",
     store_numbers: Sequence[str] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Rows to add for stores that lack them: ``relation`` or ``zone`` rows of the store's location."""
+    """Rows to add for stores that lack them: ``relation`` or ``zone`` rows of the store's location. ``strict`` cuts
+    store numbers to 3 characters instead of failing on longer ones."""
     rows = stores if store_numbers is None else stores.filter(F.col("store_number").isin(*store_numbers))
-    named = rows.select("wh_id", store_location("store_number", suffix).alias("location_id"))
+    named = rows.select("wh_id", store_location("store_number", suffix, strict).alias("location_id"))
     absent = missing(named, existing, ["location_id", "wh_id"])
     if kind == "zone":
         return absent.select("wh_id", F.lit("ALL").alias("zone"), "location_id")
