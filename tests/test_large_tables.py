@@ -6,6 +6,7 @@ from compare import differences
 
 from __spark_entry__ import oracle_sql, queries
 from shelfmend.operators import missing
+from shelfmend.sources.samples import Samples
 
 
 @pytest.fixture
@@ -31,3 +32,29 @@ def test_strict_locations_take_three_characters(frame, bag):
     stores = frame("wh_id string, store_number string", ("464", "1234"), ("464", "9"))
     existing = frame("wh_id string, location_id string", ("464", "CTN_LJ_009.1"))
     assert bag(missing.missing_location_rows(stores, existing, strict=True), "location_id") == [("CTN_LJ_123.1",)]
+
+
+def _estimate(frame) -> int:
+    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+@pytest.mark.parametrize("view", ["items", "barcodes", "units", "containers", "pick_areas"])
+def test_estimates_count_every_warehouse(spark, tmp_path, view):
+    """A static broadcast goes by the estimate: it has to grow with the five rows made of each."""
+    size = {
+        "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+    }
+    rows = {
+        "part": [(k, f"P{k}", "B", "T", k % 50 + 1, 1.0) for k in range(500)],
+        "supplier": [(k, f"S{k}", 1, 2000.0) for k in range(500)],
+        "nation": [(k, f"N{k}", 1) for k in range(500)],
+    }
+    for table, kind in size.items():
+        spark.createDataFrame(rows[table], kind).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    samples = Samples(spark, str(tmp_path))
+    made = getattr(samples, view)()
+    source = samples.table({"pick_areas": "nation", "containers": "supplier"}.get(view, "part"))
+    assert _estimate(made) >= 5 * _estimate(source.select(source.columns[0]))
+    assert made.groupBy("wh_id").count().count() == 5 and made.count() >= 2500
