@@ -5,7 +5,7 @@ import pytest
 from compare import differences
 
 from __spark_entry__ import oracle_sql, queries
-from shelfmend.operators import missing
+from shelfmend.operators import missing, moves
 from shelfmend.sources.samples import Samples
 
 
@@ -58,3 +58,27 @@ def test_estimates_count_every_warehouse(spark, tmp_path, view):
     source = samples.table({"pick_areas": "nation", "containers": "supplier"}.get(view, "part"))
     assert _estimate(made) >= 5 * _estimate(source.select(source.columns[0]))
     assert made.groupBy("wh_id").count().count() == 5 and made.count() >= 2500
+
+
+def test_later_rounds_take_only_items_that_changed(spark, monkeypatch):
+    """One item passes a shortage down six places; the other 200 are settled by the first round."""
+    sizes, low = [], moves.running_low
+
+    def counted(events, *rest):
+        sizes.append(events.count())
+        return low(events, *rest)
+
+    monkeypatch.setattr(moves, "running_low", counted)
+    chain = [(n, "chain", a, b) for n, (a, b) in enumerate(zip("ABCDEF", "BCDEFG", strict=True))]
+    rest = [(100 + 2 * i + k, f"i{i}", a, b) for i in range(200) for k, (a, b) in enumerate(("AB", "BC"))]
+    todo = spark.createDataFrame(
+        [(n, 1, item, 3.0, a, None, b, None) for n, item, a, b in chain + rest],
+        "move_id int, wh_id int, item_number string, qty double, from_location string, from_hu string, to_location string, to_hu string",
+    )
+    stock = spark.createDataFrame(
+        [(1, item, "A", None, 1.0 if item == "chain" else 5.0) for item in ["chain", *(f"i{i}" for i in range(200))]],
+        "wh_id int, item_number string, location_id string, hu_id string, actual_qty double",
+    )
+    found = moves.move_within_stock(stock, todo, ["move_id"])
+    assert {(r.item_number == "chain", r.moved_qty) for r in found.moves.collect()} == {(True, 1.0), (False, 3.0)}
+    assert sizes[0] > 800 and len(sizes) > 5 and max(sizes[1:]) <= 12
