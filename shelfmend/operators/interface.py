@@ -251,17 +251,14 @@ def receipts_from_erp(
     arrivals = shipment.select("shipment", "bol_no", "to_loc")
     shipped = attach(heads, arrivals, [("display_po_number", "bol_no"), ("wh_id", "to_loc")], "inner")
     scac = F.concat_ws("", F.col("distro_type").cast("string"), F.lit("-"), F.col("distro_no").cast("string"))
-    # only the cartons of closed orders, and only their notices, are added up
-    own = matching(shipsku, shipped, ["shipment"])
-    cartons = own.groupBy("shipment", "item", "carton", scac.alias("scac_code")).agg(
-        F.sum("qty_expected").alias("qty")
-    )
+    # the cartons meet their order before they are added up, and all notices are judged: each table is shuffled once, and nothing
+    # that was joined is joined again to find out what it needs
+    cartons = shipsku.select("shipment", "item", "carton", scac.alias("scac_code"), "qty_expected")
     lines = attach(cartons, shipped, ["shipment"], "inner")
     keys = ["vendor_code", "wh_id", "po_number", "item", "display_po_number", "carton", "scac_code", "client_code"]
-    summed = lines.groupBy(*keys).agg(F.sum("qty").alias("qty_received"))
-    about = matching(notices.select("hu_id", "context"), lines, [("hu_id", "carton")])
+    summed = lines.groupBy(*keys).agg(F.sum("qty_expected").alias("qty_received"))
     troubled = F.max(trouble_status("context") == "TRBL")
-    context = about.groupBy("hu_id").agg(F.when(troubled, "TRBL").otherwise("ATS").alias("status"))
+    context = notices.groupBy("hu_id").agg(F.when(troubled, "TRBL").otherwise("ATS").alias("status"))
     judged = attach(summed, context, [("carton", "hu_id")])
     rows = judged.select(
         guid(F.lit(fixed.RECEIPT), "po_number", "wh_id").alias("host_group_id"),
