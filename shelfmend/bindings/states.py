@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cut, duplicates, interface, missing, moves, queue, reconcile
 from ..plans.changeset import ChangeSet, apply_change_set, apply_update, ledger
+from ..plans.numbering import pinned
 from .cut import classify_cut, cut_tables, zero_stock_lines
 from .missing import dup_picks, dup_picks_prereceipt
 from .moves import EXTRACT_FROM, _deltas, restore_so_number
@@ -23,8 +24,11 @@ _INCREASED = """
 
 
 def _increased(s):
-    changes = moves.upsert_increment(s.stock(), _deltas(s), AS_OF, row_type="STORAGE")
-    return apply_change_set({"t_stored_item": s.stock()}, changes)["t_stored_item"]
+    """The stock after the increments, written out: the next repair reads it several times."""
+    columns = ("sequence", "item_number", "wh_id", "location_id", "hu_id", "lot_number", "type", "actual_qty")
+    stock = s.stock().select(*columns)
+    changes = moves.upsert_increment(stock, _deltas(s), AS_OF, row_type="STORAGE")
+    return pinned(apply_change_set({"t_stored_item": stock}, changes)["t_stored_item"].select(*columns))
 
 
 def _per_place(stock):

@@ -1,11 +1,15 @@
 """What only larger tables bring out: long keys, estimates that are far too small, many rounds."""
 
+from datetime import datetime
+
 import duckdb
 import pytest
 from compare import differences
 
 from __spark_entry__ import oracle_sql, queries
-from shelfmend.operators import missing, moves
+from shelfmend import session
+from shelfmend.operators import interface, missing, moves
+from shelfmend.plans import joins
 from shelfmend.sources.samples import Samples
 
 
@@ -82,3 +86,73 @@ def test_later_rounds_take_only_items_that_changed(spark, monkeypatch):
     found = moves.move_within_stock(stock, todo, ["move_id"])
     assert {(r.item_number == "chain", r.moved_qty) for r in found.moves.collect()} == {(True, 1.0), (False, 3.0)}
     assert sizes[0] > 800 and len(sizes) > 5 and max(sizes[1:]) <= 12
+
+
+def test_tasks_and_broadcasts_are_bounded(spark):
+    """Limits above ours are lowered, smaller ones of the cluster stay."""
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.sources.fileCompressionFactor"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("128MB", "2m", "1.0"), strict=True):
+            spark.conf.set(k, v)
+        session.tune(spark)
+        assert [spark.conf.get(k) for k in keys] == [str(16 << 20), "2m", "16.0"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_items_are_dealt_out_before_they_are_multiplied(spark, tmp_path):
+    """A file of one task is spread first; a single task would combine all items of all warehouses."""
+    kind = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    rows = [(k, f"P{k}", "B", "T", k % 50 + 1, 1.0) for k in range(500)]
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = Samples(spark, str(tmp_path)).items()
+        assert made.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hashes_of_keys_do_not_travel(frame):
+    """A join shuffles its rows without a column of hashes."""
+    left, right = frame("a bigint, v bigint", (1, 2)), frame("a bigint, w bigint", (1, 3))
+    plan = joins.attach(left, right, ["a"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+    assert not [line for line in plan.splitlines() if "Project" in line and "xxhash64" in line]
+
+
+def _read_again(frame) -> bool:
+    return "Aggregate" in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_increments_are_added_up_once(frame):
+    """The rows raised and the rows made come from one stored plan."""
+    stock = frame(
+        "sequence string, item_number bigint, wh_id bigint, location_id string, actual_qty double", ("a", 1, 1, "L", 2.0), ("b", 2, 1, "L", 1.0)
+    )
+    deltas = frame("item_number bigint, wh_id bigint, location_id string, qty double", (1, 1, "L", 4.0), (1, 1, "L", 1.0), (3, 1, "L", 7.0))
+    changes = moves.upsert_increment(stock, deltas, datetime(2001, 12, 1), "0")
+    raised, made = changes.updates["t_stored_item"].rows, changes.inserts["t_stored_item"]
+    assert not _read_again(raised) and not _read_again(made)
+    assert [(r.sequence, r.actual_qty) for r in raised.collect()] == [("a", 5.0)]
+    assert [(r.item_number, r.actual_qty) for r in made.collect()] == [(3, 7.0)]
+
+
+def test_cartons_meet_their_order_once(frame):
+    """Receipts read orders, cartons and notices once each; cartons with notices of both kinds are troubled, others without have no status."""
+    po = frame(
+        "po_number bigint, wh_id bigint, vendor_code bigint, display_po_number string, client_code bigint, status string, type_id string",
+        (1, 1, 9, "PO1", 2, "C", "x"), (2, 1, 9, "PO2", 2, "O", "x"),
+    )
+    ships = frame("shipment bigint, bol_no string, to_loc bigint", (11, "PO1", 1), (12, "PO2", 1))
+    cartons = frame(
+        "shipment bigint, item bigint, carton string, distro_type string, distro_no bigint, qty_expected double",
+        (11, 5, "C1", "A", 7, 1.0), (11, 5, "C1", "A", 7, 2.0), (11, 6, "C2", "A", 7, 4.0), (12, 5, "C3", "A", 7, 8.0),
+    )
+    notices = frame("hu_id string, context string", ("C1", "BUFFER"), ("C1", "OTHER"), ("C3", "OTHER"), (None, "BUFFER"))
+    made = interface.receipts_from_erp(po, ships, cartons, notices, type_id=None)
+    assert sorted((r.item_number, r.hu_id, r.qty_received, r.status, r.line_number) for r in made.collect()) == [
+        ("5", "C1", 3.0, "TRBL", 1), ("6", "C2", 4.0, None, 2),
+    ]
