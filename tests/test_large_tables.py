@@ -156,3 +156,18 @@ def test_cartons_meet_their_order_once(frame):
     assert sorted((r.item_number, r.hu_id, r.qty_received, r.status, r.line_number) for r in made.collect()) == [
         ("5", "C1", 3.0, "TRBL", 1), ("6", "C2", 4.0, None, 2),
     ]
+
+
+def test_waves_are_known_before_their_lines_are_met(frame, monkeypatch):
+    """Wave ids are distinct and stored when the lines are joined; many picks of a wave are one row there."""
+    stored, pinned = [], moves.pinned
+    monkeypatch.setattr(moves, "pinned", lambda rows: stored.append(rows.collect()) or pinned(rows))
+    lines = frame(
+        "wave_id bigint, order_number bigint, line_number int, item_number bigint, wh_id bigint, planned_qty double, wave_detail_line_id string",
+        (7, 1, 1, 5, 1, 3.0, "a"), (8, 2, 1, 5, 1, 4.0, "b"),
+    )
+    picks = frame("order_number bigint, line_number int, item_number bigint, wh_id bigint, planned_quantity double", (9, 1, 5, 1, 1.0))
+    waves = frame("wave_id bigint", (7,), (7,), (None,))
+    rows = moves.restore_wave(lines, picks, waves).collect()
+    assert [(r.wave_detail_line_id, r.qty_afo, r.dif) for r in rows] == [("a", 3.0, 3.0)]
+    assert sorted(r.wave_id or 0 for r in stored[0]) == [0, 7]
