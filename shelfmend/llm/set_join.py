@@ -9,8 +9,8 @@ Every pair that could reach the threshold and is not yet connected is compared e
 the list of a shingle, members first meet one representative. Sets whose lists still hold several components are then
 brought whole to a few of their longest lists, their anchors; there all of them are compared at once, in blocks,
 and what comes out is one link for each two components that meet, not one for each pair. At last the pairs of
-different components that share lists but no anchor, such as those of very large sets, are compared one by one; so no
-link is lost.
+different components that share lists but no anchor, such as those of very large sets, are compared one by one, unless
+the parity bits of their shingles already tell how far apart they are; so no link is lost.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ _ANCHORED_SHINGLES = 2000  # larger sets are not brought anywhere; their pairs a
 _BLOCK_SETS, _BLOCK_SHINGLES = 256, 200_000  # of one block of an anchor's sets, about
 _COLUMNS_AT_ONCE = 1 << 15  # of the matrix of a cell
 _POSTING = "key long, part int, parts int, node long, size int"
+_PAIRS_AT_ONCE, _SKETCH_BYTES = 500_000, 16 << 20  # that a task looks at, about
+_LEAST_BITS = 64  # of a set's parities; large sets have one to two for each shingle
 
 
 def _ceil_div(a, b):
@@ -400,58 +402,108 @@ def _anchored_links(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, perce
     return stored(ordered.select(*columns).mapInArrow(run, "a long, b long"), "links")
 
 
-def _other_pairs(open_: DataFrame, anchors: DataFrame, percent: int, light_to: int) -> DataFrame:
+def parities(shingles: np.ndarray) -> bytes:
+    """For each of so many buckets as the set has shingles, rounded up to a power of two, whether it holds an odd number of them."""
+    bits = max(_LEAST_BITS, 1 << max(0, len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parities as those of fewer buckets: a bucket is then the sum of several."""
+    return bits if bits.shape[1] == words else np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
+def near_enough(mine: np.ndarray, others: np.ndarray, size, sizes, percent: int) -> np.ndarray:
+    """Which rows of ``others`` may reach the threshold with those of ``mine``: a bucket of different parity holds a shingle that one
+    of two sets lacks, so they differ in as many shingles at least, whatever their hashes."""
+    words = min(mine.shape[1], others.shape[1])
+    apart = np.bitwise_count(_folded(mine, words) ^ _folded(others, words)).sum(axis=1, dtype=np.int64)
+    return (size + sizes - apart) // 2 >= needed(size, sizes, percent)
+
+
+def _unanchored(rows: dict[str, np.ndarray], percent: int, light_to: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of entries of a list, some at a time, in different components and without a common anchor, whose sizes and numbers of
+    entries do not rule them out."""
+    lists, sizes = _lists(rows, ["key", "low", "high"]) << 32, rows["size"].astype(np.int64)
+    own = np.arange(len(lists))
+    counts = np.searchsorted(lists + sizes, lists + 100 * sizes // percent, "right") - own - 1
+    ends = np.cumsum(counts)
+    start = 0
+    while start < len(own):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] - counts[start] + _PAIRS_AT_ONCE, "right")))
+        n = counts[start:stop]
+        i = np.repeat(own[start:stop], n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        ok = (rows["comp"][i] != rows["comp"][j]) & (rows["node"][i] != rows["node"][j])
+        ok &= (rows["low"][i] == rows["high"][i]) | (rows["part"][i] != rows["part"][j])  # each part has a place of its own
+        i, j = i[ok], j[ok]
+        ok = np.minimum(rows["shared"][i], rows["shared"][j]) >= least_shared(sizes[i], sizes[j], percent, light_to)
+        for x in range(_ANCHORS):
+            mine = rows[f"anchor_{x}"][i]
+            for y in range(_ANCHORS):
+                ok &= (mine == 0) | (mine != rows[f"anchor_{y}"][j])
+        if ok.any():
+            yield i[ok], j[ok]
+        start = stop
+
+
+def _other_pairs(
+    docs: DataFrame, nodes: DataFrame, open_: DataFrame, anchors: DataFrame, percent: int, light_to: int, shingle: int, text: str, key: str
+) -> DataFrame:
     """``a, b``: pairs of a list in different components and without a common anchor that can reach the threshold: by their
-    sizes, and by how many entries they share over all lists. A list in parts is met part by part, each pair of
-    parts in a place of its own."""
+    sizes, by how many entries they share over all lists, and by the parities of their shingles. A list in parts is met
+    part by part, each pair of parts in a place of its own.
 
-    def pairs(rows: dict[str, np.ndarray], start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        comp = rows["comp"][start:end]
-        if (comp == comp[0]).all():
-            return
-        size = rows["size"][start:end].astype(np.int64)
-        anchored = np.stack([rows[f"anchor_{i}"][start:end] for i in range(_ANCHORS)])
-        for i in range(end - start - 1):
-            to = int(np.searchsorted(size, 100 * size[i] // percent, "right"))
-            j = np.arange(i + 1, to)
-            j = j[comp[j] != comp[i]]
-            if len(j):
-                mine = anchored[:, i]
-                met = (anchored[:, j][None] == mine[:, None, None]) & (mine != 0)[:, None, None]
-                j = j[~met.any(axis=(0, 1))] + start
-            if len(j):
-                yield np.full(len(j), start + i), j
-
-    def handle(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        lists = _lists(rows, ["key", "low", "high"])
-        found, held = [], 0
-
-        def batch() -> pa.RecordBatch:
-            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-            least = least_shared(rows["size"][i].astype(np.int64), rows["size"][j].astype(np.int64), percent, light_to)
-            ok = (rows["node"][i] != rows["node"][j]) & (np.minimum(rows["shared"][i], rows["shared"][j]) >= least)
-            ok &= (rows["low"][i] == rows["high"][i]) | (rows["part"][i] != rows["part"][j])
-            a, b = rows["node"][i][ok], rows["node"][j][ok]
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(least[ok])], names=["a", "b", "least"])
+    Large sets share some list with very many others by chance. First only the entries that have such a partner are
+    kept; then their sets' parities come to them, and pairs that these tell apart leave no row.
+    """
 
-        for start, end in groups_of(lists):
-            if end - start > 1:
-                for i, j in pairs(rows, start, end):
-                    found.append((i, j))
-                    held += len(i)
-                    if held > 500_000:
-                        yield batch()
-                        found, held = [], 0
-        if found:
-            yield batch()
+    def partnered(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keep = np.zeros(len(rows["key"]), bool)
+        for i, j in _unanchored(rows, percent, light_to):
+            keep[i] = keep[j] = True
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(rows[c][keep]) for c in names], names=names)
+
+    def near(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes, width = rows["size"].astype(np.int64), np.array([len(x) for x in rows["bits"]], np.int64)
+        place, tables = np.zeros(len(width), np.int64), {}
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            place[at] = np.arange(len(at))
+            tables[w] = np.frombuffer(b"".join(rows["bits"][at]), np.uint64).reshape(len(at), -1)
+        for i, j in _unanchored(rows, percent, light_to):
+            keep = np.zeros(len(i), bool)
+            for w in np.unique(width[i]).tolist():
+                for v in np.unique(width[j]).tolist():
+                    some = np.flatnonzero((width[i] == w) & (width[j] == v))
+                    step = max(1, _SKETCH_BYTES // max(w, v))
+                    for n in (some[x : x + step] for x in range(0, len(some), step)):
+                        x, y = i[n], j[n]
+                        keep[n] = near_enough(tables[w][place[x]], tables[v][place[y]], sizes[x], sizes[y], percent)
+            if keep.any():
+                i, j = i[keep], j[keep]
+                least = least_shared(sizes[i], sizes[j], percent, light_to)
+                a, b = rows["node"][i], rows["node"][j]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.minimum(a, b), np.maximum(a, b), least)], names=["a", "b", "least"])
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [parities(s) for s in shingle_sets(texts(batch), shingle)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["_of", "bits"])
 
     zero = F.lit(0).cast("long")  # no anchor: keys are hashes
     named = [F.coalesce(F.get("anchors", F.lit(i)), zero).alias(f"anchor_{i}") for i in range(_ANCHORS)]
     known = attach(open_, anchors.select(F.col("node").alias("_of"), *named), [("node", "_of")], "inner").drop("held")
     others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_other")
     met = known.select("*", others).withColumn("low", F.least("part", "_other")).withColumn("high", F.greatest("part", "_other")).drop("_other")
-    found = _by_list(met, ["key", "low", "high"], handle, "a long, b long, least int")
+    names = met.columns
+    met = stored(_by_list(met, ["key", "low", "high"], partnered, ", ".join(f"{c} {t}" for c, t in met.dtypes)), "partnered")
+    wanted = met.select(F.col("node").alias("paired")).distinct()
+    bits = stored(_wanted_texts(docs, nodes, wanted, text, key).mapInArrow(sketched, "_of long, bits binary"), "bits")
+    met = attach(met, bits, [("node", "_of")], "inner")
+    found = _by_list(met, ["key", "low", "high"], near, "a long, b long, least int")
     shared = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least"))
     return shared.filter("n >= least").select("a", "b")
 
@@ -560,7 +612,9 @@ def similar_documents(docs: DataFrame, percent: int = 75, shingle: int = 5, text
     found = _anchored_links(docs, nodes, anchors, percent, shingle, text, key)
     if found.head(1):
         labels = _merged(labels, found)
-    found = _matches(docs, nodes, _other_pairs(_open_lists(lists, labels), anchors, percent, bound.light_to), percent, shingle, text, key)
+    found = _matches(
+        docs, nodes, _other_pairs(docs, nodes, _open_lists(lists, labels), anchors, percent, bound.light_to, shingle, text, key), percent, shingle, text, key
+    )
     if found is not None:
         labels = _merged(labels, found)
 

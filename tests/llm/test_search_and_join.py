@@ -392,3 +392,40 @@ def test_sets_without_a_common_anchor_are_compared(documents, prose, monkeypatch
     monkeypatch.undo()
     assert found == {r.doc_id: r.component_id for r in set_join.similar_documents(documents(*rows)).collect()}
     assert found[29] == found[0] == 0 and found[99] == 99
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 300), st.integers(0, 80), st.integers(0, 80), st.integers(0, 10**6), st.sampled_from([50, 75, 90]))
+def test_parities_rule_out_no_link(both, left, right, seed, percent):
+    rng = np.random.default_rng(seed)
+    hashes = np.unique(rng.integers(0, 2**63, both + left + right, dtype=np.uint64))
+    a, b = np.sort(hashes[: both + left]), np.sort(np.concatenate((hashes[:both], hashes[both + left :])))
+    n = len(np.intersect1d(a, b))
+    if 100 * n < percent * (len(a) + len(b) - n):
+        return
+    x, y = (np.frombuffer(set_join.parities(s), np.uint64) for s in (a, b))
+    assert set_join.near_enough(x.reshape(1, -1), y.reshape(1, -1), len(a), np.array([len(b)]), percent).all()
+
+
+def test_large_sets_that_share_lists_by_chance_leave_no_rows(spark, documents, prose, monkeypatch):
+    rng = random.Random(6)
+    quoted = [prose(7000 + i, 12) for i in range(12)]  # each text has all of them, among words of its own
+    texts = []
+    for i in range(60):
+        w = [prose(8000 + 20 * i + n, 15) for n in range(12)]
+        texts.append(" ".join(x for pair in zip(w, rng.sample(quoted, 12), strict=True) for x in pair))
+    near = [" ".join(x if rng.random() > 0.02 else f"new{i}" for i, x in enumerate(texts[n].split())) for n in range(5)]
+    rows = [*enumerate([*texts, *near])]
+    made, by_list = [], set_join._by_list
+
+    def counted(rows, columns, handle, schema):
+        out = by_list(rows, columns, handle, schema)
+        if columns == ["key", "low", "high"] and schema.startswith("a long"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(set_join, "_by_list", counted)
+    monkeypatch.setattr(set_join, "_ANCHORED_SHINGLES", 0)  # all sets are large
+    found = set_join.similar_documents(documents(*[(i, t, "s") for i, t in rows]))
+    assert Counter(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()) == Counter(brute_components(rows))
+    assert made and sum(made) < 60  # one by one they were 100 and more for each quoted passage
