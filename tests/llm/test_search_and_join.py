@@ -429,3 +429,33 @@ def test_large_sets_that_share_lists_by_chance_leave_no_rows(spark, documents, p
     found = set_join.similar_documents(documents(*[(i, t, "s") for i, t in rows]))
     assert Counter(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()) == Counter(brute_components(rows))
     assert made and sum(made) < 60  # one by one they were 100 and more for each quoted passage
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=60), st.lists(st.integers(0, 4), max_size=60), st.sampled_from([1, 7, 50, 10**6]))
+def test_runs_at_all_places_however_many_match(a, b, at_once):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(passages, "_MATCHES", at_once)
+        found = passages.segments(np.array(a, np.uint64), np.array(b, np.uint64))
+    expected = []
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if a[i] == b[j] and not (i and j and a[i - 1] == b[j - 1]):
+                n = next(n for n in range(1, len(a) + 1) if i + n == len(a) or j + n == len(b) or a[i + n] != b[j + n])
+                expected.append((i, j, n))
+    assert sorted(found) == sorted(expected)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), min_size=1, max_size=120, unique=True))
+def test_dense_chains_are_the_same(matches):
+    assert passages._best_dense_chains(sorted(matches)) == passages._best_chains(sorted(matches))
+
+
+def test_passage_among_very_many_matches(documents, prose, monkeypatch):
+    p = prose(1, 60).split()
+    phrase = " ".join(" ".join([*p[i : i + 5], "y"]) for i in range(0, 60, 5))  # each window of the passage stands there before it
+    rows = [(0, f"{phrase} {prose(2, 80)} {' '.join(p)}"), (1, f"{phrase} {prose(3, 80)} {' '.join(p)} {prose(4, 90)} {' '.join(p)}")]
+    monkeypatch.setattr(passages, "_MATCHES", 100)
+    found = passages.repeated_passages(documents(*[(i, t, "s") for i, t in rows])).collect()
+    assert {(152, 152), (152, 302)} <= {(r.first_word, r.other_first) if r.doc_id == 0 else (r.other_first, r.first_word) for r in found}
