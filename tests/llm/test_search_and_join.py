@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -456,3 +457,33 @@ def test_passage_among_very_many_matches(documents, prose, monkeypatch):
     monkeypatch.setattr(passages, "_MATCHES", 100)
     found = passages.repeated_passages(documents(*[(i, t, "s") for i, t in rows])).collect()
     assert {(152, 152), (152, 302)} <= {(r.first_word, r.other_first) if r.doc_id == 0 else (r.other_first, r.first_word) for r in found}
+
+
+def test_a_task_holds_few_texts_at_once(spark, documents, prose):
+    text = prose(7, 1000).encode()
+    many = [text] * (6_000_000 // len(text))
+    next(shingles.word_hashes([text]))  # the powers are made once
+    tracemalloc.start()
+    assert sum(len(w) for w in shingles.word_hashes(many)) == 1000 * len(many)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 40 << 20, held  # 2 MB of text at once took more
+    passages.repeated_passages(documents((0, text.decode(), "s")))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=12), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=12))
+def test_equal_words_between(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    assert passages._equal_between(a, b) == best[-1][-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(2**64 - 4, 2**64 - 1), st.integers(2**40, 2**40 + 2)), max_size=40))
+def test_numbers_in_order(values):
+    numbers = np.array(values, np.uint64)
+    assert passages._in_order(numbers).tolist() == np.argsort(numbers, kind="stable").tolist()
