@@ -487,3 +487,11 @@ def test_equal_words_between(a, b):
 def test_numbers_in_order(values):
     numbers = np.array(values, np.uint64)
     assert passages._in_order(numbers).tolist() == np.argsort(numbers, kind="stable").tolist()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=40), st.integers(2, 30))
+def test_winnowed_places(values, window):
+    found = np.array(values, np.uint64)
+    starts = range(max(1, len(values) - window + 1)) if values else ()
+    assert passages.winnowed(found, window).tolist() == sorted({s + values[s : s + window].index(min(values[s : s + window])) for s in starts})
