@@ -1,15 +1,21 @@
 """What only larger tables bring out: long keys, estimates that are far too small, many rounds."""
 
+import time
 from datetime import datetime
+from pathlib import Path
 
 import duckdb
 import pytest
 from compare import differences
 
+from pyspark.sql import functions as F
+
 from __spark_entry__ import oracle_sql, queries
 from shelfmend import session
-from shelfmend.operators import interface, missing, moves
+from shelfmend.operators import cut, interface, missing, moves
 from shelfmend.plans import joins
+from shelfmend.plans.changeset import with_id
+from shelfmend.plans.numbering import _ensure_checkpoint_dir, pinned
 from shelfmend.sources.samples import Samples
 
 
@@ -171,3 +177,39 @@ def test_waves_are_known_before_their_lines_are_met(frame, monkeypatch):
     rows = moves.restore_wave(lines, picks, waves).collect()
     assert [(r.wave_detail_line_id, r.qty_afo, r.dif) for r in rows] == [("a", 3.0, 3.0)]
     assert sorted(r.wave_id or 0 for r in stored[0]) == [0, 7]
+
+
+def _written(spark):
+    """Pinned rows in the shared folder, and shuffle files on this machine."""
+    _ensure_checkpoint_dir(spark)
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p.name for p in shared.glob("pinned-*")}, {f.name for d in local for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_pinned_rows_leave_no_shuffles(spark):
+    rows = spark.range(0, 5000, 1, 7).selectExpr("id % 100 AS k", "id AS v").groupBy("k").agg(F.sum("v").alias("v"))
+    _, before = _written(spark)
+    kept = pinned(rows)
+    for _ in range(50):
+        _, after = _written(spark)
+        if after <= before:
+            break
+        time.sleep(0.1)
+    assert after <= before
+    assert kept.count() == 100 and sorted(kept.columns) == ["k", "v"]
+    assert pinned(spark.range(3).selectExpr("id", "NULL AS nothing")).count() == 3  # a type that files lack
+
+
+def test_moves_leave_only_their_result(spark, frame):
+    stock = frame("wh_id int, item_number int, location_id string, hu_id string, actual_qty double", (1, 5, "A", None, 4.0), (1, 6, "A", None, 2.0))
+    planned = frame(
+        "n int, wh_id int, item_number int, qty double, from_location string, from_hu string, to_location string, to_hu string",
+        (1, 1, 5, 6.0, "A", None, "B", None), (2, 1, 5, 6.0, "B", None, "C", None), (3, 1, 5, 6.0, "C", None, "D", None), (4, 1, 6, 1.0, "A", None, "B", None),
+    )
+    before, _ = _written(spark)
+    moved = moves.move_within_stock(stock, planned, ["n"])
+    after, _ = _written(spark)
+    assert len(after - before) == 1
+    assert [(r.n, r.moved_qty, r.refused_qty) for r in moved.moves.orderBy("n").collect()] == [(1, 4.0, 2.0), (2, 4.0, 2.0), (3, 4.0, 2.0), (4, 1.0, 0.0)]
+    assert {(r.item_number, r.location_id, r.actual_qty) for r in moved.balances.collect()} == {(5, "D", 4.0), (6, "A", 1.0), (6, "B", 1.0)}
