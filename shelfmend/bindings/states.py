@@ -73,7 +73,9 @@ def increment_then_consolidate(s):
     stock = _increased(s)
     groups = moves.consolidate_hu(stock, s.handling_units())
     changes = moves.apply_consolidation(groups, stock, AS_OF)
-    return _per_place(apply_change_set({"t_stored_item": stock, "t_hu_master": s.handling_units()}, changes)["t_stored_item"])
+    after = apply_change_set({"t_stored_item": stock, "t_hu_master": s.handling_units()}, changes)["t_stored_item"]
+    # written out before it is added up, so that the shuffles of both are not on disk at once
+    return _per_place(pinned(after.select("sequence", *moves.SPOT, "actual_qty")))
 
 
 @query(

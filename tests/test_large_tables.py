@@ -231,3 +231,14 @@ def test_restored_waves_are_worked_out_step_by_step(frame):
     empty = changes.deletes["t_afo_wave_detail"].rows
     assert "Join" not in _plan(empty) and [r.wave_detail_id for r in empty.collect()] == [70]
     assert {r.wave_detail_line_id for r in changes.deletes["t_afo_wave_detail_line"].rows.collect()} == {"a", "b"}
+
+
+def test_emptied_units_are_written_out(frame):
+    stock = frame(
+        "sequence bigint, item_number bigint, wh_id bigint, location_id string, hu_id string, lot_number string, type string, actual_qty double",
+        (1, 5, 1, "A", "U", None, "STORAGE", 2.0), (2, 5, 1, "A", None, None, "STORAGE", 1.0), (3, 6, 1, "A", "V", None, "STORAGE", 1.0),
+    )
+    units = frame("hu_id string, wh_id bigint, parent_hu_id string, zone string", ("U", 1, None, "Z"))
+    changes = moves.apply_consolidation(moves.consolidate_hu(stock, units), stock, datetime(2024, 1, 1))
+    emptied = changes.deletes["t_stored_item"].rows
+    assert "Join" not in _plan(emptied) and [(r.sequence, r.hu_id) for r in emptied.collect()] == [(1, "U")]
