@@ -562,14 +562,13 @@ def apply_cancel(
 ) -> ChangeSet:
     """Cut the eligible lines completely, send a partial cancel per order, close orders fully cut."""
     key = ("order_number", "wh_id", "item_number")
-    cut = eligible.groupBy(*key).agg(F.max("qty").alias("qty"))
+    cut = pinned(eligible.select(*key).distinct())
+    # met once with all order lines and written out: read for the lines, the messages and the orders
+    flagged = pinned(
+        attach(order_detail.select(*key, "line_number", "qty", "bo_qty"), cut.withColumn("cut", F.lit(True)), list(key))
+    )
     # each line of the item is cut to its own quantity
-    own_lines = attach(
-        order_detail.select(*key, "line_number", F.col("qty").alias("bo_qty")),
-        cut.select(*key, F.lit(True).alias("cut")),
-        list(key),
-        "inner",
-    ).drop("cut")
+    own_lines = flagged.filter("cut").select(*key, "line_number", F.col("qty").alias("bo_qty"))
     line_key = (*key, "line_number")
     updated_lines = own_lines.groupBy(*line_key).agg(F.max("bo_qty").alias("bo_qty"))
 
@@ -577,7 +576,7 @@ def apply_cancel(
     affected = cut.select("order_number", "wh_id").distinct()
     grouped = affected.withColumn("host_group_id", guid(code, "order_number", "wh_id", F.lit(user)))
     parts = orders.select("order_number", "wh_id", *_order_part(orders))
-    known = attach(grouped, parts, ["order_number", "wh_id"], "inner", one_row_per_key=True)
+    known = pinned(attach(grouped, parts, ["order_number", "wh_id"], "inner", one_row_per_key=True))
     new_orders = missing(
         known, ship_header.filter(F.col("transaction_code") == CANCEL_PARTIAL), ["order_number", "wh_id"]
     )
@@ -607,9 +606,6 @@ def apply_cancel(
         "display_order_number",
     )
     # orders whose remaining quantity is zero once the lines are cut
-    flagged = attach(
-        order_detail.select(*key, "qty", "bo_qty"), cut.select(*key, F.lit(True).alias("cut")), list(key)
-    )
     remaining = F.when(F.col("cut"), F.lit(0)).otherwise(F.col("qty") - F.col("bo_qty"))
     after = flagged.groupBy("order_number", "wh_id").agg(F.sum(remaining).alias("left"), F.max("cut").alias("cut"))
     closed = after.filter(F.col("cut") & (F.col("left") == 0)).select(

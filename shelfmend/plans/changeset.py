@@ -74,8 +74,8 @@ def with_id(rows: DataFrame, name: str, *batch: Column | str) -> DataFrame:
     Equal rows are counted, before the shuffle where they can be, and written out again with their numbers in blocks.
     """
     columns = rows.columns
-    keyed = rows.withColumn("_id", guid(F.lit(name), *batch, *columns))
-    counted = keyed.groupBy("_id", *columns).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.withColumn("_id", guid(F.lit(name), *batch, *columns))  # not shuffled: it follows from the columns
     blocks = counted.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"), F.lit(_COPIES).cast("long"))))
     last = F.least(F.col("_n"), F.col("_from") + F.lit(_COPIES - 1))
     numbered = blocks.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))

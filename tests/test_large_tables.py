@@ -242,3 +242,26 @@ def test_emptied_units_are_written_out(frame):
     changes = moves.apply_consolidation(moves.consolidate_hu(stock, units), stock, datetime(2024, 1, 1))
     emptied = changes.deletes["t_stored_item"].rows
     assert "Join" not in _plan(emptied) and [(r.sequence, r.hu_id) for r in emptied.collect()] == [(1, "U")]
+
+
+def test_cancelled_lines_are_met_once(frame):
+    """Lines, messages and orders are made of one join of the order lines with the eligible ones."""
+    eligible = frame("order_number bigint, wh_id bigint, item_number bigint, line_number int, qty double, bo_qty double", (1, 1, 5, 1, 3.0, 0.0), (1, 1, 5, 1, 3.0, 0.0))
+    orders = frame("order_number bigint, wh_id bigint, client_code string, display_order_number string", (1, 1, "c", "d1"), (2, 1, "c", "d2"))
+    lines = frame("order_number bigint, wh_id bigint, item_number bigint, line_number int, qty double, bo_qty double", (1, 1, 5, 1, 3.0, 0.0), (1, 1, 6, 2, 2.0, 2.0), (2, 1, 5, 1, 9.0, 0.0))
+    items = frame("item_number bigint, wh_id bigint, display_item_number string", (5, 1, "i5"))
+    units = frame("item_number bigint, wh_id bigint, uom string, conversion int", (5, 1, "EA", 1))
+    sent = frame("shipment_id string, order_number bigint, wh_id bigint, transaction_code string")
+    changes = cut.apply_cancel(eligible, orders, lines, items, units, sent)
+    updates = {t: u.rows for t, u in changes.updates.items()}
+    assert all("Join" not in _plan(rows) for rows in updates.values())
+    assert [(r.order_number, r.item_number, r.line_number, r.bo_qty) for r in updates["t_order_detail"].collect()] == [(1, 5, 1, 3.0)]
+    assert [(r.order_number, r.status) for r in updates["t_order"].collect()] == [(1, "C")]
+    assert [(r.item_number, r.quantity_shipped) for r in changes.inserts["t_al_host_shipment_detail"].collect()] == [(5, 3.0)]
+
+
+def test_ids_are_not_shuffled(frame):
+    rows = with_id(frame("a int, b string", (1, "x"), (1, "x"), (None, "y")), "id")
+    assert len({r.id for r in rows.collect()}) == 3
+    exchange = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+    assert exchange and not any("_id#" in line for line in exchange)
