@@ -17,9 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, stored
 
 _SEEDS, _PROBED = 128, 8
+_SHARDS = 32  # that a task takes, where there are more than enough for all cores
 _EXACT = 2.0**53  # sums of integers below it are exact in floating point
 
 
@@ -99,6 +100,16 @@ def _matrix(ids: bytes, width: int, matrix: bytes) -> tuple[np.ndarray, np.ndarr
     return numbers, np.frombuffer(matrix, np.int64).reshape(len(numbers), width)
 
 
+def _best_of(before: list[np.ndarray] | None, new: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of both the ``k`` best of each place, by score and then by the smaller id."""
+    place, query, row, score = new if before is None else (np.concatenate(x) for x in zip(before, new, strict=True))
+    order = np.lexsort((row, ~score, place))  # ~ turns the order round, also for the smallest number
+    at = place[order]
+    rank = np.arange(len(at)) - np.searchsorted(at, at)
+    kept = order[rank < k]
+    return [place[kept], query[kept], row[kept], score[kept]]
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -117,7 +128,9 @@ def top_k(
     Repeated rows are separate candidates, and a repeated query gets a list each. Scores beyond 64 bits come out as
     the nearest number of that range. Other columns are not read.
 
-    Queries and rows meet in blocks of ``query_rows`` by ``shard_rows``, each pair of blocks in a task of its own.
+    Queries and rows meet in blocks of ``query_rows`` by ``shard_rows``. A task takes some shards to some blocks and keeps the ``k``
+    best of them all, so neither vectors nor matrices are shuffled or broadcast for a meeting: the packed rows are read where
+    they lie, once for each part of the query blocks.
     """
     spark = vectors.sparkSession
     arrow_batches(spark)
@@ -125,22 +138,28 @@ def top_k(
     rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite)
     columns = [F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")]
     shards, n_shards = _packed(rows.select(columns), shard_rows, scale, "shard")
-    blocks, n_blocks = _packed(rows.filter(is_query).select(columns), query_rows, scale, "block")
-    # numbers without rows have no pack; those that exist meet once each
-    left = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
-    right = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)).cast("array<long>")))
-    pairs = left.join(right, ["shard", "block"])
+    # a block is numbered by the task that makes it, so it is made once; a shard needs no number
+    blocks = stored(_packed(rows.filter(is_query).select(columns), query_rows, scale, "block")[0], "blocks")
+    parts = min(n_shards, max(4 * spark.sparkContext.defaultParallelism, -(-n_shards // _SHARDS)))
+    left = shards.drop("shard").coalesce(max(1, parts))
+    pairs = left.hint("shuffle_replicate_nl").crossJoin(blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}  # of each block: place, query, row and score of the best so far
+        last, shard = b"", None
         for batch in batches:
             for pair in batch.to_pylist():
-                shard = Shard(*_matrix(pair["shard_ids"], pair["shard_width"], pair["shard_matrix"]))
+                if shard is None or pair["shard_ids"] != last or pair["shard_matrix"] != packed:
+                    last, packed = pair["shard_ids"], pair["shard_matrix"]
+                    shard = Shard(*_matrix(last, pair["shard_width"], packed))
                 ids, queries = _matrix(pair["block_ids"], pair["block_width"], pair["block_matrix"])
                 found = [shard.best(query, own, k) for own, query in zip(ids.tolist(), queries, strict=True)]
                 sizes = [len(i) for i, _ in found]
                 place = pair["block"] * query_rows * 2 + np.arange(len(ids))
-                columns = [np.repeat(place, sizes), np.repeat(ids, sizes), *map(np.concatenate, zip(*found, strict=True))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["place", "query_id", "vec_id", "score"])
+                new = [np.repeat(place, sizes), np.repeat(ids, sizes), *map(np.concatenate, zip(*found, strict=True))]
+                held[pair["block"]] = _best_of(held.get(pair["block"]), new, k)
+        for columns in held.values():
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["place", "query_id", "vec_id", "score"])
 
     best = pairs.mapInArrow(run, "place long, query_id long, vec_id long, score long")
     order = Window.partitionBy("place").orderBy(F.col("score").desc(), "vec_id")

@@ -37,6 +37,25 @@ def test_top_k(spark):
     assert Counter(tuple(r) for r in found.collect()) == brute_top(vectors, lambda i: i % 10 == 0, 5)
 
 
+def test_top_k_broadcasts_nothing(spark):
+    """Few queries are no reason to bring them, once for each shard, to the driver; a task keeps the best of all its shards."""
+    rng = random.Random(2)
+    vectors = [(i, [rng.gauss(0, 0.2) for _ in range(8)]) for i in range(400)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = maxscore.top_k(df, F.col("vec_id") % 40 == 0, k=3, shard_rows=16, query_rows=4)
+    assert Counter(tuple(r) for r in found.collect()) == brute_top(vectors, lambda i: i % 40 == 0, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "CartesianProduct" in plan
+
+
+def test_best_of_keeps_each_place():
+    low, high = -(2**63), 2**63 - 1
+    some = [np.array([1, 1, 2]), np.array([10, 10, 20]), np.array([5, 6, 7]), np.array([low, high, 3])]
+    more = [np.array([1, 2, 2]), np.array([10, 20, 20]), np.array([4, 8, 6]), np.array([high, 3, 3])]
+    kept = maxscore._best_of(maxscore._best_of(None, some, 2), more, 2)
+    assert list(zip(*(x.tolist() for x in kept), strict=True)) == [(1, 10, 4, high), (1, 10, 6, high), (2, 20, 6, 3), (2, 20, 7, 3)]
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [0.5, -0.25]), (1, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in maxscore.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 512 * 1024 - 256 * 1024)]
