@@ -8,6 +8,7 @@ place for the folder). Blocks are never given back: a job that dies leaves a gap
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,14 @@ def _taken(spark: SparkSession, folder: str) -> int:
 def _take(spark: SparkSession, folder: str, block: int) -> bool:
     """Whether the block is now this job's own."""
     system, path = _hadoop(spark, f"{folder}/{block:015d}")
+    if system.getScheme() == "file":  # Hadoop looks and then creates there, so two jobs could both succeed
+        file = Path(path.toUri().getPath())
+        file.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            file.touch(exist_ok=False)
+        except FileExistsError:
+            return False
+        return True
     try:
         system.create(path, False).close()
     except Py4JJavaError as e:
