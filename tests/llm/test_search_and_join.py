@@ -514,3 +514,45 @@ def test_winnowed_places(values, window):
     found = np.array(values, np.uint64)
     starts = range(max(1, len(values) - window + 1)) if values else ()
     assert passages.winnowed(found, window).tolist() == sorted({s + values[s : s + window].index(min(values[s : s + window])) for s in starts})
+
+
+def _excerpts(n, seed):
+    """Excerpts of one text in words of their own, one word in seven replaced, and which pairs share 50 words that are equal enough."""
+    rng = random.Random(seed)
+    source = [f"s{i}" for i in range(500)]
+    rows, kept = [], []
+    for d in range(n):
+        size = rng.randint(54, 64)
+        start = rng.randrange(len(source) - size)
+        changed = set(rng.sample(range(start, start + size), size // 7))
+        words = [f"x{d}y{i}" if i in changed else source[i] for i in range(start, start + size)]
+        around = [[f"r{d}a{side}b{i}" for i in range(rng.randint(5, 40))] for side in (0, 1)]
+        rows.append((d, " ".join(around[0] + words + around[1])))
+        kept.append((len(around[0]), start, start + size, changed))
+    pairs = set()
+    for i, (_, a, b, x) in enumerate(kept):
+        for j, (_, c, e, y) in enumerate(kept[:i]):
+            low, high = max(a, c), min(b, e)
+            if high - low >= 52 and sum(w not in x and w not in y for w in range(low, high)) >= 0.8 * (high - low):
+                pairs.add((j, i))
+    return rows, pairs
+
+
+def test_changed_passages_with_many_holders(spark):
+    """Seeds of one passage have other holders each: none of the first and previous ones may share enough of them."""
+    rows, pairs = _excerpts(150, 3)
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    linked = {r.doc_id for r in found} | {r.other_doc_id for r in found}
+    assert {d for p in pairs for d in p} <= linked
+
+
+def test_every_holder_is_asked(spark, monkeypatch):
+    """With blocks of few seeds and many rounds the pairs are the same, and all that share enough are among the rows."""
+    rows, pairs = _excerpts(80, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    whole = Counter(tuple(r) for r in passages.repeated_passages(df).collect())
+    for name, value in (("_ASKED_LINKS", 50), ("_HELD_SEEDS", 40), ("_SLICE_TEXTS", 25)):
+        monkeypatch.setattr(passages, name, value)
+    assert Counter(tuple(r) for r in passages.repeated_passages(df).collect()) == whole
+    linked = {d for r in whole for d in (r[0], r[3])}
+    assert {d for p in pairs for d in p} <= linked
