@@ -231,6 +231,9 @@ def test_restored_waves_are_worked_out_step_by_step(frame):
     empty = changes.deletes["t_afo_wave_detail"].rows
     assert "Join" not in _plan(empty) and [r.wave_detail_id for r in empty.collect()] == [70]
     assert {r.wave_detail_line_id for r in changes.deletes["t_afo_wave_detail_line"].rows.collect()} == {"a", "b"}
+    log = changes.inserts["t_exception_log"].collect()
+    assert [(r.tracking_number, r.line_number, r.quantity) for r in sorted(log, key=lambda r: r.tracking_number)] == [(1, 1, 3.0), (2, 1, 4.0)]
+    assert all(r.exception_date == r.exception_time == datetime(2024, 1, 1) for r in log)
 
 
 def test_emptied_units_are_written_out(frame):
